@@ -266,8 +266,9 @@ def knn_join(spark, sf):
 
 
 def search_hydrated(spark, sf):
-    hits = search.nearest(views.centroids(spark, sf), views.vectors(spark, sf), search.SAMPLE_K)
-    return search.hydrate(hits, views.incoming(spark, sf)).select(
+    stored = views.searchable(spark, sf)
+    hits = search.nearest(views.centroids(spark, sf), stored, search.SAMPLE_K)
+    return search.hydrate(hits, stored).select(
         "query_id",
         "rank",
         "chunk_id",

@@ -98,6 +98,16 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def searchable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection of all vectors, with the document of the same id where there is one."""
+    return vectors(spark, sf_dir).join(incoming(spark, sf_dir), "chunk_id", "left").select(
+        "chunk_id",
+        F.coalesce("document", F.lit("")).alias("document"),
+        "metadata",
+        "embedding",
+    )
+
+
 def centroids(spark: SparkSession, sf_dir: str, by: str | None = "label") -> DataFrame:
     """Query vectors: the mean vector of each label, or of the whole table."""
     cells = table(spark, sf_dir, "embeddings").select(
