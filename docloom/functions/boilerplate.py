@@ -70,7 +70,10 @@ TECHNICAL_THRESHOLD_OTHER = 97
 
 _KEYWORDS = [k for k in FILTER_KEYWORDS if k]
 _WORDS = [frozenset(k.split()) for k in _KEYWORDS]
-_LETTERS = {c: i + 1 for i, c in enumerate(sorted(set("".join(_KEYWORDS))))}
+_ALPHABET = sorted(set("".join(_KEYWORDS)))
+# Letter number of a code point; 0 for a character that no keyword has.
+_LETTER = np.zeros(129, dtype=np.int16)
+_LETTER[[ord(c) for c in _ALPHABET]] = np.arange(1, len(_ALPHABET) + 1)
 _GAP = max(map(len, _KEYWORDS)) - 1
 # ratio >= 85 needs len(heading) <= (200/85 - 1) * len(keyword)
 _RATIO_MAX = int((200 / THRESHOLD - 1) * (_GAP + 1))
@@ -94,18 +97,22 @@ def is_boilerplate(normalized: Column) -> Column:
     return settled | F.coalesce(scored, F.lit(False))
 
 
-def _ids(text: str) -> list[int]:
-    """Letter numbers; 0 for a character that no keyword has."""
-    return [_LETTERS.get(c, 0) for c in text]
+def _letters(codes: np.ndarray) -> np.ndarray:
+    return _LETTER[np.minimum(codes, 128)]
 
 
-def _masks(patterns: list[str]) -> np.ndarray:
-    """Per pattern and letter number, the bit set of positions holding that letter."""
-    masks = np.zeros((len(patterns), len(_LETTERS) + 1), dtype=np.int32)
-    for row, pattern in enumerate(patterns):
-        for bit, letter in enumerate(_ids(pattern)):
-            if letter:
-                masks[row, letter] |= 1 << bit
+def _grid(texts: list[str], width: int) -> np.ndarray:
+    """Letter numbers of texts of at most ``width`` characters, a row each, padded with 0."""
+    return _letters(np.array(texts, dtype=f"U{width}").view(np.uint32).reshape(len(texts), width))
+
+
+def _masks(patterns: np.ndarray) -> np.ndarray:
+    """Per pattern (row of letters) and letter number, the bit set of its positions."""
+    masks = np.zeros((len(patterns), len(_ALPHABET) + 1), dtype=np.int32)
+    rows = np.arange(len(patterns))
+    for bit in range(patterns.shape[1]):
+        masks[rows, patterns[:, bit]] |= 1 << bit
+    masks[:, 0] = 0
     return masks
 
 
@@ -119,67 +126,70 @@ class _Texts:
     """Texts laid end to end, with gaps that no window can bridge."""
 
     def __init__(self, texts: list[str]):
-        ids, real, self.starts = [0] * _GAP, [0] * _GAP, []
-        for text in texts:
-            self.starts.append(len(ids) - _GAP)
-            ids += _ids(text) + [0] * _GAP
-            real += [1] * len(text) + [0] * _GAP
-        self.ids = np.array(ids, dtype=np.int16)
-        self.seen = np.concatenate([[0], np.cumsum(real)])
-
-    def best(self, patterns: list[str], size: int) -> np.ndarray:
-        """Best window score of each pattern (all of length ``size``) in each text."""
+        gap = "\0" * _GAP
+        joined = gap + "".join(text + gap for text in texts)
+        codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+        self.letters = _letters(codes)
+        self.seen = np.concatenate([[0], np.cumsum(codes != 0)])
+        # a text's share of the windows begins with the gap before it
+        self.bounds = np.concatenate([[0], np.cumsum([len(t) + _GAP for t in texts])])
+
+    def best(self, patterns: np.ndarray, first_texts: int | None = None) -> np.ndarray:
+        """Best window score of each pattern in each of the first texts."""
+        bounds = self.bounds if first_texts is None else self.bounds[: first_texts + 1]
+        size = patterns.shape[1]
+        letters = self.letters[: bounds[-1] + _GAP]
+        seen = self.seen[: len(letters) + 1]
+        windows = len(letters) - size + 1
         masks = _masks(patterns)
-        windows = len(self.ids) - size + 1
         full = np.int32((1 << size) - 1)
         state = np.full((len(patterns), windows), full, dtype=np.int32)
         for offset in range(size):
-            state = _advance(state, masks[:, self.ids[offset : offset + windows]], full)
+            state = _advance(state, masks[:, letters[offset : offset + windows]], full)
         common = size - np.bitwise_count(state).astype(np.int32)
-        width = self.seen[size:] - self.seen[:-size]
-        return np.maximum.reduceat(200.0 * common / (size + width), self.starts, axis=1)
+        width = seen[size:] - seen[:-size]
+        return np.maximum.reduceat(200.0 * common / (size + width), bounds[:-1], axis=1)
 
 
-_KEYWORD_SIZES = sorted({len(k) for k in _KEYWORDS})
+_KEYWORD_LENGTHS = np.array([len(k) for k in _KEYWORDS])
 _KEYWORD_TEXTS = _Texts(_KEYWORDS)
 
 
 def keyword_scores(headings: list[str]) -> np.ndarray:
     """max(ratio, partial_ratio) of each non-empty heading with each keyword."""
     lengths = np.array([len(h) for h in headings])
-    keyword_lengths = np.array([len(k) for k in _KEYWORDS])
     scores = np.zeros((len(headings), len(_KEYWORDS)))
 
     def raise_to(rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> None:
         cells = np.ix_(rows, columns)
         scores[cells] = np.maximum(scores[cells], values)
 
-    # The keyword is the shorter side: slide it over the headings.
-    for size in _KEYWORD_SIZES:
-        rows = np.flatnonzero(lengths >= size)
-        columns = np.flatnonzero(keyword_lengths == size)
-        if len(rows):
-            texts = _Texts([headings[r] for r in rows])
-            raise_to(rows, columns, texts.best([_KEYWORDS[c] for c in columns], size).T)
+    # The keyword is the shorter side: slide it over the headings, longest first.
+    by_length = np.argsort(-lengths, kind="stable")
+    texts = _Texts([headings[i] for i in by_length])
+    for size in sorted(set(_KEYWORD_LENGTHS.tolist())):
+        longer = int((lengths >= size).sum())
+        columns = np.flatnonzero(_KEYWORD_LENGTHS == size)
+        if longer:
+            found = texts.best(_grid([_KEYWORDS[c] for c in columns], size), longer)
+            raise_to(by_length[:longer], columns, found.T)
     # The heading is the shorter side: slide it over the keywords.
     for size in sorted(set(lengths[lengths <= _GAP + 1].tolist())):
         rows = np.flatnonzero(lengths == size)
-        columns = np.flatnonzero(keyword_lengths >= size)
-        found = _KEYWORD_TEXTS.best([headings[r] for r in rows], size)
+        columns = np.flatnonzero(_KEYWORD_LENGTHS >= size)
+        found = _KEYWORD_TEXTS.best(_grid([headings[r] for r in rows], size))
         raise_to(rows, columns, found[:, columns])
     # Both sides whole.
     rows = np.flatnonzero(lengths <= _RATIO_MAX)
     if len(rows):
-        padded = np.zeros((len(rows), _RATIO_MAX), dtype=np.int16)
-        for i, r in enumerate(rows):
-            padded[i, : lengths[r]] = _ids(headings[r])
-        masks = _masks(_KEYWORDS)
-        full = ((1 << keyword_lengths) - 1).astype(np.int32)[:, None]
+        letters = _grid([headings[r] for r in rows], _RATIO_MAX)
+        masks = _masks(_grid(_KEYWORDS, _GAP + 1))
+        full = ((1 << _KEYWORD_LENGTHS) - 1).astype(np.int32)[:, None]
         state = np.repeat(full, len(rows), axis=1)
         for offset in range(_RATIO_MAX):
-            state = _advance(state, masks[:, padded[:, offset]], full)
-        common = keyword_lengths[:, None] - np.bitwise_count(state).astype(np.int32)
-        whole = 200.0 * common / (keyword_lengths[:, None] + lengths[rows][None, :])
+            state = _advance(state, masks[:, letters[:, offset]], full)
+        common = _KEYWORD_LENGTHS[:, None] - np.bitwise_count(state).astype(np.int32)
+        whole = 200.0 * common / (_KEYWORD_LENGTHS[:, None] + lengths[rows][None, :])
         raise_to(rows, np.arange(len(_KEYWORDS)), whole.T)
     return scores
 
@@ -197,7 +207,7 @@ def passes(headings: list[str], technical: list[bool]) -> np.ndarray:
     return (keyword_scores(headings) >= limits).any(axis=1)
 
 
-def _blocks(headings: list[str], limit: int = 200_000):
+def _blocks(headings: list[str], limit: int = 64_000):
     """Runs of headings whose laid-out text stays near ``limit`` characters."""
     begin, size = 0, 0
     for i, heading in enumerate(headings):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 Counter = Callable[[Column], Column]
 
 # A run of word characters is one token, any other visible character is one.
-TOKEN = r"(?U)[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\x1c-\x1f]"
+TOKEN = r"(?U)[\p{L}\p{N}_]++|[^\p{L}\p{N}_\s\x1c-\x1f]"
 
 
 def token_count(c: Column | str, counter: Counter | None = None) -> Column:

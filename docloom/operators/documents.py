@@ -60,50 +60,51 @@ def token_report(docs: DataFrame, counter: Counter | None = None) -> DataFrame:
     )
 
 
+def _no_texts() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _state(done: Column, open_: Column, tokens: Column) -> Column:
+    return F.struct(done.alias("done"), open_.alias("open"), tokens.alias("tokens"))
+
+
 def _packed(
-    parts: Column, done: Column, separator: str, max_tokens: int, counter: Counter | None, oversized
+    parts: Column,
+    done: Column,
+    separator: str,
+    max_tokens: int,
+    counter: Counter | None,
+    oversized: Callable[[Column, Column], Column],
+    finish: Callable[[Column], Column],
 ) -> Column:
     """Greedy fold over the parts of a text.
 
     The state holds the finished segments, the parts of the open segment and its
-    tokens. Leading empty parts never open a segment. ``oversized`` says what a
-    too large part does to a state without an open segment. The texts are joined
-    once, when a segment closes.
+    tokens. Leading empty parts never open a segment. ``oversized`` gives the
+    state after a too large part that meets no open segment. The parts are joined
+    once, when their segment closes.
     """
     joint = token_count(F.lit(separator), counter)
-    no_parts = F.array().cast("array<string>")
-
-    def state(done: Column, open_: Column, tokens: Column) -> Column:
-        return F.struct(done.alias("done"), open_.alias("open"), tokens.alias("tokens"))
 
     def opened(done: Column, part: Column, tokens: Column) -> Column:
-        return state(done, F.when(part == "", no_parts).otherwise(F.array(part)), tokens)
+        return _state(done, F.when(part == "", _no_texts()).otherwise(F.array(part)), tokens)
 
     def step(acc: Column, item: Column) -> Column:
         part, tokens = item["part"], item["tokens"]
         longer = acc["tokens"] + joint + tokens
+        none_open = F.size(acc["open"]) == 0
         closed = F.concat(acc["done"], F.array(text.strip(F.array_join(acc["open"], separator))))
         return (
-            F.when(
-                (F.size(acc["open"]) == 0) & (tokens <= max_tokens),
-                opened(acc["done"], part, tokens),
-            )
-            .when(F.size(acc["open"]) == 0, oversized(acc["done"], part, state))
-            .when(longer <= max_tokens, state(acc["done"], F.concat(acc["open"], F.array(part)), longer))
+            F.when(none_open & (tokens <= max_tokens), opened(acc["done"], part, tokens))
+            .when(none_open, oversized(acc["done"], part))
+            .when(longer <= max_tokens, _state(acc["done"], F.concat(acc["open"], F.array(part)), longer))
             .otherwise(opened(closed, part, tokens))
         )
 
     items = F.transform(
         parts, lambda p: F.struct(p.alias("part"), token_count(p, counter).alias("tokens"))
     )
-    return F.aggregate(items, state(done, no_parts, F.lit(0).cast("bigint")), step)
-
-
-def _close_last(packed: Column, separator: str) -> Column:
-    last = text.strip(F.array_join(packed["open"], separator))
-    return F.when(F.size(packed["open"]) == 0, packed["done"]).otherwise(
-        F.concat(packed["done"], F.array(last))
-    )
+    return F.aggregate(items, _state(done, _no_texts(), F.lit(0).cast("bigint")), step, finish)
 
 
 def pack_segments(
@@ -117,30 +118,30 @@ def pack_segments(
     expression. Runs inside each document's row, without any exchange.
     """
 
-    def sentence_alone(done: Column, sentence: Column, state) -> Column:
-        return state(
-            F.concat(done, F.array(text.strip(sentence))),
-            F.array().cast("array<string>"),
-            F.lit(0).cast("bigint"),
-        )
+    def sentence_alone(done: Column, sentence: Column) -> Column:
+        closed = F.concat(done, F.array(text.strip(sentence)))
+        return _state(closed, _no_texts(), F.lit(0).cast("bigint"))
 
-    def into_sentences(done: Column, paragraph: Column, state) -> Column:
+    def as_one_part(acc: Column) -> Column:
+        rest = F.array(F.array_join(acc["open"], SENTENCE_SEPARATOR))
+        open_ = F.when(F.size(acc["open"]) == 0, acc["open"]).otherwise(rest)
+        return _state(acc["done"], open_, acc["tokens"])
+
+    def into_sentences(done: Column, paragraph: Column) -> Column:
         sentences = F.split(paragraph, r"\. ", -1)
-        packed = _packed(sentences, done, SENTENCE_SEPARATOR, max_tokens, counter, sentence_alone)
-        rest = F.array_join(packed["open"], SENTENCE_SEPARATOR)
-        open_ = F.when(F.size(packed["open"]) == 0, packed["open"]).otherwise(F.array(rest))
-        return state(packed["done"], open_, packed["tokens"])
+        return _packed(
+            sentences, done, SENTENCE_SEPARATOR, max_tokens, counter, sentence_alone, as_one_part
+        )
+
+    def close_last(acc: Column) -> Column:
+        last = F.array(text.strip(F.array_join(acc["open"], PARAGRAPH_SEPARATOR)))
+        return F.concat(acc["done"], F.when(F.size(acc["open"]) == 0, _no_texts()).otherwise(last))
 
     paragraphs = F.split("text", PARAGRAPH_SEPARATOR, -1)
-    none_done = F.array().cast("array<string>")
-    packed = _packed(
-        paragraphs, none_done, PARAGRAPH_SEPARATOR, max_tokens, counter, into_sentences
-    )
-    return (
-        docs.select("source_file", packed.alias("packed"))
-        .select("source_file", F.posexplode(_close_last(F.col("packed"), PARAGRAPH_SEPARATOR)))
-        .toDF("source_file", "seg_idx", "text")
+    segments = _packed(
+        paragraphs, _no_texts(), PARAGRAPH_SEPARATOR, max_tokens, counter, into_sentences, close_last
     )
+    return docs.select("source_file", F.posexplode(segments).alias("seg_idx", "text"))
 
 
 Converter = Callable[[Column], Column]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docloom.functions import boilerplate, splitting, text
 from docloom.operators import chunking, collection, documents, outline, search
 from docloom.plans import stages, views
-from docloom.shared import shared_dir, write_stage
+from docloom.shared import write_stage
 from docloom.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,11 +237,8 @@ def _insert(spark, sf, force):
 
 
 def load_chunks(spark, sf):
-    """Chunk files are written, read back and parsed."""
-    texts = views.chunk_file_texts(spark, sf).withColumnRenamed("source_file", "output_name")
-    path = write_stage(texts, "chunk-files").inputFiles()[0].rsplit("/", 1)[0] + "-folders"
-    files.write_files(texts, path)
-    loaded, _ = files.chunks_of(files.read_file_folders(spark, path))
+    """Chunk files are written to a table, read back and parsed."""
+    loaded, _ = files.chunks_of(write_stage(views.chunk_file_texts(spark, sf), "chunk-files"))
     return loaded.select("input_file", "item_pos", "content", "metadata.chunk_id", "metadata.chunk_size")
 
 

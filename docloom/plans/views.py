@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.shared import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -51,9 +53,10 @@ def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per document, as it is: a single paragraph."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    texts = table(spark, sf_dir, "documents").selectExpr(
         "concat('doc_', doc_id, '.txt') as source_file", "text"
     )
+    return spread(texts)
 
 
 def doc_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +67,7 @@ def doc_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr("source as source_file", "text")
+    return spread(table(spark, sf_dir, "documents").selectExpr("source as source_file", "text"))
 
 
 CHUNK_ID = "format_string('chunk_%06d', {})"
