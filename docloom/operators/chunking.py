@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import splitting, text
+from docloom.operators import outline
 from docloom.operators.numbering import running_start
 
 # Fixed values.
@@ -30,22 +31,59 @@ def _labelled(inner: Column) -> Column:
     return F.concat(F.lit(OPEN_LABEL), inner, F.lit(CLOSE_LABEL))
 
 
+def _background(contents: Column, limit: int) -> Column:
+    """Ancestor contents, from the top, as one labelled text; none yields ""."""
+    raw = F.array_join(contents, "\n\n")
+    # the end of the text; a limit below the marker's length keeps nothing of it
+    end = F.substr(raw, F.length(raw) - limit + len(TRUNCATED) + 1)
+    kept = F.when(F.length(raw) > limit, F.concat(F.lit(TRUNCATED), end)).otherwise(raw)
+    return F.when(raw != "", _labelled(kept)).otherwise("")
+
+
+def _ancestor_part(content: Column, limit: int) -> Column:
+    """As much of an ancestor as a background can show.
+
+    One character more than the limit still tells that it was too long.
+    """
+    return text.tail(text.strip(content), F.lit(limit + 1))
+
+
+def entries_with_background(
+    sections: DataFrame, chunk_size: int = CHUNK_SIZE, max_background: int | None = None
+) -> DataFrame:
+    """Sections -> entries with ``background``, on the partitioning by file they have.
+
+    An ancestor's title stands for the first section of the file that has it, which
+    is never later than the ancestor. So running windows carry the contents along
+    with the titles, and no join is needed.
+    """
+    limit = background_limit(chunk_size, max_background)
+    same_title = Window.partitionBy("source_file", "title").orderBy("pos")
+    first = F.first(_ancestor_part(F.col("content"), limit)).over(same_title)
+    rows = outline.ancestors(sections.withColumn("first_content", first), "first_content")
+    return (
+        rows.withColumn("hierarchy", F.col("ancestors.title"))
+        .withColumn("background", _background(F.col("ancestors.first_content"), limit))
+        .select("source_file", "entry_pos", "content", outline.entry_metadata(), "background")
+    )
+
+
 def with_background(
     entries: DataFrame, chunk_size: int = CHUNK_SIZE, max_background: int | None = None
 ) -> DataFrame:
-    """Add ``background``: the contents of the ancestors, found by title.
+    """Add ``background`` to entries from any source: the contents of the titles in
+    their hierarchy. A title stands for the first entry of the file that has it; an
+    unknown title is left out.
 
-    A title stands for the first entry of the file that has it. The background
-    depends only on (file, hierarchy), so it is built once per distinct path, not
-    per entry; siblings share it. An ancestor longer than the limit is cut to one
-    character more than the limit before any exchange: only the end of the joined
-    text survives the truncation below, and it is still seen to be too long.
+    The background depends only on (file, hierarchy), so it is built once per
+    distinct path, not per entry; siblings share it. Only the part of an ancestor
+    that can show moves.
 
     ``entries`` is read three times; hand in a table, not a long lineage.
     """
     limit = background_limit(chunk_size, max_background)
     first_by_title = entries.groupBy("source_file", F.col("metadata.title").alias("title")).agg(
-        F.min_by(text.tail(text.strip("content"), F.lit(limit + 1)), "entry_pos").alias("ancestor")
+        F.min_by(_ancestor_part(F.col("content"), limit), "entry_pos").alias("ancestor")
     )
     paths = (
         entries.select("source_file", F.col("metadata.hierarchy").alias("hierarchy"))
@@ -55,21 +93,11 @@ def with_background(
     parts = paths.select(
         "source_file", "hierarchy", F.posexplode("hierarchy").alias("depth", "title")
     ).join(first_by_title, ["source_file", "title"])
-    joined = F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct("depth", "ancestor"))), lambda x: x["ancestor"]),
-        "\n\n",
-    )
-    raw = F.col("raw")
-    kept = (
-        F.when(F.length(raw) <= limit, raw)
-        # right() of nothing is empty; a limit below the marker counts from the start
-        .otherwise(F.concat(F.lit(TRUNCATED), _python_slice_from(raw, F.length(raw) - limit + len(TRUNCATED))))
-    )
-    backgrounds = (
-        parts.groupBy("source_file", "hierarchy")
-        .agg(joined.alias("raw"))
-        .where(raw != "")
-        .select("source_file", "hierarchy", _labelled(kept).alias("background"))
+    contents = F.transform(
+        F.array_sort(F.collect_list(F.struct("depth", "ancestor"))), lambda x: x["ancestor"]
+    )
+    backgrounds = parts.groupBy("source_file", "hierarchy").agg(contents.alias("contents")).select(
+        "source_file", "hierarchy", _background(F.col("contents"), limit).alias("background")
     )
     keyed = entries.withColumn("hierarchy", F.col("metadata.hierarchy"))
     return (
@@ -79,11 +107,6 @@ def with_background(
     )
 
 
-def _python_slice_from(c: Column, start: Column) -> Column:
-    """Text from a zero-based position that may lie beyond the end."""
-    return F.substr(c, start + 1)
-
-
 def with_budget(with_bg: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
     """Shrink an oversized background and add ``budget``, the room for content.
 
@@ -197,8 +220,12 @@ def chunk_stats(
     chunks: DataFrame,
     chunk_size: int = CHUNK_SIZE,
     overlap: int = OVERLAP,
+    files: DataFrame | None = None,
 ) -> DataFrame:
-    """Per file: entries, chunks, their characters, average chunk size (0 without chunks)."""
+    """Per file: entries, chunks, their characters, average chunk size (0 without chunks).
+
+    With ``files`` (source_file), files without entries get a row of zeros.
+    """
     originals = entries.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("original_entries"),
         F.sum(F.length("content")).alias("original_total_chars"),
@@ -207,10 +234,10 @@ def chunk_stats(
         F.count(F.lit(1)).alias("total_chunks"),
         F.sum(F.col("metadata.chunk_size").cast("bigint")).alias("chunked_total_chars"),
     )
-    per_file = originals.join(made, "source_file", "left").na.fill(
-        0, ["total_chunks", "chunked_total_chars"]
-    )
-    return per_file.select(
+    per_file = originals.join(made, "source_file", "left")
+    if files is not None:
+        per_file = files.select("source_file").join(per_file, "source_file", "left")
+    return per_file.na.fill(0).select(
         "source_file",
         F.concat(F.lit("chunks_"), text.stem("source_file"), F.lit(".json")).alias("output_file"),
         "original_entries",

@@ -112,8 +112,8 @@ def sections(kept: DataFrame) -> DataFrame:
     )
 
 
-def hierarchy(section_rows: DataFrame) -> DataFrame:
-    """Add ``entry_pos`` and ``hierarchy``, the titles of the ancestors from the top.
+def ancestors(section_rows: DataFrame, *carried: str) -> DataFrame:
+    """Add ``entry_pos`` and ``ancestors``: title and carried columns, from the top.
 
     Of the last sections before a row, one per level above the row's own, those
     are ancestors that no section of a higher level has followed.
@@ -124,7 +124,7 @@ def hierarchy(section_rows: DataFrame) -> DataFrame:
         *section_rows.columns,
         (F.row_number().over(in_order) - 1).alias("entry_pos"),
         *[
-            F.last(F.when(F.col("level") == n, F.struct("pos", "title")), ignorenulls=True)
+            F.last(F.when(F.col("level") == n, F.struct("pos", "title", *carried)), ignorenulls=True)
             .over(before)
             .alias(f"up_{n}")
             for n in LEVELS[:-1]
@@ -137,32 +137,45 @@ def hierarchy(section_rows: DataFrame) -> DataFrame:
         for k in range(1, n):
             higher = F.col(f"up_{k}")["pos"]
             open_ = open_ & F.coalesce(higher < here["pos"], F.lit(True))
-        return F.when(open_, here["title"])
+        return F.when(open_, here)
 
-    ancestors = F.array_compact(F.array(*[ancestor(n) for n in LEVELS[:-1]]))
     return seen.select(
-        "source_file", "entry_pos", "pos", "level", "title", "content", ancestors.alias("hierarchy")
+        *section_rows.columns,
+        "entry_pos",
+        F.array_compact(F.array(*[ancestor(n) for n in LEVELS[:-1]])).alias("ancestors"),
     )
 
 
-def entries(section_rows: DataFrame) -> DataFrame:
-    """Sections -> entries (source_file, entry_pos, content, metadata)."""
+def hierarchy(section_rows: DataFrame) -> DataFrame:
+    """Add ``entry_pos`` and ``hierarchy``, the titles of the ancestors from the top."""
+    return ancestors(section_rows).select(
+        *section_rows.columns, "entry_pos", F.col("ancestors.title").alias("hierarchy")
+    )
+
+
+def entry_metadata() -> Column:
     path = F.array_join(F.array_append("hierarchy", F.col("title")), PATH_SEPARATOR)
-    metadata = F.struct(
+    return F.struct(
         "title",
         "hierarchy",
         path.alias("full_path"),
         "level",
         F.length("content").alias("content_length"),
         text.word_count("content").alias("word_count"),
-    )
-    return hierarchy(section_rows).select(
-        "source_file", "entry_pos", "content", metadata.alias("metadata")
-    )
+    ).alias("metadata")
+
+
+def entries(section_rows: DataFrame) -> DataFrame:
+    """Sections -> entries (source_file, entry_pos, content, metadata)."""
+    return hierarchy(section_rows).select("source_file", "entry_pos", "content", entry_metadata())
+
+
+def markdown_to_sections(md_docs: DataFrame) -> DataFrame:
+    return sections(skip_subtrees(flag_boilerplate(parse_headings(md_docs))))
 
 
 def markdown_to_entries(md_docs: DataFrame) -> DataFrame:
-    return entries(sections(skip_subtrees(flag_boilerplate(parse_headings(md_docs)))))
+    return entries(markdown_to_sections(md_docs))
 
 
 def entry_summary(entry_rows: DataFrame) -> DataFrame:

@@ -20,17 +20,10 @@ def texts_to_markdown(
     return documents.assemble_markdown(converted, docs)
 
 
-def entries_to_pieces(
-    entries: DataFrame,
-    chunk_size: int = chunking.CHUNK_SIZE,
-    overlap: int = chunking.OVERLAP,
-    max_background: int | None = None,
-) -> DataFrame:
-    """Entries (a table) -> entries with background, budget and pieces."""
-    budgeted = chunking.with_budget(
-        chunking.with_background(entries, chunk_size, max_background), chunk_size
-    )
-    return chunking.split_pieces(budgeted, overlap)
+def _number(budgeted: DataFrame, overlap: int) -> DataFrame:
+    """The pieces are staged: numbering reads their keys and counts first."""
+    pieces = write_stage(chunking.split_pieces(budgeted, overlap), "pieces")
+    return chunking.build_chunks(chunking.number_entries(pieces))
 
 
 def entries_to_chunks(
@@ -39,9 +32,9 @@ def entries_to_chunks(
     overlap: int = chunking.OVERLAP,
     max_background: int | None = None,
 ) -> DataFrame:
-    """Entries (a table) -> numbered chunks. The pieces are staged for the numbering."""
-    pieces = write_stage(entries_to_pieces(entries, chunk_size, overlap, max_background), "pieces")
-    return chunking.build_chunks(chunking.number_entries(pieces))
+    """Entries from any source (a table) -> numbered chunks."""
+    with_background = chunking.with_background(entries, chunk_size, max_background)
+    return _number(chunking.with_budget(with_background, chunk_size), overlap)
 
 
 def markdown_to_chunks(
@@ -50,5 +43,8 @@ def markdown_to_chunks(
     overlap: int = chunking.OVERLAP,
     max_background: int | None = None,
 ) -> DataFrame:
-    entries = write_stage(outline.markdown_to_entries(md_docs), "entries")
-    return entries_to_chunks(entries, chunk_size, overlap, max_background)
+    """Markdown documents -> numbered chunks. One exchange brings a file's sections
+    together; from there to the pieces nothing moves."""
+    sections = outline.markdown_to_sections(md_docs)
+    entries = chunking.entries_with_background(sections, chunk_size, max_background)
+    return _number(chunking.with_budget(entries, chunk_size), overlap)
