@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,15 +40,29 @@ def list_sources(spark: SparkSession, path: str, glob: str = PDF_GLOB) -> DataFr
 
 
 def read_texts(
-    spark: SparkSession, path: str, glob: str = TEXT_GLOB, recursive: bool = False
+    spark: SparkSession,
+    path: str,
+    glob: str = TEXT_GLOB,
+    recursive: bool = False,
+    include_empty: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Whole files as (source_file, text), and those that are not valid UTF-8."""
+    """Whole files as (source_file, text), and those that are not valid UTF-8.
+
+    Spark's scans leave out files of length 0. ``include_empty`` finds them by the
+    names in the scan's file index, which is on the driver; a folder of many
+    millions of files is better read without.
+    """
     files = _binary(spark, path, glob, recursive).select(_file_name(), "content")
     valid = F.is_valid_utf8(F.col("content").cast("string"))
     good = files.where(valid).select(
         "source_file", text.unify_newlines(F.col("content").cast("string")).alias("text")
     )
     rejects = files.where(~valid).select("source_file", F.lit("not UTF-8").alias("reason"))
+    if include_empty:
+        names = [(unquote(f.rsplit("/", 1)[-1]),) for f in files.inputFiles()]
+        listed = spark.createDataFrame(names, "source_file string")
+        empty = listed.join(files.select("source_file"), "source_file", "left_anti")
+        good = good.unionByName(empty.withColumn("text", F.lit("")))
     return good, rejects
 
 
@@ -98,7 +114,7 @@ def entries_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def read_entries(
     spark: SparkSession, path: str, recursive: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    docs, unreadable = read_texts(spark, path, JSON_GLOB, recursive)
+    docs, unreadable = read_texts(spark, path, JSON_GLOB, recursive, include_empty=False)
     entries, rejects = entries_of(docs)
     return entries, unreadable.unionByName(rejects)
 
@@ -116,7 +132,7 @@ def load_chunks(
     spark: SparkSession, path: str, recursive: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """All chunks of all JSON files of a folder, and the files left out."""
-    docs, unreadable = read_texts(spark, path, JSON_GLOB, recursive)
+    docs, unreadable = read_texts(spark, path, JSON_GLOB, recursive, include_empty=False)
     chunks, rejects = chunks_of(docs)
     return chunks, unreadable.unionByName(rejects)
 

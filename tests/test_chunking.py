@@ -1,0 +1,163 @@
+"""Background, budget, ids and statistics."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from docloom.operators import chunking, numbering
+from docloom.plans import stages
+from docloom.schemas import ENTRY
+
+
+def entry_table(spark, rows):
+    """rows: (file, pos, title, hierarchy, content)."""
+    made = [
+        (f, p, c, (t, h, " > ".join((h or []) + [t or "?"]), 1, len(c), len(c.split())))
+        for f, p, t, h, c in rows
+    ]
+    return spark.createDataFrame(made, ENTRY)
+
+
+def backgrounds(spark, rows, **kw):
+    got = chunking.with_background(entry_table(spark, rows), **kw).orderBy("source_file", "entry_pos")
+    return [r.background for r in got.collect()]
+
+
+def label(text):
+    return f"[BACKGROUND]\n{text}\n[/BACKGROUND]"
+
+
+def test_lookup_takes_the_first_entry_of_the_file(spark):
+    rows = [
+        ("a", 0, "T", [], " first "),
+        ("a", 1, "T", [], "second"),
+        ("a", 2, "X", ["T", "gone", "Y"], "x"),
+        ("a", 3, "Y", [], "later"),
+        ("b", 0, "X", ["T"], "x"),
+        ("b", 1, "Z", None, "z"),
+    ]
+    assert backgrounds(spark, rows) == ["", "", label("first\n\nlater"), "", "", ""]
+
+
+@pytest.mark.parametrize("limit", [5, 12, 13, 20, 29, 30, 31, 100])
+def test_truncation_keeps_the_end(spark, limit):
+    one, two = "abcdefghij" * 2, "klmno pqr"
+    rows = [("a", 0, "T", [], one), ("a", 1, "U", [], two), ("a", 2, "X", ["T", "U"], "x")]
+    raw = f"{one}\n\n{two}"
+    if len(raw) > limit:
+        raw = "[TRUNCATED] " + raw[len(raw) - limit + 12 :]
+    assert backgrounds(spark, rows, max_background=limit)[2] == label(raw)
+
+
+def test_background_limit():
+    assert chunking.background_limit(5000) == 2000
+    assert chunking.background_limit(5000, 0) == 2000
+    assert chunking.background_limit(99, None) == 39
+    assert chunking.background_limit(5000, 7) == 7
+
+
+def plain_budget(background, chunk_size):
+    """The rule for a background that leaves less than 100 characters."""
+    if background and chunk_size - len(background) < 100:
+        room = chunk_size - 100
+        inner = background[len("[BACKGROUND]\n") : -len("\n[/BACKGROUND]")]
+        marked = "[TRUNCATED] " in inner
+        keep = room - (30 if marked else 28)
+        if room <= 0 or (keep <= 0 and not marked):
+            background = ""
+        elif keep > 0:
+            body = inner[len("[TRUNCATED] ") :] if marked else inner
+            background = label("[TRUNCATED] " + body[-keep:])
+    return background, max(100, chunk_size - len(background))
+
+
+@pytest.mark.parametrize("chunk_size", [90, 100, 101, 120, 128, 129, 130, 131, 150, 200, 212, 240, 400])
+def test_budget(spark, chunk_size):
+    rnd = random.Random(chunk_size)
+    cases = [""]
+    for size in [1, 3, 12, 13, 40, 73, 85, 100, 130, 185, 300]:
+        body = "".join(rnd.choices("abc \n", k=size))
+        cases += [label(body), label("[TRUNCATED] " + body), label(body + "[TRUNCATED] x")]
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, background string")
+    got = chunking.with_budget(rows, chunk_size).orderBy("i").collect()
+    assert [(r.background, r.budget) for r in got] == [plain_budget(c, chunk_size) for c in cases]
+
+
+def test_running_start(spark):
+    rnd = random.Random(1)
+    rows = [(f"f{rnd.randint(0, 3)}", i, rnd.randint(0, 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "f string, i int, n long").repartition(7)
+    got = {(r.f, r.i): r.running_start for r in numbering.running_start(df, ["f", "i"], "n").collect()}
+    total = 0
+    for f, i, n in sorted(rows):
+        assert got[f, i] == total
+        total += n
+
+
+def test_chunk_table(spark):
+    long = "Sentence number one. " * 20
+    rows = [
+        ("b.json", 0, "Flow & more", [], long.strip()),
+        ("a.json", 0, "Top", [], "top content"),
+        ("a.json", 1, "Sub", ["Top"], long.strip()),
+        ("a.json", 2, None, [], ""),
+    ]
+    entries = entry_table(spark, rows)
+    chunks = stages.entries_to_chunks(entries, 200, 20).orderBy("chunk_number").collect()
+    assert [c.chunk_number for c in chunks] == list(range(1, len(chunks) + 1))
+    assert chunks[0].metadata.chunk_id == "chunk_000001_a_Top_0"
+    assert chunks[1].metadata.chunk_id == "chunk_000002_a_Sub_0"
+    assert chunks[1].content.startswith(label("top content") + "\n\nSentence")
+    untitled = next(c for c in chunks if c.entry_pos == 2 and c.source_file == "a.json")
+    assert untitled.content == "" and "_Unknown_0" in untitled.metadata.chunk_id
+    last = chunks[-1].metadata
+    assert last.source_file == "b.json" and "_b_Flow__more_" in last.chunk_id
+    for c in chunks:
+        assert c.metadata.chunk_size == len(c.content)
+        gap = 2 if c.metadata.background_size else 0
+        assert c.metadata.background_size + gap + c.metadata.content_size == len(c.content)
+    assert len({c.stable_id for c in chunks}) == len(chunks)
+
+
+def test_stable_ids_survive_a_new_file(spark):
+    rows = [("m.json", 0, "T", [], "content of m"), ("m.json", 1, "U", [], "more content")]
+    before = stages.entries_to_chunks(entry_table(spark, rows)).collect()
+    after = stages.entries_to_chunks(entry_table(spark, rows + [("a.json", 0, "A", [], "a")])).collect()
+    assert {c.stable_id for c in before} <= {c.stable_id for c in after}
+    assert {c.metadata.chunk_id for c in before}.isdisjoint(
+        {c.metadata.chunk_id for c in after if c.source_file == "m.json"}
+    )
+
+
+def test_statistics(spark):
+    rows = [("a.json", 0, "T", [], "x" * 150), ("b.json", 0, "T", [], "y" * 50)]
+    entries = entry_table(spark, rows)
+    chunks = stages.entries_to_chunks(entries, 100, 10)
+    files = spark.createDataFrame([("a.json",), ("b.json",), ("empty.json",)], "source_file string")
+    stats = chunking.chunk_stats(entries, chunks, 100, 10, files)
+    got = {r.source_file: r for r in stats.collect()}
+    a = got["a.json"]
+    assert (a.output_file, a.original_entries, a.total_chunks) == ("chunks_a.json", 1, 2)
+    assert (a.original_total_chars, a.chunked_total_chars, a.average_chunk_size) == (150, 160, 80.0)
+    assert got["empty.json"].average_chunk_size == 0.0 and got["empty.json"].total_chunks == 0
+    total = chunking.chunk_stats_total(stats, 100).first()
+    # weighted by chunk: 210 / 3, not the mean of 80, 50 and 0
+    assert (total.files, total.total_chunks, total.average_chunk_size) == (3, 3, 70.0)
+    assert total.max_background_size == 40
+
+
+def test_no_entries(spark):
+    empty = spark.createDataFrame([], ENTRY)
+    chunks = stages.entries_to_chunks(empty)
+    assert chunks.count() == 0
+    total = chunking.chunk_stats_total(chunking.chunk_stats(empty, chunks)).first()
+    assert (total.files, total.total_chunks, total.average_chunk_size) == (0, 0, 0.0)
+
+
+def test_hot_path_is_whole(spark):
+    """A third of all entries under one title."""
+    rows = [("a.json", 0, "T", [], "top")]
+    rows += [("a.json", i, f"s{i}", ["T"], f"content {i}") for i in range(1, 2000)]
+    got = chunking.with_background(entry_table(spark, rows)).where(F.col("background") == label("top"))
+    assert got.count() == 1999

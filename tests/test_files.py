@@ -1,0 +1,108 @@
+"""File scans, rejected files and sinks."""
+
+import json
+import os
+
+from docloom.operators import chunking, outline
+from docloom.plans import stages
+from docloom.sources import files
+
+
+def put(folder, name, data):
+    path = os.path.join(folder, name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "wb") as out:
+        out.write(data if isinstance(data, bytes) else data.encode("utf-8"))
+
+
+def names(df):
+    return sorted(r.source_file for r in df.collect())
+
+
+def test_list_sources(spark, folder):
+    for name in ["a.pdf", "b.PDF", "c.txt", "sub/d.pdf"]:
+        put(folder, name, b"%PDF")
+    found = files.list_sources(spark, folder)
+    assert names(found) == ["a.pdf", "b.PDF"]
+    assert {r.length for r in found.collect()} == {4}
+
+
+def test_read_texts(spark, folder):
+    put(folder, "a.txt", "one\r\ntwo\rthree é")
+    put(folder, "empty.txt", "")
+    put(folder, "bad.txt", b"\xff\xfe")
+    put(folder, "other.md", "# no")
+    docs, rejects = files.read_texts(spark, folder)
+    assert {r.source_file: r.text for r in docs.collect()} == {"a.txt": "one\ntwo\nthree é", "empty.txt": ""}
+    assert [tuple(r) for r in rejects.collect()] == [("bad.txt", "not UTF-8")]
+
+
+def entry(title, content="content of it", **more):
+    return {"content": content, "metadata": {"title": title, "hierarchy": [], "level": 1, **more}}
+
+
+def test_read_entries(spark, folder):
+    put(folder, "good.json", json.dumps([entry("B"), entry("A", "é")], ensure_ascii=False))
+    put(folder, "none.json", "[]")
+    put(folder, "partial.json", json.dumps([entry("A"), {"metadata": {"title": "x"}}]))
+    put(folder, "bare.json", json.dumps([{"content": "c"}]))
+    put(folder, "object.json", json.dumps(entry("A")))
+    put(folder, "broken.json", '[{"content": "c"')
+    put(folder, "quotes.json", "[{'content': 'c', 'metadata': {}}]")
+    put(folder, "bytes.json", b"\xff[]")
+    entries, rejects = files.read_entries(spark, folder)
+    got = [(r.source_file, r.entry_pos, r.metadata.title, r.content) for r in entries.orderBy("entry_pos").collect()]
+    assert got == [("good.json", 0, "B", "content of it"), ("good.json", 1, "A", "é")]
+    assert {r.source_file: r.reason for r in rejects.collect()} == {
+        "partial.json": "entry without content or metadata",
+        "bare.json": "entry without content or metadata",
+        "object.json": "not an array",
+        "broken.json": "not JSON",
+        "quotes.json": "not JSON",
+        "bytes.json": "not UTF-8",
+    }
+
+
+def test_load_chunks(spark, folder):
+    put(folder, "one.json", json.dumps([{"content": "a", "metadata": {"chunk_id": "c1"}}, {"content": "b"}]))
+    put(folder, "two.json", " \n[ ]")
+    put(folder, "lone.json", json.dumps({"content": "a"}))
+    put(folder, "nonsense.json", "oops")
+    chunks, rejects = files.load_chunks(spark, folder)
+    got = [(r.input_file, r.item_pos, r.content, r.metadata and r.metadata.chunk_id) for r in chunks.orderBy("item_pos").collect()]
+    assert got == [("one.json", 0, "a", "c1"), ("one.json", 1, "b", None)]
+    assert names(rejects) == ["lone.json", "nonsense.json"]
+
+
+def test_empty_folder(spark, folder):
+    for read in (files.read_texts, files.read_markdown, files.read_entries, files.load_chunks):
+        good, rejects = read(spark, folder)
+        assert good.count() == 0 and rejects.count() == 0
+
+
+def test_markdown_to_files_and_back(spark, folder):
+    body = "A body that is long enough. é \"quoted\"\n\nand more"
+    put(folder, "md/x.md", f"# Kilo\n{body}\n## Lima\n{body}")
+    put(folder, "md/empty.md", "nothing here")
+    docs, _ = files.read_markdown(spark, f"{folder}/md")
+    made = outline.markdown_to_entries(docs)
+    files.write_files(files.entry_files(made), f"{folder}/entries")
+    texts = files.read_file_folders(spark, f"{folder}/entries")
+    assert names(texts) == ["x.json"]  # a file without entries is not written
+    read, rejects = files.entries_of(texts)
+    assert rejects.count() == 0
+    assert [r.metadata for r in read.orderBy("entry_pos").collect()] == [
+        r.metadata for r in made.orderBy("entry_pos").collect()
+    ]
+
+    chunks = stages.entries_to_chunks(read, 100, 10)
+    sources = spark.createDataFrame([("x.json",), ("empty.json",)], "source_file string")
+    files.write_files(files.chunk_files(chunks, sources), f"{folder}/chunks")
+    texts = files.read_file_folders(spark, f"{folder}/chunks")
+    assert names(texts) == ["chunks_empty.json", "chunks_x.json"]  # chunk files always are
+    loaded, rejects = files.chunks_of(texts)
+    assert rejects.count() == 0
+    assert [tuple(r) for r in loaded.orderBy("item_pos").select("content", "metadata").collect()] == [
+        tuple(r) for r in chunks.orderBy("chunk_number").select("content", "metadata").collect()
+    ]
+    assert chunking.chunk_stats(read, chunks).first().total_chunks == loaded.count()

@@ -1,0 +1,49 @@
+"""Every registered query against its DuckDB statement, on the smallest tables."""
+
+import math
+
+import duckdb
+import pytest
+from conftest import SMALL
+
+import __spark_entry__ as registered
+
+TABLES = "documents embeddings pages benchmark labels conversations".split()
+
+
+@pytest.fixture(scope="module")
+def con():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
+    return con
+
+
+def comparable(value):
+    if isinstance(value, float):
+        return ("f", 0.0 if value == 0 else value) if not math.isnan(value) else ("nan",)
+    return (type(value).__name__, value)
+
+
+def as_rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(comparable(r[i]) for i in order) for r in rows), key=repr)
+
+
+def test_every_query_has_a_statement():
+    assert set(registered.queries()) == set(registered.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(registered.queries()))
+def test_query(spark, con, name):
+    df = registered.queries()[name](spark, SMALL)
+    result = con.execute(registered.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    assert sorted(df.columns) == sorted(columns)
+    expected = as_rows(columns, result.fetchall())
+    assert expected
+    assert as_rows(df.columns, [tuple(r) for r in df.collect()]) == expected
+
+
+def test_entry(spark):
+    assert registered.entry(spark).count() > 0
