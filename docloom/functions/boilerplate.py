@@ -131,54 +131,83 @@ class _Texts:
         codes = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
         self.letters = _letters(codes)
         self.seen = np.concatenate([[0], np.cumsum(codes != 0)])
+        self.lengths = np.array([len(t) for t in texts])
         # a text's share of the windows begins with the gap before it
-        self.bounds = np.concatenate([[0], np.cumsum([len(t) + _GAP for t in texts])])
-
-    def best(self, patterns: np.ndarray, first_texts: int | None = None) -> np.ndarray:
-        """Best window score of each pattern in each of the first texts."""
-        bounds = self.bounds if first_texts is None else self.bounds[: first_texts + 1]
-        size = patterns.shape[1]
-        letters = self.letters[: bounds[-1] + _GAP]
-        seen = self.seen[: len(letters) + 1]
-        windows = len(letters) - size + 1
-        masks = _masks(patterns)
+        self.bounds = np.concatenate([[0], np.cumsum(self.lengths + _GAP)])
+
+    def letter_counts(self) -> np.ndarray:
+        """How often each text (row) has each letter."""
+        size = len(_ALPHABET) + 1
+        owner = np.repeat(np.arange(len(self.lengths)), self.lengths + _GAP)
+        cells = owner * size + self.letters[: len(owner)]
+        counts = np.bincount(cells, minlength=len(self.lengths) * size)
+        return counts.reshape(-1, size)[:, 1:].astype(np.int32)
+
+    def _widths(self, size: int) -> np.ndarray:
+        return self.seen[size:] - self.seen[:-size]
+
+    def best_of_one(self, pattern: str) -> np.ndarray:
+        """Best window score of a pattern in each text; 0 where none can reach the threshold."""
+        size, widths = len(pattern), self._widths(len(pattern))
+        grid = _grid([pattern], size)
+        masks = _masks(grid)[0]
+        # a window cannot have more in common than letters that the pattern has
+        known = np.concatenate([[0], np.cumsum((masks != 0)[self.letters])])
+        at = np.flatnonzero(known[size:] - known[:-size] >= _NEEDED * (size + widths))
         full = np.int32((1 << size) - 1)
-        state = np.full((len(patterns), windows), full, dtype=np.int32)
+        state = np.full(len(at), full, dtype=np.int32)
         for offset in range(size):
-            state = _advance(state, masks[:, letters[offset : offset + windows]], full)
+            state = _advance(state, masks[self.letters[at + offset]], full)
+        scores = np.zeros(len(widths))
+        scores[at] = 200.0 * (size - np.bitwise_count(state).astype(np.int32)) / (size + widths[at])
+        return np.maximum.reduceat(scores, self.bounds[:-1])
+
+    def best_of_many(self, patterns: list[str], size: int) -> np.ndarray:
+        """Best window score of each pattern (row, all of one size) in each text."""
+        widths = self._widths(size)
+        masks = _masks(_grid(patterns, size))
+        full = np.int32((1 << size) - 1)
+        state = np.full((len(patterns), len(widths)), full, dtype=np.int32)
+        for offset in range(size):
+            state = _advance(state, masks[:, self.letters[offset : offset + len(widths)]], full)
         common = size - np.bitwise_count(state).astype(np.int32)
-        width = seen[size:] - seen[:-size]
-        return np.maximum.reduceat(200.0 * common / (size + width), bounds[:-1], axis=1)
+        return np.maximum.reduceat(200.0 * common / (size + widths), self.bounds[:-1], axis=1)
 
 
-_KEYWORD_LENGTHS = np.array([len(k) for k in _KEYWORDS])
+_NEEDED = THRESHOLD / 200
 _KEYWORD_TEXTS = _Texts(_KEYWORDS)
+_KEYWORD_LENGTHS = _KEYWORD_TEXTS.lengths
+_KEYWORD_COUNTS = _KEYWORD_TEXTS.letter_counts()
+
+
+def candidates(headings: list[str]) -> np.ndarray:
+    """Headings that share enough letters with some keyword to reach the threshold.
+
+    A score of 85 needs 0.425 * (shorter + window) letters in common, and the
+    window has at least those: 0.425 / 0.575 of the shorter side.
+    """
+    texts = _Texts(headings)
+    shared = np.minimum(texts.letter_counts()[:, None, :], _KEYWORD_COUNTS[None, :, :]).sum(2)
+    shorter = np.minimum(texts.lengths[:, None], _KEYWORD_LENGTHS[None, :])
+    return (shared >= _NEEDED / (1 - _NEEDED) * shorter - 1e-9).any(axis=1)
 
 
 def keyword_scores(headings: list[str]) -> np.ndarray:
-    """max(ratio, partial_ratio) of each non-empty heading with each keyword."""
-    lengths = np.array([len(h) for h in headings])
-    scores = np.zeros((len(headings), len(_KEYWORDS)))
+    """max(ratio, partial_ratio) of each non-empty heading with each keyword.
 
-    def raise_to(rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> None:
-        cells = np.ix_(rows, columns)
-        scores[cells] = np.maximum(scores[cells], values)
-
-    # The keyword is the shorter side: slide it over the headings, longest first.
-    by_length = np.argsort(-lengths, kind="stable")
-    texts = _Texts([headings[i] for i in by_length])
-    for size in sorted(set(_KEYWORD_LENGTHS.tolist())):
-        longer = int((lengths >= size).sum())
-        columns = np.flatnonzero(_KEYWORD_LENGTHS == size)
-        if longer:
-            found = texts.best(_grid([_KEYWORDS[c] for c in columns], size), longer)
-            raise_to(by_length[:longer], columns, found.T)
+    Exact from the threshold on; a lower score may come out lower still.
+    """
+    texts = _Texts(headings)
+    lengths = texts.lengths
+    scores = np.zeros((len(headings), len(_KEYWORDS)))
+    # The keyword is the shorter side: slide it over the headings.
+    for column, keyword in enumerate(_KEYWORDS):
+        scores[:, column] = np.where(lengths >= len(keyword), texts.best_of_one(keyword), 0)
     # The heading is the shorter side: slide it over the keywords.
     for size in sorted(set(lengths[lengths <= _GAP + 1].tolist())):
         rows = np.flatnonzero(lengths == size)
-        columns = np.flatnonzero(_KEYWORD_LENGTHS >= size)
-        found = _KEYWORD_TEXTS.best(_grid([headings[r] for r in rows], size))
-        raise_to(rows, columns, found[:, columns])
+        found = _KEYWORD_TEXTS.best_of_many([headings[r] for r in rows], size)
+        scores[rows] = np.maximum(scores[rows], np.where(_KEYWORD_LENGTHS >= size, found, 0))
     # Both sides whole.
     rows = np.flatnonzero(lengths <= _RATIO_MAX)
     if len(rows):
@@ -190,24 +219,29 @@ def keyword_scores(headings: list[str]) -> np.ndarray:
             state = _advance(state, masks[:, letters[:, offset]], full)
         common = _KEYWORD_LENGTHS[:, None] - np.bitwise_count(state).astype(np.int32)
         whole = 200.0 * common / (_KEYWORD_LENGTHS[:, None] + lengths[rows][None, :])
-        raise_to(rows, np.arange(len(_KEYWORDS)), whole.T)
+        scores[rows] = np.maximum(scores[rows], whole.T)
     return scores
 
 
 def passes(headings: list[str], technical: list[bool]) -> np.ndarray:
     """Whether any keyword reaches the threshold that holds for the heading."""
-    limits = np.full((len(headings), len(_KEYWORDS)), float(THRESHOLD))
-    for row, heading in enumerate(headings):
+    verdicts = np.zeros(len(headings), dtype=bool)
+    rows = np.flatnonzero(candidates(headings))
+    if not len(rows):
+        return verdicts
+    limits = np.full((len(rows), len(_KEYWORDS)), float(THRESHOLD))
+    for i, row in enumerate(rows):
         if technical[row]:
-            words = set(heading.split())
-            limits[row] = [
+            words = set(headings[row].split())
+            limits[i] = [
                 TECHNICAL_THRESHOLD_WORDS if need <= words else TECHNICAL_THRESHOLD_OTHER
                 for need in _WORDS
             ]
-    return (keyword_scores(headings) >= limits).any(axis=1)
+    verdicts[rows] = (keyword_scores([headings[r] for r in rows]) >= limits).any(axis=1)
+    return verdicts
 
 
-def _blocks(headings: list[str], limit: int = 64_000):
+def _blocks(headings: list[str], limit: int = 200_000):
     """Runs of headings whose laid-out text stays near ``limit`` characters."""
     begin, size = 0, 0
     for i, heading in enumerate(headings):

@@ -10,7 +10,7 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Java's Unicode \s lacks the four separators U+001C to U+001F.
 SPACE = r"[\s\x1c-\x1f]"
-NON_SPACE = r"[^\s\x1c-\x1f]"
+WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 
 def _col(c: Column | str) -> Column:
@@ -23,7 +23,7 @@ def strip(c: Column | str) -> Column:
 
 
 def word_count(c: Column | str) -> Column:
-    return F.regexp_count(_col(c), F.lit(f"(?U){NON_SPACE}+"))
+    return F.regexp_count(_col(c), F.lit(WORD))
 
 
 def unify_newlines(c: Column | str) -> Column:

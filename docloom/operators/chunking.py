@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import splitting, text
@@ -19,7 +19,12 @@ CLOSE_LABEL = "\n[/BACKGROUND]"
 TRUNCATED = "[TRUNCATED] "
 SHRINK_TRUNCATED = 30  # taken off the room when a truncated background is cut again
 SHRINK_WHOLE = 28  # the same for a background that was whole
+PART_SEPARATOR = "\n\n"
 UNKNOWN_TITLE = "Unknown"
+CHUNK_ID = "chunk_%06d_%s_%s_%d"
+
+# Entries of one file and path that a join key may hold.
+SLICE_ENTRIES = 10_000
 
 
 def background_limit(chunk_size: int = CHUNK_SIZE, max_background: int | None = None) -> int:
@@ -27,20 +32,19 @@ def background_limit(chunk_size: int = CHUNK_SIZE, max_background: int | None =
     return max_background or int(chunk_size * BACKGROUND_SHARE)
 
 
-def _labelled(inner: Column) -> Column:
-    return F.concat(F.lit(OPEN_LABEL), inner, F.lit(CLOSE_LABEL))
+def _labelled(inner: str) -> str:
+    return f"concat('{OPEN_LABEL}', {inner}, '{CLOSE_LABEL}')"
 
 
-def _background(contents: Column, limit: int) -> Column:
-    """Ancestor contents, from the top, as one labelled text; none yields ""."""
-    raw = F.array_join(contents, "\n\n")
-    # the end of the text; a limit below the marker's length keeps nothing of it
-    end = F.substr(raw, F.length(raw) - limit + len(TRUNCATED) + 1)
-    kept = F.when(F.length(raw) > limit, F.concat(F.lit(TRUNCATED), end)).otherwise(raw)
-    return F.when(raw != "", _labelled(kept)).otherwise("")
+def _background(raw: str, limit: int) -> str:
+    """Joined ancestor contents -> a labelled text that shows the end; "" for none."""
+    # a limit below the marker's length keeps nothing of the text
+    end = f"substr({raw}, length({raw}) - {limit} + {len(TRUNCATED) + 1})"
+    kept = f"case when length({raw}) > {limit} then concat('{TRUNCATED}', {end}) else {raw} end"
+    return f"case when {raw} <> '' then {_labelled(kept)} else '' end"
 
 
-def _ancestor_part(content: Column, limit: int) -> Column:
+def _ancestor_part(content: str, limit: int) -> Column:
     """As much of an ancestor as a background can show.
 
     One character more than the limit still tells that it was too long.
@@ -58,13 +62,20 @@ def entries_with_background(
     with the titles, and no join is needed.
     """
     limit = background_limit(chunk_size, max_background)
-    same_title = Window.partitionBy("source_file", "title").orderBy("pos")
-    first = F.first(_ancestor_part(F.col("content"), limit)).over(same_title)
-    rows = outline.ancestors(sections.withColumn("first_content", first), "first_content")
-    return (
-        rows.withColumn("hierarchy", F.col("ancestors.title"))
-        .withColumn("background", _background(F.col("ancestors.first_content"), limit))
-        .select("source_file", "entry_pos", "content", outline.entry_metadata(), "background")
+    shown = sections.withColumn("shown", _ancestor_part("content", limit)).selectExpr(
+        "*", "first(shown) over (partition by source_file, title order by pos) as first_content"
+    )
+    rows = outline.ancestors(shown, "first_content").selectExpr(
+        "*",
+        "ancestors.title as hierarchy",
+        f"array_join(ancestors.first_content, '{PART_SEPARATOR}') as raw",
+    )
+    return rows.select(
+        "source_file",
+        "entry_pos",
+        "content",
+        outline.entry_metadata(),
+        F.expr(_background("raw", limit)).alias("background"),
     )
 
 
@@ -76,34 +87,33 @@ def with_background(
     unknown title is left out.
 
     The background depends only on (file, hierarchy), so it is built once per
-    distinct path, not per entry; siblings share it. Only the part of an ancestor
-    that can show moves.
+    distinct path, not per entry; siblings share it. A path with very many entries
+    is built once per slice of the file, so that no join key holds more than a
+    slice. Only the part of an ancestor that can show moves.
 
     ``entries`` is read three times; hand in a table, not a long lineage.
     """
     limit = background_limit(chunk_size, max_background)
+    path, slice_ = ["source_file", "hierarchy", "slice"], f"entry_pos div {SLICE_ENTRIES} as slice"
     first_by_title = entries.groupBy("source_file", F.col("metadata.title").alias("title")).agg(
-        F.min_by(_ancestor_part(F.col("content"), limit), "entry_pos").alias("ancestor")
+        F.min_by(_ancestor_part("content", limit), "entry_pos").alias("ancestor")
     )
     paths = (
-        entries.select("source_file", F.col("metadata.hierarchy").alias("hierarchy"))
-        .where(F.size("hierarchy") > 0)
+        entries.selectExpr("source_file", "metadata.hierarchy as hierarchy", slice_)
+        .where("size(hierarchy) > 0")
         .distinct()
     )
-    parts = paths.select(
-        "source_file", "hierarchy", F.posexplode("hierarchy").alias("depth", "title")
+    parts = paths.selectExpr(
+        *path, "posexplode(hierarchy) as (depth, title)"
     ).join(first_by_title, ["source_file", "title"])
-    contents = F.transform(
-        F.array_sort(F.collect_list(F.struct("depth", "ancestor"))), lambda x: x["ancestor"]
-    )
-    backgrounds = parts.groupBy("source_file", "hierarchy").agg(contents.alias("contents")).select(
-        "source_file", "hierarchy", _background(F.col("contents"), limit).alias("background")
+    joined = f"""array_join(
+        transform(array_sort(collect_list(struct(depth, ancestor))), x -> x.ancestor), '{PART_SEPARATOR}')"""
+    backgrounds = parts.groupBy(*path).agg(F.expr(joined).alias("raw")).selectExpr(
+        *path, f"{_background('raw', limit)} as background"
     )
-    keyed = entries.withColumn("hierarchy", F.col("metadata.hierarchy"))
-    return (
-        keyed.join(backgrounds, ["source_file", "hierarchy"], "left")
-        .withColumn("background", F.coalesce("background", F.lit("")))
-        .select(*entries.columns, "background")
+    keyed = entries.selectExpr("*", "metadata.hierarchy as hierarchy", slice_)
+    return keyed.join(backgrounds, path, "left").selectExpr(
+        *entries.columns, "coalesce(background, '') as background"
     )
 
 
@@ -115,30 +125,22 @@ def with_budget(with_bg: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
     fits, a truncated background stays as it is and a whole one goes.
     """
     room = chunk_size - MIN_BUDGET
-    background = F.col("background")
-    inner = F.substr(
-        background,
-        F.lit(len(OPEN_LABEL) + 1),
-        F.length(background) - len(OPEN_LABEL) - len(CLOSE_LABEL),
-    )
-    was_truncated = F.contains(inner, F.lit(TRUNCATED))
-
-    def recut(body: Column, size: int) -> Column:
-        return _labelled(F.concat(F.lit(TRUNCATED), text.tail(body, F.lit(size))))
-
-    if room <= 0:
-        shrunk = F.lit("")
-    else:
-        again, whole = room - SHRINK_TRUNCATED, room - SHRINK_WHOLE
-        cut_again = (
-            recut(F.substr(inner, F.lit(len(TRUNCATED) + 1)), again) if again > 0 else background
-        )
-        cut_whole = recut(inner, whole) if whole > 0 else F.lit("")
-        shrunk = F.when(was_truncated, cut_again).otherwise(cut_whole)
-    too_small = (F.length(background) > 0) & (chunk_size - F.length(background) < MIN_BUDGET)
-    return with_bg.withColumn("background", F.when(too_small, shrunk).otherwise(background)).withColumn(
-        "budget", F.greatest(chunk_size - F.length("background"), F.lit(MIN_BUDGET))
-    )
+    labels = len(OPEN_LABEL) + len(CLOSE_LABEL)
+    inner = f"substr(background, {len(OPEN_LABEL) + 1}, length(background) - {labels})"
+
+    def recut(body: str, size: int) -> str:
+        return _labelled(f"concat('{TRUNCATED}', right({body}, {size}))")
+
+    again, whole = room - SHRINK_TRUNCATED, room - SHRINK_WHOLE
+    cut_again = recut(f"substr({inner}, {len(TRUNCATED) + 1})", again) if again > 0 else "background"
+    cut_whole = recut(inner, whole) if whole > 0 else "''"
+    shrunk = f"case when contains({inner}, '{TRUNCATED}') then {cut_again} else {cut_whole} end"
+    too_large = f"background <> '' and {chunk_size} - length(background) < {MIN_BUDGET}"
+    others = [c for c in with_bg.columns if c != "background"]
+    return with_bg.selectExpr(
+        *others,
+        f"case when {too_large} then {shrunk if room > 0 else repr('')} else background end as background",
+    ).selectExpr("*", f"greatest({chunk_size} - length(background), {MIN_BUDGET}) as budget")
 
 
 def split_pieces(budgeted: DataFrame, overlap: int = OVERLAP) -> DataFrame:
@@ -166,52 +168,43 @@ def number_entries(with_pieces: DataFrame) -> DataFrame:
     return with_pieces.join(starts, keys)
 
 
-def chunk_id(number: Column, source_file: Column, title: Column, index: Column) -> Column:
-    return F.format_string(
-        "chunk_%06d_%s_%s_%d", number, text.stem(source_file), text.clean_title(title), index
-    )
-
-
 def build_chunks(numbered: DataFrame) -> DataFrame:
     """One row per piece: (chunk number and index, stable_id, content, metadata).
 
     ``chunk_id`` counts over the whole run, so a new file renumbers later ones;
     ``stable_id`` depends on the chunk alone.
     """
-    title = F.coalesce("metadata.title", F.lit(UNKNOWN_TITLE))
-    full_path = F.coalesce("metadata.full_path", title)
-    exploded = numbered.select(
+    titled = numbered.selectExpr(
         "source_file",
         "entry_pos",
-        title.alias("title"),
-        full_path.alias("full_path"),
+        f"coalesce(metadata.title, '{UNKNOWN_TITLE}') as title",
+        f"coalesce(metadata.full_path, metadata.title, '{UNKNOWN_TITLE}') as full_path",
         "background",
         "first_number",
-        F.posexplode("pieces").alias("chunk_index", "piece"),
+        "posexplode(pieces) as (chunk_index, piece)",
     )
-    content = F.when(
-        F.col("background") != "", F.concat("background", F.lit("\n\n"), "piece")
-    ).otherwise(F.col("piece"))
-    number = F.col("first_number") + F.col("chunk_index") + 1
-    stable = F.sha2(
-        F.concat_ws("\x1f", "source_file", "full_path", "entry_pos", "chunk_index", content), 256
+    texts = titled.selectExpr(
+        "*",
+        "first_number + chunk_index + 1 as chunk_number",
+        "case when background <> '' then concat(background, '\n\n', piece) else piece end as content",
     )
-    metadata = F.struct(
-        chunk_id(number, F.col("source_file"), F.col("title"), F.col("chunk_index")).alias("chunk_id"),
-        "source_file",
-        "full_path",
-        F.length(content).alias("chunk_size"),
-        F.length("background").alias("background_size"),
-        F.length("piece").alias("content_size"),
+    named = texts.withColumns(
+        {"stem": text.stem("source_file"), "clean_title": text.clean_title("title")}
     )
-    return exploded.select(
+    return named.selectExpr(
         "source_file",
         "entry_pos",
         "chunk_index",
-        number.alias("chunk_number"),
-        stable.alias("stable_id"),
-        content.alias("content"),
-        metadata.alias("metadata"),
+        "chunk_number",
+        "sha2(concat_ws('\x1f', source_file, full_path, entry_pos, chunk_index, content), 256) as stable_id",
+        "content",
+        f"""struct(
+            format_string('{CHUNK_ID}', chunk_number, stem, clean_title, chunk_index) as chunk_id,
+            source_file,
+            full_path,
+            length(content) as chunk_size,
+            length(background) as background_size,
+            length(piece) as content_size) as metadata""",
     )
 
 

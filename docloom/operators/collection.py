@@ -50,8 +50,15 @@ def chunk_rows(chunks: DataFrame) -> DataFrame:
 
 
 def new_chunks(rows: DataFrame, collection: DataFrame) -> DataFrame:
-    """Rows whose id is not stored. Rows without an id, and repeated ids, stay."""
-    return rows.join(collection.select("chunk_id"), "chunk_id", "left_anti")
+    """Rows whose id is not stored. Rows without an id, and repeated ids, stay.
+
+    Rows without an id get keys of their own, which no stored row has, so that
+    they do not meet in one task.
+    """
+    unnamed = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+    keyed = rows.withColumn("join_key", F.coalesce("chunk_id", unnamed))
+    stored = collection.select(F.col("chunk_id").alias("join_key"))
+    return keyed.join(stored, "join_key", "left_anti").select(*rows.columns)
 
 
 def with_default_ids(rows: DataFrame, collection: DataFrame, order: list[str]) -> DataFrame:

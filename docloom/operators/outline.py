@@ -8,9 +8,7 @@ no exchange at all. A window group is one document, which was one row already.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import boilerplate, text
@@ -32,30 +30,27 @@ def parse_headings(md_docs: DataFrame) -> DataFrame:
     after the first line break behind the heading's first character, which for a
     title on a later line than its hashes puts the title into the body.
     """
-    heads = F.regexp_extract_all("md", F.lit(HEADING), F.lit(0))
-    between = F.split("md", HEADING, -1)
-    parsed = md_docs.select(
+    pattern = f"r'{HEADING}'"
+    parsed = md_docs.selectExpr(
         "source_file",
-        F.posexplode(
-            F.arrays_zip(
-                heads.alias("head"),
-                F.slice(between, F.lit(2), F.size(between) - 1).alias("rest"),
-            )
-        ).alias("pos", "part"),
+        f"""posexplode(arrays_zip(
+            regexp_extract_all(md, {pattern}, 0),
+            slice(split(md, {pattern}, -1), 2, 1000000000))) as (pos, part)""",
+    )
+    headings = parsed.selectExpr(
+        "source_file", "pos", "part['0'] as head", "concat(part['0'], part['1']) as block"
+    ).selectExpr(
+        "source_file", "pos", "head", "block", "length(head) - length(ltrim('#', head)) as level"
+    )
+    titled = headings.select(
+        "source_file", "pos", "level", "block", text.strip(F.expr("substr(head, level + 1)")).alias("title")
     )
-    level = F.length("head") - F.length(F.ltrim("head", F.lit("#")))
-    headings = parsed.select(
-        "source_file", "pos", F.col("part")["head"].alias("head"), F.col("part")["rest"].alias("rest")
-    ).withColumn("level", level)
-    headings = headings.withColumn(
-        "title", text.strip(F.substr("head", F.col("level") + 1))
-    ).withColumn("block", F.concat("head", "rest"))
-    line_end = F.instr("block", "\n")
     # Without any line break the body is cut from inside the heading line.
-    body_start = F.when(line_end > 0, line_end + 1).otherwise(F.length("title") + 1)
-    return headings.select(
-        "source_file", "pos", "level", "title", text.strip(F.substr("block", body_start)).alias("body")
+    body = F.expr(
+        """substr(block, case when instr(block, '\n') > 0 then instr(block, '\n') + 1
+                              else length(title) + 1 end)"""
     )
+    return titled.select("source_file", "pos", "level", "title", text.strip(body).alias("body"))
 
 
 def flag_boilerplate(headings: DataFrame) -> DataFrame:
@@ -66,12 +61,8 @@ def flag_boilerplate(headings: DataFrame) -> DataFrame:
     )
 
 
-def _in_document(until: int):
-    return (
-        Window.partitionBy("source_file")
-        .orderBy("pos")
-        .rowsBetween(Window.unboundedPreceding, until)
-    )
+def _in_document(until: str) -> str:
+    return f"over (partition by source_file order by pos rows between unbounded preceding and {until})"
 
 
 def flag_skipped(flagged: DataFrame) -> DataFrame:
@@ -80,24 +71,18 @@ def flag_skipped(flagged: DataFrame) -> DataFrame:
     That holds if, for some level l, the last heading so far at level l or above
     is a boilerplate heading of level l.
     """
-    so_far = _in_document(Window.currentRow)
-    last = {n: F.max(F.when(F.col("level") == n, F.col("pos"))).over(so_far) for n in LEVELS}
-    last_toc = {
-        n: F.max(F.when((F.col("level") == n) & F.col("is_toc"), F.col("pos"))).over(so_far)
-        for n in LEVELS
-    }
-    marked = flagged.select(
-        *flagged.columns,
-        *[c.alias(f"last_{n}") for n, c in last.items()],
-        *[c.alias(f"toc_{n}") for n, c in last_toc.items()],
+    so_far = _in_document("current row")
+    marked = flagged.selectExpr(
+        "*",
+        *[f"max(case when level = {n} then pos end) {so_far} as last_{n}" for n in LEVELS],
+        *[f"max(case when level = {n} and is_toc then pos end) {so_far} as toc_{n}" for n in LEVELS],
     )
-
-    def covered(n: int) -> Column:
-        above = F.col("last_1") if n == 1 else F.greatest(*[f"last_{k}" for k in range(1, n + 1)])
-        return F.coalesce(F.col(f"toc_{n}") == above, F.lit(False))
-
-    skipped = reduce(lambda a, b: a | b, [covered(n) for n in LEVELS])
-    return marked.select(*flagged.columns, skipped.alias("skipped"))
+    # greatest() passes over nulls
+    covered = [
+        f"coalesce(toc_{n} = greatest({', '.join(f'last_{k}' for k in range(1, n + 1))}, -1), false)"
+        for n in LEVELS
+    ]
+    return marked.selectExpr(*flagged.columns, f"{' or '.join(covered)} as skipped")
 
 
 def skip_subtrees(flagged: DataFrame) -> DataFrame:
@@ -118,31 +103,23 @@ def ancestors(section_rows: DataFrame, *carried: str) -> DataFrame:
     Of the last sections before a row, one per level above the row's own, those
     are ancestors that no section of a higher level has followed.
     """
-    before = _in_document(-1)
-    in_order = Window.partitionBy("source_file").orderBy("pos")
-    seen = section_rows.select(
-        *section_rows.columns,
-        (F.row_number().over(in_order) - 1).alias("entry_pos"),
-        *[
-            F.last(F.when(F.col("level") == n, F.struct("pos", "title", *carried)), ignorenulls=True)
-            .over(before)
-            .alias(f"up_{n}")
-            for n in LEVELS[:-1]
-        ],
+    before = _in_document("1 preceding")
+    fields = ", ".join(["pos", "title", *carried])
+    above = LEVELS[:-1]
+    seen = section_rows.selectExpr(
+        "*",
+        "row_number() over (partition by source_file order by pos) - 1 as entry_pos",
+        *[f"last(case when level = {n} then struct({fields}) end, true) {before} as up_{n}" for n in above],
     )
 
-    def ancestor(n: int) -> Column:
-        here = F.col(f"up_{n}")
-        open_ = (F.col("level") > n) & here.isNotNull()
-        for k in range(1, n):
-            higher = F.col(f"up_{k}")["pos"]
-            open_ = open_ & F.coalesce(higher < here["pos"], F.lit(True))
-        return F.when(open_, here)
+    def ancestor(n: int) -> str:
+        holds = [f"level > {n}"] + [f"coalesce(up_{k}.pos < up_{n}.pos, true)" for k in range(1, n)]
+        return f"case when {' and '.join(holds)} then up_{n} end"
 
-    return seen.select(
+    return seen.selectExpr(
         *section_rows.columns,
         "entry_pos",
-        F.array_compact(F.array(*[ancestor(n) for n in LEVELS[:-1]])).alias("ancestors"),
+        f"array_compact(array({', '.join(map(ancestor, above))})) as ancestors",
     )
 
 
@@ -154,15 +131,15 @@ def hierarchy(section_rows: DataFrame) -> DataFrame:
 
 
 def entry_metadata() -> Column:
-    path = F.array_join(F.array_append("hierarchy", F.col("title")), PATH_SEPARATOR)
-    return F.struct(
-        "title",
-        "hierarchy",
-        path.alias("full_path"),
-        "level",
-        F.length("content").alias("content_length"),
-        text.word_count("content").alias("word_count"),
-    ).alias("metadata")
+    return F.expr(
+        f"""struct(
+            title,
+            hierarchy,
+            array_join(array_append(hierarchy, title), '{PATH_SEPARATOR}') as full_path,
+            level,
+            length(content) as content_length,
+            regexp_count(content, r'{text.WORD}') as word_count) as metadata"""
+    )
 
 
 def entries(section_rows: DataFrame) -> DataFrame:

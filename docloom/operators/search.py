@@ -21,6 +21,8 @@ DEFAULT_K = 5
 SAMPLE_K = 3
 UNKNOWN = "Unknown"
 
+# Cells of the query x row matrix computed at once: 16 MB.
+MATRIX_CELLS = 1 << 21
 # Query batches up to this size travel to every task; larger ones are joined in cells.
 SHARED_QUERY_BYTES = 64 << 20
 CELL_ROWS = 100_000
@@ -74,10 +76,16 @@ def _nearest_rows(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.nda
 def _best(ids: np.ndarray, queries: np.ndarray, batch: pa.RecordBatch | pa.Table, k: int) -> pd.DataFrame:
     rows = _matrix(batch.column("embedding"))
     chunk_ids = np.asarray(batch.column("chunk_id").to_pylist(), dtype=object)
-    which, row = _nearest_rows(queries, rows, k)
-    # exact distances, summed from small differences, of the few pairs left
-    exact = ((queries[which] - rows[row]) ** 2).sum(1)
-    return _keep(pd.DataFrame({"query_id": ids[which], "chunk_id": chunk_ids[row], "distance": exact}), k)
+    step = max(1, MATRIX_CELLS // len(rows))
+    found = []
+    for begin in range(0, len(ids), step):
+        part = queries[begin : begin + step]
+        which, row = _nearest_rows(part, rows, k)
+        # exact distances, summed from small differences, of the few pairs left
+        exact = ((part[which] - rows[row]) ** 2).sum(1)
+        columns = {"query_id": ids[begin + which], "chunk_id": chunk_ids[row], "distance": exact}
+        found.append(_keep(pd.DataFrame(columns), k))
+    return pd.concat(found)
 
 
 def _keep(found: pd.DataFrame, k: int) -> pd.DataFrame:

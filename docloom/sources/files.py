@@ -53,11 +53,7 @@ def read_texts(
     millions of files is better read without.
     """
     files = _binary(spark, path, glob, recursive).select(_file_name(), "content")
-    valid = F.is_valid_utf8(F.col("content").cast("string"))
-    good = files.where(valid).select(
-        "source_file", text.unify_newlines(F.col("content").cast("string")).alias("text")
-    )
-    rejects = files.where(~valid).select("source_file", F.lit("not UTF-8").alias("reason"))
+    good, rejects = texts_of(files)
     if include_empty:
         names = [(unquote(f.rsplit("/", 1)[-1]),) for f in files.inputFiles()]
         listed = spark.createDataFrame(names, "source_file string")
@@ -66,6 +62,14 @@ def read_texts(
     return good, rejects
 
 
+def texts_of(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(source_file, content as bytes) -> texts with plain line ends, and invalid files."""
+    decoded = F.col("content").cast("string")
+    valid = F.is_valid_utf8(decoded)
+    good = files.where(valid).select("source_file", text.unify_newlines(decoded).alias("text"))
+    return good, files.where(~valid).select("source_file", F.lit("not UTF-8").alias("reason"))
+
+
 def read_markdown(
     spark: SparkSession, path: str, recursive: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -22,20 +22,21 @@ def ingest_chunk_files(
     A batch that runs again after a failure finds its rows stored and adds
     nothing, so the insert is idempotent.
     """
-    texts = (
-        spark.readStream.format("text")
-        .option("wholetext", "true")
+    arrived = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", files.JSON_GLOB)
         .load(path)
-        .select(F.col("_metadata.file_name").alias("source_file"), F.col("value").alias("text"))
+        .select(F.col("_metadata.file_name").alias("source_file"), "content")
     )
 
     def insert(batch: DataFrame, batch_id: int) -> None:
-        chunks, _ = files.chunks_of(batch)
+        texts, _ = files.texts_of(batch)
+        chunks, _ = files.chunks_of(texts)
         coll.add_chunks(batch.sparkSession, coll.chunk_rows(chunks), embed, name)
 
     return (
-        texts.writeStream.foreachBatch(insert)
+        arrived.writeStream.foreachBatch(insert)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

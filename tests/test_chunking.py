@@ -155,8 +155,9 @@ def test_no_entries(spark):
     assert (total.files, total.total_chunks, total.average_chunk_size) == (0, 0, 0.0)
 
 
-def test_hot_path_is_whole(spark):
-    """A third of all entries under one title."""
+def test_hot_path_is_whole(spark, monkeypatch):
+    """Nearly all entries under one title, in more than one slice."""
+    monkeypatch.setattr(chunking, "SLICE_ENTRIES", 300)
     rows = [("a.json", 0, "T", [], "top")]
     rows += [("a.json", i, f"s{i}", ["T"], f"content {i}") for i in range(1, 2000)]
     got = chunking.with_background(entry_table(spark, rows)).where(F.col("background") == label("top"))

@@ -147,6 +147,8 @@ def test_incremental_ingest(spark, folder):
     drop("one.json", "a", "é")
     with open(os.path.join(inbox, "broken.json"), "w") as out:
         out.write("{ nope")
+    with open(os.path.join(inbox, "bytes.json"), "wb") as out:
+        out.write(b"[\xff]")
     assert run() == ["a", "é"]
     drop("two.json", "a", "c")
     assert run() == ["a", "c", "é"]
