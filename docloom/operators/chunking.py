@@ -168,28 +168,48 @@ def number_entries(with_pieces: DataFrame) -> DataFrame:
     return with_pieces.join(starts, keys)
 
 
-def build_chunks(numbered: DataFrame) -> DataFrame:
-    """One row per piece: (chunk number and index, stable_id, content, metadata).
-
-    ``chunk_id`` counts over the whole run, so a new file renumbers later ones;
-    ``stable_id`` depends on the chunk alone.
-    """
-    titled = numbered.selectExpr(
+def chunk_texts(with_pieces: DataFrame, *carried: str) -> DataFrame:
+    """One row per piece, with the text of the chunk and its sizes, without ids."""
+    pieces = with_pieces.selectExpr(
         "source_file",
         "entry_pos",
         f"coalesce(metadata.title, '{UNKNOWN_TITLE}') as title",
         f"coalesce(metadata.full_path, metadata.title, '{UNKNOWN_TITLE}') as full_path",
         "background",
-        "first_number",
+        *carried,
         "posexplode(pieces) as (chunk_index, piece)",
     )
-    texts = titled.selectExpr(
+    texts = pieces.selectExpr(
         "*",
-        "first_number + chunk_index + 1 as chunk_number",
-        "case when background <> '' then concat(background, '\n\n', piece) else piece end as content",
+        f"""case when background <> '' then concat(background, '{PART_SEPARATOR}', piece)
+                 else piece end as content""",
+    )
+    return texts.selectExpr(
+        "source_file",
+        "entry_pos",
+        "chunk_index",
+        "title",
+        "full_path",
+        "content",
+        "length(content) as chunk_size",
+        "length(background) as background_size",
+        "length(piece) as content_size",
+        *carried,
     )
-    named = texts.withColumns(
-        {"stem": text.stem("source_file"), "clean_title": text.clean_title("title")}
+
+
+def build_chunks(numbered: DataFrame) -> DataFrame:
+    """Chunks: (source_file, entry_pos, chunk_index, chunk_number, stable_id, content, metadata).
+
+    ``chunk_id`` counts over the whole run, so a new file renumbers later ones;
+    ``stable_id`` depends on the chunk alone.
+    """
+    named = chunk_texts(numbered, "first_number").withColumns(
+        {
+            "chunk_number": F.expr("first_number + chunk_index + 1"),
+            "stem": text.stem("source_file"),
+            "clean_title": text.clean_title("title"),
+        }
     )
     return named.selectExpr(
         "source_file",
@@ -202,35 +222,43 @@ def build_chunks(numbered: DataFrame) -> DataFrame:
             format_string('{CHUNK_ID}', chunk_number, stem, clean_title, chunk_index) as chunk_id,
             source_file,
             full_path,
-            length(content) as chunk_size,
-            length(background) as background_size,
-            length(piece) as content_size) as metadata""",
+            chunk_size,
+            background_size,
+            content_size) as metadata""",
     )
 
 
 def chunk_stats(
-    entries: DataFrame,
-    chunks: DataFrame,
+    with_pieces: DataFrame,
     chunk_size: int = CHUNK_SIZE,
     overlap: int = OVERLAP,
     files: DataFrame | None = None,
 ) -> DataFrame:
     """Per file: entries, chunks, their characters, average chunk size (0 without chunks).
 
+    One pass over the entries with their pieces; no chunk text is built for it.
     With ``files`` (source_file), files without entries get a row of zeros.
     """
-    originals = entries.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("original_entries"),
-        F.sum(F.length("content")).alias("original_total_chars"),
-    )
-    made = chunks.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("total_chunks"),
-        F.sum(F.col("metadata.chunk_size").cast("bigint")).alias("chunked_total_chars"),
+    before_piece = f"if(background = '', 0, length(background) + {len(PART_SEPARATOR)})"
+    chunked = f"aggregate(pieces, 0L, (sum, p) -> sum + length(p) + {before_piece})"
+    per_file = (
+        with_pieces.selectExpr(
+            "source_file",
+            "length(content) as chars",
+            "size(pieces) as n_pieces",
+            f"{chunked} as chunked",
+        )
+        .groupBy("source_file")
+        .agg(
+            F.count(F.lit(1)).alias("original_entries"),
+            F.sum("n_pieces").alias("total_chunks"),
+            F.sum("chars").alias("original_total_chars"),
+            F.sum("chunked").alias("chunked_total_chars"),
+        )
     )
-    per_file = originals.join(made, "source_file", "left")
     if files is not None:
-        per_file = files.select("source_file").join(per_file, "source_file", "left")
-    return per_file.na.fill(0).select(
+        per_file = files.select("source_file").join(per_file, "source_file", "left").na.fill(0)
+    return per_file.select(
         "source_file",
         F.concat(F.lit("chunks_"), text.stem("source_file"), F.lit(".json")).alias("output_file"),
         "original_entries",

@@ -30,8 +30,8 @@ def _entries(spark, sf):
     return outline.markdown_to_entries(views.md_docs(spark, sf))
 
 
-def _chunks(spark, sf):
-    return stages.markdown_to_chunks(views.md_docs(spark, sf), **CHUNKING)
+def _pieces(spark, sf):
+    return stages.markdown_to_pieces(views.md_docs(spark, sf), **CHUNKING)
 
 
 def heading_normalize(spark, sf):
@@ -96,8 +96,9 @@ def background(spark, sf):
 
 
 def chunk_budget(spark, sf):
-    table = write_stage(_entries(spark, sf), "entries")
-    with_bg = chunking.with_background(table, TIGHT_CHUNK_SIZE, TIGHT_BACKGROUND)
+    with_bg = chunking.entries_with_background(
+        _sections(spark, sf), TIGHT_CHUNK_SIZE, TIGHT_BACKGROUND
+    )
     return chunking.with_budget(with_bg, TIGHT_CHUNK_SIZE).select(
         "source_file", "entry_pos", "background", "budget"
     )
@@ -116,36 +117,23 @@ def chunk_split(spark, sf):
 
 
 def chunks(spark, sf):
-    return _chunks(spark, sf).select(
-        "source_file",
-        "entry_pos",
-        "chunk_index",
-        "content",
-        "metadata.full_path",
-        "metadata.chunk_size",
-        "metadata.background_size",
-        "metadata.content_size",
-    )
+    return chunking.chunk_texts(_pieces(spark, sf)).drop("title")
 
 
 def chunk_ids(spark, sf):
-    return _chunks(spark, sf).select(
+    return stages.number_chunks(_pieces(spark, sf)).select(
         "source_file", "entry_pos", "chunk_index", "chunk_number", "metadata.chunk_id", "stable_id"
     )
 
 
 def chunk_stats(spark, sf):
-    table = write_stage(_entries(spark, sf), "entries")
-    made = stages.entries_to_chunks(table, **CHUNKING)
-    return chunking.chunk_stats(table, made, **CHUNKING).withColumn(
+    return chunking.chunk_stats(_pieces(spark, sf), **CHUNKING).withColumn(
         "average_chunk_size", F.round("average_chunk_size", 6)
     )
 
 
 def chunk_stats_total(spark, sf):
-    table = write_stage(_entries(spark, sf), "entries")
-    made = stages.entries_to_chunks(table, **CHUNKING)
-    stats = chunking.chunk_stats(table, made, **CHUNKING)
+    stats = chunking.chunk_stats(_pieces(spark, sf), **CHUNKING)
     return chunking.chunk_stats_total(stats, CHUNKING["chunk_size"]).withColumn(
         "average_chunk_size", F.round("average_chunk_size", 6)
     )

@@ -20,10 +20,38 @@ def texts_to_markdown(
     return documents.assemble_markdown(converted, docs)
 
 
-def _number(budgeted: DataFrame, overlap: int) -> DataFrame:
-    """The pieces are staged: numbering reads their keys and counts first."""
-    pieces = write_stage(chunking.split_pieces(budgeted, overlap), "pieces")
-    return chunking.build_chunks(chunking.number_entries(pieces))
+def entries_to_pieces(
+    entries: DataFrame,
+    chunk_size: int = chunking.CHUNK_SIZE,
+    overlap: int = chunking.OVERLAP,
+    max_background: int | None = None,
+) -> DataFrame:
+    """Entries from any source (a table) -> entries with background and pieces."""
+    with_background = chunking.with_background(entries, chunk_size, max_background)
+    return chunking.split_pieces(chunking.with_budget(with_background, chunk_size), overlap)
+
+
+def markdown_to_pieces(
+    md_docs: DataFrame,
+    chunk_size: int = chunking.CHUNK_SIZE,
+    overlap: int = chunking.OVERLAP,
+    max_background: int | None = None,
+) -> DataFrame:
+    """Markdown documents -> entries with background and pieces.
+
+    One exchange brings a file's sections together; nothing else moves.
+    """
+    sections = outline.markdown_to_sections(md_docs)
+    entries = chunking.entries_with_background(sections, chunk_size, max_background)
+    return chunking.split_pieces(chunking.with_budget(entries, chunk_size), overlap)
+
+
+def number_chunks(pieces: DataFrame) -> DataFrame:
+    """Entries with pieces -> chunks with ids.
+
+    The pieces are staged, since the numbering first reads their keys and counts.
+    """
+    return chunking.build_chunks(chunking.number_entries(write_stage(pieces, "pieces")))
 
 
 def entries_to_chunks(
@@ -32,9 +60,7 @@ def entries_to_chunks(
     overlap: int = chunking.OVERLAP,
     max_background: int | None = None,
 ) -> DataFrame:
-    """Entries from any source (a table) -> numbered chunks."""
-    with_background = chunking.with_background(entries, chunk_size, max_background)
-    return _number(chunking.with_budget(with_background, chunk_size), overlap)
+    return number_chunks(entries_to_pieces(entries, chunk_size, overlap, max_background))
 
 
 def markdown_to_chunks(
@@ -43,8 +69,4 @@ def markdown_to_chunks(
     overlap: int = chunking.OVERLAP,
     max_background: int | None = None,
 ) -> DataFrame:
-    """Markdown documents -> numbered chunks. One exchange brings a file's sections
-    together; from there to the pieces nothing moves."""
-    sections = outline.markdown_to_sections(md_docs)
-    entries = chunking.entries_with_background(sections, chunk_size, max_background)
-    return _number(chunking.with_budget(entries, chunk_size), overlap)
+    return number_chunks(markdown_to_pieces(md_docs, chunk_size, overlap, max_background))

@@ -160,6 +160,16 @@ def to_json_arrays(rows: DataFrame, name: Column, order: list[str], files: DataF
     )
 
 
+def text_files(docs: DataFrame) -> DataFrame:
+    name = F.concat(text.stem("source_file"), F.lit(".txt"))
+    return docs.select(name.alias("output_name"), "text")
+
+
+def markdown_files(md_docs: DataFrame) -> DataFrame:
+    name = F.concat(text.stem("source_file"), F.lit(".md"))
+    return md_docs.select(name.alias("output_name"), F.col("md").alias("text"))
+
+
 def entry_files(entries: DataFrame) -> DataFrame:
     """Files without entries are not written."""
     name = F.concat(text.stem("source_file"), F.lit(".json"))

@@ -133,9 +133,9 @@ def test_stable_ids_survive_a_new_file(spark):
 def test_statistics(spark):
     rows = [("a.json", 0, "T", [], "x" * 150), ("b.json", 0, "T", [], "y" * 50)]
     entries = entry_table(spark, rows)
-    chunks = stages.entries_to_chunks(entries, 100, 10)
+    pieces = stages.entries_to_pieces(entries, 100, 10)
     files = spark.createDataFrame([("a.json",), ("b.json",), ("empty.json",)], "source_file string")
-    stats = chunking.chunk_stats(entries, chunks, 100, 10, files)
+    stats = chunking.chunk_stats(pieces, 100, 10, files)
     got = {r.source_file: r for r in stats.collect()}
     a = got["a.json"]
     assert (a.output_file, a.original_entries, a.total_chunks) == ("chunks_a.json", 1, 2)
@@ -149,9 +149,8 @@ def test_statistics(spark):
 
 def test_no_entries(spark):
     empty = spark.createDataFrame([], ENTRY)
-    chunks = stages.entries_to_chunks(empty)
-    assert chunks.count() == 0
-    total = chunking.chunk_stats_total(chunking.chunk_stats(empty, chunks)).first()
+    assert stages.entries_to_chunks(empty).count() == 0
+    total = chunking.chunk_stats_total(chunking.chunk_stats(stages.entries_to_pieces(empty))).first()
     assert (total.files, total.total_chunks, total.average_chunk_size) == (0, 0, 0.0)
 
 

@@ -3,8 +3,10 @@
 import random
 import re
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docloom.functions.tokens import token_count
 from docloom.operators import documents
@@ -28,6 +30,16 @@ def test_token_report(spark):
     assert [(r.n_chars, r.n_tokens) for r in rows if r.is_total] == [(5, 4)]
 
 
+def test_pandas_counter(spark):
+    @F.pandas_udf(T.LongType())
+    def letters(texts: pd.Series) -> pd.Series:
+        return texts.str.count("[a-z]")
+
+    docs = spark.createDataFrame([("a.txt", "x y"), ("b.txt", "123")], DOC)
+    got = {r.source_file: r.n_tokens for r in documents.token_counts(docs, letters).collect()}
+    assert got == {"a.txt": 2, "b.txt": 0}
+
+
 def count(text):
     return len(re.findall(r"[^\W_]|_", re.sub(r"\w+", "w", text))) + len(re.findall(r"[^\w\s]", text))
 

@@ -74,6 +74,15 @@ def test_load_chunks(spark, folder):
     assert names(rejects) == ["lone.json", "nonsense.json"]
 
 
+def test_text_and_markdown_files(spark, folder):
+    docs = spark.createDataFrame([("a.pdf", "one\n\ntwo"), ("b.pdf", "")], "source_file string, text string")
+    files.write_files(files.text_files(docs), f"{folder}/texts")
+    back = files.read_file_folders(spark, f"{folder}/texts")
+    assert {r.source_file: r.text for r in back.collect()} == {"a.txt": "one\n\ntwo", "b.txt": ""}
+    md = files.markdown_files(docs.withColumnRenamed("text", "md"))
+    assert sorted(r.output_name for r in md.collect()) == ["a.md", "b.md"]
+
+
 def test_empty_folder(spark, folder):
     for read in (files.read_texts, files.read_markdown, files.read_entries, files.load_chunks):
         good, rejects = read(spark, folder)
@@ -95,7 +104,8 @@ def test_markdown_to_files_and_back(spark, folder):
         r.metadata for r in made.orderBy("entry_pos").collect()
     ]
 
-    chunks = stages.entries_to_chunks(read, 100, 10)
+    pieces = stages.entries_to_pieces(read, 100, 10)
+    chunks = stages.number_chunks(pieces)
     sources = spark.createDataFrame([("x.json",), ("empty.json",)], "source_file string")
     files.write_files(files.chunk_files(chunks, sources), f"{folder}/chunks")
     texts = files.read_file_folders(spark, f"{folder}/chunks")
@@ -105,4 +115,6 @@ def test_markdown_to_files_and_back(spark, folder):
     assert [tuple(r) for r in loaded.orderBy("item_pos").select("content", "metadata").collect()] == [
         tuple(r) for r in chunks.orderBy("chunk_number").select("content", "metadata").collect()
     ]
-    assert chunking.chunk_stats(read, chunks).first().total_chunks == loaded.count()
+    stats = chunking.chunk_stats(pieces, 100, 10).first()
+    sizes = [len(r.content) for r in loaded.collect()]
+    assert (stats.total_chunks, stats.chunked_total_chars) == (len(sizes), sum(sizes))
