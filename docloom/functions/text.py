@@ -10,7 +10,7 @@ WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # Java's Unicode \s lacks the four separators U+001C to U+001F.
 SPACE = r"[\s\x1c-\x1f]"
-WORD = r"(?U)[^\s\x1c-\x1f]+"
+BETWEEN_WORDS = rf"(?U){SPACE}++"
 
 
 def _col(c: Column | str) -> Column:
@@ -23,7 +23,9 @@ def strip(c: Column | str) -> Column:
 
 
 def word_count(c: Column | str) -> Column:
-    return F.regexp_count(_col(c), F.lit(WORD))
+    """Words of a text that has no white space at its ends; cheaper than matching them."""
+    words = F.size(F.split(_col(c), BETWEEN_WORDS))
+    return F.when(_col(c) == "", 0).otherwise(words)
 
 
 def unify_newlines(c: Column | str) -> Column:

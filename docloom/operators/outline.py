@@ -138,7 +138,7 @@ def entry_metadata() -> Column:
             array_join(array_append(hierarchy, title), '{PATH_SEPARATOR}') as full_path,
             level,
             length(content) as content_length,
-            regexp_count(content, r'{text.WORD}') as word_count) as metadata"""
+            size(split(content, r'{text.BETWEEN_WORDS}')) as word_count) as metadata"""
     )
 
 

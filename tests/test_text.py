@@ -25,7 +25,7 @@ def _apply(spark, column, values):
 def test_strip_and_word_count(spark):
     values = _samples()
     assert _apply(spark, text.strip("t"), values) == [v.strip() for v in values]
-    assert _apply(spark, text.word_count("t"), values) == [len(v.split()) for v in values]
+    assert _apply(spark, text.word_count(text.strip("t")), values) == [len(v.split()) for v in values]
 
 
 def test_normalize_heading(spark):
