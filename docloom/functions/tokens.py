@@ -4,21 +4,74 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-Counter = Callable[[Column], Column]
+from pyspark.sql import types as T
 
 # A run of word characters is one token, any other visible character is one.
 TOKEN = r"(?U)[\p{L}\p{N}_]++|[^\p{L}\p{N}_\s\x1c-\x1f]"
 
 
-def token_count(c: Column | str, counter: Counter | None = None) -> Column:
-    """Tokens of a text; a null text, or a counter that yields null, counts 0.
+class PythonCounter:
+    """A counter made of a function of one text; a text it fails on counts 0."""
+
+    def __init__(self, count: Callable[[str], int]):
+        self._count = count
+
+    def of_text(self, text: str | None) -> int:
+        try:
+            return int(self._count(text)) if text is not None else 0
+        except Exception:
+            return 0
+
+    def __call__(self, texts: Column) -> Column:
+        return self._udf(self.of_text, T.LongType())(texts)
+
+    def of_parts(self, parts: Column) -> Column:
+        """array<string> -> array<bigint>"""
+        return self._udf(lambda row: [self.of_text(t) for t in row], T.ArrayType(T.LongType()))(parts)
+
+    def of_lists(self, lists: Column) -> Column:
+        """array<array<string>> -> array<array<bigint>>"""
+        return self._udf(
+            lambda row: [[self.of_text(t) for t in parts] for parts in row],
+            T.ArrayType(T.ArrayType(T.LongType())),
+        )(lists)
+
+    @staticmethod
+    def _udf(of_row: Callable, returns: T.DataType) -> Callable[[Column], Column]:
+        @F.pandas_udf(returns)
+        def run(rows: pd.Series) -> pd.Series:
+            return pd.Series([of_row(row) for row in rows], index=rows.index)
+
+        return run
+
 
-    ``counter`` maps a text column to a count column: a built-in expression or a
-    call of a pandas UDF.
-    """
+# Maps a text column to a count column: a built-in expression or a PythonCounter.
+Counter = Callable[[Column], Column]
+
+
+def token_count(c: Column | str, counter: Counter | None = None) -> Column:
+    """Tokens of a text; a null text, or a counter that yields null, counts 0."""
     c = F.col(c) if isinstance(c, str) else c
     counted = counter(c) if counter else F.regexp_count(c, F.lit(TOKEN))
     return F.coalesce(counted.cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def count_parts(parts: Column, counter: Counter | None = None) -> Column:
+    if isinstance(counter, PythonCounter):
+        return counter.of_parts(parts)
+    return F.transform(parts, lambda p: token_count(p, counter))
+
+
+def count_lists(lists: Column, counter: Counter | None = None) -> Column:
+    if isinstance(counter, PythonCounter):
+        return counter.of_lists(lists)
+    return F.transform(lists, lambda parts: count_parts(parts, counter))
+
+
+def separator_count(separator: str, counter: Counter | None = None) -> Column:
+    if isinstance(counter, PythonCounter):
+        return F.lit(counter.of_text(separator)).cast("bigint")
+    return token_count(F.lit(separator), counter)

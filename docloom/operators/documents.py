@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions import text
-from docloom.functions.tokens import Counter, token_count
+from docloom.functions.tokens import (
+    Counter,
+    count_lists,
+    count_parts,
+    separator_count,
+    token_count,
+)
 
 # Fixed values.
 PAGE_SEPARATOR = " "
@@ -69,41 +75,39 @@ def _state(done: Column, open_: Column, tokens: Column) -> Column:
 
 
 def _packed(
-    parts: Column,
+    items: Column,
     done: Column,
     separator: str,
+    joint: Column,
     max_tokens: int,
-    counter: Counter | None,
     oversized: Callable[[Column, Column], Column],
     finish: Callable[[Column], Column],
 ) -> Column:
-    """Greedy fold over the parts of a text.
+    """Greedy fold over the parts of a text (part, tokens, ...).
 
     The state holds the finished segments, the parts of the open segment and its
     tokens. Leading empty parts never open a segment. ``oversized`` gives the
     state after a too large part that meets no open segment. The parts are joined
     once, when their segment closes.
     """
-    joint = token_count(F.lit(separator), counter)
 
-    def opened(done: Column, part: Column, tokens: Column) -> Column:
-        return _state(done, F.when(part == "", _no_texts()).otherwise(F.array(part)), tokens)
+    def opened(done: Column, item: Column) -> Column:
+        part = item["part"]
+        open_ = F.when(part == "", _no_texts()).otherwise(F.array(part))
+        return _state(done, open_, item["tokens"])
 
     def step(acc: Column, item: Column) -> Column:
-        part, tokens = item["part"], item["tokens"]
-        longer = acc["tokens"] + joint + tokens
+        longer = acc["tokens"] + joint + item["tokens"]
         none_open = F.size(acc["open"]) == 0
         closed = F.concat(acc["done"], F.array(text.strip(F.array_join(acc["open"], separator))))
+        extended = F.concat(acc["open"], F.array(item["part"]))
         return (
-            F.when(none_open & (tokens <= max_tokens), opened(acc["done"], part, tokens))
-            .when(none_open, oversized(acc["done"], part))
-            .when(longer <= max_tokens, _state(acc["done"], F.concat(acc["open"], F.array(part)), longer))
-            .otherwise(opened(closed, part, tokens))
+            F.when(none_open & (item["tokens"] <= max_tokens), opened(acc["done"], item))
+            .when(none_open, oversized(acc["done"], item))
+            .when(longer <= max_tokens, _state(acc["done"], extended, longer))
+            .otherwise(opened(closed, item))
         )
 
-    items = F.transform(
-        parts, lambda p: F.struct(p.alias("part"), token_count(p, counter).alias("tokens"))
-    )
     return F.aggregate(items, _state(done, _no_texts(), F.lit(0).cast("bigint")), step, finish)
 
 
@@ -114,12 +118,22 @@ def pack_segments(
 
     A paragraph that is too large is cut into sentences only while no segment is
     open; otherwise it becomes a segment of its own. A segment's tokens are the
-    sum over its parts and separators, so ``counter`` has to be a built-in
-    expression. Runs inside each document's row, without any exchange.
+    sum over its parts and separators. Runs inside each document's row, without
+    any exchange.
     """
+    parts = docs.select("source_file", F.split("text", PARAGRAPH_SEPARATOR, -1).alias("part"))
+    counted = parts.withColumn("tokens", count_parts(F.col("part"), counter))
+    # only a paragraph that is too large is taken apart
+    cut = counted.withColumn(
+        "sentence",
+        F.transform(
+            F.arrays_zip("part", "tokens"),
+            lambda p: F.when(p["tokens"] > max_tokens, F.split(p["part"], r"\. ", -1)).otherwise(_no_texts()),
+        ),
+    ).withColumn("sentence_tokens", count_lists(F.col("sentence"), counter))
 
     def sentence_alone(done: Column, sentence: Column) -> Column:
-        closed = F.concat(done, F.array(text.strip(sentence)))
+        closed = F.concat(done, F.array(text.strip(sentence["part"])))
         return _state(closed, _no_texts(), F.lit(0).cast("bigint"))
 
     def as_one_part(acc: Column) -> Column:
@@ -128,20 +142,35 @@ def pack_segments(
         return _state(acc["done"], open_, acc["tokens"])
 
     def into_sentences(done: Column, paragraph: Column) -> Column:
-        sentences = F.split(paragraph, r"\. ", -1)
+        sentences = F.zip_with(
+            paragraph["sentence"],
+            paragraph["sentence_tokens"],
+            lambda s, n: F.struct(s.alias("part"), n.alias("tokens")),
+        )
         return _packed(
-            sentences, done, SENTENCE_SEPARATOR, max_tokens, counter, sentence_alone, as_one_part
+            sentences,
+            done,
+            SENTENCE_SEPARATOR,
+            separator_count(SENTENCE_SEPARATOR, counter),
+            max_tokens,
+            sentence_alone,
+            as_one_part,
         )
 
     def close_last(acc: Column) -> Column:
         last = F.array(text.strip(F.array_join(acc["open"], PARAGRAPH_SEPARATOR)))
         return F.concat(acc["done"], F.when(F.size(acc["open"]) == 0, _no_texts()).otherwise(last))
 
-    paragraphs = F.split("text", PARAGRAPH_SEPARATOR, -1)
     segments = _packed(
-        paragraphs, _no_texts(), PARAGRAPH_SEPARATOR, max_tokens, counter, into_sentences, close_last
+        F.arrays_zip("part", "tokens", "sentence", "sentence_tokens"),
+        _no_texts(),
+        PARAGRAPH_SEPARATOR,
+        separator_count(PARAGRAPH_SEPARATOR, counter),
+        max_tokens,
+        into_sentences,
+        close_last,
     )
-    return docs.select("source_file", F.posexplode(segments).alias("seg_idx", "text"))
+    return cut.select("source_file", F.posexplode(segments).alias("seg_idx", "text"))
 
 
 Converter = Callable[[Column], Column]

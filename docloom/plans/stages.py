@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from docloom.functions.tokens import Counter
 from docloom.operators import chunking, documents, outline
 from docloom.shared import write_stage
 
@@ -12,9 +13,10 @@ def texts_to_markdown(
     docs: DataFrame,
     max_tokens: int = documents.MAX_TOKENS,
     convert: documents.Converter | None = None,
+    counter: Counter | None = None,
 ) -> DataFrame:
     """(source_file, text) -> (source_file, md). A costly converter runs once: its result is staged."""
-    converted = documents.transform_segments(documents.pack_segments(docs, max_tokens), convert)
+    converted = documents.transform_segments(documents.pack_segments(docs, max_tokens, counter), convert)
     if convert is not None:
         converted = write_stage(converted, "segments")
     return documents.assemble_markdown(converted, docs)

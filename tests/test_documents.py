@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docloom.functions.tokens import token_count
+from docloom.functions.tokens import PythonCounter, token_count
 from docloom.operators import documents
 from docloom.schemas import DOC, PAGE
 
@@ -115,6 +115,26 @@ def test_own_counter(spark):
     assert [r.text for r in silent.collect()] == ["aa\n\nbb\n\ncc"]  # a failing counter counts 0
 
 
+@pytest.mark.parametrize("limit", [3, 8])
+def test_python_counter_packs_alike(spark, limit):
+    rnd = random.Random(limit)
+    docs = spark.createDataFrame([(str(i), random_text(rnd)) for i in range(120)], DOC)
+
+    def rows(counter):
+        return sorted(map(tuple, documents.pack_segments(docs, limit, counter).collect()))
+
+    assert rows(PythonCounter(count)) == rows(None)
+
+
+def test_failing_counter_counts_nothing(spark):
+    def fail(text):
+        raise RuntimeError("no service")
+
+    docs = spark.createDataFrame([("a", "aa\n\nbb")], DOC)
+    assert documents.token_counts(docs, PythonCounter(fail)).first().n_tokens == 0
+    assert documents.pack_segments(docs, 1, PythonCounter(fail)).first().text == "aa\n\nbb"
+
+
 def test_conversion_and_reassembly(spark):
     docs = spark.createDataFrame([("a.txt", "aa\n\nbb\n\ncc"), ("empty.txt", ""), ("bad.txt", "y" * 150)], DOC)
 
