@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from docloom.functions import text
-from docloom.functions.vectors import similarity, squared_l2
+from docloom.functions.vectors import similarity
 
 # Fixed values.
 DEFAULT_K = 5
@@ -32,15 +32,16 @@ def nearest_single(
     vector: list[float], collection: DataFrame, k: int = DEFAULT_K, exclude_missing: bool = False
 ) -> DataFrame:
     """The ``k`` rows nearest to one vector: each task keeps its best k, then a merge."""
-    wanted = F.lit([float(x) for x in vector])
     rows = _searched(collection, exclude_missing)
-    found = rows.select("chunk_id", squared_l2(F.col("embedding"), wanted).alias("distance"))
-    return found.orderBy("distance", "chunk_id").limit(k)
+    ids, query = np.zeros(1, dtype=object), np.asarray([vector], dtype=np.float64)
+    found = _scan_collection(ids, query, _hit_schema(T.IntegerType()), rows, k)
+    return found.select("chunk_id", "distance").orderBy("distance", "chunk_id").limit(k)
 
 
 def _searched(collection: DataFrame, exclude_missing: bool) -> DataFrame:
-    rows = collection.where(~F.col("embedding_missing")) if exclude_missing else collection
-    return rows.select("chunk_id", "embedding")
+    """What is scanned: two columns of the rows that have a vector."""
+    rows = collection.where("not embedding_missing") if exclude_missing else collection
+    return rows.where("embedding is not null").select("chunk_id", "embedding")
 
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
@@ -107,14 +108,10 @@ def _scan(
         yield pa.RecordBatch.from_pandas(best, schema=schema, preserve_index=False)
 
 
-def _id_type(queries: DataFrame) -> T.DataType:
-    return queries.schema["query_id"].dataType
-
-
-def _hit_schema(queries: DataFrame) -> T.StructType:
+def _hit_schema(id_type: T.DataType) -> T.StructType:
     return T.StructType(
         [
-            T.StructField("query_id", _id_type(queries)),
+            T.StructField("query_id", id_type),
             T.StructField("chunk_id", T.StringType()),
             T.StructField("distance", T.DoubleType()),
         ]
@@ -138,10 +135,13 @@ def nearest(
     """
     rows = _searched(collection, exclude_missing)
     limit = _query_limit(queries, shared_bytes)
-    shared = queries.select("query_id", "embedding").limit(limit + 1).toArrow()
-    if shared.num_rows <= limit:
-        return F.broadcast(_ranked(_scan_collection(queries, shared, rows, k), k))
-    return _ranked(_scan_cells(queries, rows, k, limit, cell_rows), k)
+    schema = _hit_schema(queries.schema["query_id"].dataType)
+    fetched = queries.select("query_id", "embedding").limit(limit + 1).toArrow()
+    if fetched.num_rows <= limit:
+        ids = np.asarray(fetched.column("query_id").to_pylist(), dtype=object)
+        found = _scan_collection(ids, _matrix(fetched.column("embedding")), schema, rows, k)
+        return F.broadcast(_ranked(found, k))
+    return _ranked(_scan_cells(queries, schema, rows, k, limit, cell_rows), k)
 
 
 def _query_limit(queries: DataFrame, shared_bytes: int) -> int:
@@ -150,18 +150,18 @@ def _query_limit(queries: DataFrame, shared_bytes: int) -> int:
     return max(1, shared_bytes // (8 * max(1, first.dim))) if first else 1
 
 
-def _scan_collection(queries: DataFrame, found: pa.Table, rows: DataFrame, k: int) -> DataFrame:
-    ids = np.asarray(found.column("query_id").to_pylist(), dtype=object)
-    schema = _hit_schema(queries)
+def _scan_collection(
+    ids: np.ndarray, queries: np.ndarray, schema: T.StructType, rows: DataFrame, k: int
+) -> DataFrame:
+    spark = rows.sparkSession
     if not len(ids):
-        return rows.sparkSession.createDataFrame([], schema)
-    shared = rows.sparkSession.sparkContext.broadcast((ids, _matrix(found.column("embedding"))))
-    scan = partial(_scan, shared=shared, k=k, schema=to_arrow_schema(schema))
-    return rows.mapInArrow(scan, schema)
+        return spark.createDataFrame([], schema)
+    shared = spark.sparkContext.broadcast((ids, queries))
+    return rows.mapInArrow(partial(_scan, shared=shared, k=k, schema=to_arrow_schema(schema)), schema)
 
 
 def _scan_cells(
-    queries: DataFrame, rows: DataFrame, k: int, limit: int, cell_rows: int
+    queries: DataFrame, schema: T.StructType, rows: DataFrame, k: int, limit: int, cell_rows: int
 ) -> DataFrame:
     """Every query block meets every row block in one cell, each a bounded group.
 
@@ -180,6 +180,8 @@ def _scan_cells(
     cells = spread(queries.select("query_id", "embedding"), "qb", query_blocks, "rb", row_blocks)
     parts = spread(rows, "rb", row_blocks, "qb", query_blocks)
 
+    arrow_schema = to_arrow_schema(schema)
+
     def meet(q: pa.Table, r: pa.Table) -> pa.Table:
         if not q.num_rows or not r.num_rows:
             return arrow_schema.empty_table()
@@ -187,8 +189,6 @@ def _scan_cells(
         best = _best(ids, _matrix(q.column("embedding")), r, k)
         return pa.Table.from_pandas(best, schema=arrow_schema, preserve_index=False)
 
-    schema = _hit_schema(queries)
-    arrow_schema = to_arrow_schema(schema)
     return cells.groupBy("qb", "rb").cogroup(parts.groupBy("qb", "rb")).applyInArrow(meet, schema)
 
 

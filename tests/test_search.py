@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from docloom.functions.vectors import squared_l2
 from docloom.operators import search
 
 VECTORS = "chunk_id string, embedding array<float>, embedding_missing boolean"
@@ -69,6 +70,16 @@ def test_single_query(spark, data):
     assert [(r.chunk_id, round(r.distance, 9)) for r in found] == direct(queries, rows, 5)[0]
 
 
+def test_distance_expression(spark, data):
+    rows, queries = data
+    wanted = F.lit(queries[1].astype(np.float32).tolist())
+    got = vector_table(spark, rows).select(
+        "chunk_id", squared_l2(F.col("embedding"), wanted).alias("distance")
+    )
+    best = got.orderBy("distance", "chunk_id").limit(4).collect()
+    assert [(r.chunk_id, round(r.distance, 9)) for r in best] == direct(queries, rows, 4)[1]
+
+
 def test_fewer_rows_than_k_and_nothing_at_all(spark):
     rows = np.eye(3)
     hits = search.nearest(query_table(spark, rows[:1]), vector_table(spark, rows), 10)
