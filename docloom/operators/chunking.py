@@ -143,6 +143,12 @@ def with_budget(with_bg: DataFrame, chunk_size: int = CHUNK_SIZE) -> DataFrame:
     ).selectExpr("*", f"greatest({chunk_size} - length(background), {MIN_BUDGET}) as budget")
 
 
+def smallest_budget(chunk_size: int = CHUNK_SIZE, max_background: int | None = None) -> int:
+    """The room for content next to the largest background."""
+    largest = background_limit(chunk_size, max_background) + len(OPEN_LABEL) + len(CLOSE_LABEL)
+    return max(MIN_BUDGET, chunk_size - largest)
+
+
 def split_pieces(budgeted: DataFrame, overlap: int = OVERLAP) -> DataFrame:
     """Add ``pieces``, the array of content pieces of each entry.
 

@@ -52,9 +52,18 @@ def token_counts(docs: DataFrame, counter: Counter | None = None) -> DataFrame:
     )
 
 
-def token_report(docs: DataFrame, counter: Counter | None = None) -> DataFrame:
-    """Tokens per file, and in the row with ``is_total`` over all files."""
+def token_report(
+    docs: DataFrame, counter: Counter | None = None, rejects: DataFrame | None = None
+) -> DataFrame:
+    """Tokens per file, and in the row with ``is_total`` over all files.
+
+    Files that could not be read (``rejects``) are listed with 0.
+    """
     counted = token_counts(docs, counter)
+    if rejects is not None:
+        counted = counted.unionByName(
+            rejects.selectExpr("source_file", "0 as n_chars", "0L as n_tokens")
+        )
     return (
         counted.rollup("source_file")
         .agg(
@@ -223,9 +232,22 @@ def assemble_markdown(converted: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def success_rate(converted: DataFrame) -> DataFrame:
-    """How many files came through with every segment converted."""
+def success_rate(
+    converted: DataFrame, docs: DataFrame | None = None, rejects: DataFrame | None = None
+) -> DataFrame:
+    """How many files came through with every segment converted.
+
+    ``docs`` brings in files without segments, ``rejects`` those not read at all.
+    """
     files = converted.groupBy("source_file").agg(F.bool_and("ok").alias("ok"))
+    if docs is not None:
+        files = (
+            docs.select("source_file")
+            .join(files, "source_file", "left")
+            .withColumn("ok", F.coalesce("ok", F.lit(True)))
+        )
+    if rejects is not None:
+        files = files.unionByName(rejects.selectExpr("source_file", "false as ok"))
     return files.agg(
         F.count_if("ok").alias("successful"),
         F.count(F.lit(1)).alias("files"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 
+from docloom.functions.splitting import BOUNDARIES
 from docloom.functions.tokens import Counter
 from docloom.operators import chunking, documents, outline
 from docloom.shared import write_stage
@@ -22,6 +25,19 @@ def texts_to_markdown(
     return documents.assemble_markdown(converted, docs)
 
 
+def _warn_of_crawling(chunk_size: int, overlap: int, max_background: int | None) -> None:
+    """A piece may end ``reach`` characters early; if it is then no longer than the
+    overlap, the next one starts a single character later."""
+    budget = chunking.smallest_budget(chunk_size, max_background)
+    reach = max(reach for _, reach, _ in BOUNDARIES)
+    if budget <= overlap + reach:
+        warnings.warn(
+            f"{budget} characters of content next to the largest background and an overlap"
+            f" of {overlap}: long sections may fall into very many pieces",
+            stacklevel=3,
+        )
+
+
 def entries_to_pieces(
     entries: DataFrame,
     chunk_size: int = chunking.CHUNK_SIZE,
@@ -29,6 +45,7 @@ def entries_to_pieces(
     max_background: int | None = None,
 ) -> DataFrame:
     """Entries from any source (a table) -> entries with background and pieces."""
+    _warn_of_crawling(chunk_size, overlap, max_background)
     with_background = chunking.with_background(entries, chunk_size, max_background)
     return chunking.split_pieces(chunking.with_budget(with_background, chunk_size), overlap)
 
@@ -43,6 +60,7 @@ def markdown_to_pieces(
 
     One exchange brings a file's sections together; nothing else moves.
     """
+    _warn_of_crawling(chunk_size, overlap, max_background)
     sections = outline.markdown_to_sections(md_docs)
     entries = chunking.entries_with_background(sections, chunk_size, max_background)
     return chunking.split_pieces(chunking.with_budget(entries, chunk_size), overlap)

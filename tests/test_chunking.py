@@ -1,6 +1,7 @@
 """Background, budget, ids and statistics."""
 
 import random
+import warnings
 
 import pytest
 from pyspark.sql import functions as F
@@ -147,6 +148,15 @@ def test_statistics(spark):
     assert total.max_background_size == 40
 
 
+def test_small_budgets_are_warned_of(spark):
+    empty = spark.createDataFrame([], ENTRY)
+    with pytest.warns(UserWarning, match="very many pieces"):
+        stages.entries_to_pieces(empty, 500, 100)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        stages.entries_to_pieces(empty)
+
+
 def test_no_entries(spark):
     empty = spark.createDataFrame([], ENTRY)
     assert stages.entries_to_chunks(empty).count() == 0

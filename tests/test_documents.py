@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from docloom.functions.tokens import PythonCounter, token_count
 from docloom.operators import documents
-from docloom.schemas import DOC, PAGE
+from docloom.schemas import DOC, PAGE, REJECT
 
 
 def test_concat_pages(spark):
@@ -28,6 +28,9 @@ def test_token_report(spark):
     per_file = {r.source_file: r.n_tokens for r in rows if not r.is_total}
     assert per_file == {"a.txt": 2, "b.txt": 2, "c.txt": 0}
     assert [(r.n_chars, r.n_tokens) for r in rows if r.is_total] == [(5, 4)]
+    unread = spark.createDataFrame([("bad.txt", "not UTF-8")], REJECT)
+    listed = documents.token_report(docs, rejects=unread).where("not is_total").collect()
+    assert {r.source_file: r.n_tokens for r in listed} == {**per_file, "bad.txt": 0}
 
 
 def test_pandas_counter(spark):
@@ -153,6 +156,8 @@ def test_conversion_and_reassembly(spark):
     }
     rate = documents.success_rate(converted).first()
     assert (rate.successful, rate.files) == (1, 2)
+    unread = spark.createDataFrame([("worse.txt", "not UTF-8")], REJECT)
+    assert tuple(documents.success_rate(converted, docs, unread).first()) == (2, 4)
     converted.unpersist()
 
 
