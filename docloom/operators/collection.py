@@ -40,12 +40,13 @@ def collection_info(collection: DataFrame, name: str, path: str) -> DataFrame:
     )
 
 
-def chunk_rows(chunks: DataFrame) -> DataFrame:
-    """Chunks (content, metadata) -> rows (chunk_id, document, metadata); id may be null."""
+def chunk_rows(chunks: DataFrame, *kept: str) -> DataFrame:
+    """Chunks (content, metadata) -> rows (chunk_id, document, metadata, ...); id may be null."""
     return chunks.select(
         F.col("metadata.chunk_id").alias("chunk_id"),
         F.coalesce("content", F.lit("")).alias("document"),
         "metadata",
+        *kept,
     )
 
 
@@ -157,10 +158,13 @@ def collection_after(
     return kept.unionByName(added)
 
 
-def _refuse_duplicates(rows: DataFrame) -> None:
-    repeated = rows.groupBy("chunk_id").count().where("count > 1").select("chunk_id").take(5)
-    if repeated:
-        raise ValueError(f"duplicate ids in one insert: {[r.chunk_id for r in repeated]}")
+def _check_ids(rows: DataFrame) -> None:
+    """Reads the ids only, so that nothing is embedded for the check."""
+    wrong = (
+        rows.groupBy("chunk_id").count().where("count > 1 or chunk_id is null").select("chunk_id").take(5)
+    )
+    if wrong:
+        raise ValueError(f"missing or duplicate ids in one insert: {[r.chunk_id for r in wrong]}")
 
 
 def add_chunks(
@@ -169,23 +173,31 @@ def add_chunks(
     embed: Embed,
     name: str = COLLECTION_NAME,
     force: str | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
     """Insert into the collection table and return it.
 
-    The rows to add are written to a stage first: embedding is the costly step
-    and must not run again for the duplicate check. Sorting them by id lets a
-    later look-up by id skip row groups.
+    With ``order``, a unique key of ``rows`` in input order, rows without an id get
+    default ids. The rows are sorted by id within a file, so that a look-up by id
+    can skip row groups.
     """
     collection = open_collection(spark, name)
+    if order and rows.where("chunk_id is null").take(1):
+        rows = with_default_ids(rows, collection, order)
+    rows = rows.select("chunk_id", "document", "metadata")
+    _check_ids(rows if force else new_chunks(rows, collection))
+    columns = COLLECTION.fieldNames()
     if force == "replace":
-        result, mode = collection_after(rows, collection, embed, force), "overwrite"
+        after = collection_after(rows, collection, embed, force).select(*columns)
+        # the table cannot be read and overwritten in one go
+        result, mode = write_stage(after, "collection"), "overwrite"
     elif force == "ignore":
         result, mode = new_chunks(embed(rows), collection), "append"
-    else:
+    elif force is None:
         result, mode = insert_missing(rows, collection, embed), "append"
-    ordered = result.select(*COLLECTION.fieldNames()).sortWithinPartitions("chunk_id")
-    stage = write_stage(ordered, "collection")
-    _refuse_duplicates(stage)
-    stage.write.mode(mode).format("parquet").saveAsTable(name)
+    else:
+        raise ValueError(f"unknown force mode: {force!r}")
+    ordered = result.select(*columns).sortWithinPartitions("chunk_id")
+    ordered.write.mode(mode).format("parquet").saveAsTable(name)
     spark.catalog.refreshTable(name)
     return spark.table(name)

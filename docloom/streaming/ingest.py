@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from docloom.operators import collection as coll
 from docloom.sources import files
 
+INPUT_ORDER = ["input_file", "item_pos"]
+
 
 def ingest_chunk_files(
     spark: SparkSession,
@@ -33,7 +35,8 @@ def ingest_chunk_files(
     def insert(batch: DataFrame, batch_id: int) -> None:
         texts, _ = files.texts_of(batch)
         chunks, _ = files.chunks_of(texts)
-        coll.add_chunks(batch.sparkSession, coll.chunk_rows(chunks), embed, name)
+        rows = coll.chunk_rows(chunks, *INPUT_ORDER)
+        coll.add_chunks(batch.sparkSession, rows, embed, name, order=INPUT_ORDER)
 
     return (
         arrived.writeStream.foreachBatch(insert)

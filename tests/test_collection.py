@@ -121,9 +121,31 @@ def test_repeated_ids_in_one_insert_are_refused(spark):
     name = table_name()
     with pytest.raises(ValueError, match="duplicate"):
         collection.add_chunks(spark, rows(spark, ("a", "1"), ("a", "2")), EMBED, name)
+    with pytest.raises(ValueError, match="missing"):
+        collection.add_chunks(spark, rows(spark, (None, "1")), EMBED, name)
+    with pytest.raises(ValueError, match="unknown"):
+        collection.add_chunks(spark, rows(spark, ("a", "1")), EMBED, name, "other")
     assert collection.open_collection(spark, name).count() == 0
 
 
+def test_rows_without_ids_are_named_on_insert(spark):
+    name = table_name()
+    incoming = rows(spark, ("a", "r0"), (None, "r1"), ("b", "r2"), (None, "r3"))
+    after = collection.add_chunks(spark, incoming, EMBED, name, order=["document"])
+    assert content(after) == {"a": "r0", "chunk_1": "r1", "b": "r2", "chunk_3": "r3"}
+
+
+def test_an_insert_embeds_each_row_once(spark):
+    name, calls = table_name(), spark.sparkContext.accumulator(0)
+
+    def counted(texts):
+        calls.add(len(texts))
+        return lengths(texts)
+
+    collection.add_chunks(spark, rows(spark, ("a", "1"), ("b", "2")), collection.embedder(counted, 2), name)
+    assert calls.value == 2
+
+
 def test_chunk_rows(spark):
     chunks = spark.createDataFrame([(None, None)], "content string, metadata " + CHUNK_METADATA.simpleString())
     assert tuple(collection.chunk_rows(chunks).first()) == (None, "", None)
@@ -135,6 +157,7 @@ def test_incremental_ingest(spark, folder):
 
     def drop(file, *ids):
         items = [{"content": i, "metadata": {"chunk_id": i, "source_file": file}} for i in ids]
+        items += [{"content": f"unnamed in {file}"}]
         with open(os.path.join(inbox, file), "w", encoding="utf-8") as out:
             json.dump(items, out, ensure_ascii=False)
 
@@ -149,7 +172,8 @@ def test_incremental_ingest(spark, folder):
         out.write("{ nope")
     with open(os.path.join(inbox, "bytes.json"), "wb") as out:
         out.write(b"[\xff]")
-    assert run() == ["a", "é"]
+    assert run() == ["a", "chunk_2", "é"]
     drop("two.json", "a", "c")
-    assert run() == ["a", "c", "é"]
-    assert run() == ["a", "c", "é"]
+    # the second file has one accepted row before its unnamed one
+    assert run() == ["a", "c", "chunk_1", "chunk_2", "é"]
+    assert run() == ["a", "c", "chunk_1", "chunk_2", "é"]
