@@ -1,0 +1,41 @@
+"""The way from text files to search results, as the README shows it."""
+
+import os
+import uuid
+
+from docloom.operators import collection, documents, search
+from docloom.plans import stages
+from docloom.sources import files
+
+TOPICS = ["wing", "gas", "heat"]
+
+
+def embed(texts):
+    """How often each topic is named."""
+    return [[float(t.count(topic)) for topic in TOPICS] for t in texts]
+
+
+def test_from_files_to_hits(spark, folder):
+    for name, topic in [("one.txt", "wing"), ("two.txt", "gas"), ("three.txt", "heat")]:
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as out:
+            out.write(f"H Zulu {topic}\nAll about the {topic} at length.\n\nH Index\nThe {topic} is on page one.")
+    with open(os.path.join(folder, "broken.txt"), "wb") as out:
+        out.write(b"\xff")
+
+    texts, rejects = files.read_texts(spark, folder)
+    assert [r.source_file for r in rejects.collect()] == ["broken.txt"]
+    to_headings = documents.converter(lambda text: text.replace("H ", "# "))
+    md = stages.texts_to_markdown(texts, convert=to_headings)
+    chunks = stages.markdown_to_chunks(md)
+    assert sorted(r.metadata.full_path for r in chunks.collect()) == ["Zulu gas", "Zulu heat", "Zulu wing"]
+
+    name = "flow_" + uuid.uuid4().hex
+    table = collection.add_chunks(spark, collection.chunk_rows(chunks), collection.embedder(embed, 3), name)
+    queries = spark.createDataFrame(
+        [("heat?", [0.0, 0.0, 1.0]), ("wing?", [1.0, 0.0, 0.0])], "query_id string, embedding array<float>"
+    )
+    found = search.hydrate(search.nearest(queries, table, 1), table).collect()
+    assert {r.query_id: (r.source, r.path, r.distance) for r in found} == {
+        "heat?": ("three.md", "Zulu heat", 0.0),
+        "wing?": ("one.md", "Zulu wing", 0.0),
+    }
