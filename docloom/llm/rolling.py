@@ -189,3 +189,62 @@ def word_bounds(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.nda
     before = first[first > 0] - 1
     ends[before] = ~space[before]
     return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+
+
+@dataclass
+class Words:
+    """Words of some rows of a batch.
+
+    Row ``row[i]`` has the words from ``begin[i]`` up to ``end[i]``; every word has a
+    hash and its bounds in the batch's bytes.
+    """
+
+    row: np.ndarray
+    begin: np.ndarray
+    end: np.ndarray
+    hashes: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+
+
+def _hash_words(data: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, ...]:
+    start, stop = word_bounds(data, begin)
+    return mix(Rolling.of_bytes(data, 0).between(start, stop)), start, stop
+
+
+def words(column: pa.Array, size: int = ROUND_BYTES) -> Iterator[Words]:
+    """Words of a batch, some whole texts at a time.
+
+    A text of more than ``size`` bytes is hashed in slices that end at white space, so
+    that no word is cut.
+    """
+    data, bounds = buffers(column)
+    lengths = np.diff(bounds)
+    first = 0
+    while first < len(lengths):
+        lo = int(bounds[first])
+        if lengths[first] > size:
+            hi, parts, at = int(bounds[first + 1]), [], lo
+            while at < hi:
+                cut = min(hi, at + size)
+                while cut < hi and not _SPACE[data[cut]]:
+                    near = np.flatnonzero(_SPACE[data[cut : cut + size]])
+                    cut = min(hi, cut + (int(near[0]) if len(near) else size))
+                hashes, start, stop = _hash_words(data[at:cut], np.zeros(1, np.int64))
+                parts.append((hashes, start + at, stop + at))
+                at = cut
+            hashes, start, stop = (np.concatenate(x) for x in zip(*parts))
+            one = np.array([first])
+            yield Words(one, np.array([0]), np.array([len(hashes)]), hashes, start, stop)
+            first += 1
+            continue
+        last = int(np.searchsorted(bounds, lo + size, "right")) - 1
+        last = max(first + 1, min(last, len(lengths)))
+        too_long = np.flatnonzero(lengths[first:last] > size)
+        if len(too_long):
+            last = first + int(too_long[0])
+        begin = bounds[first:last] - lo
+        hashes, start, stop = _hash_words(data[lo : int(bounds[last])], begin)
+        edges = np.searchsorted(start, np.append(begin, int(bounds[last]) - lo), "left")
+        yield Words(np.arange(first, last), edges[:-1], edges[1:], hashes, start + lo, stop + lo)
+        first = last
