@@ -1,0 +1,64 @@
+import gzip
+import io
+import zlib
+
+import brute
+import pytest
+from conftest import SMALL
+
+from docloom.llm import warc
+
+
+def expected(rows):
+    leaders = {}
+    for page_id, html in rows:
+        data = (html or "").encode()
+        if len(data) >= 100 and page_id is not None:
+            leaders[data] = min(leaders.get(data, page_id), page_id)
+    out = []
+    for page_id, html in rows:
+        data = (html or "").encode()
+        leader = leaders.get(data, page_id)
+        revisit = leader is not None and leader != page_id
+        out.append((page_id, len(data), brute.sha(data), "revisit" if revisit else "response", leader if revisit else None))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    return sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in df.collect()), key=repr)
+
+
+def test_table(spark):
+    df = spark.read.parquet(f"{SMALL}/pages.parquet")
+    rows = [(r.page_id, r.html) for r in df.collect()]
+    assert result(warc.round_trip(df)) == expected(rows)
+
+
+def test_copies_nulls_and_short_payloads(spark):
+    long = "é" * 50
+    rows = [(5, long), (3, long), (3, long), (None, long), (9, long + "x"), (None, long + "x"), (1, "short"), (2, "short"), (7, None), (8, ""), (6, "\r\n\r\n" * 40), (None, "z" * 100), (None, "z" * 100), (11, "y" * 300_000)]
+    df = spark.createDataFrame([(i, f"http://a/\r\n{i}" if i != 8 else None, h, "w") for i, h in rows], "page_id long, url string, html string, payload string")
+    assert result(warc.round_trip(df)) == expected(rows)
+    records = warc.read(warc.write(warc.record_types(df), archive_bytes=500)).collect()
+    stored = {bytes(r.payload) for r in records if r.payload is not None}
+    assert stored == {(h or "").encode() for _, h in rows}
+    assert {r.url for r in records if r.page_id in (8, 9)} == {None, "http://a/%0D%0A9"}
+
+
+def test_empty_table(spark):
+    assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_members_are_plain_gzip_and_damage_is_found():
+    first = warc.member(1, "u", b"payload", brute.sha(b"payload"), None)
+    second = warc.member(2, None, b"p" * 100, brute.sha(b"p" * 100), 1)
+    assert gzip.decompress(first).startswith(b"WARC/1.1\r\nWARC-Type: response\r\n")
+    whole = list(warc.members(io.BytesIO(first + second)))
+    assert [warc.parse(r)["record_type"] for r in whole] == ["response", "revisit"]
+    with pytest.raises(warc.BrokenArchive):
+        list(warc.members(io.BytesIO(first + second[:-9])))
+    for broken in (whole[0].replace(b"payload", b"pAyload"), whole[0][:-3], whole[0] + b"x"):
+        with pytest.raises(warc.BrokenArchive):
+            warc.parse(broken)
+    with pytest.raises(warc.BrokenArchive):
+        list(warc.members(io.BytesIO(zlib.compress(b"no gzip"))))
