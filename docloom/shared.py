@@ -7,6 +7,7 @@ that each reader scans only the columns it needs.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if current is not None:
         return current
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError(f"set {_CONF} to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="docloom-")
     sc.setCheckpointDir(folder)

@@ -7,6 +7,8 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as registered
+import oracle
+from docloom.plans import queries as own
 
 TABLES = "documents embeddings pages benchmark labels conversations".split()
 
@@ -31,10 +33,12 @@ def as_rows(columns, rows):
 
 
 def test_every_query_has_a_statement():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(own.queries()) == set(oracle.oracle_sql())
+    assert set(own.queries()) <= set(registered.queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(own.queries()))
 def test_query(spark, con, name):
     df = registered.queries()[name](spark, SMALL)
     result = con.execute(registered.oracle_sql()[name])
