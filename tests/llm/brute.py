@@ -44,3 +44,31 @@ def window_dedup(docs, size=35):
         kept = " ".join(x for x, g in zip(w, gone[d]) if not g)
         out[d] = (len(w), sum(gone[d]), sha(kept.encode()))
     return out
+
+
+def shingles(text, n=5):
+    words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1)))
+
+
+def near_duplicates(docs, percent=85):
+    sets = {d: shingles(t) for d, t in docs}
+    top = {d: d for d in sets}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            x, y = sets[a], sets[b]
+            if x and y and 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
+                both = len(x & y)
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    ra, rb = find(a), find(b)
+                    top[max(ra, rb)] = min(ra, rb)
+    return {d: (len(sets[d]), find(d), find(d) == d) for d in ids}
