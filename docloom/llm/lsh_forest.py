@@ -360,5 +360,5 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that are the first of their component; repeated rows of one stay."""
-    gone = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    gone = near_duplicates(docs.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")

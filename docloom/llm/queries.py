@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from docloom.llm import bpe, suffix_dedup, warc, window_dedup
+from docloom.llm import (
+    bpe,
+    html_text,
+    line_crf,
+    lsh_forest,
+    mixing,
+    nearest,
+    quality_rules,
+    suffix_dedup,
+    warc,
+    window_dedup,
+)
 from docloom.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -21,18 +32,94 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(table(spark, sf_dir, "documents"))
+
+
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op7_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
     return bpe.digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.digests(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_warc, op8_bpe, op10_window_dedup)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_suffix_dedup,
+            op2_warc,
+            op3_mixing,
+            op4_nearest,
+            op5_html_text,
+            op6_quality_rules,
+            op7_line_crf,
+            op8_bpe,
+            op9_lsh_forest,
+            op10_window_dedup,
+        )
+    }
+
+
+#: Payloads by digest; the smallest page of each is the response.
+_OP2 = """
+with p as (
+  select page_id, coalesce(strlen(html), 0)::bigint as payload_bytes,
+    sha256(coalesce(html, '')) as payload_digest
+  from pages),
+q as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as leader
+  from p)
+select page_id, payload_bytes, payload_digest,
+  case when leader is not null and leader is distinct from page_id then 'revisit' else 'response' end as record_type,
+  case when leader is distinct from page_id then leader end as refers_to
+from q
+"""
+
+#: Windows as texts of 35 words, counted.
+_OP10 = r"""
+with d as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+s as (
+  select doc_id, unnest(range(1, len(w) - 33)) as i, w from d where len(w) >= 35),
+g as (
+  select doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) as h from s),
+r as (
+  select doc_id, i from g qualify count(*) over (partition by h) > 1),
+gone as (
+  select distinct doc_id, unnest(range(i, i + 35)) as k from r),
+words as (
+  select doc_id, unnest(w) as x, unnest(range(1, len(w) + 1)) as k from d),
+kept as (
+  select words.doc_id, string_agg(x, ' ' order by words.k) as t, count(*) as n
+  from words anti join gone on words.doc_id = gone.doc_id and words.k = gone.k group by 1)
+select d.doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+  sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": _OP2, "op10_window_dedup": _OP10}
