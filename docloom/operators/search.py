@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -15,6 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from docloom.functions import text
 from docloom.functions.vectors import similarity
+from docloom.operators.collection import Embed
+from docloom.shared import write_stage
 
 # Fixed values.
 DEFAULT_K = 5
@@ -23,25 +25,35 @@ UNKNOWN = "Unknown"
 
 # Cells of the query x row matrix computed at once: 16 MB.
 MATRIX_CELLS = 1 << 21
-# Query batches up to this size travel to every task; larger ones are joined in cells.
-SHARED_QUERY_BYTES = 64 << 20
-CELL_ROWS = 100_000
+# Queries travel to the tasks in blocks of about this size.
+BLOCK_BYTES = 32 << 20
 
 
 def nearest_single(
     vector: list[float], collection: DataFrame, k: int = DEFAULT_K, exclude_missing: bool = False
 ) -> DataFrame:
     """The ``k`` rows nearest to one vector: each task keeps its best k, then a merge."""
-    rows = _searched(collection, exclude_missing)
     ids, query = np.zeros(1, dtype=object), np.asarray([vector], dtype=np.float64)
+    if not np.isfinite(query).all():
+        raise ValueError("the query vector has components that aren't finite")
+    rows = _searched(collection, exclude_missing, len(vector))
     found = _scan_collection(ids, query, _hit_schema(T.IntegerType()), rows, k)
     return found.select("chunk_id", "distance").orderBy("distance", "chunk_id").limit(k)
 
 
-def _searched(collection: DataFrame, exclude_missing: bool) -> DataFrame:
-    """What is scanned: two columns of the rows that have a vector."""
+def _finite(vector: str) -> Column:
+    return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+
+
+def _searched(collection: DataFrame, exclude_missing: bool, width: int) -> DataFrame:
+    """What is scanned: the id and the vector of rows that can be at a distance.
+
+    Rows without a vector, of another width, or with a component that is null or not
+    finite are left out, so they can't hide the rows beside them.
+    """
     rows = collection.where("not embedding_missing") if exclude_missing else collection
-    return rows.where("embedding is not null").select("chunk_id", "embedding")
+    fits = (F.size("embedding") == width) & _finite("embedding")
+    return rows.where(F.coalesce(fits, F.lit(False))).select("chunk_id", "embedding")
 
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
@@ -60,28 +72,32 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return values.reshape(len(array), -1).astype(np.float64) if len(array) else np.zeros((0, 0))
 
 
-def _nearest_rows(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _nearest_rows(
+    queries: np.ndarray, rows: np.ndarray, squares: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray]:
     """(query, row) pairs that hold, for each query, all rows that may be its k nearest.
 
-    The matrix product rounds, so rows within its error of the k-th stay in.
+    ``squares`` are those of the rows. The matrix product rounds, so rows within its
+    error of the k-th stay in.
     """
-    squares = (queries**2).sum(1)[:, None] + (rows**2).sum(1)[None, :]
-    rough = squares - 2.0 * (queries @ rows.T)
-    slack = 1e-9 * (1.0 + squares.max())
+    own = (queries**2).sum(1)[:, None]
+    rough = own + squares[None, :] - 2.0 * (queries @ rows.T)
     if rows.shape[0] <= k:
         return np.nonzero(np.ones_like(rough, dtype=bool))
+    slack = 1e-9 * (1.0 + own + squares.max())
     limit = np.partition(rough, k - 1, axis=1)[:, k - 1 : k]
     return np.nonzero(rough <= limit + slack)
 
 
-def _best(ids: np.ndarray, queries: np.ndarray, batch: pa.RecordBatch | pa.Table, k: int) -> pd.DataFrame:
+def _best(ids: np.ndarray, queries: np.ndarray, batch: pa.RecordBatch, k: int) -> pd.DataFrame:
     rows = _matrix(batch.column("embedding"))
+    squares = (rows**2).sum(1)
     chunk_ids = np.asarray(batch.column("chunk_id").to_pylist(), dtype=object)
     step = max(1, MATRIX_CELLS // len(rows))
     found = []
     for begin in range(0, len(ids), step):
         part = queries[begin : begin + step]
-        which, row = _nearest_rows(part, rows, k)
+        which, row = _nearest_rows(part, rows, squares, k)
         # exact distances, summed from small differences, of the few pairs left
         exact = ((part[which] - rows[row]) ** 2).sum(1)
         columns = {"query_id": ids[begin + which], "chunk_id": chunk_ids[row], "distance": exact}
@@ -123,75 +139,67 @@ def nearest(
     collection: DataFrame,
     k: int = DEFAULT_K,
     exclude_missing: bool = False,
-    shared_bytes: int = SHARED_QUERY_BYTES,
-    cell_rows: int = CELL_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """(query_id, embedding) x collection -> (query_id, rank, chunk_id, distance).
 
-    The collection never moves for a batch within ``shared_bytes``: the queries
-    go to every task, which returns its best k per query, and the few hits carry
-    a broadcast hint for the look-up of their texts. A larger batch is cut into
-    cells of bounded size on both sides.
+    The collection never moves. The queries are split by a hash into blocks of about
+    ``block_bytes``; each block goes to the tasks of one scan of the collection, which
+    return their best k per query. An ordinary batch is one block of the same plan. A
+    query whose vector is null, or has a component that is null or not finite, has no
+    hits; neither has one of another width than all stored vectors.
     """
-    rows = _searched(collection, exclude_missing)
-    limit = _query_limit(queries, shared_bytes)
     schema = _hit_schema(queries.schema["query_id"].dataType)
-    fetched = queries.select("query_id", "embedding").limit(limit + 1).toArrow()
-    if fetched.num_rows <= limit:
-        ids = np.asarray(fetched.column("query_id").to_pylist(), dtype=object)
-        found = _scan_collection(ids, _matrix(fetched.column("embedding")), schema, rows, k)
-        return F.broadcast(_ranked(found, k))
-    return _ranked(_scan_cells(queries, schema, rows, k, limit, cell_rows), k)
-
+    asked = write_stage(
+        queries.where(F.coalesce(_finite("embedding"), F.lit(False))).select(
+            "query_id", "embedding", F.size("embedding").alias("width")
+        ),
+        "queries",
+    )
+    sizes = asked.where("width > 0").groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()
+    spread = F.xxhash64("query_id", "embedding")
+    scans = [queries.sparkSession.createDataFrame([], schema)]
+    for width, n in sorted((r.width, r.n) for r in sizes):
+        blocks = -(-8 * width * n // block_bytes)
+        rows = _searched(collection, exclude_missing, width)
+        for block in range(blocks):
+            mine = (F.col("width") == width) & (F.pmod(spread, F.lit(blocks)) == block)
+            fetched = asked.where(mine).select("query_id", "embedding").toArrow()
+            ids = np.asarray(fetched.column("query_id").to_pylist(), dtype=object)
+            if len(ids):
+                vectors = _matrix(fetched.column("embedding"))
+                scans.append(_scan_collection(ids, vectors, schema, rows, k))
+    return _ranked(reduce(DataFrame.union, scans[1:] or scans), k)
+
+
+def search_texts(
+    queries: DataFrame,
+    collection: DataFrame,
+    embed: Embed,
+    k: int = DEFAULT_K,
+    exclude_missing: bool = False,
+) -> DataFrame:
+    """(query_id, query) -> ranked hits, the texts being embedded as the documents were.
 
-def _query_limit(queries: DataFrame, shared_bytes: int) -> int:
-    """How many queries fit; the width is read off the first."""
-    first = queries.select(F.size("embedding").alias("dim")).first()
-    return max(1, shared_bytes // (8 * max(1, first.dim))) if first else 1
+    A query that can't be embedded is an error: its zero vector would have hits that
+    mean nothing.
+    """
+    embedded = write_stage(
+        embed(queries.select("query_id", F.col("query").alias("document"))), "query-vectors"
+    )
+    failed = embedded.where("embedding_missing").select("query_id").take(5)
+    if failed:
+        raise ValueError(f"queries without an embedding: {[r.query_id for r in failed]}")
+    return nearest(embedded, collection, k, exclude_missing)
 
 
 def _scan_collection(
     ids: np.ndarray, queries: np.ndarray, schema: T.StructType, rows: DataFrame, k: int
 ) -> DataFrame:
-    spark = rows.sparkSession
-    if not len(ids):
-        return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast((ids, queries))
+    shared = rows.sparkSession.sparkContext.broadcast((ids, queries))
     return rows.mapInArrow(partial(_scan, shared=shared, k=k, schema=to_arrow_schema(schema)), schema)
 
 
-def _scan_cells(
-    queries: DataFrame, schema: T.StructType, rows: DataFrame, k: int, limit: int, cell_rows: int
-) -> DataFrame:
-    """Every query block meets every row block in one cell, each a bounded group.
-
-    A cell returns k rows per query. Blocks follow the position, not the key, so
-    copies of a row spread over all of them.
-    """
-    query_blocks = -(-queries.count() // limit)
-    row_blocks = max(1, -(-rows.count() // cell_rows))
-
-    def spread(df: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int) -> DataFrame:
-        numbered = df.withColumn(own, F.pmod(F.monotonically_increasing_id(), F.lit(own_blocks)))
-        return numbered.withColumn(
-            other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(other_blocks - 1).cast("bigint")))
-        )
-
-    cells = spread(queries.select("query_id", "embedding"), "qb", query_blocks, "rb", row_blocks)
-    parts = spread(rows, "rb", row_blocks, "qb", query_blocks)
-
-    arrow_schema = to_arrow_schema(schema)
-
-    def meet(q: pa.Table, r: pa.Table) -> pa.Table:
-        if not q.num_rows or not r.num_rows:
-            return arrow_schema.empty_table()
-        ids = np.asarray(q.column("query_id").to_pylist(), dtype=object)
-        best = _best(ids, _matrix(q.column("embedding")), r, k)
-        return pa.Table.from_pandas(best, schema=arrow_schema, preserve_index=False)
-
-    return cells.groupBy("qb", "rb").cogroup(parts.groupBy("qb", "rb")).applyInArrow(meet, schema)
-
-
 def display_columns(document: Column, metadata: Column, distance: Column) -> list[Column]:
     return [
         F.coalesce(metadata["source_file"], F.lit(UNKNOWN)).alias("source"),
@@ -202,10 +210,7 @@ def display_columns(document: Column, metadata: Column, distance: Column) -> lis
 
 
 def hydrate(hits: DataFrame, collection: DataFrame) -> DataFrame:
-    """Ranked hits with document, metadata, preview and similarity.
-
-    Hits of a checked batch are broadcast, so the documents are scanned in place.
-    """
+    """Ranked hits with document, metadata, preview and similarity."""
     stored = collection.select("chunk_id", "document", "metadata")
     return hits.join(stored, "chunk_id").select(
         "query_id",

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions.vectors import squared_l2
-from docloom.operators import search
+from docloom.operators import collection, search
 
 VECTORS = "chunk_id string, embedding array<float>, embedding_missing boolean"
 
@@ -54,16 +54,43 @@ def test_shared_queries(spark, data):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_large_query_batches_go_by_cells(spark, data):
+@pytest.mark.parametrize("block_bytes", [1, 3 * 12 * 8, 1 << 20])
+def test_query_blocks_share_one_plan(spark, data, block_bytes):
     rows, queries = data
-    hits = search.nearest(
-        query_table(spark, queries), vector_table(spark, rows), 4, shared_bytes=3 * 12 * 8, cell_rows=100
-    )
+    hits = search.nearest(query_table(spark, queries), vector_table(spark, rows), 4, block_bytes=block_bytes)
     plan = hits._jdf.queryExecution().executedPlan().toString()
-    assert "CoGroup" in plan and "Nested" not in plan and "Cartesian" not in plan
+    assert "MapInArrow" in plan
+    assert not any(x in plan for x in ("CoGroup", "Join", "Cartesian", "BroadcastExchange"))
     assert collected(hits) == direct(queries, rows, 4)
 
 
+def test_rows_that_cannot_be_at_a_distance(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(f"c{i}", [float(i), 0.0]) for i in range(20)]
+    rows += [("n", [nan, 0.0]), ("i", [inf, 0.0]), ("s", [0.0]), ("l", [0.0, 0.0, 0.0]), ("z", None), ("y", [None, 0.0])]
+    stored = spark.createDataFrame(rows, "chunk_id string, embedding array<float>").coalesce(1)
+    asked = [(1, [0.0, 0.0]), (2, None), (3, [nan, 0.0]), (4, [0.0]), (5, []), (6, [0.0] * 5)]
+    queries = spark.createDataFrame(asked, "query_id int, embedding array<float>")
+    got = collected(search.nearest(queries, stored, 3))
+    assert got == {1: [("c0", 0.0), ("c1", 1.0), ("c10", 100.0)][:2] + [("c2", 4.0)], 4: [("s", 0.0)]}
+    with pytest.raises(ValueError):
+        search.nearest_single([nan, 0.0], stored)
+
+
+def test_search_by_text(spark):
+    def letters(texts):
+        if "fail" in texts:
+            raise RuntimeError
+        return [[float(t.count(c)) for c in "abc"] for t in texts]
+
+    embed = collection.embedder(letters, 3, call_size=2)
+    stored = embed(spark.createDataFrame([("x", "aab"), ("y", "bc"), ("z", "ccc")], "chunk_id string, document string"))
+    asked = spark.createDataFrame([(1, "baa"), (2, "cc")], "query_id int, query string")
+    assert collected(search.search_texts(asked, stored, embed, 1)) == {1: [("x", 0.0)], 2: [("z", 1.0)]}
+    with pytest.raises(ValueError, match="without an embedding"):
+        search.search_texts(spark.createDataFrame([(1, "fail")], "query_id int, query string"), stored, embed)
+
+
 def test_single_query(spark, data):
     rows, queries = data
     found = search.nearest_single(queries[0].astype(np.float32).tolist(), vector_table(spark, rows)).collect()
@@ -129,5 +156,4 @@ def test_queries_travel_and_the_collection_stays(spark, data):
     )
     hits = search.nearest(query_table(spark, queries), stored, 3)
     plan = search.hydrate(hits, stored)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "BroadcastHashJoin" in plan
-    assert "NestedLoop" not in plan and "SortMergeJoin" not in plan
+    assert "WindowGroupLimit" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
