@@ -50,15 +50,15 @@ def chunk_rows(chunks: DataFrame, *kept: str) -> DataFrame:
     )
 
 
-def new_chunks(rows: DataFrame, collection: DataFrame) -> DataFrame:
-    """Rows whose id is not stored. Rows without an id, and repeated ids, stay.
+def new_chunks(rows: DataFrame, collection: DataFrame, key: str = "chunk_id") -> DataFrame:
+    """Rows whose ``key`` is not stored. Rows without one, and repeated keys, stay.
 
-    Rows without an id get keys of their own, which no stored row has, so that
+    Rows without a key get keys of their own, which no stored row has, so that
     they do not meet in one task.
     """
     unnamed = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
-    keyed = rows.withColumn("join_key", F.coalesce("chunk_id", unnamed))
-    stored = collection.select(F.col("chunk_id").alias("join_key"))
+    keyed = rows.withColumn("join_key", F.coalesce(key, unnamed))
+    stored = collection.select(F.col(key).alias("join_key"))
     return keyed.join(stored, "join_key", "left_anti").select(*rows.columns)
 
 
@@ -102,18 +102,27 @@ def _zero_filled(df: DataFrame, columns: list[str], dim: int) -> DataFrame:
     )
 
 
-def embedder(embed: Callable[[list[str]], list[list[float]]], dim: int = EMBEDDING_DIM) -> Embed:
+def embedder(
+    embed: Callable[[list[str]], list[list[float]]], dim: int = EMBEDDING_DIM, call_size: int = 256
+) -> Embed:
     """Wrap an embedding function of a list of texts.
 
-    It is called once per Arrow batch; if that raises, once per text, and a text
-    for which it still raises gets zeros and the flag.
+    It is called for ``call_size`` texts at a time; if that raises, or doesn't return
+    one vector of ``dim`` components for each, once per text, and a text for which it
+    still fails gets zeros and the flag.
     """
 
+    def checked(texts: list[str]) -> list[list[float]]:
+        vectors = [[float(x) for x in v] for v in embed(texts)]
+        if len(vectors) != len(texts) or any(len(v) != dim for v in vectors):
+            raise ValueError("not one vector of the right width for each text")
+        return vectors
+
     def each(texts: list[str]) -> list[list[float] | None]:
         found: list[list[float] | None] = []
         for one in texts:
             try:
-                found.append(list(embed([one])[0]))
+                found.append(checked([one])[0])
             except Exception:
                 found.append(None)
         return found
@@ -121,11 +130,13 @@ def embedder(embed: Callable[[list[str]], list[list[float]]], dim: int = EMBEDDI
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            texts = batch.tolist()
-            try:
-                vectors = [list(v) for v in embed(texts)]
-            except Exception:
-                vectors = each(texts)
+            vectors: list[list[float] | None] = []
+            for begin in range(0, len(batch), call_size):
+                texts = batch.iloc[begin : begin + call_size].tolist()
+                try:
+                    vectors += checked(texts)
+                except Exception:
+                    vectors += each(texts)
             yield pd.Series(vectors, index=batch.index, dtype="object")
 
     def attach(rows: DataFrame) -> DataFrame:
@@ -144,14 +155,12 @@ def collection_after(
 ) -> DataFrame:
     """The collection after an insert.
 
-    ``None`` embeds and adds what is missing. ``"ignore"`` embeds every row, but a
-    stored row is kept. ``"replace"`` puts the incoming row in its place.
+    ``None`` and ``"ignore"`` embed and add what is missing. ``"replace"`` embeds every
+    row and puts it in the place of a stored one.
     """
     if force == "replace":
         kept, added = new_chunks(collection, rows), embed(rows)
-    elif force == "ignore":
-        kept, added = collection, new_chunks(embed(rows), collection)
-    elif force is None:
+    elif force in (None, "ignore"):
         kept, added = collection, insert_missing(rows, collection, embed)
     else:
         raise ValueError(f"unknown force mode: {force!r}")
@@ -174,29 +183,38 @@ def add_chunks(
     name: str = COLLECTION_NAME,
     force: str | None = None,
     order: list[str] | None = None,
+    key: str = "chunk_id",
 ) -> DataFrame:
     """Insert into the collection table and return it.
 
     With ``order``, a unique key of ``rows`` in input order, rows without an id get
-    default ids. The rows are sorted by id within a file, so that a look-up by id
-    can skip row groups.
+    default ids. ``key="stable_id"`` tells stored rows by that column instead, which
+    doesn't change when another file comes first: such rows are left out before any
+    are named, so an insert that runs again adds nothing. What is new is written down
+    once and checked and embedded from there. The rows are sorted by id within a file,
+    so that a look-up by id can skip row groups.
     """
+    if force not in (None, "ignore", "replace"):
+        raise ValueError(f"unknown force mode: {force!r}")
     collection = open_collection(spark, name)
+    if "stable_id" not in rows.columns:
+        rows = rows.withColumn("stable_id", F.lit(None).cast("string"))
+    if key != "chunk_id":
+        rows = write_stage(new_chunks(rows, collection, key), "insert")
     if order and rows.where("chunk_id is null").take(1):
         rows = with_default_ids(rows, collection, order)
-    rows = rows.select("chunk_id", "document", "metadata")
-    _check_ids(rows if force else new_chunks(rows, collection))
+    rows = rows.select("chunk_id", "stable_id", "document", "metadata")
+    if force != "replace":
+        rows = new_chunks(rows, collection)
+    rows = write_stage(rows, "insert")
+    _check_ids(rows)
     columns = COLLECTION.fieldNames()
     if force == "replace":
         after = collection_after(rows, collection, embed, force).select(*columns)
         # the table cannot be read and overwritten in one go
         result, mode = write_stage(after, "collection"), "overwrite"
-    elif force == "ignore":
-        result, mode = new_chunks(embed(rows), collection), "append"
-    elif force is None:
-        result, mode = insert_missing(rows, collection, embed), "append"
     else:
-        raise ValueError(f"unknown force mode: {force!r}")
+        result, mode = embed(rows), "append"
     ordered = result.select(*columns).sortWithinPartitions("chunk_id")
     ordered.write.mode(mode).format("parquet").saveAsTable(name)
     spark.catalog.refreshTable(name)

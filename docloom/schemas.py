@@ -64,6 +64,7 @@ CHUNK_JSON = T.StructType(
 COLLECTION = T.StructType(
     [
         T.StructField("chunk_id", T.StringType()),
+        T.StructField("stable_id", T.StringType()),
         T.StructField("document", T.StringType()),
         T.StructField("metadata", CHUNK_METADATA),
         T.StructField("embedding", T.ArrayType(T.FloatType())),

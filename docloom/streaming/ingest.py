@@ -7,11 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docloom.operators import collection as coll
+from docloom.schemas import REJECT
+from docloom.shared import write_stage
 from docloom.sources import files
 
 INPUT_ORDER = ["input_file", "item_pos"]
 
 
+def _add_rejects(spark: SparkSession, rejects: DataFrame, name: str) -> None:
+    if not spark.catalog.tableExists(name):
+        spark.createDataFrame([], REJECT).write.format("parquet").saveAsTable(name)
+    fresh = rejects.join(spark.table(name), ["source_file", "reason"], "left_anti")
+    write_stage(fresh, "rejects").write.mode("append").format("parquet").saveAsTable(name)
+    spark.catalog.refreshTable(name)
+
+
 def ingest_chunk_files(
     spark: SparkSession,
     path: str,
@@ -21,8 +31,10 @@ def ingest_chunk_files(
 ) -> StreamingQuery:
     """Insert the chunks of files not seen yet, then stop.
 
-    A batch that runs again after a failure finds its rows stored and adds
-    nothing, so the insert is idempotent.
+    Rows are told by file, place and content. A batch that runs again after a failure
+    finds its rows stored and adds nothing, also of rows without an id, so the insert
+    is idempotent. Files that can't be read or parsed are listed, with the reason, in
+    the table ``{name}_rejects``.
     """
     arrived = (
         spark.readStream.format("binaryFile")
@@ -33,10 +45,13 @@ def ingest_chunk_files(
     )
 
     def insert(batch: DataFrame, batch_id: int) -> None:
-        texts, _ = files.texts_of(batch)
-        chunks, _ = files.chunks_of(texts)
-        rows = coll.chunk_rows(chunks, *INPUT_ORDER)
-        coll.add_chunks(batch.sparkSession, rows, embed, name, order=INPUT_ORDER)
+        session = batch.sparkSession
+        texts, unreadable = files.texts_of(batch)
+        chunks, broken = files.chunks_of(texts)
+        parts = F.concat_ws("\0", "input_file", F.col("item_pos").cast("string"), "document")
+        rows = coll.chunk_rows(chunks, *INPUT_ORDER).withColumn("stable_id", F.sha2(parts, 256))
+        coll.add_chunks(session, rows, embed, name, order=INPUT_ORDER, key="stable_id")
+        _add_rejects(session, unreadable.unionByName(broken), f"{name}_rejects")
 
     return (
         arrived.writeStream.foreachBatch(insert)

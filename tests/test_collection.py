@@ -177,3 +177,45 @@ def test_incremental_ingest(spark, folder):
     # the second file has one accepted row before its unnamed one
     assert run() == ["a", "c", "chunk_1", "chunk_2", "é"]
     assert run() == ["a", "c", "chunk_1", "chunk_2", "é"]
+    rejected = {r.source_file: r.reason for r in spark.table(f"{name}_rejects").collect()}
+    assert set(rejected) == {"broken.json", "bytes.json"}
+
+
+def test_an_ingest_that_runs_again_adds_nothing(spark, folder):
+    name, inbox = table_name(), os.path.join(folder, "in")
+    os.mkdir(inbox)
+    with open(os.path.join(inbox, "rows.json"), "w") as out:
+        json.dump([{"content": "one"}, {"content": "two", "metadata": {"chunk_id": "t"}}, {"content": "one"}], out)
+    for progress in ("first", "lost"):  # without its progress log everything is new again
+        query = ingest_chunk_files(spark, inbox, os.path.join(folder, progress), EMBED, name)
+        assert query.awaitTermination(120)
+        spark.catalog.refreshTable(name)
+        assert sorted(content(spark.table(name))) == ["chunk_0", "chunk_2", "t"]
+
+
+def test_known_rows_are_not_embedded_again(spark):
+    name, calls = table_name(), spark.sparkContext.accumulator(0)
+
+    def counted(texts):
+        calls.add(len(texts))
+        return lengths(texts)
+
+    embed = collection.embedder(counted, 2)
+    collection.add_chunks(spark, rows(spark, ("a", "1"), ("b", "2")), embed, name)
+    assert calls.value == 2
+    for force in (None, "ignore"):
+        collection.add_chunks(spark, rows(spark, ("a", "x"), ("b", "2")), embed, name, force)
+    assert calls.value == 2
+    stable = rows(spark, ("c", "3")).withColumn("stable_id", F.lit("s3"))
+    collection.add_chunks(spark, stable, embed, name, key="stable_id")
+    collection.add_chunks(spark, stable.withColumn("chunk_id", F.lit("renumbered")), embed, name, key="stable_id")
+    assert calls.value == 3 and sorted(content(spark.table(name))) == ["a", "b", "c"]
+
+
+def test_embeddings_of_wrong_number_or_width_are_flagged(spark):
+    def odd(texts):
+        return [[1.0, 2.0][: len(t)] for t in texts][: 1 if len(texts) > 2 else None]
+
+    out = collection.embedder(odd, 2)(rows(spark, ("a", "xx"), ("b", "x"), ("c", "xxx")).coalesce(1)).collect()
+    assert {r.chunk_id: r.embedding_missing for r in out} == {"a": False, "b": True, "c": False}
+    assert all(len(r.embedding) == 2 for r in out)
