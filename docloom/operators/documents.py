@@ -235,9 +235,11 @@ def assemble_markdown(converted: DataFrame, docs: DataFrame) -> DataFrame:
 def success_rate(
     converted: DataFrame, docs: DataFrame | None = None, rejects: DataFrame | None = None
 ) -> DataFrame:
-    """How many files came through with every segment converted.
+    """How many files came through, and how many of them with every segment converted.
 
-    ``docs`` brings in files without segments, ``rejects`` those not read at all.
+    A failed conversion leaves its error in the text and does not fail its file; only
+    files that could not be read do. ``docs`` brings in files without segments,
+    ``rejects`` those not read at all.
     """
     files = converted.groupBy("source_file").agg(F.bool_and("ok").alias("ok"))
     if docs is not None:
@@ -246,9 +248,11 @@ def success_rate(
             .join(files, "source_file", "left")
             .withColumn("ok", F.coalesce("ok", F.lit(True)))
         )
+    files = files.withColumn("read", F.lit(True))
     if rejects is not None:
-        files = files.unionByName(rejects.selectExpr("source_file", "false as ok"))
+        files = files.unionByName(rejects.selectExpr("source_file", "false as ok", "false as read"))
     return files.agg(
-        F.count_if("ok").alias("successful"),
+        F.count_if("read").alias("successful"),
+        F.count_if("ok").alias("fully_converted"),
         F.count(F.lit(1)).alias("files"),
     )

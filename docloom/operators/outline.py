@@ -35,7 +35,7 @@ def parse_headings(md_docs: DataFrame) -> DataFrame:
         "source_file",
         f"""posexplode(arrays_zip(
             regexp_extract_all(md, {pattern}, 0),
-            slice(split(md, {pattern}, -1), 2, 1000000000))) as (pos, part)""",
+            slice(split(md, {pattern}, -1), 2, size(split(md, {pattern}, -1))))) as (pos, part)""",
     )
     headings = parsed.selectExpr(
         "source_file", "pos", "part['0'] as head", "concat(part['0'], part['1']) as block"

@@ -169,8 +169,10 @@ def success_rate(spark, sf):
     def convert(c):
         return F.struct(c.alias("md"), (F.instr(c, "@") == 0).alias("ok"))
 
-    segments = documents.pack_segments(views.doc_paragraphs(spark, sf), SEGMENT_TOKENS)
-    return documents.success_rate(documents.transform_segments(segments, convert))
+    docs = views.doc_paragraphs(spark, sf)
+    segments = documents.pack_segments(docs, SEGMENT_TOKENS)
+    _, rejects = files.chunks_of(views.chunk_file_texts(spark, sf))
+    return documents.success_rate(documents.transform_segments(segments, convert), docs, rejects)
 
 
 def existing_ids(spark, sf):
@@ -250,6 +252,25 @@ def knn_join(spark, sf):
     )
 
 
+def knn_join_gaps(spark, sf):
+    """Vectors of which some are null, cut short, or have a NaN."""
+    stored = views.vectors_with_gaps(spark, sf)
+    return _rounded(search.nearest(views.centroids(spark, sf), stored, search.SAMPLE_K))
+
+
+def _toy_embedding(texts):
+    """How often eight letters occur, per thousand characters."""
+    return [[1000.0 * t.count(c) / max(1, len(t)) for c in "aeinorst"] for t in texts]
+
+
+def search_text(spark, sf):
+    """Every item of the benchmark as a query against all documents."""
+    embed = collection.embedder(_toy_embedding, 8)
+    stored = write_stage(embed(views.incoming(spark, sf)), "searchable")
+    items = views.table(spark, sf, "benchmark").selectExpr("item_id as query_id", "text as query")
+    return _rounded(search.search_texts(items, stored, embed, search.SAMPLE_K))
+
+
 def search_hydrated(spark, sf):
     stored = views.searchable(spark, sf)
     hits = search.nearest(views.centroids(spark, sf), stored, search.SAMPLE_K)
@@ -301,5 +322,7 @@ def queries() -> dict[str, Query]:
         "reject_files": reject_files,
         "knn_single": knn_single,
         "knn_join": knn_join,
+        "knn_join_gaps": knn_join_gaps,
+        "search_text": search_text,
         "search_hydrated": search_hydrated,
     }

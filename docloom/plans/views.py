@@ -101,6 +101,15 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vectors_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        f"{CHUNK_ID.format('vec_id')} as chunk_id",
+        """case vec_id % 7 when 1 then null when 2 then slice(embedding, 1, 9)
+             when 3 then transform(embedding, (x, i) -> if(i = 5, cast('NaN' as float), x))
+             else embedding end as embedding""",
+    )
+
+
 def searchable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A collection of all vectors, with the document of the same id where there is one."""
     return vectors(spark, sf_dir).join(incoming(spark, sf_dir), "chunk_id", "left").select(

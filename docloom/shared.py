@@ -44,13 +44,8 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before heavy row-local work.
-
-    A file of one row group is one task. An input that already has as many
-    partitions as there are cores stays where it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Spread a test table over all cores: a file of one row group is one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

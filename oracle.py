@@ -302,7 +302,7 @@ STORED = f"""stored as (
     from documents where doc_id in (select doc_id from labels))"""
 
 
-def centroids(by: str) -> str:
+def centroids(by: str, stored: str = "true") -> str:
     return f"""
   cells as (
     select {by} as query_id, unnest(embedding)::double as x, unnest(range(len(embedding))) as i
@@ -313,11 +313,19 @@ def centroids(by: str) -> str:
   ranked as (
     select query_id, {ID.format("vec_id")} as chunk_id, vec_id,
       list_sum(list_transform(range(1, len(q) + 1), lambda i: (q[i] - embedding[i]) * (q[i] - embedding[i]))) as distance
-    from queries, embeddings),
+    from queries, embeddings where {stored}),
   hits as (
     select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from ranked)"""
 
 
+TOY = "list_value({})".format(
+    ", ".join(
+        f"1000.0::double * (len(text) - len(replace(text, '{c}', ''))) / greatest(1, len(text))"
+        for c in "aeinorst"
+    )
+)
+
+
 def oracle_sql() -> dict[str, str]:
     size, overlap = CHUNKING["chunk_size"], CHUNKING["overlap"]
     loaded = """
@@ -343,9 +351,12 @@ select regexp_replace(source_file, '\\.txt$', '.md') as source_file,
   coalesce(string_agg(s.text, {NL} || {NL} || '---' || {NL} || {NL} order by seg_idx), '') as md
 from docs left join segments s using (source_file) group by source_file""",
         "success_rate": f"""
-with recursive {segments(DOC_PARAGRAPHS)}
-select count(*) filter (ok) as successful, count(*) as files
-from (select source_file, not bool_or(contains(text, '@')) as ok from segments group by source_file)""",
+with recursive {segments(DOC_PARAGRAPHS)},
+failed as (select distinct source_file from segments where contains(text, '@')),
+unread as (select distinct conv_id from conversations where conv_id % 10 in (3, 6))
+select (select count(*) from docs) as successful,
+  (select count(*) from docs anti join failed using (source_file)) as fully_converted,
+  (select count(*) from docs) + (select count(*) from unread) as files""",
         "headings": f"with {HEADINGS} select source_file, pos, level, title, body from headings",
         "heading_normalize": f"with {NORMALIZED} select source_file, pos, heading as normalized from normalized",
         "heading_technical": f"with {NORMALIZED} select source_file, pos, is_technical from technical",
@@ -443,6 +454,18 @@ from files where conv_id % 10 in (3, 6)""",
 with {centroids("0")} select chunk_id, round(distance, 6) as distance from hits where rank <= 5""",
         "knn_join": f"""
 with {centroids("label")} select query_id, rank, chunk_id, round(distance, 6) as distance from hits where rank <= 3""",
+        "knn_join_gaps": f"""
+with {centroids("label", "vec_id % 7 not in (1, 2, 3)")}
+select query_id, rank, chunk_id, round(distance, 6) as distance from hits where rank <= 3""",
+        "search_text": f"""
+with d as (select {ID.format("doc_id")} as chunk_id, {TOY} as v from documents),
+q as (select item_id as query_id, {TOY} as v from benchmark),
+h as (
+  select query_id, chunk_id,
+    list_sum(list_transform(range(1, 9), lambda i: pow(q.v[i]::float::double - d.v[i]::float::double, 2))) as distance
+  from q, d),
+r as (select *, row_number() over (partition by query_id order by distance, chunk_id) as rank from h)
+select query_id, rank::int as rank, chunk_id, round(distance, 6) as distance from r where rank <= 3""",
         "search_hydrated": f"""
 with {centroids("label")}, {INCOMING}
 select query_id, rank, h.chunk_id, coalesce(i.source, 'Unknown') as source, coalesce(i.lang, 'Unknown') as path,

@@ -155,9 +155,9 @@ def test_conversion_and_reassembly(spark):
         "bad.md": "Error converting chunk: " + "y" * 100 + "...",
     }
     rate = documents.success_rate(converted).first()
-    assert (rate.successful, rate.files) == (1, 2)
+    assert (rate.successful, rate.fully_converted, rate.files) == (2, 1, 2)
     unread = spark.createDataFrame([("worse.txt", "not UTF-8")], REJECT)
-    assert tuple(documents.success_rate(converted, docs, unread).first()) == (2, 4)
+    assert tuple(documents.success_rate(converted, docs, unread).first()) == (3, 2, 4)
     converted.unpersist()
 
 
@@ -165,4 +165,4 @@ def test_nothing_to_convert(spark):
     empty = spark.createDataFrame([], DOC)
     converted = documents.transform_segments(documents.pack_segments(empty))
     assert documents.assemble_markdown(converted, empty).count() == 0
-    assert tuple(documents.success_rate(converted).first()) == (0, 0)
+    assert tuple(documents.success_rate(converted).first()) == (0, 0, 0)

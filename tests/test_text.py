@@ -38,11 +38,16 @@ def test_normalize_heading(spark):
 
 
 def test_clean_title(spark):
-    def expected(v):
-        return "".join(c for c in v if c.isalnum() or c in " -_").strip().replace(" ", "_")[:30]
-
-    values = _samples() + ["A (very) long title: with many words, and more", "x" * 40]
-    assert _apply(spark, text.clean_title("t"), values) == [expected(v) for v in values]
+    cases = {
+        "A (very) long title: with many words, and more": "A_very_long_title_with_many_wo",
+        "x" * 40: "x" * 30,
+        "  Flow - chart_2!  ": "Flow_-_chart_2",
+        "Été: ½ über": "Été_½_über",
+        "a\tb/c.d": "abcd",
+        "???": "",
+        "": "",
+    }
+    assert _apply(spark, text.clean_title("t"), list(cases)) == list(cases.values())
 
 
 def test_stem(spark):
