@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import rolling
-from docloom.llm.common import doc_key, stage
+from docloom.llm.common import doc_key, packed, stage, unpacked
 
 #: Length in bytes of the passages that are compared.
 PASSAGE = 100
@@ -129,7 +129,7 @@ _WORD_ROW = "trigger long, hot boolean, doc long, mark int, place int, reach int
 def _fetch_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the phrases listed with each document."""
     for batch in batches:
-        data, bounds = rolling.buffers(batch.column("data"))
+        data, bounds = rolling.buffers(unpacked(batch))
         wanted = batch.column("wanted")
         sizes = np.diff(wanted.offsets.to_numpy())
         row = np.repeat(np.arange(len(batch)), sizes)
@@ -305,7 +305,7 @@ def repeated_spans(keyed: DataFrame, hot_trigger: int = HOT_TRIGGER) -> DataFram
         )
     )
     words = stage(
-        keyed.join(wanted, ["doc", "mark"]).mapInArrow(_fetch_words, _WORD_ROW),
+        packed(keyed).join(wanted, ["doc", "mark"]).mapInArrow(_fetch_words, _WORD_ROW),
         "suffix_dictionary",
     )
     sorted_words = (
@@ -336,7 +336,7 @@ _CUT = "n_removed long, n_spans long, kept binary"
 def _cutter(whole_characters: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, bounds = rolling.buffers(batch.column("data"))
+            data, bounds = rolling.buffers(unpacked(batch))
             spans = batch.column("spans")
             removed, pieces, kept = [], [], []
             for i in range(len(batch)):
@@ -382,7 +382,7 @@ def remove_repeats(
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("data")
     joined = (
-        docs.select(F.struct(*others).alias("row"), *doc_key(text), data)
+        packed(docs.select(F.struct(*others).alias("row"), *doc_key(text), data))
         .join(spans, ["doc", "mark"], "left")
         .select("row", "data", "spans")
     )
