@@ -72,3 +72,19 @@ def near_duplicates(docs, percent=85):
                     ra, rb = find(a), find(b)
                     top[max(ra, rb)] = min(ra, rb)
     return {d: (len(sets[d]), find(d), find(d) == d) for d in ids}
+
+
+def base_statistics(text):
+    text = text or ""
+    words = WORD.findall(text)
+    grams = {}
+    for i in range(len(words) - 2):
+        grams.setdefault(tuple(words[i : i + 3]), []).append(i)
+    twice = {i + k for at in grams.values() if len(at) > 1 for i in at for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    failed = len(words) < 50 or 100 * len(twice) > 50 * len(words)
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(twice), failed)
