@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import rolling
-from docloom.llm.common import doc_key, stage
+from docloom.llm.common import doc_key, packed, stage, unpacked
 
 #: Words in a window.
 WINDOW = 35
@@ -115,7 +115,7 @@ def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         doc = batch.column("doc").to_numpy()
         mark = batch.column("mark").to_numpy().astype(np.int64)
         starts = batch.column("starts")
-        for w in rolling.words(batch.column("data")):
+        for w in rolling.words(unpacked(batch)):
             low, high = rolling.Rolling(w.hashes, 0), rolling.Rolling(w.hashes, 1)
             rows, places, begins = [], [], []
             for row, begin, end in zip(w.row, w.begin, w.end):
@@ -178,7 +178,7 @@ def repeated_starts(keyed: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("first", "last")).alias("starts"))
     )
     windows = stage(
-        keyed.join(listed, ["doc", "mark"]).mapInArrow(_open_windows, _WINDOW_ROW), "window_open"
+        packed(keyed).join(listed, ["doc", "mark"]).mapInArrow(_open_windows, _WINDOW_ROW), "window_open"
     )
     twice = windows.groupBy("low", "high").agg(_apart()).where("apart").drop("apart")
     found = windows.join(twice, ["low", "high"]).select(
@@ -192,10 +192,11 @@ _CUT = "n_words long, n_removed long, kept binary"
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, _ = rolling.buffers(batch.column("data"))
+        texts = unpacked(batch)
+        data, _ = rolling.buffers(texts)
         starts = batch.column("starts")
         total, removed, kept = [], [], []
-        for w in rolling.words(batch.column("data")):
+        for w in rolling.words(texts):
             for row, begin, end in zip(w.row, w.begin, w.end):
                 listed = starts[int(row)]
                 left = np.arange(begin, end)
@@ -246,7 +247,7 @@ def remove_windows(docs: DataFrame, text: str = "text") -> DataFrame:
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("data")
     joined = (
-        docs.select(F.struct(*others).alias("row"), *doc_key(text), data)
+        packed(docs.select(F.struct(*others).alias("row"), *doc_key(text), data))
         .join(starts, ["doc", "mark"], "left")
         .select("row", "data", "starts")
     )
