@@ -15,9 +15,9 @@ What moves through the cluster follows from that:
    more than once;
 2. of those, triggers with a single dictionary word are settled by their first place;
 3. of the others each distinct word is fetched once, and the suffixes of the words of
-   one trigger are sorted side by side. A trigger with more occurrences than
-   ``HOT_TRIGGER`` has its suffixes hashed and aggregated over all tasks instead, so no
-   task ever holds an unbounded group.
+   one trigger are sorted side by side. A trigger with more than ``HOT_WORDS`` different
+   words has its suffixes hashed and aggregated over all tasks instead, so no task ever
+   holds an unbounded group.
 
 Definitions. Null text counts as empty, texts under 100 bytes lose nothing. Documents
 are ordered by id, null first. Rows with equal id and equal text are the same document
@@ -42,8 +42,9 @@ from docloom.llm.common import doc_key, packed, stage, unpacked
 PASSAGE = 100
 #: Length in bytes of a trigger.
 TRIGGER = 24
-#: Occurrences of a trigger beyond which its words are compared over all tasks.
-HOT_TRIGGER = 2000
+#: Words of a trigger beyond which they are compared over all tasks. Up to there one task
+#: sorts their suffixes, at most 77 of each, in some tens of megabytes.
+HOT_WORDS = 5000
 
 _SHIFT = 128  # above the distance of a trigger from any start of its phrase
 
@@ -219,7 +220,7 @@ def _later_suffixes(group: pa.RecordBatch) -> pa.RecordBatch:
 def _sort_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows arrive by trigger; a trigger that a batch may cut waits for the next one.
 
-    A trigger has at most ``HOT_TRIGGER`` rows here, so what waits is bounded.
+    A trigger has at most ``HOT_WORDS`` rows here, so what waits is bounded.
     """
     rest: pa.Table | None = None
     for batch in batches:
@@ -257,7 +258,7 @@ def _spread_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def repeated_spans(keyed: DataFrame, hot_trigger: int = HOT_TRIGGER) -> DataFrame:
+def repeated_spans(keyed: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
     """Stretches (doc, mark, start, end) of all passages that also start earlier.
 
     Stretches may overlap; together they are exactly the bytes to remove.
@@ -277,7 +278,6 @@ def repeated_spans(keyed: DataFrame, hot_trigger: int = HOT_TRIGGER) -> DataFram
             "trigger",
             "first",
             (F.col("word0") != F.col("word1")).alias("several"),
-            (F.col("times") > hot_trigger).alias("hot"),
         )
     )
     again = stage(
@@ -293,12 +293,20 @@ def repeated_spans(keyed: DataFrame, hot_trigger: int = HOT_TRIGGER) -> DataFram
     firsts = several.groupBy("trigger", "word").agg(F.min(place).alias("first"))
     known = stage(
         several.join(firsts, ["trigger", "word"])
-        .select("trigger", "doc", "at", "reach", "hot", (place == F.col("first")).alias("leads")),
+        .select("trigger", "doc", "at", "reach", (place == F.col("first")).alias("leads")),
         "suffix_words",
     )
     mark, spot = _place("at")
+    leads = known.where("leads")
+    hot = (
+        leads.groupBy("trigger")
+        .agg(F.count(F.lit(1)).alias("words"))
+        .where(F.col("words") > hot_words)
+        .select("trigger", F.lit(True).alias("many"))
+    )
     wanted = (
-        known.where("leads")
+        leads.join(hot, "trigger", "left")
+        .withColumn("hot", F.coalesce("many", F.lit(False)))
         .groupBy("doc", mark.alias("mark"))
         .agg(
             F.collect_list(F.struct("trigger", "hot", spot.alias("place"), "reach")).alias("wanted")
@@ -364,7 +372,7 @@ def _cutter(whole_characters: bool):
 def remove_repeats(
     docs: DataFrame,
     text: str = "text",
-    hot_trigger: int = HOT_TRIGGER,
+    hot_words: int = HOT_WORDS,
     whole_characters: bool = False,
 ) -> DataFrame:
     """Replace ``text`` by ``n_removed``, ``n_spans`` and ``kept`` (binary) in every row.
@@ -375,7 +383,7 @@ def remove_repeats(
     docs = docs.drop("n_removed", "n_spans", "kept")
     keyed = _keyed(docs, text)
     spans = (
-        repeated_spans(keyed, hot_trigger)
+        repeated_spans(keyed, hot_words)
         .groupBy("doc", "mark")
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )

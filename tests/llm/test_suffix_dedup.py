@@ -31,7 +31,7 @@ def test_random_texts(spark, hot):
     docs = corpus(hot)
     expected = {k: (v[0], v[1], v[2], v[3]) for k, v in brute.suffix_dedup(docs).items()}
     df = frame(spark, docs)
-    got = suffix_dedup.remove_repeats(df, hot_trigger=hot).collect()
+    got = suffix_dedup.remove_repeats(df, hot_words=hot).collect()
     assert {r.doc_id: (r.n_removed, r.n_spans, brute.sha(bytes(r.kept))) for r in got} == {
         k: v[1:] for k, v in expected.items()
     }
