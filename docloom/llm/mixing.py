@@ -104,14 +104,16 @@ def _slots(sources: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("ends", "place"))).alias("bounds"),
         F.max("ends").alias("all_slots"),
     )
-    # one row a shard; the draws are counted before they are shuffled
+    # one row a shard; the draws are counted before they are shuffled. Few rows become
+    # many here, so they are spread first, over a number that Spark doesn't reduce.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     count = F.ceil(F.coalesce("all_slots", F.lit(0)) / SHARD)
     shards = bounds.where("all_slots > 0").select(
         "bounds", "all_slots", F.explode(F.sequence(F.lit(0).cast("long"), count - 1)).alias("shard")
     )
     first = F.col("shard") * SHARD
     in_shard = F.least(F.lit(SHARD).cast("long"), F.col("all_slots") - first)
-    draw = shards.repartition("shard").select(
+    draw = shards.repartition(tasks, "shard").select(
         "bounds", "all_slots", "shard", F.explode(F.sequence(first, first + in_shard - 1)).alias("slot")
     )
     drawn = F.pmod(_hash("draw", SEED, F.col("slot")), F.col("all_slots"))
@@ -133,7 +135,8 @@ def _slots(sources: DataFrame) -> DataFrame:
     missing = plan.join(totals, "place", "left").select(
         *plan.columns, F.coalesce("start", F.lit(0)).alias("start"), F.col("slots").alias("stop")
     )
-    slots = drawn_slots.union(missing).where("start < stop").select(
+    filled = drawn_slots.union(missing).where("start < stop")
+    slots = filled.repartition(tasks, "place", "start").select(
         *plan.columns, F.explode(F.sequence("start", F.col("stop") - 1)).alias("slot")
     )
     pass_, within = F.floor(F.col("slot") / F.col("blocks")), F.col("slot") % F.col("blocks")
@@ -180,7 +183,8 @@ def mix(docs: DataFrame, text: str = "text") -> DataFrame:
     overlap = F.greatest(F.least(stop, F.coalesce("words", F.lit(0))) - first, F.lit(0))
     columns = ["doc_id", "doc", "mark", "size", "source", "source_size", "target"]
     return (
-        pieces.join(_slots(sources), ["place", "block"], "left")
+        # the slots grow with the input, which their estimated size doesn't show
+        pieces.join(_slots(sources).hint("merge"), ["place", "block"], "left")
         .groupBy("running_start", *columns)
         .agg(F.sum(F.when(F.col("size") > 0, overlap).otherwise(0)).cast("long").alias("taken"))
         .select(*columns, "taken")
