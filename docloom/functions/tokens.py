@@ -26,26 +26,11 @@ class PythonCounter:
             return 0
 
     def __call__(self, texts: Column) -> Column:
-        return self._udf(self.of_text, T.LongType())(texts)
-
-    def of_parts(self, parts: Column) -> Column:
-        """array<string> -> array<bigint>"""
-        return self._udf(lambda row: [self.of_text(t) for t in row], T.ArrayType(T.LongType()))(parts)
-
-    def of_lists(self, lists: Column) -> Column:
-        """array<array<string>> -> array<array<bigint>>"""
-        return self._udf(
-            lambda row: [[self.of_text(t) for t in parts] for parts in row],
-            T.ArrayType(T.ArrayType(T.LongType())),
-        )(lists)
-
-    @staticmethod
-    def _udf(of_row: Callable, returns: T.DataType) -> Callable[[Column], Column]:
-        @F.pandas_udf(returns)
+        @F.pandas_udf(T.LongType())
         def run(rows: pd.Series) -> pd.Series:
-            return pd.Series([of_row(row) for row in rows], index=rows.index)
+            return pd.Series([self.of_text(t) for t in rows], index=rows.index, dtype="int64")
 
-        return run
+        return run(texts)
 
 
 # Maps a text column to a count column: a built-in expression or a PythonCounter.
@@ -60,18 +45,8 @@ def token_count(c: Column | str, counter: Counter | None = None) -> Column:
 
 
 def count_parts(parts: Column, counter: Counter | None = None) -> Column:
-    if isinstance(counter, PythonCounter):
-        return counter.of_parts(parts)
     return F.transform(parts, lambda p: token_count(p, counter))
 
 
 def count_lists(lists: Column, counter: Counter | None = None) -> Column:
-    if isinstance(counter, PythonCounter):
-        return counter.of_lists(lists)
     return F.transform(lists, lambda parts: count_parts(parts, counter))
-
-
-def separator_count(separator: str, counter: Counter | None = None) -> Column:
-    if isinstance(counter, PythonCounter):
-        return F.lit(counter.of_text(separator)).cast("bigint")
-    return token_count(F.lit(separator), counter)

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from docloom.functions import text
 from docloom.functions.tokens import (
     Counter,
+    PythonCounter,
     count_lists,
     count_parts,
-    separator_count,
     token_count,
 )
 
@@ -87,7 +87,7 @@ def _packed(
     items: Column,
     done: Column,
     separator: str,
-    joint: Column,
+    counter: Counter | None,
     max_tokens: int,
     oversized: Callable[[Column, Column], Column],
     finish: Callable[[Column], Column],
@@ -96,9 +96,11 @@ def _packed(
 
     The state holds the finished segments, the parts of the open segment and its
     tokens. Leading empty parts never open a segment. ``oversized`` gives the
-    state after a too large part that meets no open segment. The parts are joined
-    once, when their segment closes.
+    state after a too large part that meets no open segment. The default count adds up,
+    so the parts are joined once, when their segment closes; another counter gets the
+    joined text of every segment that is tried.
     """
+    joint = token_count(F.lit(separator))
 
     def opened(done: Column, item: Column) -> Column:
         part = item["part"]
@@ -106,10 +108,13 @@ def _packed(
         return _state(done, open_, item["tokens"])
 
     def step(acc: Column, item: Column) -> Column:
-        longer = acc["tokens"] + joint + item["tokens"]
+        extended = F.concat(acc["open"], F.array(item["part"]))
+        if counter is None:
+            longer = acc["tokens"] + joint + item["tokens"]
+        else:
+            longer = token_count(F.array_join(extended, separator), counter)
         none_open = F.size(acc["open"]) == 0
         closed = F.concat(acc["done"], F.array(text.strip(F.array_join(acc["open"], separator))))
-        extended = F.concat(acc["open"], F.array(item["part"]))
         return (
             F.when(none_open & (item["tokens"] <= max_tokens), opened(acc["done"], item))
             .when(none_open, oversized(acc["done"], item))
@@ -120,16 +125,52 @@ def _packed(
     return F.aggregate(items, _state(done, _no_texts(), F.lit(0).cast("bigint")), step, finish)
 
 
+def _python_segments(counter: PythonCounter, max_tokens: int) -> Callable[[Column], Column]:
+    """The fold for a counter that only Python can run: one call a part."""
+
+    def pack(whole: str) -> list[str]:
+        done: list[str] = []
+        held = ""
+
+        def fold(parts: list[str], separator: str, oversized: Callable[[str], None]) -> None:
+            nonlocal held
+            for part in parts:
+                longer = separator.join((held, part)) if held else part
+                if counter.of_text(longer) <= max_tokens:
+                    held = longer
+                    continue
+                if not held:
+                    oversized(part)
+                    continue
+                done.append(held.strip())
+                held = part
+
+        def into_sentences(paragraph: str) -> None:
+            fold(paragraph.split(SENTENCE_SEPARATOR), SENTENCE_SEPARATOR, lambda s: done.append(s.strip()))
+
+        fold(whole.split(PARAGRAPH_SEPARATOR), PARAGRAPH_SEPARATOR, into_sentences)
+        return [*done, held.strip()] if held else done
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else pack(t) for t in texts], index=texts.index, dtype=object)
+
+    return run
+
+
 def pack_segments(
     docs: DataFrame, max_tokens: int = MAX_TOKENS, counter: Counter | None = None
 ) -> DataFrame:
     """(source_file, text) -> (source_file, seg_idx, text), segments of whole paragraphs.
 
     A paragraph that is too large is cut into sentences only while no segment is
-    open; otherwise it becomes a segment of its own. A segment's tokens are the
-    sum over its parts and separators. Runs inside each document's row, without
+    open; otherwise it becomes a segment of its own. The tokens of a segment are those
+    of its joined text, whatever the counter. Runs inside each document's row, without
     any exchange.
     """
+    if isinstance(counter, PythonCounter):
+        segments = _python_segments(counter, max_tokens)(F.col("text"))
+        return docs.select("source_file", F.posexplode(segments).alias("seg_idx", "text"))
     parts = docs.select("source_file", F.split("text", PARAGRAPH_SEPARATOR, -1).alias("part"))
     counted = parts.withColumn("tokens", count_parts(F.col("part"), counter))
     # only a paragraph that is too large is taken apart
@@ -160,7 +201,7 @@ def pack_segments(
             sentences,
             done,
             SENTENCE_SEPARATOR,
-            separator_count(SENTENCE_SEPARATOR, counter),
+            counter,
             max_tokens,
             sentence_alone,
             as_one_part,
@@ -174,7 +215,7 @@ def pack_segments(
         F.arrays_zip("part", "tokens", "sentence", "sentence_tokens"),
         _no_texts(),
         PARAGRAPH_SEPARATOR,
-        separator_count(PARAGRAPH_SEPARATOR, counter),
+        counter,
         max_tokens,
         into_sentences,
         close_last,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,8 @@ TEXT_GLOB = "*.txt"
 MARKDOWN_GLOB = "*.md"
 JSON_GLOB = "*.json"
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
 
 def _binary(spark: SparkSession, path: str, glob: str, recursive: bool = False) -> DataFrame:
     return (
@@ -30,13 +33,33 @@ def _binary(spark: SparkSession, path: str, glob: str, recursive: bool = False)
     )
 
 
-def _file_name() -> Column:
-    return F.col("_metadata.file_name").alias("source_file")
+def _file_name(path: str, recursive: bool = False) -> Column:
+    """A file's own name; with subfolders its path below the folder, or else the whole
+    path, so that files of the same name stay apart."""
+    if not recursive:
+        return F.col("_metadata.file_name").alias("source_file")
+    root, whole = _root(path), F.regexp_replace("path", _SCHEME, "")
+    at = F.instr(whole, root)
+    below = F.substr(whole, at + F.lit(len(root)))
+    return F.when(at > 0, below).otherwise(whole).alias("source_file")
+
+
+def _root(path: str) -> str:
+    return re.sub(_SCHEME, "", path).rstrip("/") + "/"
+
+
+def _listed_name(file: str, path: str, recursive: bool) -> str:
+    """``_file_name`` of a file in the scan's index."""
+    whole = re.sub(_SCHEME, "", unquote(file))
+    if not recursive:
+        return whole.rsplit("/", 1)[-1]
+    _, root, below = whole.partition(_root(path))
+    return below if root else whole
 
 
 def list_sources(spark: SparkSession, path: str, glob: str = PDF_GLOB) -> DataFrame:
     """Files of one folder, not its subfolders; their bytes are not read."""
-    return _binary(spark, path, glob).select(_file_name(), "path", "length")
+    return _binary(spark, path, glob).select(_file_name(path), "path", "length")
 
 
 def read_texts(
@@ -52,10 +75,10 @@ def read_texts(
     names in the scan's file index, which is on the driver; a folder of many
     millions of files is better read without.
     """
-    files = _binary(spark, path, glob, recursive).select(_file_name(), "content")
+    files = _binary(spark, path, glob, recursive).select(_file_name(path, recursive), "content")
     good, rejects = texts_of(files)
     if include_empty:
-        names = [(unquote(f.rsplit("/", 1)[-1]),) for f in files.inputFiles()]
+        names = [(_listed_name(f, path, recursive),) for f in files.inputFiles()]
         listed = spark.createDataFrame(names, "source_file string")
         empty = listed.join(files.select("source_file"), "source_file", "left_anti")
         good = good.unionByName(empty.withColumn("text", F.lit("")))
@@ -80,14 +103,23 @@ def read_markdown(
 def parse_json_arrays(docs: DataFrame, element: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(source_file, text) -> (source_file, items) of files that hold an array of objects.
 
-    A lone object would parse as an array of one, hence the test for the bracket.
+    A lone object would parse as an array of one, hence the test for the bracket. The
+    parser stops behind the array and doesn't see what follows, hence the frame: in an
+    array of the text and an element that no text can hold, its own hash, there must be
+    these two.
     """
+    end = F.sha2("text", 256)
+    framed = F.from_json(
+        F.concat(F.lit("["), "text", F.lit(',"'), end, F.lit('"]')), "array<string>", STRICT_JSON
+    )
+    alone = (F.size(framed) == 2) & (F.get(framed, F.lit(1)) == end)
     parsed = docs.select(
         "source_file",
         F.startswith(text.strip("text"), F.lit("[")).alias("is_array"),
         F.from_json("text", T.ArrayType(element), STRICT_JSON).alias("items"),
+        F.coalesce(alone, F.lit(False)).alias("alone"),
     )
-    reason = F.when(F.col("items").isNull(), F.lit("not JSON")).when(
+    reason = F.when(F.col("items").isNull() | ~F.col("alone"), F.lit("not JSON")).when(
         ~F.col("is_array"), F.lit("not an array")
     )
     judged = parsed.withColumn("reason", reason)
@@ -116,9 +148,10 @@ def entries_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_entries(
-    spark: SparkSession, path: str, recursive: bool = False
+    spark: SparkSession, path: str, recursive: bool = False, include_empty: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    docs, unreadable = read_texts(spark, path, JSON_GLOB, recursive, include_empty=False)
+    """All entries of all JSON files of a folder, and the files left out, empty ones too."""
+    docs, unreadable = read_texts(spark, path, JSON_GLOB, recursive, include_empty)
     entries, rejects = entries_of(docs)
     return entries, unreadable.unionByName(rejects)
 
@@ -133,10 +166,10 @@ def chunks_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def load_chunks(
-    spark: SparkSession, path: str, recursive: bool = False
+    spark: SparkSession, path: str, recursive: bool = False, include_empty: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """All chunks of all JSON files of a folder, and the files left out."""
-    docs, unreadable = read_texts(spark, path, JSON_GLOB, recursive, include_empty=False)
+    """All chunks of all JSON files of a folder, and the files left out, empty ones too."""
+    docs, unreadable = read_texts(spark, path, JSON_GLOB, recursive, include_empty)
     chunks, rejects = chunks_of(docs)
     return chunks, unreadable.unionByName(rejects)
 
@@ -187,16 +220,16 @@ def write_files(files: DataFrame, path: str) -> None:
     """(output_name, text) -> one folder per name, holding the text in one part file.
 
     The part files carry the output name's suffix only in the folder name, so
-    read them back with ``read_file_folders``.
+    read them back with ``read_file_folders``, which takes off the line end that the
+    writer puts behind a text. Names are expected to be distinct.
     """
-    files.write.mode("errorifexists").partitionBy("output_name").option("lineSep", "\x00").text(path)
+    files.write.mode("errorifexists").partitionBy("output_name").option("lineSep", "\n").text(path)
 
 
 def read_file_folders(spark: SparkSession, path: str) -> DataFrame:
     """Read what ``write_files`` wrote, as (source_file, text)."""
     return (
-        spark.read.option("lineSep", "\x00")
-        .schema("value string, output_name string")
-        .text(path)
-        .select(F.col("output_name").alias("source_file"), F.col("value").alias("text"))
+        spark.read.schema("value string, output_name string")
+        .text(path, wholetext=True)
+        .selectExpr("output_name as source_file", "left(value, length(value) - 1) as text")
     )

@@ -47,7 +47,7 @@ def count(text):
     return len(re.findall(r"[^\W_]|_", re.sub(r"\w+", "w", text))) + len(re.findall(r"[^\w\s]", text))
 
 
-def plain_segments(text, limit):
+def plain_segments(text, limit, count=count):
     """Packing on whole texts, each candidate counted anew."""
     out, held = [], ""
 
@@ -129,6 +129,21 @@ def test_python_counter_packs_alike(spark, limit):
     assert rows(PythonCounter(count)) == rows(None)
 
 
+@pytest.mark.parametrize("limit", [1, 2, 6])
+def test_counts_that_do_not_add_up(spark, limit):
+    """Four characters a token: parts of under four count nothing by themselves."""
+    rnd = random.Random(limit)
+    texts = ["a b\n\n" * 20, *[random_text(rnd) for _ in range(150)]]
+    docs = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], DOC)
+    quarter = PythonCounter(lambda t: len(t) // 4)
+    for counter in (quarter, lambda c: F.floor(F.length(c) / 4)):
+        got = {}
+        for r in documents.pack_segments(docs, limit, counter).orderBy("seg_idx").collect():
+            got.setdefault(int(r.source_file), []).append(r.text)
+        for i, text in enumerate(texts):
+            assert got.get(i, []) == plain_segments(text, limit, lambda t: len(t) // 4), repr(text)
+
+
 def test_failing_counter_counts_nothing(spark):
     def fail(text):
         raise RuntimeError("no service")

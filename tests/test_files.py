@@ -74,6 +74,42 @@ def test_load_chunks(spark, folder):
     assert names(rejects) == ["lone.json", "nonsense.json"]
 
 
+def test_trailing_data_and_empty_files(spark, folder):
+    item = json.dumps([{"content": "a", "metadata": {}}])
+    put(folder, "good.json", f" {item}\n")
+    for i, bad in enumerate([f"{item} oops", f"{item}] oops", f"{item},{item}", f'{item}, "x"]', "", " \n"]):
+        put(folder, f"bad{i}.json", bad)
+    chunks, rejects = files.load_chunks(spark, folder)
+    assert [r.input_file for r in chunks.collect()] == ["good.json"]
+    assert {tuple(r) for r in rejects.collect()} == {(f"bad{i}.json", "not JSON") for i in range(6)}
+
+
+def test_same_name_in_subfolders(spark, folder):
+    for name in ("a b.md", "x/a b.md", "x/y/a b.md", "y/a b.md"):
+        put(folder, name, f"# {name}")
+    put(folder, "z/empty.md", "")
+    for path in (folder, f"{folder}/", f"file://{folder}"):
+        docs, _ = files.read_markdown(spark, path, recursive=True)
+        assert {r.source_file: r.md for r in docs.collect()} == {
+            "a b.md": "# a b.md",
+            "x/a b.md": "# x/a b.md",
+            "x/y/a b.md": "# x/y/a b.md",
+            "y/a b.md": "# y/a b.md",
+            "z/empty.md": "",
+        }
+    # a pattern has no folder of its own: whole paths
+    docs, _ = files.read_markdown(spark, f"{folder}/?", recursive=True)
+    assert names(docs) == [f"{folder}/{x}" for x in ("x/a b.md", "x/y/a b.md", "y/a b.md", "z/empty.md")]
+
+
+def test_texts_with_any_characters_come_back(spark, folder):
+    texts = ["one\x00two", "\n", "a\n", "", "a\r\nb\r", "é\x00\n\x00", " x "]
+    docs = spark.createDataFrame([(f"d{i}/x.pdf", t) for i, t in enumerate(texts)], "source_file string, text string")
+    files.write_files(files.text_files(docs), f"{folder}/texts")
+    back = {r.source_file: r.text for r in files.read_file_folders(spark, f"{folder}/texts").collect()}
+    assert back == {f"d{i}/x.txt": t for i, t in enumerate(texts)}
+
+
 def test_text_and_markdown_files(spark, folder):
     docs = spark.createDataFrame([("a.pdf", "one\n\ntwo"), ("b.pdf", "")], "source_file string, text string")
     files.write_files(files.text_files(docs), f"{folder}/texts")
