@@ -154,11 +154,14 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 def repeated_starts(keyed: DataFrame) -> DataFrame:
     """Ranges (doc, mark, first, last) of the starts of all windows that occur again."""
     anchors = keyed.mapInArrow(_anchors, _ANCHOR)
+    # all minima, then all maxima: those of a single row are one repeat to the shuffle's
+    # compression
+    ends = ("doc", "at", "around")
     repeated = (
         anchors.groupBy("core")
-        .agg(_apart(), (F.min("around") != F.max("around")).alias("several"))
-        .where("apart")
-        .drop("apart")
+        .agg(*[F.min(c).alias(f"{c}0") for c in ends], *[F.max(c).alias(f"{c}1") for c in ends])
+        .where("doc0 <> doc1 or at0 <> at1")
+        .selectExpr("core", "around0 <> around1 as several")
     )
     again = stage(anchors.join(repeated, "core"), "window_again")
     several = again.where("several")
