@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import splitting, text
@@ -163,15 +163,22 @@ def split_pieces(budgeted: DataFrame, overlap: int = OVERLAP) -> DataFrame:
 def number_entries(with_pieces: DataFrame) -> DataFrame:
     """Add ``first_number``: how many chunks all earlier entries have, over all files.
 
-    The order is (source_file, entry_pos). ``with_pieces`` is read twice; hand in
-    a table, of which the numbering then reads the keys and piece counts only.
+    The order is (source_file, entry_pos). ``with_pieces`` is read twice; hand in a
+    table in buckets of ``source_file``. Then only one row per file moves: its count,
+    and the number of chunks of all files before it.
     """
-    keys = ["source_file", "entry_pos"]
-    counts = with_pieces.select(*keys, F.size("pieces").cast("bigint").alias("n_pieces"))
-    starts = running_start(counts, keys, "n_pieces").select(
-        *keys, F.col("running_start").alias("first_number")
+    n_pieces = F.sum(F.size("pieces"))
+    counts = with_pieces.groupBy("source_file").agg(n_pieces.alias("n_pieces"))
+    starts = running_start(counts, ["source_file"], "n_pieces").select(
+        "source_file", F.col("running_start").alias("file_start")
+    )
+    before = (
+        Window.partitionBy("source_file").orderBy("entry_pos").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    in_file = with_pieces.withColumn("in_file", F.coalesce(n_pieces.over(before), F.lit(0)))
+    return in_file.join(starts, "source_file").select(
+        *with_pieces.columns, F.expr("file_start + in_file").alias("first_number")
     )
-    return with_pieces.join(starts, keys)
 
 
 def chunk_texts(with_pieces: DataFrame, *carried: str) -> DataFrame:

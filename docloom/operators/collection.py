@@ -1,7 +1,9 @@
-"""The vector collection: rows (chunk_id, document, metadata, embedding, embedding_missing)."""
+"""The vector collection: rows (chunk_id, stable_id, document, metadata, metadata_json, embedding,
+embedding_missing)."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -22,7 +24,12 @@ Embed = Callable[[DataFrame], DataFrame]
 
 
 def open_collection(spark: SparkSession, name: str = COLLECTION_NAME) -> DataFrame:
-    """The collection table, created empty if it does not exist."""
+    """The collection table, created empty if it does not exist.
+
+    If a replacement was broken off between its renames, the table gets its name back.
+    """
+    if not spark.catalog.tableExists(name) and spark.catalog.tableExists(f"{name}__old"):
+        spark.sql(f"alter table {name}__old rename to {name}")
     if not spark.catalog.tableExists(name):
         spark.createDataFrame([], COLLECTION).write.format("parquet").saveAsTable(name)
     return spark.table(name)
@@ -176,6 +183,18 @@ def _check_ids(rows: DataFrame) -> None:
         raise ValueError(f"missing or duplicate ids in one insert: {[r.chunk_id for r in wrong]}")
 
 
+def _swap(rows: DataFrame, name: str) -> None:
+    """Put ``rows`` in the place of a table. They are written beside it and take over its
+    name, so that a write that fails leaves the old table as it was."""
+    spark = rows.sparkSession
+    new, old = f"{name}__{uuid.uuid4().hex}", f"{name}__old"
+    rows.write.format("parquet").saveAsTable(new)
+    spark.sql(f"drop table if exists {old}")
+    spark.sql(f"alter table {name} rename to {old}")
+    spark.sql(f"alter table {new} rename to {name}")
+    spark.sql(f"drop table {old}")
+
+
 def add_chunks(
     spark: SparkSession,
     rows: DataFrame,
@@ -197,25 +216,23 @@ def add_chunks(
     if force not in (None, "ignore", "replace"):
         raise ValueError(f"unknown force mode: {force!r}")
     collection = open_collection(spark, name)
-    if "stable_id" not in rows.columns:
-        rows = rows.withColumn("stable_id", F.lit(None).cast("string"))
+    for column in {"stable_id", "metadata_json"}.difference(rows.columns):
+        rows = rows.withColumn(column, F.lit(None).cast("string"))
     if key != "chunk_id":
         rows = write_stage(new_chunks(rows, collection, key), "insert")
     if order and rows.where("chunk_id is null").take(1):
         rows = with_default_ids(rows, collection, order)
-    rows = rows.select("chunk_id", "stable_id", "document", "metadata")
+    rows = rows.select("chunk_id", "stable_id", "document", "metadata", "metadata_json")
     if force != "replace":
         rows = new_chunks(rows, collection)
     rows = write_stage(rows, "insert")
     _check_ids(rows)
     columns = COLLECTION.fieldNames()
     if force == "replace":
-        after = collection_after(rows, collection, embed, force).select(*columns)
-        # the table cannot be read and overwritten in one go
-        result, mode = write_stage(after, "collection"), "overwrite"
+        after = collection_after(rows, collection, embed, force)
+        _swap(after.select(*columns).sortWithinPartitions("chunk_id"), name)
     else:
-        result, mode = embed(rows), "append"
-    ordered = result.select(*columns).sortWithinPartitions("chunk_id")
-    ordered.write.mode(mode).format("parquet").saveAsTable(name)
+        ordered = embed(rows).select(*columns).sortWithinPartitions("chunk_id")
+        ordered.write.mode("append").format("parquet").saveAsTable(name)
     spark.catalog.refreshTable(name)
     return spark.table(name)

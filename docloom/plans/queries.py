@@ -69,17 +69,41 @@ def hierarchy(spark, sf):
     )
 
 
+ENTRY_COLUMNS = (
+    "source_file",
+    "entry_pos",
+    "content",
+    "metadata.title",
+    "metadata.full_path",
+    "metadata.level",
+    "metadata.content_length",
+    "metadata.word_count",
+)
+
+
 def entries(spark, sf):
-    return _entries(spark, sf).select(
-        "source_file",
-        "entry_pos",
-        "content",
-        "metadata.title",
-        "metadata.full_path",
-        "metadata.level",
-        "metadata.content_length",
-        "metadata.word_count",
-    )
+    return _entries(spark, sf).select(*ENTRY_COLUMNS)
+
+
+def _written(output, name):
+    """Output files, written as a table and read back as the input of the next scan."""
+    return write_stage(output, name).withColumnRenamed("output_name", "source_file")
+
+
+def text_roundtrip(spark, sf):
+    return _written(files.text_files(views.doc_texts(spark, sf)), "text-files")
+
+
+def entry_roundtrip(spark, sf):
+    read, _ = files.entries_of(_written(files.entry_files(_entries(spark, sf)), "entry-files"))
+    return read.select(*ENTRY_COLUMNS)
+
+
+def chunk_roundtrip(spark, sf):
+    named = stages.number_chunks(_pieces(spark, sf))
+    output = files.chunk_files(named, views.md_docs(spark, sf))
+    read, _ = files.chunks_of(_written(output, "chunk-files"))
+    return read.select("input_file", "item_pos", "content", "metadata.*")
 
 
 def entry_summary(spark, sf):
@@ -176,11 +200,11 @@ def success_rate(spark, sf):
 
 
 def existing_ids(spark, sf):
-    return collection.existing_ids(views.stored(spark, sf))
+    return collection.existing_ids(views.incoming(spark, sf))
 
 
 def collection_info(spark, sf):
-    return collection.collection_info(views.stored(spark, sf), "document_chunks", "warehouse")
+    return collection.collection_info(views.incoming(spark, sf), "document_chunks", "warehouse")
 
 
 def filter_new_chunks(spark, sf):
@@ -320,6 +344,9 @@ def queries() -> dict[str, Query]:
         "insert_force_ignore": partial(_insert, force="ignore"),
         "load_chunks": load_chunks,
         "reject_files": reject_files,
+        "text_roundtrip": text_roundtrip,
+        "entry_roundtrip": entry_roundtrip,
+        "chunk_roundtrip": chunk_roundtrip,
         "knn_single": knn_single,
         "knn_join": knn_join,
         "knn_join_gaps": knn_join_gaps,

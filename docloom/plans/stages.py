@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from docloom.functions.splitting import BOUNDARIES
 from docloom.functions.tokens import Counter
 from docloom.operators import chunking, documents, outline
-from docloom.shared import write_stage
+from docloom.shared import write_buckets, write_stage
 
 
 def texts_to_markdown(
@@ -69,9 +69,11 @@ def markdown_to_pieces(
 def number_chunks(pieces: DataFrame) -> DataFrame:
     """Entries with pieces -> chunks with ids.
 
-    The pieces are staged, since the numbering first reads their keys and counts.
+    What chunks are made of is staged by file, since the numbering first reads the counts.
     """
-    return chunking.build_chunks(chunking.number_entries(write_stage(pieces, "pieces")))
+    needed = pieces.select("source_file", "entry_pos", "metadata", "background", "pieces")
+    staged = write_buckets(needed, "pieces", "source_file", "entry_pos")
+    return chunking.build_chunks(chunking.number_entries(staged))
 
 
 def entries_to_chunks(

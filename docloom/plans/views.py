@@ -1,12 +1,13 @@
 """Inputs of the engine derived from the test tables.
 
 The tables hold no markdown, so conversations are written up as documents: the
-role gives the heading level, ten conversations share a file, and titles repeat.
+role gives the heading level, ten conversations share a file, and titles repeat;
+some turns are followed by a section that is too short.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.shared import spread
@@ -26,7 +27,8 @@ MD_BLOCK = """
              then replace(split_part(text, '.', 1), char(10), ' ')
            else concat('Topic ', conv_id, ' ', turn) end,
       char(10),
-      case when (conv_id + turn) % 9 = 0 then 'short' else text end)
+      text,
+      case when (conv_id + turn) % 9 = 0 then '\n\n#### Aside\nshort' else '' end)
 """
 
 
@@ -131,7 +133,7 @@ def centroids(spark: SparkSession, sf_dir: str, by: str | None = "label") -> Dat
 
 
 def chunk_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunk files as texts, one per conversation: most hold an array, some do not."""
+    """Chunk files as texts, one per conversation, and beside them some that hold no array."""
     item = F.expr(
         """named_struct(
             'content', text,
@@ -147,10 +149,14 @@ def chunk_file_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("items")
     )
     array = F.to_json("items")
-    return files.select(
-        F.concat(F.lit("chunks_conv_"), "conv_id", F.lit(".json")).alias("source_file"),
-        F.when(F.col("conv_id") % 10 == 3, F.to_json(F.col("items")[0]))
-        .when(F.col("conv_id") % 10 == 6, F.concat(F.lit("oops "), array))
-        .otherwise(array)
-        .alias("text"),
+
+    def file(name: str, content: Column) -> Column:
+        path = F.concat(F.lit(name), "conv_id", F.lit(".json"))
+        return F.struct(path.alias("source_file"), content.alias("text"))
+
+    last = F.col("conv_id") % 10
+    beside = F.when(last == 3, file("lone_", F.to_json(F.col("items")[0]))).when(
+        last == 6, file("oops_", F.concat(F.lit("oops "), array))
     )
+    both = F.array_compact(F.array(file("chunks_conv_", array), beside))
+    return files.select(F.inline(both))

@@ -67,6 +67,7 @@ COLLECTION = T.StructType(
         T.StructField("stable_id", T.StringType()),
         T.StructField("document", T.StringType()),
         T.StructField("metadata", CHUNK_METADATA),
+        T.StructField("metadata_json", T.StringType()),
         T.StructField("embedding", T.ArrayType(T.FloatType())),
         T.StructField("embedding_missing", T.BooleanType()),
     ]

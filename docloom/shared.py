@@ -43,6 +43,20 @@ def write_stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def write_buckets(df: DataFrame, name: str, key: str, *order: str) -> DataFrame:
+    """``write_stage`` in buckets of ``key``: joins and windows on it move nothing.
+
+    The table is entered in the catalog under a fresh name, since buckets are known
+    for tables only.
+    """
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fresh = f"{name}_{uuid.uuid4().hex}"
+    buckets = df.repartition(count, key).write.format("parquet").bucketBy(count, key).sortBy(key, *order)
+    buckets.option("path", f"{shared_dir(spark).rstrip('/')}/stages/{fresh}").saveAsTable(fresh)
+    return spark.table(fresh)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a test table over all cores: a file of one row group is one task."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -100,14 +100,20 @@ def read_markdown(
     return docs.withColumnRenamed("text", "md"), rejects
 
 
-def parse_json_arrays(docs: DataFrame, element: T.StructType) -> tuple[DataFrame, DataFrame]:
+def parse_json_arrays(
+    docs: DataFrame, element: T.StructType, whole: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(source_file, text) -> (source_file, items) of files that hold an array of objects.
 
+    With ``whole``, ``whole`` holds that field of every object as JSON, with all that the
+    element's schema doesn't name.
+
     A lone object would parse as an array of one, hence the test for the bracket. The
     parser stops behind the array and doesn't see what follows, hence the frame: in an
     array of the text and an element that no text can hold, its own hash, there must be
     these two.
     """
+    kept = [whole] if whole else []
     end = F.sha2("text", 256)
     framed = F.from_json(
         F.concat(F.lit("["), "text", F.lit(',"'), end, F.lit('"]')), "array<string>", STRICT_JSON
@@ -118,12 +124,13 @@ def parse_json_arrays(docs: DataFrame, element: T.StructType) -> tuple[DataFrame
         F.startswith(text.strip("text"), F.lit("[")).alias("is_array"),
         F.from_json("text", T.ArrayType(element), STRICT_JSON).alias("items"),
         F.coalesce(alone, F.lit(False)).alias("alone"),
+        *[F.from_json("text", f"array<struct<{f}: string>>", STRICT_JSON)[f].alias("whole") for f in kept],
     )
     reason = F.when(F.col("items").isNull() | ~F.col("alone"), F.lit("not JSON")).when(
         ~F.col("is_array"), F.lit("not an array")
     )
     judged = parsed.withColumn("reason", reason)
-    good = judged.where(F.col("reason").isNull()).select("source_file", "items")
+    good = judged.where(F.col("reason").isNull()).select("source_file", "items", *["whole" for _ in kept])
     rejects = judged.where(F.col("reason").isNotNull()).select("source_file", "reason")
     return good, rejects
 
@@ -157,12 +164,23 @@ def read_entries(
 
 
 def chunks_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(source_file, text) -> chunks (input_file, item_pos, content, metadata)."""
-    arrays, rejects = parse_json_arrays(docs, CHUNK_JSON)
+    """(source_file, text) -> chunks (input_file, item_pos, content, metadata, metadata_json).
+
+    ``metadata`` has the fields of the schema, ``metadata_json`` all there are.
+    """
+    arrays, rejects = parse_json_arrays(docs, CHUNK_JSON, "metadata")
     items = arrays.select(
-        F.col("source_file").alias("input_file"), F.posexplode("items").alias("item_pos", "item")
+        F.col("source_file").alias("input_file"),
+        F.posexplode(F.arrays_zip("items", "whole")).alias("item_pos", "item"),
+    )
+    chunks = items.select(
+        "input_file",
+        "item_pos",
+        "item.items.content",
+        "item.items.metadata",
+        F.col("item.whole").alias("metadata_json"),
     )
-    return items.select("input_file", "item_pos", "item.content", "item.metadata"), rejects
+    return chunks, rejects
 
 
 def load_chunks(

@@ -49,7 +49,7 @@ def ingest_chunk_files(
         texts, unreadable = files.texts_of(batch)
         chunks, broken = files.chunks_of(texts)
         parts = F.concat_ws("\0", "input_file", F.col("item_pos").cast("string"), "document")
-        rows = coll.chunk_rows(chunks, *INPUT_ORDER).withColumn("stable_id", F.sha2(parts, 256))
+        rows = coll.chunk_rows(chunks, "metadata_json", *INPUT_ORDER).withColumn("stable_id", F.sha2(parts, 256))
         coll.add_chunks(session, rows, embed, name, order=INPUT_ORDER, key="stable_id")
         _add_rejects(session, unreadable.unionByName(broken), f"{name}_rejects")
 

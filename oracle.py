@@ -33,7 +33,7 @@ MD_DOCS = f"""
              when (conv_id + 2 * turn) % 4 = 0 and trim(split_part(text, '.', 1)) <> ''
                then replace(split_part(text, '.', 1), {NL}, ' ')
              else 'Topic ' || conv_id || ' ' || turn end || {NL} ||
-        case when (conv_id + turn) % 9 = 0 then 'short' else text end,
+        text || case when (conv_id + turn) % 9 = 0 then {NL} || {NL} || '#### Aside' || {NL} || 'short' else '' end,
         {NL} || {NL} order by conv_id, turn) as md
     from conversations group by 1)"""
 
@@ -331,6 +331,11 @@ def oracle_sql() -> dict[str, str]:
     loaded = """
   files as (
     select 'chunks_conv_' || conv_id || '.json' as source_file, conv_id from conversations group by conv_id)"""
+    entry_rows = f"""
+with {ENTRIES} select source_file, entry_pos, content, title, full_path, level,
+  len(content)::int as content_length, word_count from entries"""
+    chunk_id = r"""printf('chunk_%06d_%s_%s_%d', chunk_number, regexp_replace(source_file, '\.json$', ''),
+    left(replace(trim(regexp_replace(title, '[^\p{L}\p{N} _-]', '', 'g')), ' ', '_'), 30), chunk_index)"""
     return {
         "token_counts": f"""
 with {DOC_TEXTS} select source_file, len(text)::int as n_chars, {tokens("text")}::bigint as n_tokens from docs""",
@@ -365,9 +370,7 @@ select (select count(*) from docs) as successful,
         "sections": f"with {SECTIONS} select source_file, pos, level, title, content from sections",
         "hierarchy": f"""
 with {ENTRIES} select source_file, entry_pos, pos, array_to_string(hierarchy, ' | ') as hierarchy from entries""",
-        "entries": f"""
-with {ENTRIES} select source_file, entry_pos, content, title, full_path, level,
-  len(content)::int as content_length, word_count from entries""",
+        "entries": entry_rows,
         "entry_summary": f"""
 with {ENTRIES} select source_file, count(*) as entries, sum(word_count)::bigint as total_words,
   sum(len(content))::bigint as total_chars, round(avg(word_count), 6) as words_per_entry
@@ -385,8 +388,7 @@ with recursive {chunked()} select source_file, entry_pos, chunk_index, full_text
         "chunk_ids": rf"""
 with recursive {chunked()}
 select source_file, entry_pos, chunk_index, chunk_number,
-  printf('chunk_%06d_%s_%s_%d', chunk_number, regexp_replace(source_file, '\.json$', ''),
-    left(replace(trim(regexp_replace(title, '[^\p{{L}}\p{{N}} _-]', '', 'g')), ' ', '_'), 30), chunk_index) as chunk_id,
+  {chunk_id} as chunk_id,
   sha256(concat_ws(chr(31), source_file, full_path, entry_pos, chunk_index, full_text)) as stable_id
 from chunks""",
         "chunk_stats": f"""
@@ -400,10 +402,10 @@ select count(*) as files, sum(original_entries)::bigint as original_entries,
   sum(chunked_total_chars)::bigint as chunked_total_chars,
   round(sum(chunked_total_chars) / sum(total_chunks), 6) as average_chunk_size,
   {size}::int as target_chunk_size, {int(size * 0.4)}::int as max_background_size from stats""",
-        "existing_ids": f"with {STORED} select distinct chunk_id from stored",
-        "collection_info": f"""
-with {STORED} select 'document_chunks' as collection_name, count(*) as document_count,
-  'warehouse' as database_path from stored""",
+        "existing_ids": f"select distinct {ID.format('doc_id')} as chunk_id from documents",
+        "collection_info": """
+select 'document_chunks' as collection_name, count(*) as document_count,
+  'warehouse' as database_path from documents""",
         "filter_new_chunks": f"""
 with {INCOMING}, {STORED} select chunk_id, document from incoming
 where chunk_id not in (select chunk_id from stored)""",
@@ -445,11 +447,20 @@ select source_file as input_file,
   (row_number() over (partition by conv_id order by turn) - 1)::int as item_pos, text as content,
   case when role <> 'system' then printf('chunk_%06d_%d', conv_id, turn) end as chunk_id,
   len(text)::int as chunk_size
-from files join conversations using (conv_id) where conv_id % 10 not in (3, 6)""",
-        "reject_files": f"""
-with {loaded}
-select source_file, case conv_id % 10 when 3 then 'not an array' else 'not JSON' end as reason
-from files where conv_id % 10 in (3, 6)""",
+from files join conversations using (conv_id)""",
+        "reject_files": """
+select distinct case conv_id % 10 when 3 then 'lone_' else 'oops_' end || conv_id || '.json' as source_file,
+  case conv_id % 10 when 3 then 'not an array' else 'not JSON' end as reason
+from conversations where conv_id % 10 in (3, 6)""",
+        "text_roundtrip": f"with {DOC_TEXTS} select source_file, text from docs",
+        "entry_roundtrip": entry_rows,
+        "chunk_roundtrip": rf"""
+with recursive {chunked()}
+select 'chunks_' || source_file as input_file,
+  (row_number() over (partition by source_file order by entry_pos, chunk_index) - 1)::int as item_pos,
+  full_text as content, {chunk_id} as chunk_id, source_file, full_path, len(full_text)::int as chunk_size,
+  background_size, len(piece)::int as content_size
+from chunks""",
         "knn_single": f"""
 with {centroids("0")} select chunk_id, round(distance, 6) as distance from hits where rank <= 5""",
         "knn_join": f"""

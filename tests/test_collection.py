@@ -103,6 +103,26 @@ def test_attach_vectors(spark):
     assert flags == {"a": (2, False), "b": (768, True)}
 
 
+def test_failed_replacement_leaves_the_old_table(spark):
+    def failing(incoming):
+        vector = F.raise_error(F.concat(F.lit("no "), "document")).cast("array<float>")
+        return incoming.select("*", vector.alias("embedding"), F.lit(False).alias("embedding_missing"))
+
+    name = table_name()
+    collection.add_chunks(spark, rows(spark, ("a", "1"), ("b", "2")), EMBED, name)
+    with pytest.raises(Exception, match="no x"):
+        collection.add_chunks(spark, rows(spark, ("a", "x")), failing, name, "replace")
+    assert content(spark.table(name)) == {"a": "1", "b": "2"}
+    assert content(collection.add_chunks(spark, rows(spark, ("a", "x")), EMBED, name, "replace")) == {"a": "x", "b": "2"}
+
+
+def test_replacement_broken_off_between_renames(spark):
+    name = table_name()
+    collection.add_chunks(spark, rows(spark, ("a", "1")), EMBED, name)
+    spark.sql(f"alter table {name} rename to {name}__old")
+    assert content(collection.open_collection(spark, name)) == {"a": "1"}
+
+
 def test_table_life(spark):
     name = table_name()
     assert collection.open_collection(spark, name).schema == COLLECTION

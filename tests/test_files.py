@@ -74,6 +74,16 @@ def test_load_chunks(spark, folder):
     assert names(rejects) == ["lone.json", "nonsense.json"]
 
 
+def test_metadata_is_kept_whole(spark, folder):
+    metadata = {"chunk_id": "a", "chunk_size": 3, "author": {"name": "é"}, "tags": [1, None]}
+    put(folder, "a.json", json.dumps([{"content": "x", "metadata": metadata}, {"content": "y"}]))
+    chunks, _ = files.load_chunks(spark, folder)
+    first, second = chunks.orderBy("item_pos").collect()
+    assert json.loads(first.metadata_json) == metadata
+    assert (first.metadata.chunk_id, first.metadata.chunk_size) == ("a", 3)
+    assert (second.content, second.metadata, second.metadata_json) == ("y", None, None)
+
+
 def test_trailing_data_and_empty_files(spark, folder):
     item = json.dumps([{"content": "a", "metadata": {}}])
     put(folder, "good.json", f" {item}\n")

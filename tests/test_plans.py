@@ -8,7 +8,7 @@ from conftest import SMALL
 from docloom.functions.text import normalize_heading
 from docloom.operators import chunking, collection, documents, outline
 from docloom.plans import queries, views
-from docloom.shared import write_stage
+from docloom.shared import write_buckets, write_stage
 
 
 def plan(df):
@@ -75,9 +75,20 @@ def test_numbering_sums_one_row_per_partition_in_one_task(spark, md_table):
     assert "HashAggregate(keys=[part" in after
 
 
+def test_numbering_moves_one_row_per_file(spark, no_auto_broadcast, md_table):
+    rows = outline.markdown_to_entries(md_table).selectExpr("*", "array(content) as pieces")
+    staged = write_buckets(rows, "pieces", "source_file", "entry_pos")
+    numbered = chunking.number_entries(staged)
+    # the side with the starts; the pieces are read in their buckets
+    assert exchanges(numbered).count("hashpartitioning(source_file, 4)") == 1
+    assert "Bucketed: true" in plan(numbered)
+    pieces_side = plan(numbered).split("SortMergeJoin")[1].split("Bucketed: true")[0]
+    assert "Exchange" not in pieces_side
+
+
 def test_columns_are_pruned(spark):
     text = plan(queries.existing_ids(spark, SMALL))
-    assert re.findall(r"ReadSchema: struct<([^>]*)>", text) == ["doc_id:bigint", "doc_id:bigint"]
+    assert re.findall(r"ReadSchema: struct<([^>]*)>", text) == ["doc_id:bigint"]
     text = plan(queries.collection_info(spark, SMALL))
     assert "text" not in " ".join(re.findall(r"ReadSchema: struct<([^>]*)>", text))
 
