@@ -24,9 +24,7 @@ cloudpickle.register_pickle_by_value(docloom)
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
     model = line_crf.fit(docs, table(spark, sf_dir, "labels"))
-    # under other names while columns of the documents may be called like the new ones
-    whole = docs.select(F.struct("*").alias("document"), "text")
-    return line_crf.scored(whole, model).where("predicted = 1").select("document.*")
+    return docs.where(line_crf.score_of("text", model) >= line_crf.THRESHOLD)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

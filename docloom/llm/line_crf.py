@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,8 @@ THRESHOLD = 0.3
 STEPS, RATE, PENALTY = 300, 0.1, 1e-6
 #: Lines that are scored at once, padding included.
 CELLS = 1 << 16
+#: Bytes of texts whose features are held at once.
+SHARE = 1 << 22
 
 _SYMBOLS = b"#*$%&|<>@^~=_{}[]\\+`"
 _UPPER = bytes(range(65, 91))
@@ -221,24 +224,31 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[np.ndar
     return train(documents, [int(r.label > 0) for r in read])
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
-    """Add ``score`` and ``predicted`` to every row; columns of these names are replaced."""
-    docs = docs.drop("score", "predicted")
+def _shares(column: pa.Array) -> Iterator[pa.Array]:
+    """Slices that start within one ``SHARE`` of bytes; a longer text is one by itself."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    share = (np.cumsum(size) - size) // SHARE
+    cuts = np.flatnonzero(np.diff(share)) + 1
+    for begin, end in zip([0, *cuts], [*cuts, len(column)]):
+        yield column.slice(begin, end - begin)
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def score_of(text: Column | str, model: tuple[np.ndarray, np.ndarray]) -> Column:
+    """Score of each text. Only texts go to Python, and only numbers come back."""
+
+    @F.arrow_udf("double")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                values = score([x.as_py() or b"" for x in part.column("data")], *model)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(values)], names=["row", "score"]
-                )
-
-    packed = docs.select(F.struct("*").alias("row"), F.col(text).cast("binary").alias("data"))
-    schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
-    return packed.mapInArrow(rows, schema).select(
-        "row.*", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
-    )
+            parts = [score([x.as_py() or b"" for x in part], *model) for part in _shares(batch)]
+            yield pa.array(np.concatenate(parts))
+
+    return of(F.col(text).cast("binary") if isinstance(text, str) else text.cast("binary"))
+
+
+def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text: str = "text") -> DataFrame:
+    """Add ``score`` and ``predicted`` to every row; columns of these names are replaced."""
+    judged = docs.drop("score", "predicted").withColumn("score", score_of(text, model))
+    return judged.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
