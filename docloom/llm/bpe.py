@@ -23,9 +23,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Characters of a text that are matched at once.
 PART = 1 << 16
@@ -71,46 +70,41 @@ def encode_text(encoding: tiktoken.Encoding, text: str) -> list[int]:
     return ids
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add ``ids``: the token ids as little-endian unsigned 32-bit integers."""
-    docs = docs.drop(ids)
+def ids_of(text: Column, ranks: str, pattern: str) -> Column:
+    """Token ids as little-endian unsigned 32-bit integers. Only texts go to Python."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("binary")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoding = load(ranks, pattern)
         for batch in batches:
-            coded = [
-                np.array(
-                    encode_text(encoding, (t or b"").decode("utf-8", "replace")), "<u4"
-                ).tobytes()
-                for t in (x.as_py() for x in batch.column("data"))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(coded, pa.binary())], names=["row", ids]
-            )
+            texts = ((x.as_py() or b"").decode("utf-8", "replace") for x in batch)
+            coded = [np.array(encode_text(encoding, t), "<u4").tobytes() for t in texts]
+            yield pa.array(coded, pa.binary())
 
-    packed = docs.select(F.struct("*").alias("row"), F.col(text).cast("binary").alias("data"))
-    schema = T.StructType([packed.schema["row"], T.StructField(ids, T.BinaryType())])
-    return packed.mapInArrow(rows, schema).select("row.*", ids)
+    return of(text.cast("binary"))
 
 
-def decode(coded: DataFrame, ranks: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
-    """Add ``decoded``: the bytes that the ids stand for (null ids: none)."""
-    coded = coded.drop(data)
+def bytes_of(ids: Column, ranks: str, pattern: str) -> Column:
+    """The bytes that token ids stand for."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("binary")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoding = load(ranks, pattern)
         for batch in batches:
-            plain = [
-                encoding.decode_bytes(np.frombuffer(x.as_py() or b"", "<u4").tolist())
-                for x in batch.column("ids")
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array(plain, pa.binary())], names=["row", data]
-            )
-
-    packed = coded.select(F.struct("*").alias("row"), F.col(ids).alias("ids"))
-    schema = T.StructType([packed.schema["row"], T.StructField(data, T.BinaryType())])
-    return packed.mapInArrow(rows, schema).select("row.*", data)
+            numbers = (np.frombuffer(x.as_py() or b"", "<u4").tolist() for x in batch)
+            yield pa.array([encoding.decode_bytes(n) for n in numbers], pa.binary())
+
+    return of(ids)
+
+
+def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Add ``ids``, the token ids as bytes."""
+    return docs.drop(ids).withColumn(ids, ids_of(F.col(text), ranks, pattern))
+
+
+def decode(coded: DataFrame, ranks: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
+    """Add ``decoded``: the bytes that the ids stand for (null ids: none)."""
+    return coded.drop(data).withColumn(data, bytes_of(F.col(ids), ranks, pattern))
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
