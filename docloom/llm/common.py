@@ -15,6 +15,10 @@ from docloom.shared import write_stage
 #: What a word is: a run of anything but space and \x09 to \x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Bytes of an Arrow batch while a stage is written.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Stands for a null id where rows are compared; ids are ordered with null first.
 NULL_ID = -(2**63)
 
@@ -27,9 +31,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     Later reads then depend on files that every executor sees, not on shuffle files of
-    executors that may be lost.
+    executors that may be lost. While it is written, texts go to Python in batches of
+    ``BATCH_BYTES``: a task holds several copies of a batch outside the heap.
     """
-    return write_stage(df, re.sub(r"\W", "_", name))
+    conf = df.sparkSession.conf
+    before = conf.get(_BATCH_CONF)
+    conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    try:
+        return write_stage(df, re.sub(r"\W", "_", name))
+    finally:
+        conf.set(_BATCH_CONF, before)
 
 
 def doc_key(text: str, doc_id: str = "doc_id") -> list[Column]:
