@@ -43,6 +43,8 @@ EPOCHS = 2
 ROUNDS = 16
 SEED = 17
 
+_SPACE = r"[\x20\x09-\x0D]"
+
 
 def word_count(text: str) -> Column:
     """Number of words: each becomes one letter, white space goes."""
@@ -93,7 +95,7 @@ def permuted(index: Column, size: Column, *key: Column) -> Column:
 
 
 def _slots(sources: DataFrame) -> DataFrame:
-    """(place, block, words): each slot's block and how many of its words count."""
+    """(place, pass, block, words): each slot's block and how many of its words count."""
     size, blocks = F.col("source_size"), F.ceil(F.col("source_size") / BLOCK)
     words = F.round("target").cast("long")
     passes = F.floor(words / size)
@@ -143,13 +145,19 @@ def _slots(sources: DataFrame) -> DataFrame:
     taken_before = pass_ * F.col("source_size") + within * BLOCK
     return slots.select(
         "place",
+        pass_.alias("pass"),
         permuted(within, F.col("blocks"), F.col("place"), pass_).alias("block"),
         F.least(F.lit(BLOCK), words - taken_before).cast("long").alias("words"),
     )
 
 
-def mix(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, doc, mark, size, source, source_size, target, taken) of every document."""
+#: What tells the documents of the mix apart, next to their place.
+_DOCUMENT = ["doc_id", "doc", "mark", "size", "source", "source_size", "target"]
+
+
+def _pieces(docs: DataFrame, text: str) -> DataFrame:
+    """(running_start, pass, first, stop) and what is known of the document: the words of
+    every document that each slot takes. What no slot takes has null, or no words."""
     sized = docs.select(
         F.col("doc_id").cast("long"),
         F.col("source").cast("string"),
@@ -178,16 +186,30 @@ def mix(docs: DataFrame, text: str = "text") -> DataFrame:
     pieces = named.withColumn("begin", begin).withColumn(
         "block", F.explode_outer(F.when(F.col("size") > 0, blocks))
     )
-    first = F.greatest(F.col("begin") - F.col("block") * BLOCK, F.lit(0))
-    stop = F.col("begin") + F.col("size") - F.col("block") * BLOCK
-    overlap = F.greatest(F.least(stop, F.coalesce("words", F.lit(0))) - first, F.lit(0))
-    columns = ["doc_id", "doc", "mark", "size", "source", "source_size", "target"]
+    begin = F.col("block") * BLOCK - F.col("begin")
+    # the slots grow with the input, which their estimated size doesn't show
+    return pieces.join(_slots(sources).hint("merge"), ["place", "block"], "left").select(
+        "running_start",
+        *_DOCUMENT,
+        "pass",
+        F.greatest(begin, F.lit(0)).alias("first"),
+        F.least(begin + F.col("words"), F.col("size")).alias("stop"),
+    )
+
+
+def _some(pieces: DataFrame) -> Column:
+    """Whether a piece has words."""
+    return pieces["pass"].isNotNull() & (F.col("size") > 0) & (F.col("stop") > F.col("first"))
+
+
+def mix(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, doc, mark, size, source, source_size, target, taken) of every document."""
+    pieces = _pieces(docs, text)
+    words = F.when(_some(pieces), F.col("stop") - F.col("first")).otherwise(0)
     return (
-        # the slots grow with the input, which their estimated size doesn't show
-        pieces.join(_slots(sources).hint("merge"), ["place", "block"], "left")
-        .groupBy("running_start", *columns)
-        .agg(F.sum(F.when(F.col("size") > 0, overlap).otherwise(0)).cast("long").alias("taken"))
-        .select(*columns, "taken")
+        pieces.groupBy("running_start", *_DOCUMENT)
+        .agg(F.sum(words).cast("long").alias("taken"))
+        .select(*_DOCUMENT, "taken")
     )
 
 
@@ -199,26 +221,51 @@ def shares(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents as the mix takes them.
 
-    A document comes as often as it is taken whole, and once more with its first words
-    if it is taken in part; what isn't taken at all is left out. Repeated rows of one
-    document share what is taken of them evenly. ``n_chars`` is counted anew.
+    Every pass over a source gives a document once more: the text as it is where the pass
+    takes all of it, or else the words of the drawn blocks in the order of the text, each
+    with the white space behind it. What a pass doesn't take is left out. ``n_chars`` is
+    counted anew.
     """
+    pieces = _pieces(docs, "text")
+    drawn = F.collect_list(F.when(_some(pieces), F.struct("pass", "first", "stop")))
+    # repeated rows of one document are told apart by their order alone, as one text is
+    # theirs: each of them gets what one of its places takes
+    key = ["doc", "mark"]
     taken = (
-        mix(docs)
-        .groupBy("doc", "mark")
-        .agg(F.floor(F.avg("taken")).cast("long").alias("_taken"), F.first("size").alias("_size"))
-        .where("_taken > 0")
+        pieces.groupBy("running_start", *key, "size", "source")
+        .agg(F.sort_array(drawn).alias("drawn"))
+        .groupBy(*key)
+        .agg(F.sort_array(F.collect_list(F.struct("source", "running_start", "size", "drawn"))).alias("_places"))
+        .where(F.exists("_places", lambda p: F.size(p["drawn"]) > 0))
     )
     doc, mark = doc_key("text")
     rows = docs.select("*", doc.alias("_doc"), mark.alias("_mark")).join(
         taken, (F.col("_doc") == taken["doc"]) & (F.col("_mark") == taken["mark"])
     )
-    copies = F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))
-    rows = rows.withColumn("_copy", F.explode(copies))
-    left = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
-    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD})"), F.lit(1))
-    cut = F.array_join(F.slice(words, F.lit(1), left.cast("int")), " ")
-    text = F.when(left >= F.col("_size"), F.col("text")).otherwise(cut)
-    rows = rows.withColumn("_text", text)
+    others = [docs[c] for c in docs.columns if c != "text"]
+    order = Window.partitionBy("_doc", "_mark").orderBy(
+        F.asc_nulls_first(docs["source"].cast("string")), F.xxhash64(*others)
+    )
+    rows = rows.withColumn("_place", F.get("_places", F.row_number().over(order) - 1)).drop("_places")
+    copies = F.transform(
+        F.array_distinct(F.col("_place.drawn.pass")),
+        lambda p: F.filter(F.col("_place.drawn"), lambda d: d["pass"] == p),
+    )
+    rows = rows.select(*docs.columns, F.col("_place.size").alias("_size"), F.explode(copies).alias("_copy"))
+    n_taken = F.aggregate(
+        "_copy", F.lit(0).cast("long"), lambda n, d: n + d["stop"] - d["first"]
+    )
+    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD}{_SPACE}*)"), F.lit(1))
+
+    def piece(words: Column, d: Column) -> Column:
+        n = (d["stop"] - d["first"]).cast("int")
+        return F.array_join(F.slice(words, (d["first"] + 1).cast("int"), n), "")
+
+    # the words are cut out once for all pieces
+    cut = F.transform(
+        F.array(words), lambda w: F.array_join(F.transform("_copy", lambda d: piece(w, d)), "")
+    )[0]
+    cut = F.regexp_replace(cut, rf"{_SPACE}+\z", "")
+    rows = rows.withColumn("_text", F.when(n_taken >= F.col("_size"), F.col("text")).otherwise(cut))
     new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return rows.select(*[new.get(c, docs[c]).alias(c) for c in docs.columns])
+    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
