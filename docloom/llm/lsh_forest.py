@@ -16,9 +16,13 @@ rule a link out are dropped (a link would have to be off by four standard deviat
 Links are confirmed on the full sets, in rounds, and a round leaves out pairs that
 earlier links have connected: first each document and its candidate of the smallest id;
 then the other candidates; then, in each region that had to be divided, every document
-and ``HUBS`` of its documents whose sketches are the most common ones. The last round is
-the way for large groups of copies of one text, which are nearer to that text than to
-each other.
+and ``HUBS`` of its documents whose sketches are the most common ones, which is the
+quick way for large groups of copies of one text. The last round is exact: the documents of
+divided regions that are still apart are joined on the rarest shingles of their sets. With
+all shingles in one order, two linked sets share one of the first 15 per cent of each, and
+the places of the first one shared leave room for the overlap. Joining shares of a
+shingle's documents keeps common shingles from being hot keys, and documents that the
+rounds before have connected are not joined with each other.
 
 Two documents of similarity 0.85 share a region of at least four levels in none of the
 16 trees with probability 0.00001.
@@ -58,6 +62,10 @@ REGION = 32
 HUBS = 4
 #: Of 128 two-bit minhashes, those that linked sets share at least; 113.6 are expected.
 SKETCH_MATCHES = 99
+#: Counters of shingles, by which they are ordered: any order is right, rare first is quick.
+COUNTERS = 1 << 18
+#: Documents of a shingle that one task joins with all of its documents.
+SHARE = 1024
 
 _LAST_ID = 2**63 - 1
 _HASHES = TREES * LEVELS
@@ -280,6 +288,85 @@ def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+_PREFIX_ROW = "doc long, shingle long, place int, n int"
+
+
+def _prefixes(counts: np.ndarray):
+    """The first shingles of each set, rare ones first, of which linked sets share one."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("shingles")
+            values, bounds = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+            size = np.diff(bounds)
+            which = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((values, counts[values & (COUNTERS - 1)], which))
+            place = rolling.ranges(np.zeros(len(size), np.int64), size)
+            first = place < (size - (PERCENT * size + 99) // 100 + 1)[which]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(batch.column("doc").to_numpy()[which[first]]),
+                    pa.array(values[order][first]),
+                    pa.array(place[first].astype(np.int32)),
+                    pa.array(size[which[first]].astype(np.int32)),
+                ],
+                names=["doc", "shingle", "place", "n"],
+            )
+
+    return cut
+
+
+def _prefix_pairs(sets: DataFrame, links: DataFrame) -> DataFrame:
+    """Every pair of sets that may be linked and that the links don't connect."""
+    counter = F.col("shingle").bitwiseAND(F.lit(COUNTERS - 1))
+    found = (
+        sets.select(F.explode("shingles").alias("shingle"))
+        .groupBy(counter.alias("counter"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .toArrow()
+    )
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found.column("counter").to_numpy()] = found.column("n").to_numpy()
+    known = components(links).select(F.col("node").alias("doc"), "component")
+    rows = stage(
+        sets.mapInArrow(_prefixes(counts), _PREFIX_ROW)
+        .join(known, "doc", "left")
+        .withColumn("component", F.coalesce("component", "doc")),
+        "forest_prefixes",
+    )
+    # the largest component of a shingle's documents isn't joined with itself
+    holders = (
+        rows.groupBy("shingle", "component")
+        .agg(F.count(F.lit(1)).alias("docs"))
+        .groupBy("shingle")
+        .agg(F.max(F.struct("docs", "component")).alias("most"), F.sum("docs").alias("docs"))
+        .where("docs > most.docs")
+        .select(
+            "shingle",
+            F.col("most.component").alias("main"),
+            F.ceil((F.col("docs") - F.col("most.docs")) / SHARE).alias("shares"),
+        )
+    )
+    shared = stage(rows.join(holders, "shingle"), "forest_shared")
+    left = shared.where("component <> main").withColumn("share", F.pmod(F.xxhash64("doc"), F.col("shares")))
+    right = shared.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)))
+    l, r = left.alias("l"), right.hint("merge").alias("r")
+    least, most = F.least("l.n", "r.n"), F.greatest("l.n", "r.n")
+    # what the sets can share from here on
+    room = F.least(F.col("l.n") - F.col("l.place"), F.col("r.n") - F.col("r.place"))
+    fits = (
+        (F.col("l.shingle") == F.col("r.shingle"))
+        & (F.col("l.share") == F.col("r.share"))
+        & (F.col("l.component") != F.col("r.component"))
+        & ((F.col("r.component") == F.col("r.main")) | (F.col("l.doc") < F.col("r.doc")))
+        & (100 * least >= PERCENT * most)
+        & ((100 + PERCENT) * room >= PERCENT * (least + most))
+    )
+    return l.join(r, fits).select(
+        F.least("l.doc", "r.doc").alias("a"), F.greatest("l.doc", "r.doc").alias("b")
+    ).distinct()
+
+
 def _links(keyed: DataFrame, classes: DataFrame) -> DataFrame:
     """Enough confirmed links between classes to connect what is connected."""
     trees = classes.mapInArrow(_tree_rows, _TREE_ROW)
@@ -317,7 +404,9 @@ def _links(keyed: DataFrame, classes: DataFrame) -> DataFrame:
         .where("a <> b")
         .distinct()
     )
-    return links.union(stage(_confirmed(_apart(to_hubs, links), sets), "forest_links"))
+    links = links.union(stage(_confirmed(_apart(to_hubs, links), sets), "forest_links"))
+    inside = sets.join(divided.select("doc").distinct(), "doc", "left_semi")
+    return links.union(stage(_confirmed(_prefix_pairs(inside, links), sets), "forest_links"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:

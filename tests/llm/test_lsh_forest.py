@@ -52,3 +52,18 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components.components(df).collect()}
     assert set(got) == set(range(100, 161)) | {5} | set(range(300, 340)) | {700, 800, 900}
     assert all(c == (700 if n >= 700 else 5) for n, c in got.items())
+
+
+def test_links_inside_a_large_family_on_one_template(spark):
+    base = [f"t{i}" for i in range(600)]
+
+    def page(i, pair):
+        # pages of similarity 0.840; the four words of a pair raise its to 0.851
+        return base[:100] + [f"p{pair}_{k}" for k in range(4)] + [f"u{i}_{k}" for k in range(44)] + base[148:]
+
+    pair = {i: 2000 + i // 2 if i < 80 else i for i in range(2000)}
+    docs = [(i, " ".join(page(i, pair[i]))) for i in range(2000)]
+    expected = {i: i - i % 2 if i < 80 else i for i in range(2000)}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {i: c for i, (_, c, _) in result(lsh_forest.near_duplicates(df)).items()}
+    assert got == expected
