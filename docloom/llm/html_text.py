@@ -4,11 +4,12 @@ A page is read into blocks of text. Elements that are never article text (menus,
 headers and footers of the page, sidebars, notices, adverts, forms, scripts, styles,
 comments of readers) are told by their tag, role, class or id.
 
-What a page marks as its article or main part is its main text. Everywhere else the
-host decides: the token streams of all text outside such marks are laid out by host as
-suffixes, and suffixes of different pages that agree in ``RUN`` tokens (or in a whole
-shorter block) form a long repeated substring. The tokens that these cover are
-boilerplate; the runs that are left in pages without a marked article are their text.
+The host decides on the rest: the token streams of all text outside marked articles are
+laid out by host as suffixes, and suffixes of different pages that agree in ``RUN`` tokens
+(or in a whole shorter block) form a long repeated substring. The tokens that these cover
+are boilerplate, on every page; the runs that are left are its text. What a page marks as
+its article or main part is protected: there repeated passages stay. Marks count as tags
+only, so none is seen in comments, scripts or elements that are never article text.
 Suffixes are grouped by the hash of their first ``RUN`` tokens and pre-aggregated, so a
 host with a third of all pages is no hot key and its suffixes are never in one task.
 
@@ -65,7 +66,7 @@ _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp "
     "small span strike strong sub sup time tt u var wbr img picture".split()
 )
-_ARTICLE = re.compile(r"<(?:article|main)\b|\brole\s*=\s*[\"']?main\b", re.I)
+_MAIN_ROLE = re.compile(r"(?<![\w-])role\s*=\s*[\"']?\s*main(?![\w-])", re.I)
 _SPACE = re.compile(r"\s+")
 
 
@@ -84,12 +85,23 @@ def _is_noise(name: str, attributes: str, inside: bool) -> bool:
     return any(_NOISE_WORD.search(a or b or c) for _, a, b, c in _NAMED.findall(attributes))
 
 
+def _is_closed(page: str, at: int, name: str, depth: int) -> bool:
+    """Whether the end tags of an element that is open ``depth`` times follow."""
+    for tag in _TAG.finditer(page, at):
+        if (tag["name"] or tag["name2"] or "").lower() == name:
+            depth += -1 if tag["end"] or tag["end2"] else 1
+            if not depth:
+                return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
     """All text of a page in order, one block after another."""
     out: list[Block] = []
     parts: list[str] = []
     article: list[str] = []  # open article elements
     noise, depth = "", 0  # the element that is noise and how often its name is open
+    closed: bool | None = None  # whether its end tag follows, where that was looked up
     at = 0
 
     def flush() -> None:
@@ -111,7 +123,7 @@ def blocks(page: str) -> list[Block]:
         end, attributes = tag["end"] or tag["end2"], tag["attributes"] or tag["attributes2"] or ""
         if name not in _INLINE:
             flush()
-        marks = name in ("article", "main") or "main" in attributes and bool(_ARTICLE.search(tag[0]))
+        marks = name in ("article", "main") or "main" in attributes and bool(_MAIN_ROLE.search(attributes))
         if end:
             if noise and name == noise:
                 depth -= 1
@@ -128,14 +140,17 @@ def blocks(page: str) -> list[Block]:
             if name == noise:
                 depth += 1
                 continue
-            if name in ("body", "article", "main") and noise in ("nav", "head", "header", "footer", "aside", "title"):
-                noise, depth = "", 0  # its end tag is missing
-            else:
+            if name not in ("body", "article", "main") or noise not in ("nav", "head", "header", "footer", "aside", "title"):
+                continue
+            if name != "body" and closed is None:
+                closed = _is_closed(page, at, noise, depth)
+            if name != "body" and closed:
                 continue
+            noise, depth = "", 0  # its end tag is missing
         if _is_noise(name, attributes, bool(article)):
             if name not in _VOID and not attributes.rstrip().endswith("/"):
                 flush()
-                noise, depth = name, 1
+                noise, depth, closed = name, 1, None
         elif marks:
             article.append(name)
 
@@ -145,10 +160,6 @@ def article_text(page: str) -> str:
     return "\n".join(b.text for b in blocks(page) if b.inside and not b.noise)
 
 
-def marks_article(page: str) -> bool:
-    return bool(_ARTICLE.search(page))
-
-
 def _text(value: bytes | None) -> str:
     return (value or b"").decode("utf-8", "replace")
 
@@ -174,90 +185,83 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffixes of all text outside marked articles, once per page."""
     for batch in batches:
         host, run, page = [], [], []
-        for h, p, data in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "data"))):
-            found = {r for b in blocks(_text(data)) if not b.inside for r, _, _ in _runs(b.text)}
-            host += [h] * len(found)
-            run += found
-            page += [p] * len(found)
+        for h, p, found in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "blocks"))):
+            runs = {r for b in found if not b["inside"] for r, _, _ in _runs(b["text"])}
+            host += [h] * len(runs)
+            run += runs
+            page += [p] * len(runs)
         yield pa.RecordBatch.from_arrays(
             [pa.array(host, pa.string()), pa.array(run, pa.int64()), pa.array(page, pa.int64())],
             names=["host", "run", "page"],
         )
 
 
-_PAGE = "page_id long, url string, text string"
+_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("inside", pa.bool_()), ("noise", pa.bool_())]))
+_READ = (
+    "page_id long, url string, host string, page long, "
+    "blocks array<struct<text string, inside boolean, noise boolean>>"
+)
 
 
-def _articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The blocks of every page."""
     for batch in batches:
-        rows = []
-        for page_id, url, data in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "data"))):
-            page = _text(data)
-            if marks_article(page):
-                rows.append((page_id, url, article_text(page)))
-        yield _page_rows(rows)
-
-
-def _page_rows(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int64(), pa.string(), pa.string())
-    columns = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types)], names=["page_id", "url", "text"]
-    )
+        found = [[vars(b) for b in blocks(_text(data))] for data in batch.column("data").to_pylist()]
+        at = batch.schema.get_field_index("data")
+        yield batch.set_column(at, "blocks", pa.array(found, _BLOCKS))
 
 
-_OPEN = "page_id long, url string, host string, page long, block int, text string, run long, first int, last int"
-_OPEN_SCHEMA = pa.schema(
-    [
-        ("page_id", pa.int64()),
-        ("url", pa.string()),
-        ("host", pa.string()),
-        ("page", pa.int64()),
-        ("block", pa.int32()),
-        ("text", pa.string()),
-        ("run", pa.int64()),
-        ("first", pa.int32()),
-        ("last", pa.int32()),
-    ]
-)
+_SPANS = "host string, page long, run long, block int, first int, last int"
 
 
-def _open_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of pages without a marked article (the text in a row without a run), and
-    their suffixes."""
+def _open_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Suffixes of the blocks that the host decides on, with their places."""
+    types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
     for batch in batches:
-        for row in batch.to_pylist():
-            page = _text(row["data"])
-            if marks_article(page):
-                continue
-            out = []
-            base = {k: row[k] for k in ("page_id", "url", "host", "page")}
-            kept = [b.text for b in blocks(page) if not b.noise]
-            for i, text in enumerate(kept or [""]):
-                out.append(base | {"block": i, "text": text})
-                if text:
-                    out += [base | {"block": i, "run": r, "first": a, "last": z} for r, a, z in _runs(text)]
-            yield pa.RecordBatch.from_pylist(out, _OPEN_SCHEMA)
+        rows = [
+            (h, p, r, i, first, last)
+            for h, p, found in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "blocks")))
+            for i, b in enumerate(found)
+            if not (b["inside"] or b["noise"])
+            for r, first, last in _runs(b["text"])
+        ]
+        columns = zip(*rows) if rows else ((),) * len(types)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types)],
+            names=["host", "page", "run", "block", "first", "last"],
+        )
+
+
+_PAGE = "page_id long, url string, text string"
 
 
 def _left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for page_id, url, found, spans in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "blocks", "spans"))):
+        texts = []
+        for found, spans in zip(*(batch.column(c).to_pylist() for c in ("blocks", "spans"))):
             kept = []
             covered: dict[int, list] = {}
             for span in spans or []:
                 covered.setdefault(span["block"], []).append(span)
-            for block in sorted(found, key=lambda b: b["block"]):
-                tokens = block["text"].split()
-                gone = np.zeros(len(tokens), bool)
-                for span in covered.get(block["block"], []):
-                    gone[span["first"] : span["last"]] = True
-                left = " ".join(t for t, g in zip(tokens, gone) if not g)
-                if left:
-                    kept.append(left)
-            rows.append((page_id, url, "\n".join(kept)))
-        yield _page_rows(rows)
+            for i, block in enumerate(found):
+                if not block["noise"]:
+                    kept.append(_uncovered(block["text"], covered.get(i, [])))
+            texts.append("\n".join(k for k in kept if k))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
+            names=["page_id", "url", "text"],
+        )
+
+
+def _uncovered(text: str, spans: list[dict]) -> str:
+    """A block without the tokens that repeated runs cover."""
+    if not spans:
+        return text
+    tokens = text.split()
+    gone = np.zeros(len(tokens), bool)
+    for span in spans:
+        gone[span["first"] : span["last"]] = True
+    return " ".join(t for t, g in zip(tokens, gone) if not g)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -269,8 +273,9 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.xxhash64("page_id", "url", "html").alias("page"),
         F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("data"),
     )
+    opened = stage(read.mapInArrow(_read, _READ), "html_blocks")
     repeated = stage(
-        read.select("host", "page", "data")
+        opened.select("host", "page", "blocks")
         .mapInArrow(_suffixes, _SUFFIX)
         .groupBy("host", "run")
         .agg((F.min("page") != F.max("page")).alias("repeated"))
@@ -278,25 +283,18 @@ def main_text(pages: DataFrame) -> DataFrame:
         .select(F.col("host").alias("of_host"), F.col("run").alias("of_run")),
         "html_repeated",
     )
-    articles = read.select("page_id", "url", "data").mapInArrow(_articles, _PAGE)
-    opened = stage(read.mapInArrow(_open_pages, _OPEN), "html_open")
-    key = ["page_id", "url", "page"]
-    texts = (
-        opened.where("run is null")
-        .groupBy(*key)
-        .agg(F.collect_set(F.struct("block", "text")).alias("blocks"), F.count_if(F.col("block") == 0).alias("copies"))
-    )
     covered = (
-        opened.where("run is not null")
+        opened.select("host", "page", "blocks")
+        .mapInArrow(_open_runs, _SPANS)
         .join(repeated, F.col("host").eqNullSafe(F.col("of_host")) & (F.col("run") == F.col("of_run")))
         .groupBy("page")
         .agg(F.collect_set(F.struct("block", "first", "last")).alias("spans"))
     )
-    # repeated rows of one page each get its text
-    left = (
-        texts.join(covered, "page", "left")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-        .select("page_id", "url", "blocks", "spans")
-        .mapInArrow(_left, _PAGE)
-    )
-    return articles.union(left).withColumn("n_chars", F.length("text").cast("long"))
+    # pages on which the host has nothing to decide needn't be moved
+    rows = opened.select("page_id", "url", "page", "blocks")
+    is_open = F.exists("blocks", lambda b: ~(b["inside"] | b["noise"]))
+    left = rows.where(is_open).join(covered, "page", "left").select("page_id", "url", "blocks", "spans")
+    spans = F.lit(None).cast("array<struct<block:int,first:int,last:int>>").alias("spans")
+    whole = rows.where(~is_open).select("page_id", "url", "blocks", spans)
+    texts = left.mapInArrow(_left, _PAGE).union(whole.mapInArrow(_left, _PAGE))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))

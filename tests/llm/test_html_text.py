@@ -50,3 +50,18 @@ def test_repeated_runs_of_a_host_are_boilerplate(spark):
     expected += [("9", f"{menu}\nalone"), ("10", ""), ("10", ""), ("11", "x"), ("None", ""), ("12", "")]
     assert got == sorted(expected)
     assert html_text.main_text(df.limit(0)).collect() == []
+
+
+def test_the_host_decides_on_pages_with_marks_too(spark):
+    menu = "home news sports weather about contact"
+    rows = [(i, f"http://h.example/{i}", f"<div>{menu}</div><p>lead {i}</p><article><p>own {i}</p></article><!-- ad {i} -->") for i in range(4)]
+    rows += [
+        (10, "http://a.example/", "<aside><article>teaser</article></aside><div>body</div>"),
+        (11, "http://b.example/", "<!-- <main> --><script>x='<article>'</script><p>body</p>"),
+        (12, "http://c.example/", "<nav>menu<article>text</article><nav>foot</nav>"),
+        (13, "http://d.example/", '<p data-role="main">one</p><div role="main">two</div>'),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    expected = {i: f"lead {i}\nown {i}" for i in range(4)}
+    assert got == expected | {10: "body", 11: "body", 12: "text", 13: "one\ntwo"}
