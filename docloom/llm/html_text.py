@@ -5,11 +5,15 @@ headers and footers of the page, sidebars, notices, adverts, forms, scripts, sty
 comments of readers) are told by their tag, role, class or id.
 
 The host decides on the rest: the token streams of all text outside marked articles are
-laid out by host as suffixes, and suffixes of different pages that agree in ``RUN`` tokens
-(or in a whole shorter block) form a long repeated substring. The tokens that these cover
-are boilerplate, on every page; the runs that are left are its text. What a page marks as
-its article or main part is protected: there repeated passages stay. Marks count as tags
-only, so none is seen in comments, scripts or elements that are never article text.
+laid out by host as suffixes, and suffixes that agree in ``RUN`` tokens (or in a whole
+shorter block) on ``LEAST_PAGES`` pages of the host, and on ``SHARE`` of those that have
+such text, form a long repeated substring. Pages of equal blocks are one page there, so
+that an article under several urls isn't taken for repeated. Where these cover half of a
+block or more, the tokens that they cover are boilerplate; a block that only quotes stays
+whole. On hosts of fewer such pages only tags tell boilerplate. That holds on every page,
+and what is left is its text. What a page marks as its article or main part is protected:
+there repeated passages stay. Marks count as tags only, so none is seen in comments,
+scripts or elements that are never article text.
 Suffixes are grouped by the hash of their first ``RUN`` tokens and pre-aggregated, so a
 host with a third of all pages is no hot key and its suffixes are never in one task.
 
@@ -33,7 +37,12 @@ from pyspark.sql import functions as F
 from docloom.llm.common import stage
 
 #: Tokens of a repeated run.
-RUN = 8
+RUN = 12
+#: Distinct pages of a host that a run repeats on at least, and their share of the host's.
+LEAST_PAGES = 3
+SHARE = 0.3
+#: Shares of a host's runs that its number of pages is joined with.
+_SALTS = 16
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -164,7 +173,7 @@ def _text(value: bytes | None) -> str:
     return (value or b"").decode("utf-8", "replace")
 
 
-_SUFFIX = "host string, run long, page long"
+_SUFFIX = "host string, run long"
 
 
 def _hash(tokens: list[str]) -> int:
@@ -182,17 +191,16 @@ def _runs(text: str) -> list[tuple[int, int, int]]:
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Suffixes of all text outside marked articles, once per page."""
+    """Suffixes of all text outside marked articles, once per page; a null run counts the
+    page."""
     for batch in batches:
-        host, run, page = [], [], []
-        for h, p, found in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "blocks"))):
-            runs = {r for b in found if not b["inside"] for r, _, _ in _runs(b["text"])}
-            host += [h] * len(runs)
-            run += runs
-            page += [p] * len(runs)
+        host, run = [], []
+        for h, found in zip(*(batch.column(c).to_pylist() for c in ("host", "outside"))):
+            runs = {r for text in found for r, _, _ in _runs(text)}
+            host += [h] * (len(runs) + 1)
+            run += [*runs, None]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(host, pa.string()), pa.array(run, pa.int64()), pa.array(page, pa.int64())],
-            names=["host", "run", "page"],
+            [pa.array(host, pa.string()), pa.array(run, pa.int64())], names=["host", "run"]
         )
 
 
@@ -261,6 +269,8 @@ def _uncovered(text: str, spans: list[dict]) -> str:
     gone = np.zeros(len(tokens), bool)
     for span in spans:
         gone[span["first"] : span["last"]] = True
+    if 2 * gone.sum() < len(tokens):
+        return text
     return " ".join(t for t, g in zip(tokens, gone) if not g)
 
 
@@ -274,13 +284,36 @@ def main_text(pages: DataFrame) -> DataFrame:
         F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("data"),
     )
     opened = stage(read.mapInArrow(_read, _READ), "html_blocks")
-    repeated = stage(
-        opened.select("host", "page", "blocks")
+    # every text outside articles once, whichever pages of the host have it
+    outside = F.transform(F.filter("blocks", lambda b: ~b["inside"]), lambda b: b["text"])
+    distinct = (
+        opened.select("host", outside.alias("outside"), F.xxhash64("blocks").alias("content"))
+        .where(F.size("outside") > 0)
+        .dropDuplicates(["host", "content"])
+    )
+    counts = stage(
+        distinct.select("host", "outside")
         .mapInArrow(_suffixes, _SUFFIX)
         .groupBy("host", "run")
-        .agg((F.min("page") != F.max("page")).alias("repeated"))
-        .where("repeated")
-        .select(F.col("host").alias("of_host"), F.col("run").alias("of_run")),
+        .agg(F.count(F.lit(1)).alias("pages"))
+        .where(f"run is null or pages >= {LEAST_PAGES}"),
+        "html_counts",
+    )
+    # a large host's runs are dealt over several keys
+    sizes = counts.where("run is null").select(
+        F.col("host").alias("of_host"),
+        F.col("pages").alias("all_pages"),
+        F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"),
+    )
+    repeated = stage(
+        counts.where("run is not null")
+        .join(
+            sizes,
+            F.col("host").eqNullSafe(F.col("of_host"))
+            & (F.pmod("run", F.lit(_SALTS)).cast("int") == F.col("salt")),
+        )
+        .where(F.col("pages") >= SHARE * F.col("all_pages"))
+        .select("of_host", F.col("run").alias("of_run")),
         "html_repeated",
     )
     covered = (

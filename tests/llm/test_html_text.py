@@ -65,3 +65,17 @@ def test_the_host_decides_on_pages_with_marks_too(spark):
     got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
     expected = {i: f"lead {i}\nown {i}" for i in range(4)}
     assert got == expected | {10: "body", 11: "body", 12: "text", 13: "one\ntwo"}
+
+
+def test_copies_quotations_and_rare_headings_stay(spark):
+    article = " ".join(f"a{i}" for i in range(40))
+    quote = " ".join(f"q{i}" for i in range(14))
+    menu = "home news sports weather about contact"
+    rows = [(i, f"http://h.example/{i}", f"<div>{menu}</div><p>{article}</p>") for i in range(4)]
+    rows += [(i, f"http://h.example/{i}", f"<div>{menu}</div><h2>Introduction</h2><p>own{i} says {quote} " + " ".join(f"w{i}_{k}" for k in range(30)) + "</p>") for i in (10, 11)]
+    rows += [(i, f"http://h.example/{i}", f"<div>{menu}</div><p>page {i}</p>") for i in range(20, 26)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert all(got[i] == article for i in range(4))
+    assert all(got[i] == f"Introduction\nown{i} says {quote} " + " ".join(f"w{i}_{k}" for k in range(30)) for i in (10, 11))
+    assert all(got[i] == f"page {i}" for i in range(20, 26))
