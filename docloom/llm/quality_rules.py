@@ -5,12 +5,14 @@ words in repeated three-word windows, fail at once. Of the others, the statistic
 transformed to a vector, and for every language and source location and scatter are
 estimated by minimum covariance determinant: from the documents nearest to the medians,
 concentration steps keep the ``CORE`` nearest by the current estimate and estimate anew.
+The same is done for every language as a whole and for all documents. A language's estimate
+is pulled towards that of all documents, and a group's towards its language's, by weights
+that fall steadily with the number of documents, so that no size switches the method.
 A document is rejected if its squared Mahalanobis distance is beyond ``CUTOFF`` times
 what that of the central documents leads to expect.
 
 Every step is one aggregation, pre-aggregated map-side, so a source with a third of all
-documents is no hot key; medians and quantiles are mergeable sketches. Groups of fewer
-than ``LEAST_GROUP`` documents are judged by the estimate over all documents.
+documents is no hot key; medians and quantiles are mergeable sketches.
 
 Definitions. Words are runs of anything but space and \\x09 to \\x0D; null text has none.
 Null languages and sources are groups like others. Each row is judged on its own text;
@@ -32,8 +34,8 @@ MOST_REPEATS = 50
 #: Share of a group that the estimates rest on, and concentration steps.
 CORE = 0.75
 STEPS = 3
-#: Documents that a group needs for estimates of its own.
-LEAST_GROUP = 200
+#: Documents at which a group's own location and scatter weigh half.
+LOCATION_HALF, SCATTER_HALF = 5, 50
 #: Squared distances beyond this are rejected, where the median is that of a chi-square
 #: with five degrees of freedom. Text statistics have heavier tails than the normal.
 CUTOFF = 100.0
@@ -121,13 +123,14 @@ _GROUP = ["g_lang", "g_source"]
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """Every row in its own group and in that of all documents, where it counts for the
-    estimates only."""
+    """Every row in its own group, and in those of its language and of all documents, where
+    it counts for the estimates only."""
     lang = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
     source = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
     own = F.struct(lang.alias("g_lang"), source.alias("g_source"))
+    of_lang = F.struct(lang.alias("g_lang"), F.lit("*").alias("g_source"))
     every = F.struct(F.lit("*").alias("g_lang"), F.lit("*").alias("g_source"))
-    return rows.withColumn("g", F.explode(F.array(own, every))).select("*", "g.g_lang", "g.g_source").drop("g")
+    return rows.withColumn("g", F.explode(F.array(own, of_lang, every))).select("*", "g.g_lang", "g.g_source").drop("g")
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -157,15 +160,13 @@ def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return out.select(*rows.columns, total.alias("distance"))
 
 
-def _estimate(nearest: DataFrame) -> DataFrame:
-    """Means and Cholesky factors of the scatter of each group's nearest documents."""
-    pairs = [(i, j) for i in range(5) for j in range(i + 1)]
-    moments = nearest.groupBy(*_GROUP).agg(
-        *[F.avg(x).alias(f"m_{x}") for x in _FEATURES],
-        *[F.covar_pop(_FEATURES[i], _FEATURES[j]).alias(f"c_{i}_{j}") for i, j in pairs],
-    )
-    for i, j in pairs:
-        rest = F.col(f"c_{i}_{j}") + (F.lit(_FLOOR**2) if i == j else F.lit(0.0))
+_PAIRS = [(i, j) for i in range(5) for j in range(i + 1)]
+
+
+def _factored(moments: DataFrame) -> DataFrame:
+    """Add the Cholesky factors ``l_i_j`` of the scatter ``c_i_j``."""
+    for i, j in _PAIRS:
+        rest = F.col(f"c_{i}_{j}")
         for k in range(j):
             rest = rest - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
         if i == j:
@@ -173,7 +174,52 @@ def _estimate(nearest: DataFrame) -> DataFrame:
         else:
             factor = rest / F.col(f"l_{j}_{j}")
         moments = moments.withColumn(f"l_{i}_{j}", factor)
-    return moments.select(*_GROUP, *[f"m_{x}" for x in _FEATURES], *[f"l_{i}_{j}" for i, j in pairs])
+    return moments
+
+
+def _estimate(nearest: DataFrame) -> DataFrame:
+    """Means and Cholesky factors of the scatter of each group's nearest documents."""
+    moments = nearest.groupBy(*_GROUP).agg(
+        *[F.avg(x).alias(f"m_{x}") for x in _FEATURES],
+        *[
+            (F.covar_pop(_FEATURES[i], _FEATURES[j]) + F.lit(_FLOOR**2 if i == j else 0.0)).alias(f"c_{i}_{j}")
+            for i, j in _PAIRS
+        ],
+    )
+    return _factored(moments).select(
+        *_GROUP, *[f"m_{x}" for x in _FEATURES], *[f"l_{i}_{j}" for i, j in _PAIRS]
+    )
+
+
+def _pulled(groups: DataFrame, towards: DataFrame, on: list[str]) -> DataFrame:
+    """Location and scatter of groups, pulled towards others' the more the smaller they are."""
+    values = [f"m_{x}" for x in _FEATURES] + [f"c_{i}_{j}" for i, j in _PAIRS]
+    others = towards.select(*on, *[F.col(v).alias(f"to_{v}") for v in values])
+    both = groups.join(others, on) if on else groups.crossJoin(others)
+
+    def pulled(value: str) -> Column:
+        half = LOCATION_HALF if value.startswith("m_") else SCATTER_HALF
+        own = F.col("members") / (F.col("members") + half)
+        return (own * F.col(value) + (1 - own) * F.col(f"to_{value}")).alias(value)
+
+    return both.select(*_GROUP, "members", *map(pulled, values))
+
+
+def _shrunk(final: DataFrame) -> DataFrame:
+    """Estimates of the groups of language and source, from those of all groups and the
+    ``unit`` of each one's distances."""
+    # without the correction where the median documents are nearer than expected
+    unit = F.greatest("unit", F.lit(1.0))
+    scatter = [
+        (unit * sum(F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j + 1))).alias(f"c_{i}_{j}")
+        for i, j in _PAIRS
+    ]
+    known = final.select(*_GROUP, "members", *[f"m_{x}" for x in _FEATURES], *scatter)
+    langs = _pulled(known.where("g_lang <> '*' and g_source = '*'"), known.where("g_lang = '*'"), [])
+    own = _pulled(known.where("g_source <> '*'"), langs, ["g_lang"])
+    return _factored(own).select(
+        *_GROUP, *[f"m_{x}" for x in _FEATURES], *[f"l_{i}_{j}" for i, j in _PAIRS], "members"
+    )
 
 
 def judge(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -196,24 +242,13 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
         .agg((F.percentile_approx("distance", 0.5) / _MEDIAN).alias("unit"))
     )
     final = stage(estimates.join(medians, _GROUP), "rules_final")
-    large = final.where(F.col("members") >= LEAST_GROUP).select(*_GROUP)
-    owned = (
-        _grouped(rows)
-        .where("g_lang <> '*'")
-        .join(large.withColumn("large", F.lit(True)), _GROUP, "left")
-        .withColumn("g_lang", F.when(F.col("large"), F.col("g_lang")).otherwise("*"))
-        .withColumn("g_source", F.when(F.col("large"), F.col("g_source")).otherwise("*"))
-        .drop("large")
-    )
-    units = final.select(*_GROUP, "unit")
-    judged = _with_distance(owned, final.drop("unit")).join(units, _GROUP)
-    # without the correction where the median documents are nearer than expected
-    distance = F.col("distance") / F.greatest("unit", F.lit(1.0))
+    shrunk = stage(_shrunk(final), "rules_shrunk")
+    judged = _with_distance(_grouped(rows).where("g_source <> '*'"), shrunk)
     failed = counted.where("base_failed").select(
         "*", F.lit(False).alias("kept"), F.lit(None).cast("double").alias("distance")
     )
     return judged.select(
-        *counted.columns, (distance <= CUTOFF).alias("kept"), distance.alias("distance")
+        *counted.columns, (F.col("distance") <= CUTOFF).alias("kept"), "distance"
     ).union(failed)
 
 

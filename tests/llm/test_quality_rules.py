@@ -56,3 +56,17 @@ def test_distances_are_mahalanobis(spark):
     centred = got[["x0", "x1", "x2", "x3", "x4"]].to_numpy() - points.mean(axis=0)
     expected = np.einsum("ij,jk,ik->i", centred, np.linalg.inv(scatter), centred)
     assert got["distance"].to_numpy() == pytest.approx(expected, rel=1e-6)
+
+
+def test_a_small_language_is_judged_against_its_own(spark):
+    rng = random.Random(6)
+
+    def text(chars, end=""):
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(chars - 2, chars + 2))) for _ in range(rng.randint(60, 200))) + end
+
+    rows = [(i, text(5), "en", "web") for i in range(300)]
+    rows += [(1000 + i, text(30), "th", "web") for i in range(40)]
+    rows += [(2000, text(30, " " + "#" * 9000), "th", "web")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in quality_rules.verdicts(df).collect()}
+    assert not got.pop(2000) and all(got.values())
