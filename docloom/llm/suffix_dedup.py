@@ -6,8 +6,10 @@ the passage alone. The starts that share a trigger form a phrase; the phrase wit
 100 bytes that follow its last start is a word of the dictionary. Equal passages have
 equal triggers at equal distances, so the corpus order of two suffixes that agree in
 100 bytes is settled among the dictionary words of one trigger: the suffixes of those
-words are sorted, and the parse (the places where each word occurs) gives the first
-occurrence of each.
+words are grouped by their distance to the trigger and a 64-bit hash of their first 100
+bytes, and the first place of each word, a minimum over the parse, gives the first
+occurrence of each group. This stands in for suffix arrays of dictionary and parse: only
+whether suffixes agree in 100 bytes matters here, not which one sorts first.
 
 What moves through the cluster follows from that:
 
@@ -15,7 +17,7 @@ What moves through the cluster follows from that:
    more than once;
 2. of those, triggers with a single dictionary word are settled by their first place;
 3. of the others each distinct word is fetched once, and the suffixes of the words of
-   one trigger are sorted side by side. A trigger with more than ``HOT_WORDS`` different
+   one trigger are sorted by these hashes. A trigger with more than ``HOT_WORDS`` different
    words has its suffixes hashed and aggregated over all tasks instead, so no task ever
    holds an unbounded group.
 
