@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm import (
     bpe,
+    decontaminate,
     html_text,
+    importance,
     line_crf,
     lsh_forest,
     mixing,
@@ -65,6 +67,14 @@ def op10_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -79,6 +89,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_bpe,
             op9_lsh_forest,
             op10_window_dedup,
+            op11_importance,
+            op13_decontaminate,
         )
     }
 
@@ -121,5 +133,105 @@ from d left join kept using (doc_id)
 """
 
 
+#: Words of a text for op11 and op13.
+_SMALL_WORDS = r"""
+regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+#: crc32 is the exclusive or of one number for each byte, which depends on the byte and on
+#: how many follow, and of one for the length; both come from the table of single bytes.
+_OP11 = """
+with recursive bits as (
+  select b, b as v, 0 as step from range(256) t(b)
+  union all
+  select b, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, step + 1 from bits where step < 8),
+single as materialized (select b, v from bits where step = 8),
+words as materialized (
+  select 0 as kind, doc_id as id, row_number() over () as row, WORDS as w from documents
+  union all
+  select 1, item_id, -row_number() over (), WORDS from benchmark),
+feats as materialized (
+  select kind, row, unnest(w) as f from words
+  union all
+  select kind, row, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words
+  union all
+  select kind, row, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+  from words),
+known as materialized (select f, hex(encode(f)) as x, strlen(f) as n from (select distinct f from feats)),
+longest as materialized (select coalesce(max(n), 0) as n from known),
+byte_at as (
+  select b, v, 0 as k from single
+  union all
+  select byte_at.b, xor(byte_at.v >> 8, single.v), k + 1
+  from byte_at join single on single.b = byte_at.v & 255 where k < (select n from longest)),
+start_at as (
+  select 4294967295::bigint as v, 0 as k
+  union all
+  select xor(start_at.v >> 8, single.v), k + 1
+  from start_at join single on single.b = start_at.v & 255 where k < (select n from longest)),
+bytes as (
+  select f, n, unnest(range(n)) as i, x from known),
+sums as (
+  select f, any_value(n) as n, bit_xor(byte_at.v) as v
+  from bytes join byte_at on byte_at.k = bytes.n - 1 - i
+    and byte_at.b = ('0x' || substr(x, (2 * i + 1)::int, 2))::int
+  group by f),
+bucket as materialized (
+  select f, xor(xor(sums.v, start_at.v), 4294967295) % 10000 as bucket
+  from sums join start_at on start_at.k = sums.n),
+placed as materialized (select kind, row, bucket from feats join bucket using (f)),
+totals as (
+  select (count(*) filter (kind = 0))::double as own, (count(*) filter (kind = 1))::double as aim from placed),
+gain as (
+  select bucket, floor(1000::double * ln(
+    (((count(*) filter (kind = 1)) + 1::double) * (any_value(totals.own) + 10000))
+    / (((count(*) filter (kind = 0)) + 1::double) * (any_value(totals.aim) + 10000))))::bigint as gain
+  from placed, totals group by bucket),
+weighed as (
+  select row, count(*) as n_features, sum(gain)::bigint as weight from placed join gain using (bucket)
+  where kind = 0 group by row),
+scored as (
+  select id as doc_id, len(w) >= 20 as can, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000::double * ln(-ln(
+      (('0x' || substr(sha256('42:' || id::varchar), 1, 8))::bigint::double + 0.5::double) / 4294967296::double)))::bigint as score
+  from words left join weighed using (row) where kind = 0),
+ranked as (
+  select *, row_number() over (partition by can order by score desc, doc_id) as r, count(*) filter (can) over () as n
+  from scored)
+select doc_id, n_features::bigint as n_features, weight::bigint as weight, score::bigint as score,
+  (case when can and r <= 5 * n // 100 then r end)::bigint as rank
+from ranked
+""".replace("WORDS", _SMALL_WORDS)
+
+#: Windows as texts, joined by length.
+_OP13 = """
+with d as materialized (select doc_id, row_number() over () as row, WORDS as w from documents),
+items as (select item_id::varchar as item, WORDS as w from benchmark),
+patterns as materialized (
+  select distinct item, least(len(w), 10) as n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as t
+  from (select item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from items where len(w) > 0)),
+lengths as (select distinct n from patterns),
+places as (
+  select row, w, n, unnest(range(1, len(w) - n + 2)) as i from d, lengths where len(w) >= n),
+found as materialized (
+  select row, i, p.n, item
+  from (select row, i, n, array_to_string(w[i:i + n - 1], ' ') as t from places) s join patterns p using (n, t)),
+hit as (
+  select row, count(distinct k) as n_hit from (select row, unnest(range(i, i + n)) as k from found) group by row),
+named as (
+  select row, count(*) as n_items, string_agg(item, ',' order by item) as names
+  from (select distinct row, item from found) group by row)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit using (row) left join named using (row)
+""".replace("WORDS", _SMALL_WORDS)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": _OP2, "op10_window_dedup": _OP10}
+    return {
+        "op2_warc": _OP2,
+        "op10_window_dedup": _OP10,
+        "op11_importance": _OP11,
+        "op13_decontaminate": _OP13,
+    }

@@ -1,7 +1,9 @@
 """Plain restatements of the operators for small inputs."""
 
 import hashlib
+import math
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -88,3 +90,58 @@ def base_statistics(text):
             seen.add(line)
     failed = len(words) < 50 or 100 * len(twice) > 50 * len(words)
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(twice), failed)
+
+
+BYTE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def byte_words(text):
+    return BYTE_WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def features(text):
+    words = byte_words(text)
+    return [" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+
+
+def importance(docs, target, buckets=10_000, percent=5):
+    """docs: (doc_id, text) with distinct ids; target: texts."""
+    own, aim = [0] * buckets, [0] * buckets
+    for counts, texts in ((own, [t for _, t in docs]), (aim, target)):
+        for text in texts:
+            for f in features(text):
+                counts[zlib.crc32(f.encode()) % buckets] += 1
+    gain = [
+        math.floor(1000 * math.log((t + 1.0) * (sum(own) + float(buckets)) / ((s + 1.0) * (sum(aim) + float(buckets)))))
+        for s, t in zip(own, aim)
+    ]
+    out = {}
+    for doc_id, text in docs:
+        found = [zlib.crc32(f.encode()) % buckets for f in features(text)]
+        h = int(sha(f"42:{doc_id}".encode())[:8], 16)
+        weight = sum(gain[b] for b in found)
+        out[doc_id] = (len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))))
+    can = sorted((-out[d][2], d) for d, t in docs if len(byte_words(t)) >= 20)
+    rank = {d: i + 1 for i, (_, d) in enumerate(can[: percent * len(can) // 100])}
+    return {d: (*x, rank.get(d)) for d, x in out.items()}
+
+
+def decontaminate(docs, items, size=10):
+    """docs: (doc_id, text) with distinct ids; items: (item_id, text)."""
+    windows = {}
+    for item, text in items:
+        w = byte_words(text)
+        n = min(size, len(w))
+        for i in range(len(w) - n + 1) if n else ():
+            windows.setdefault(tuple(w[i : i + n]), set()).add("" if item is None else str(item))
+    out = {}
+    for doc_id, text in docs:
+        w, hit, names = byte_words(text), set(), set()
+        for n in range(1, size + 1):
+            for i in range(len(w) - n + 1):
+                found = windows.get(tuple(w[i : i + n]))
+                if found:
+                    hit.update(range(i, i + n))
+                    names |= found
+        out[doc_id] = (len(w), len(hit), len(names), sha(",".join(sorted(names, key=str.encode)).encode()), bool(hit))
+    return out
