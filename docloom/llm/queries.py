@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docloom.llm import (
     bpe,
+    conversations,
     decontaminate,
     html_text,
     importance,
@@ -71,6 +72,10 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.digests(table(spark, sf_dir, "conversations"))
+
+
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -90,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_lsh_forest,
             op10_window_dedup,
             op11_importance,
+            op12_conversations,
             op13_decontaminate,
         )
     }
@@ -141,24 +147,16 @@ regexp_extract_all(
 
 #: crc32 is the exclusive or of one number for each byte, which depends on the byte and on
 #: how many follow, and of one for the length; both come from the table of single bytes.
-_OP11 = """
-with recursive bits as (
+_CRC_TABLE = """
+bits as (
   select b, b as v, 0 as step from range(256) t(b)
   union all
   select b, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, step + 1 from bits where step < 8),
-single as materialized (select b, v from bits where step = 8),
-words as materialized (
-  select 0 as kind, doc_id as id, row_number() over () as row, WORDS as w from documents
-  union all
-  select 1, item_id, -row_number() over (), WORDS from benchmark),
-feats as materialized (
-  select kind, row, unnest(w) as f from words
-  union all
-  select kind, row, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words
-  union all
-  select kind, row, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
-  from words),
-known as materialized (select f, hex(encode(f)) as x, strlen(f) as n from (select distinct f from feats)),
+single as materialized (select b, v from bits where step = 8)"""
+
+#: crc32 of the texts f in the table known, which also has their bytes x in hexadecimal and
+#: their number n.
+_CRC = """
 longest as materialized (select coalesce(max(n), 0) as n from known),
 byte_at as (
   select b, v, 0 as k from single
@@ -177,10 +175,25 @@ sums as (
   from bytes join byte_at on byte_at.k = bytes.n - 1 - i
     and byte_at.b = ('0x' || substr(x, (2 * i + 1)::int, 2))::int
   group by f),
-bucket as materialized (
-  select f, xor(xor(sums.v, start_at.v), 4294967295) % 10000 as bucket
-  from sums join start_at on start_at.k = sums.n),
-placed as materialized (select kind, row, bucket from feats join bucket using (f)),
+crc as materialized (
+  select f, xor(xor(sums.v, start_at.v), 4294967295) as crc from sums join start_at on start_at.k = sums.n)"""
+
+_OP11 = f"""
+with recursive {_CRC_TABLE},
+words as materialized (
+  select 0 as kind, doc_id as id, row_number() over () as row, WORDS as w from documents
+  union all
+  select 1, item_id, -row_number() over (), WORDS from benchmark),
+feats as materialized (
+  select kind, row, unnest(w) as f from words
+  union all
+  select kind, row, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words
+  union all
+  select kind, row, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+  from words),
+known as materialized (select f, hex(encode(f)) as x, strlen(f) as n from (select distinct f from feats)),
+{_CRC},
+placed as materialized (select kind, row, crc % 10000 as bucket from feats join crc using (f)),
 totals as (
   select (count(*) filter (kind = 0))::double as own, (count(*) filter (kind = 1))::double as aim from placed),
 gain as (
@@ -204,6 +217,89 @@ select doc_id, n_features::bigint as n_features, weight::bigint as weight, score
 from ranked
 """.replace("WORDS", _SMALL_WORDS)
 
+#: Both passes of the dynamic programming in step over all conversations: v holds the costs
+#: of the best end from the states nothing, system, user and assistant said (1 to 4).
+_OP12 = f"""
+with recursive {_CRC_TABLE},
+given as materialized (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as f
+  from conversations),
+known as materialized (select f, hex(encode(f)) as x, strlen(f) as n from (select distinct f from given)),
+{_CRC},
+damaged as (
+  select conv_id, turn, case when crc % 20 = 4 then 'user' else role end as role,
+    case crc % 20 when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case crc % 20 when 0 then 0 when 3 then 2 else 1 end)) as copy
+  from given join crc using (f)),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as i
+  from damaged),
+faults as (
+  select *, not regexp_matches(text, '[^\\x20\\x09-\\x0D]') as blank,
+    row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+    not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') as open_end, left(role, 1) as who
+  from placed),
+rows as materialized (
+  select conv_id, turn, i, role, text, who, blank, again and not blank as duplicate,
+    open_end and not blank and not again as truncated, blank or again as doomed,
+    case when open_end then 5 else 0 end as pay,
+    coalesce(lag(who) over (partition by conv_id order by i) || who not in ('su', 'ua', 'au'), false) as illegal
+  from faults),
+counts as materialized (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate,
+    count(*) filter (truncated) as truncated, count(*) filter (illegal) as illegal
+  from rows group by conv_id),
+back as (
+  select conv_id, n as i, [0, 10, 5, 0]::bigint[] as v from counts
+  union all
+  select conv_id, i, [least(g[1], 5 + u), least(g[2], 5 + u), u, least(g[4], 5 + u)]
+  from (
+    select conv_id, i, g, least(g[3], 5 + g[4]) as u
+    from (
+      select r.conv_id, b.i - 1 as i, [
+        least(2 + v[1], case when not doomed then pay + 1 + v[3] end, case when not doomed and who = 'u' then pay + v[3] end,
+          case when not doomed and who = 's' then pay + v[2] end),
+        least(2 + v[2], case when not doomed then pay + 1 + v[3] end, case when not doomed and who = 'u' then pay + v[3] end),
+        least(2 + v[3], case when not doomed then pay + 1 + v[4] end, case when not doomed and who = 'a' then pay + v[4] end),
+        least(2 + v[4], case when not doomed then pay + 1 + v[3] end, case when not doomed and who = 'u' then pay + v[3] end)
+      ] as g
+      from back b join rows r on r.conv_id is not distinct from b.conv_id and r.i = b.i))),
+costs as materialized (select * from back),
+ahead as (
+  select conv_id, 0::bigint as i, 1 as state, '' as audit, null::varchar as said from counts
+  union all
+  select conv_id,
+    case when edit = 'I' then i else i + 1 end,
+    case edit when 'D' then state when 'K' then (case who when 's' then 2 when 'u' then 3 else 4 end) else next end,
+    audit || edit,
+    case when edit = 'D' then said
+      else coalesce(said || chr(10), '') || (case edit when 'K' then role else (case next when 3 then 'user' else 'assistant' end) end)
+        || ':' || (case edit when 'I' then '' else text end) end
+  from (
+    select a.*, r.role, r.text, r.who, case when state = 3 then 4 else 3 end as next,
+      case when h.v[state] = 2 + b.v[state] then 'D'
+        when h.v[state] = 5 + h.v[case when state = 3 then 4 else 3 end] then 'I'
+        when not doomed and ((who = 'u' and state <> 3 and h.v[state] = pay + b.v[3]) or (who = 'a' and state = 3 and h.v[state] = pay + b.v[4])
+          or (who = 's' and state = 1 and h.v[state] = pay + b.v[2])) then 'K'
+        else 'R' end as edit
+    from ahead a join costs h on h.conv_id is not distinct from a.conv_id and h.i = a.i
+    left join costs b on b.conv_id is not distinct from a.conv_id and b.i = a.i + 1
+    left join rows r on r.conv_id is not distinct from a.conv_id and r.i = a.i + 1
+    where b.i is not null or h.v[state] > 0)),
+done as (
+  select conv_id, arg_max(audit, len(audit)) as audit, arg_max(coalesce(said, ''), len(audit)) as said from ahead group by conv_id),
+every as (select distinct conv_id from conversations)
+select every.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+  coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(costs.v[1], 0)::bigint as cost,
+  coalesce(audit, '') as audit, sha256(coalesce(said, '')) as repaired_sha256
+from every left join counts on counts.conv_id is not distinct from every.conv_id
+left join costs on costs.conv_id is not distinct from every.conv_id and costs.i = 0
+left join done on done.conv_id is not distinct from every.conv_id
+"""
+
 #: Windows as texts, joined by length.
 _OP13 = """
 with d as materialized (select doc_id, row_number() over () as row, WORDS as w from documents),
@@ -233,5 +329,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_warc": _OP2,
         "op10_window_dedup": _OP10,
         "op11_importance": _OP11,
+        "op12_conversations": _OP12,
         "op13_decontaminate": _OP13,
     }

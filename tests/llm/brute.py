@@ -145,3 +145,72 @@ def decontaminate(docs, items, size=10):
                     names |= found
         out[doc_id] = (len(w), len(hit), len(names), sha(",".join(sorted(names, key=str.encode)).encode()), bool(hit))
     return out
+
+
+def repaired(rows):
+    """rows: (turn, role, text) of one conversation; everything but gaps is found by trying all edits."""
+    rows = sorted(
+        ((t, " " if r is None else r, " " if x is None else x) for t, r, x in rows),
+        key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.md5(r[2].encode()).hexdigest()),
+    )
+    faults, seen = [], set()
+    for _, role, text in rows:
+        shown = re.sub(r"[\x20\x09-\x0D]", "", text)
+        faults.append("blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else "")
+        seen.add((role, text))
+    allowed = {"": "su", "s": "u", "u": "a", "a": "u"}
+    best = {}
+
+    def ways(i, said):
+        """Least (cost, edits) of all ways to end from here, with the lines they leave."""
+        if (i, said) not in best:
+            found = [(0, "", ())] if i == len(rows) and said in ("", "a") else []
+            for n in range(1, 3):  # rows put in before the next row is dealt with
+                state, new = said, []
+                for _ in range(n):
+                    state = "a" if state == "u" else "u"
+                    new.append((state, ""))
+                found += [(c + 5 * n, "I" * n + e, (*new, *x)) for c, e, x in steps(i, state)]
+            best[i, said] = min(found + steps(i, said), key=lambda w: w[:2])
+        return best[i, said]
+
+    def steps(i, said):
+        if i == len(rows):
+            return [(0, "", ())] if said in ("", "a") else []
+        c, e, x = ways(i + 1, said)
+        out = [(c + 2, "D" + e, x)]
+        if faults[i] not in ("blank", "duplicate"):
+            pay, role = 5 * (faults[i] == "truncated"), rows[i][1]
+            for edit, name in (("K", role), ("R", "user"), ("R", "assistant")):
+                if name[:1] and name[:1] in allowed[said]:
+                    c, e, x = ways(i + 1, name[0])
+                    out.append((c + pay + (edit == "R"), edit + e, ((name, rows[i][2]), *x)))
+        return out
+
+    for i in range(len(rows), -1, -1):
+        for said in allowed:
+            ways(i, said)
+    cost, edits, lines = ways(0, "")
+    names = {"u": "user", "a": "assistant"}
+    text = "\n".join(f"{names.get(role, role)}:{said}" for role, said in lines)
+    turns = {t for t, _, _ in rows if t is not None}
+    initials = [r[1][:1] for r in rows]
+    return {
+        "gaps": max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+        **{f: faults.count(f) for f in ("blank", "duplicate", "truncated")},
+        "illegal": sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])),
+        "cost": cost,
+        "audit": edits,
+        "repaired_sha256": sha(text.encode()),
+    }
+
+
+def damaged(rows):
+    """rows: (conv_id, turn, role, text)."""
+    out = []
+    for conv, turn, role, text in rows:
+        fault = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        text, role = " " if text is None else text, " " if role is None else role
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        out += [(conv, turn, "user" if fault == 4 else role, text)] * {0: 0, 3: 2}.get(fault, 1)
+    return out
