@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,19 +26,24 @@ UNKNOWN = "Unknown"
 
 # Cells of the query x row matrix computed at once: 16 MB.
 MATRIX_CELLS = 1 << 21
-# Queries travel to the tasks in blocks of about this size.
+# Vectors travel packed in rows of about this size.
+PACK_BYTES = 2 << 20
+# Queries up to this size meet the collection where it lies; more go in groups of this size.
 BLOCK_BYTES = 32 << 20
+# A task lets go of its best hits beyond this number.
+HELD_HITS = 1 << 19
 
 
 def nearest_single(
     vector: list[float], collection: DataFrame, k: int = DEFAULT_K, exclude_missing: bool = False
 ) -> DataFrame:
     """The ``k`` rows nearest to one vector: each task keeps its best k, then a merge."""
-    ids, query = np.zeros(1, dtype=object), np.asarray([vector], dtype=np.float64)
-    if not np.isfinite(query).all():
+    if not np.isfinite(np.asarray(vector, dtype=np.float64)).all():
         raise ValueError("the query vector has components that aren't finite")
-    rows = _searched(collection, exclude_missing, len(vector))
-    found = _scan_collection(ids, query, _hit_schema(T.IntegerType()), rows, k)
+    asked = collection.sparkSession.createDataFrame(
+        [(0, [float(x) for x in vector])], "query_id int, embedding array<double>"
+    )
+    found = _met(asked, _searched(collection, exclude_missing), k, 1)
     return found.select("chunk_id", "distance").orderBy("distance", "chunk_id").limit(k)
 
 
@@ -45,15 +51,15 @@ def _finite(vector: str) -> Column:
     return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
 
-def _searched(collection: DataFrame, exclude_missing: bool, width: int) -> DataFrame:
-    """What is scanned: the id and the vector of rows that can be at a distance.
+def _measurable(rows: DataFrame) -> DataFrame:
+    """Rows that can be at a distance: without a vector, or with a component that is null or
+    not finite, a row is left out, so that it can't hide the rows beside it."""
+    return rows.where(F.coalesce(_finite("embedding") & (F.size("embedding") > 0), F.lit(False)))
 
-    Rows without a vector, of another width, or with a component that is null or not
-    finite are left out, so they can't hide the rows beside them.
-    """
+
+def _searched(collection: DataFrame, exclude_missing: bool) -> DataFrame:
     rows = collection.where("not embedding_missing") if exclude_missing else collection
-    fits = (F.size("embedding") == width) & _finite("embedding")
-    return rows.where(F.coalesce(fits, F.lit(False))).select("chunk_id", "embedding")
+    return _measurable(rows).select("chunk_id", "embedding")
 
 
 def _ranked(candidates: DataFrame, k: int) -> DataFrame:
@@ -65,13 +71,6 @@ def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """A column of equally long lists as a matrix."""
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    values = array.flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(array), -1).astype(np.float64) if len(array) else np.zeros((0, 0))
-
-
 def _nearest_rows(
     queries: np.ndarray, rows: np.ndarray, squares: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -89,39 +88,108 @@ def _nearest_rows(
     return np.nonzero(rough <= limit + slack)
 
 
-def _best(ids: np.ndarray, queries: np.ndarray, batch: pa.RecordBatch, k: int) -> pd.DataFrame:
-    rows = _matrix(batch.column("embedding"))
+def _best(queries: np.ndarray, rows: np.ndarray, chunk_ids: np.ndarray, k: int) -> pd.DataFrame:
+    """The k nearest rows of each query, named by its place."""
     squares = (rows**2).sum(1)
-    chunk_ids = np.asarray(batch.column("chunk_id").to_pylist(), dtype=object)
     step = max(1, MATRIX_CELLS // len(rows))
     found = []
-    for begin in range(0, len(ids), step):
+    for begin in range(0, len(queries), step):
         part = queries[begin : begin + step]
         which, row = _nearest_rows(part, rows, squares, k)
         # exact distances, summed from small differences, of the few pairs left
         exact = ((part[which] - rows[row]) ** 2).sum(1)
-        columns = {"query_id": ids[begin + which], "chunk_id": chunk_ids[row], "distance": exact}
+        columns = {"query": begin + which, "chunk_id": chunk_ids[row], "distance": exact}
         found.append(_keep(pd.DataFrame(columns), k))
     return pd.concat(found)
 
 
 def _keep(found: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = found.sort_values(["query_id", "distance", "chunk_id"], kind="stable")
-    return ordered.groupby("query_id", sort=False).head(k)
+    ordered = found.sort_values(["query", "distance", "chunk_id"], kind="stable")
+    return ordered.groupby("query", sort=False).head(k)
+
+
+_PACK = "width int, ids array<{}>, data binary"
+
+
+def _pack(
+    batches: Iterator[pa.RecordBatch], dtype: str, size: int, schema: pa.Schema
+) -> Iterator[pa.RecordBatch]:
+    """Lay the vectors of one width end to end, about ``size`` bytes of them in a row."""
+    held: dict[int, tuple[list, list]] = {}
+    for batch in batches:
+        widths = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        for width in np.unique(widths):
+            mine = batch.filter(pa.array(widths == width))
+            values = mine.column(1).flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False)
+            ids, data = held.setdefault(int(width), ([], []))
+            most = max(1, size // (int(width) * values.itemsize))
+            for begin in range(0, mine.num_rows, most):
+                ids.append(mine.column(0).slice(begin, most))
+                data.append(values[begin * width : (begin + most) * width])
+                if sum(map(len, ids)) >= most:
+                    yield _one_pack(int(width), ids, data, schema)
+                    ids.clear()
+                    data.clear()
+    for width, (ids, data) in held.items():
+        if ids:
+            yield _one_pack(width, ids, data, schema)
+
+
+def _one_pack(width: int, ids: list, data: list, schema: pa.Schema) -> pa.RecordBatch:
+    joined = pa.concat_arrays(ids)
+    offsets = pa.array([0, len(joined)], pa.int32())
+    columns = [pa.array([width], pa.int32()), pa.ListArray.from_arrays(offsets, joined)]
+    packed = pa.array([np.concatenate(data).tobytes()], pa.binary())
+    return pa.RecordBatch.from_arrays([*columns, packed], names=schema.names)
+
+
+def _packs(rows: DataFrame, id_type: T.DataType, names: tuple[str, str], dtype: str) -> DataFrame:
+    """(width, ids, data): the vectors of ``rows``, packed where they lie."""
+    schema = T.StructType.fromDDL(_PACK.format(id_type.simpleString()))
+    run = partial(_pack, dtype=dtype, size=PACK_BYTES, schema=to_arrow_schema(schema))
+    packed = rows.mapInArrow(run, schema)
+    return packed.select(
+        "width",
+        F.col("ids").alias(names[0]),
+        F.col("data").alias(names[1]),
+        F.monotonically_increasing_id().alias(f"{names[1]}_number"),
+    )
 
 
 def _scan(
-    batches: Iterator[pa.RecordBatch], shared, k: int, schema: pa.Schema
+    batches: Iterator[pa.RecordBatch], k: int, dtype: str, most: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
-    """Best k rows per query of one task's share of the collection."""
-    ids, queries = shared.value
-    best = None
+    """The best k of the rows that a task sees, for each block of queries that it sees."""
+    held: dict[int, tuple[pa.Array, pd.DataFrame]] = {}
+    slab = rows = chunk_ids = None
     for batch in batches:
-        if batch.num_rows:
-            found = _best(ids, queries, batch, k)
-            best = found if best is None else _keep(pd.concat([best, found]), k)
-    if best is not None:
-        yield pa.RecordBatch.from_pandas(best, schema=schema, preserve_index=False)
+        columns = {name: batch.column(name) for name in batch.schema.names}
+        for i in range(batch.num_rows):
+            width, number = columns["width"][i].as_py(), columns["rows_number"][i].as_py()
+            if number != slab:
+                slab, data = number, columns["rows"][i].as_buffer()
+                rows = np.frombuffer(data, dtype).reshape(-1, width).astype(np.float64)
+                chunk_ids = np.asarray(columns["chunk_ids"][i].values.to_pylist(), dtype=object)
+            block = columns["queries_number"][i].as_py()
+            queries = np.frombuffer(columns["queries"][i].as_buffer(), np.float64).reshape(-1, width)
+            found = _best(queries, rows, chunk_ids, k)
+            if block in held:
+                found = _keep(pd.concat([held[block][1], found]), k)
+            held[block] = (columns["query_ids"][i].values, found)
+        if sum(len(best) for _, best in held.values()) > most:
+            yield from _let_go(held, schema)
+            held.clear()
+    yield from _let_go(held, schema)
+
+
+def _let_go(held: dict[int, tuple[pa.Array, pd.DataFrame]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for ids, best in held.values():
+        columns = [
+            ids.take(pa.array(best["query"].to_numpy())),
+            pa.array(best["chunk_id"], pa.string()),
+            pa.array(best["distance"], pa.float64()),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
 def _hit_schema(id_type: T.DataType) -> T.StructType:
@@ -134,6 +202,37 @@ def _hit_schema(id_type: T.DataType) -> T.StructType:
     )
 
 
+def _met(asked: DataFrame, rows: DataFrame, k: int, groups: int) -> DataFrame:
+    """The best k of each share of the collection, for every query.
+
+    Both sides are packed where they lie. One group of queries is broadcast by the join, and
+    the rows stay; more of them meet the rows in a grid of cells, so that a cell holds one
+    group while the rows of its share stream past.
+    """
+    id_type = asked.schema["query_id"].dataType
+    dtype = "f4" if rows.schema["embedding"].dataType.elementType == T.FloatType() else "f8"
+    slabs = _packs(rows, T.StringType(), ("chunk_ids", "rows"), dtype)
+    blocks = _packs(asked.select("query_id", "embedding"), id_type, ("query_ids", "queries"), "f8")
+    if groups == 1:
+        pairs = slabs.join(F.broadcast(blocks), "width")
+    else:
+        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        shares = -(-partitions // groups)
+
+        def dealt(number: str, count: int) -> Column:
+            return F.pmod(F.xxhash64(number), F.lit(count)).cast("int")
+
+        def every(count: int) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+        slabs = slabs.withColumn("share", dealt("rows_number", shares)).withColumn("group", every(groups))
+        blocks = blocks.withColumn("group", dealt("queries_number", groups)).withColumn("share", every(shares))
+        pairs = slabs.join(blocks, ["width", "share", "group"])
+    schema = _hit_schema(id_type)
+    run = partial(_scan, k=k, dtype=dtype, most=HELD_HITS, schema=to_arrow_schema(schema))
+    return pairs.mapInArrow(run, schema)
+
+
 def nearest(
     queries: DataFrame,
     collection: DataFrame,
@@ -143,33 +242,16 @@ def nearest(
 ) -> DataFrame:
     """(query_id, embedding) x collection -> (query_id, rank, chunk_id, distance).
 
-    The collection never moves. The queries are split by a hash into blocks of about
-    ``block_bytes``; each block goes to the tasks of one scan of the collection, which
-    return their best k per query. An ordinary batch is one block of the same plan. A
-    query whose vector is null, or has a component that is null or not finite, has no
-    hits; neither has one of another width than all stored vectors.
+    One join whatever the number of queries. Up to ``block_bytes`` of them are broadcast and
+    the collection doesn't move; more are dealt out into groups of about that size. Each task
+    keeps the best k of its rows per query, and a second step those of all tasks. A query
+    whose vector is null, or has a component that is null or not finite, has no hits;
+    neither has one of another width than all stored vectors.
     """
-    schema = _hit_schema(queries.schema["query_id"].dataType)
-    asked = write_stage(
-        queries.where(F.coalesce(_finite("embedding"), F.lit(False))).select(
-            "query_id", "embedding", F.size("embedding").alias("width")
-        ),
-        "queries",
-    )
-    sizes = asked.where("width > 0").groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()
-    spread = F.xxhash64("query_id", "embedding")
-    scans = [queries.sparkSession.createDataFrame([], schema)]
-    for width, n in sorted((r.width, r.n) for r in sizes):
-        blocks = -(-8 * width * n // block_bytes)
-        rows = _searched(collection, exclude_missing, width)
-        for block in range(blocks):
-            mine = (F.col("width") == width) & (F.pmod(spread, F.lit(blocks)) == block)
-            fetched = asked.where(mine).select("query_id", "embedding").toArrow()
-            ids = np.asarray(fetched.column("query_id").to_pylist(), dtype=object)
-            if len(ids):
-                vectors = _matrix(fetched.column("embedding"))
-                scans.append(_scan_collection(ids, vectors, schema, rows, k))
-    return _ranked(reduce(DataFrame.union, scans[1:] or scans), k)
+    asked = write_stage(_measurable(queries).select("query_id", "embedding"), "queries")
+    size = asked.agg(F.sum(8 * F.size("embedding"))).first()[0] or 0
+    groups = max(1, -(-size // block_bytes))
+    return _ranked(_met(asked, _searched(collection, exclude_missing), k, groups), k)
 
 
 def search_texts(
@@ -193,13 +275,6 @@ def search_texts(
     return nearest(embedded, collection, k, exclude_missing)
 
 
-def _scan_collection(
-    ids: np.ndarray, queries: np.ndarray, schema: T.StructType, rows: DataFrame, k: int
-) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast((ids, queries))
-    return rows.mapInArrow(partial(_scan, shared=shared, k=k, schema=to_arrow_schema(schema)), schema)
-
-
 def display_columns(document: Column, metadata: Column, distance: Column) -> list[Column]:
     return [
         F.coalesce(metadata["source_file"], F.lit(UNKNOWN)).alias("source"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -250,6 +251,47 @@ def _insert(spark, sf, force):
     return after.select("chunk_id", "document", "embedding_missing")
 
 
+def _collection_of(spark, name, rows, embed):
+    """A collection table that holds these rows."""
+    fresh = f"{name}_{uuid.uuid4().hex}"
+    collection.add_chunks(spark, rows, embed, fresh, key="stable_id")
+    return fresh
+
+
+def _documents(spark, sf, prefix=""):
+    """Documents as rows with a stable id, which is that of the document."""
+    rows = views.incoming(spark, sf).withColumn("stable_id", F.sha2("chunk_id", 256))
+    return rows.select(
+        F.concat(F.lit(prefix), "chunk_id").alias("chunk_id"), "stable_id", "document", views.chunk_metadata()
+    )
+
+
+def _embedding(spark, sf):
+    return lambda rows: collection.attach_vectors(rows, views.vectors(spark, sf), DIM)
+
+
+def upsert_partial(spark, sf):
+    """A table of all documents, in which the toxic ones get another text."""
+    rows, embed = _documents(spark, sf), _embedding(spark, sf)
+    name = _collection_of(spark, "upsert", rows, embed)
+    toxic = views.table(spark, sf, "labels").where("toxic = 1")
+    ids = toxic.select(F.expr(views.CHUNK_ID.format("doc_id")).alias("chunk_id"))
+    changed = rows.join(ids, "chunk_id", "left_semi").withColumn("document", F.lit("withdrawn"))
+    after = collection.add_chunks(spark, changed, embed, name, "replace")
+    return after.select("chunk_id", "document", "embedding_missing")
+
+
+def insert_missing_stable(spark, sf):
+    """Labelled documents are stored; then all come again under other ids."""
+    labels = views.table(spark, sf, "labels")
+    known = labels.select(F.expr(views.CHUNK_ID.format("doc_id")).alias("chunk_id"))
+    stored = _documents(spark, sf).join(known, "chunk_id", "left_semi")
+    embed = _embedding(spark, sf)
+    name = _collection_of(spark, "stable", stored, embed)
+    after = collection.add_chunks(spark, _documents(spark, sf, "again_"), embed, name, key="stable_id")
+    return after.select("chunk_id", "stable_id", "document", "embedding_missing")
+
+
 def load_chunks(spark, sf):
     """Chunk files are written to a table, read back and parsed."""
     loaded, _ = files.chunks_of(write_stage(views.chunk_file_texts(spark, sf), "chunk-files"))
@@ -276,6 +318,12 @@ def knn_join(spark, sf):
     )
 
 
+def knn_join_many(spark, sf):
+    """Every vector as a query against all vectors."""
+    asked = views.table(spark, sf, "embeddings").selectExpr("vec_id as query_id", "embedding")
+    return _rounded(search.nearest(asked, views.vectors(spark, sf), search.SAMPLE_K))
+
+
 def knn_join_gaps(spark, sf):
     """Vectors of which some are null, cut short, or have a NaN."""
     stored = views.vectors_with_gaps(spark, sf)
@@ -342,6 +390,8 @@ def queries() -> dict[str, Query]:
         "insert_missing": partial(_insert, force=None),
         "insert_force": partial(_insert, force="replace"),
         "insert_force_ignore": partial(_insert, force="ignore"),
+        "upsert_partial": upsert_partial,
+        "insert_missing_stable": insert_missing_stable,
         "load_chunks": load_chunks,
         "reject_files": reject_files,
         "text_roundtrip": text_roundtrip,
@@ -349,6 +399,7 @@ def queries() -> dict[str, Query]:
         "chunk_roundtrip": chunk_roundtrip,
         "knn_single": knn_single,
         "knn_join": knn_join,
+        "knn_join_many": knn_join_many,
         "knn_join_gaps": knn_join_gaps,
         "search_text": search_text,
         "search_hydrated": search_hydrated,

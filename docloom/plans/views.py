@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.schemas import CHUNK_METADATA
 from docloom.shared import spread
 
 
@@ -84,6 +85,16 @@ def incoming(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chunk_metadata() -> Column:
+    """The metadata of ``incoming`` with all the fields that a collection has."""
+    given = {"source_file", "full_path"}
+    fields = [
+        (F.col(f"metadata.{f.name}") if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in CHUNK_METADATA
+    ]
+    return F.struct(*fields).alias("metadata")
+
+
 def stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A collection that holds an older version of the labelled documents."""
     docs = table(spark, sf_dir, "documents")

@@ -441,6 +441,18 @@ with {INCOMING}, {STORED}
 select i.chunk_id, coalesce(s.document, i.document) as document,
   s.chunk_id is not null or vec_id is null as embedding_missing
 from incoming i left join stored s using (chunk_id) left join embeddings on {ID.format("vec_id")} = i.chunk_id""",
+        "upsert_partial": f"""
+select {ID.format("doc_id")} as chunk_id,
+  case when doc_id in (select doc_id from labels where toxic = 1) then 'withdrawn' else text end as document,
+  not exists (select 1 from embeddings where vec_id = doc_id) as embedding_missing
+from documents""",
+        "insert_missing_stable": f"""
+with d as (
+  select {ID.format("doc_id")} as id, text, doc_id in (select doc_id from labels) as known,
+    not exists (select 1 from embeddings where vec_id = doc_id) as missing
+  from documents)
+select case when known then id else 'again_' || id end as chunk_id, sha256(id) as stable_id, text as document,
+  not known or missing as embedding_missing from d""",
         "load_chunks": f"""
 with {loaded}
 select source_file as input_file,
@@ -465,6 +477,14 @@ from chunks""",
 with {centroids("0")} select chunk_id, round(distance, 6) as distance from hits where rank <= 5""",
         "knn_join": f"""
 with {centroids("label")} select query_id, rank, chunk_id, round(distance, 6) as distance from hits where rank <= 3""",
+        "knn_join_many": f"""
+with pairs as (
+  select q.vec_id as query_id, {ID.format("r.vec_id")} as chunk_id,
+    list_sum(list_transform(range(1, len(q.embedding) + 1),
+      lambda i: pow(q.embedding[i]::double - r.embedding[i]::double, 2))) as distance
+  from embeddings q, embeddings r),
+hits as (select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from pairs)
+select query_id, rank, chunk_id, round(distance, 6) as distance from hits where rank <= 3""",
         "knn_join_gaps": f"""
 with {centroids("label", "vec_id % 7 not in (1, 2, 3)")}
 select query_id, rank, chunk_id, round(distance, 6) as distance from hits where rank <= 3""",

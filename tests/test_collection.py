@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 import uuid
 
 import pytest
@@ -137,6 +138,76 @@ def test_table_life(spark):
     assert {r.chunk_id for r in collection.existing_ids(spark.table(name)).collect()} == {"a", "b", "c"}
 
 
+def files_of(spark, name):
+    found = spark.table(name).select("slot", F.col("_metadata.file_path").alias("file")).distinct().collect()
+    return {(r.slot, r.file) for r in found}
+
+
+def test_replacement_leaves_the_files_of_other_slots_alone(spark):
+    name = table_name()
+    collection.open_collection(spark, name, slots=16, buckets=3)
+    given = rows(spark, *[(f"k{i}", "old") for i in range(300)]).withColumn("stable_id", F.concat(F.lit("s"), "chunk_id"))
+    collection.add_chunks(spark, given, EMBED, name, key="stable_id")
+    before = files_of(spark, name)
+    reader = spark.table(name)  # a reader that has looked up its files
+    assert reader.where("document = 'old'").count() == 300
+    new = rows(spark, ("k7", "new"), ("k9", "new"), ("added", "new"))
+    after = collection.add_chunks(spark, new, EMBED, name, "replace")
+    assert content(after) == {f"k{i}": "old" for i in range(300)} | {"k7": "new", "k9": "new", "added": "new"}
+    touched = {r.slot for r in spark.table(name).where("document = 'new'").select("slot").collect()}
+    assert 1 <= len(touched) <= 3
+    now = files_of(spark, name)
+    assert {x for x in now if x[0] not in touched} == {x for x in before if x[0] not in touched}
+    assert not {f for s, f in now if s in touched} & {f for _, f in before}
+    # the index followed: replaced rows have lost their stable ids
+    known = {r.stable_id for r in collection.stable_index(spark, name).collect()}
+    assert known == {f"sk{i}" for i in range(300) if i not in (7, 9)} | {"\0k7", "\0k9", "\0added"}
+    dropped = collection.drop_old_versions(spark, name)
+    assert len(dropped) >= len(touched) and files_of(spark, name) == now
+    assert content(spark.table(name)) == content(after)
+    assert collection.drop_old_versions(spark, name) == []
+    # appended rows go where the replaced slots lie now
+    more = collection.add_chunks(spark, rows(spark, *[(f"m{i}", "more") for i in range(50)]), EMBED, name)
+    assert more.count() == 351 and collection.drop_old_versions(spark, name) == []
+
+
+def test_stored_rows_do_not_move_for_an_insert(spark):
+    name = table_name()
+    given = rows(spark, *[(f"k{i}", "d") for i in range(50)]).withColumn("stable_id", F.concat(F.lit("s"), "chunk_id"))
+    collection.add_chunks(spark, given, EMBED, name, key="stable_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for stored, key in ((collection.open_collection(spark, name), "chunk_id"), (collection.stable_index(spark, name), "stable_id")):
+            plan = collection.new_chunks(given, stored, key)._jdf.queryExecution().executedPlan().toString()
+            stored_side = re.split(r"\n +\+- Sort", plan)[-1]
+            assert "Bucketed: true" in stored_side and "Exchange" not in stored_side
+            assert f"ReadSchema: struct<{key}:string>" in stored_side
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_an_index_left_behind_is_made_up_for(spark):
+    name = table_name()
+    given = rows(spark, *[(f"k{i}", "d") for i in range(40)]).withColumn("stable_id", F.concat(F.lit("s"), "chunk_id"))
+    collection.add_chunks(spark, given.where("chunk_id < 'k2'"), EMBED, name, key="stable_id")
+    index = f"{name}__stable"
+    spark.sql(f"alter table {index} rename to {index}_kept")
+    collection.add_chunks(spark, given.where("chunk_id >= 'k2'"), EMBED, name)  # breaks off before the index
+    spark.sql(f"alter table {index}_kept rename to {index}")
+    renumbered = given.withColumn("chunk_id", F.concat(F.lit("other"), "chunk_id"))
+    after = collection.add_chunks(spark, renumbered, EMBED, name, key="stable_id")
+    assert sorted(content(after)) == sorted(f"k{i}" for i in range(40))
+    assert spark.table(index).count() == 40
+
+
+def test_a_table_of_an_older_version_is_laid_out(spark):
+    name = table_name()
+    old = EMBED(rows(spark, ("a", "1"), ("b", "2"))).select("*", F.lit(None).cast("string").alias("stable_id"), F.lit(None).cast("string").alias("metadata_json"))
+    old.select(*COLLECTION.fieldNames()).write.saveAsTable(name)
+    assert content(collection.add_chunks(spark, rows(spark, ("b", "x"), ("c", "3")), EMBED, name, "replace")) == {"a": "1", "b": "x", "c": "3"}
+    assert "slot" in spark.table(name).columns
+
+
 def test_repeated_ids_in_one_insert_are_refused(spark):
     name = table_name()
     with pytest.raises(ValueError, match="duplicate"):

@@ -1,11 +1,15 @@
 """Nearest neighbours against a direct computation."""
 
+import re
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from docloom.functions.vectors import squared_l2
 from docloom.operators import collection, search
+from docloom.shared import write_stage
 
 VECTORS = "chunk_id string, embedding array<float>, embedding_missing boolean"
 
@@ -54,16 +58,50 @@ def test_shared_queries(spark, data):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-@pytest.mark.parametrize("block_bytes", [1, 3 * 12 * 8, 1 << 20])
-def test_query_blocks_share_one_plan(spark, data, block_bytes):
+@pytest.mark.parametrize("block_bytes", [60, 3 * 12 * 8, 1 << 20])
+@pytest.mark.parametrize("pack_bytes", [200, 1 << 20])
+def test_queries_and_rows_meet_in_one_join(spark, data, monkeypatch, block_bytes, pack_bytes):
     rows, queries = data
-    hits = search.nearest(query_table(spark, queries), vector_table(spark, rows), 4, block_bytes=block_bytes)
+    stored = write_stage(vector_table(spark, rows), "vectors")
+    monkeypatch.setattr(search, "PACK_BYTES", pack_bytes)
+    hits = search.nearest(query_table(spark, queries).repartition(3), stored, 4, block_bytes=block_bytes)
     plan = hits._jdf.queryExecution().executedPlan().toString()
-    assert "MapInArrow" in plan
-    assert not any(x in plan for x in ("CoGroup", "Join", "Cartesian", "BroadcastExchange"))
+    assert len(re.findall("(?:BroadcastHash|SortMerge)Join", plan)) == 1 and plan.count("MapInArrow") == 3
+    assert not any(x in plan for x in ("CoGroup", "Cartesian", "NestedLoop"))
+    if block_bytes == 1 << 20:  # one group of queries: the rows stay where they are
+        assert "BroadcastHashJoin" in plan and "hashpartitioning(width" not in plan
     assert collected(hits) == direct(queries, rows, 4)
 
 
+def test_packs_hold_every_vector_once():
+    vectors = [[float(i)] * (3 if i % 4 else 2) for i in range(60)]
+    batches = [
+        pa.record_batch({"id": pa.array(range(b, b + 20)), "v": pa.array(vectors[b : b + 20], pa.list_(pa.float32()))})
+        for b in range(0, 60, 20)
+    ]
+    schema = pa.schema([("width", pa.int32()), ("ids", pa.list_(pa.int64())), ("data", pa.binary())])
+    seen = {}
+    for pack in search._pack(iter(batches), "f4", 5 * 3 * 4, schema):
+        (row,) = pack.to_pylist()
+        matrix = np.frombuffer(row["data"], "f4").reshape(-1, row["width"])
+        assert len(matrix) == len(row["ids"]) and len(row["data"]) <= 5 * 3 * 4 + 3 * 4 * 20
+        seen |= {i: v.tolist() for i, v in zip(row["ids"], matrix)}
+    assert seen == dict(enumerate(vectors))
+
+
+def test_every_row_as_a_query(spark, data, monkeypatch):
+    """A task that lets go of its hits early, and queries that repeat an id or have none."""
+    rows = data[0][:150]
+    monkeypatch.setattr(search, "HELD_HITS", 40)
+    asked = query_table(spark, rows)
+    hits = search.nearest(asked.repartition(6), vector_table(spark, rows), 3, block_bytes=1000)
+    assert collected(hits) == direct(rows, rows, 3)
+    odd = spark.createDataFrame([(None, [0.0]), (1, [0.0]), (1, [9.0])], "query_id int, embedding array<double>")
+    stored = spark.createDataFrame([("a", [1.0]), ("b", [8.5]), ("c", [100.0])], "chunk_id string, embedding array<double>")
+    got = collected(search.nearest(odd, stored, 2))
+    assert got == {None: [("a", 1.0), ("b", 72.25)], 1: [("b", 0.25), ("a", 1.0)]}
+
+
 def test_rows_that_cannot_be_at_a_distance(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(f"c{i}", [float(i), 0.0]) for i in range(20)]
