@@ -14,10 +14,15 @@ TOKEN = r"(?U)[\p{L}\p{N}_]++|[^\p{L}\p{N}_\s\x1c-\x1f]"
 
 
 class PythonCounter:
-    """A counter made of a function of one text; a text it fails on counts 0."""
+    """A counter made of a function of one text; a text it fails on counts 0.
 
-    def __init__(self, count: Callable[[str], int]):
-        self._count = count
+    Of a ``monotone`` counter a text never counts less than a beginning of it. Packing then
+    looks for the end of a segment by doubling and halving, with a few calls a segment in
+    place of one a part.
+    """
+
+    def __init__(self, count: Callable[[str], int], monotone: bool = False):
+        self._count, self.monotone = count, monotone
 
     def of_text(self, text: str | None) -> int:
         try:

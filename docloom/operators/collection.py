@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.functions.vectors import zero_vector
+from docloom.operators import calls
 from docloom.operators.numbering import running_start
 from docloom.schemas import COLLECTION
 from docloom.shared import write_stage
@@ -259,44 +260,42 @@ def _zero_filled(df: DataFrame, columns: list[str], dim: int) -> DataFrame:
 
 
 def embedder(
-    embed: Callable[[list[str]], list[list[float]]], dim: int = EMBEDDING_DIM, call_size: int = 256
+    embed: Callable[[list[str]], list[list[float]]],
+    dim: int = EMBEDDING_DIM,
+    call_size: int = 256,
+    memory: calls.Memory | None = None,
+    retry: calls.Retry = calls.Retry(),
 ) -> Embed:
     """Wrap an embedding function of a list of texts.
 
     It is called for ``call_size`` texts at a time; if that raises, or doesn't return
-    one vector of ``dim`` components for each, once per text, and a text for which it
-    still fails gets zeros and the flag.
+    one vector of ``dim`` components for each, as often as ``retry`` says, once per text,
+    and a text for which it still fails gets zeros and the flag. With a ``memory``, a text
+    that was embedded before is not embedded again.
     """
+    vector = T.ArrayType(T.FloatType())
 
     def checked(texts: list[str]) -> list[list[float]]:
         vectors = [[float(x) for x in v] for v in embed(texts)]
-        if len(vectors) != len(texts) or any(len(v) != dim for v in vectors):
-            raise ValueError("not one vector of the right width for each text")
+        if any(len(v) != dim for v in vectors):
+            raise ValueError("a vector of another width")
         return vectors
 
-    def each(texts: list[str]) -> list[list[float] | None]:
-        found: list[list[float] | None] = []
-        for one in texts:
-            try:
-                found.append(checked([one])[0])
-            except Exception:
-                found.append(None)
-        return found
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    @F.pandas_udf(vector)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             vectors: list[list[float] | None] = []
             for begin in range(0, len(batch), call_size):
-                texts = batch.iloc[begin : begin + call_size].tolist()
-                try:
-                    vectors += checked(texts)
-                except Exception:
-                    vectors += each(texts)
+                vectors += calls.each(checked, batch.iloc[begin : begin + call_size].tolist(), retry)
             yield pd.Series(vectors, index=batch.index, dtype="object")
 
     def attach(rows: DataFrame) -> DataFrame:
-        return _zero_filled(rows.withColumn("embedding", run("document")), rows.columns, dim)
+        if memory is None:
+            embedded = rows.withColumn("embedding", run("document"))
+        else:
+            found = calls.remembered(rows, "document", checked, vector, memory, call_size, retry)
+            embedded = found.withColumnRenamed("result", "embedding")
+        return _zero_filled(embedded, rows.columns, dim)
 
     return attach
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,7 @@ from docloom.functions.tokens import (
     count_parts,
     token_count,
 )
+from docloom.operators import calls
 
 # Fixed values.
 PAGE_SEPARATOR = " "
@@ -125,8 +127,34 @@ def _packed(
     return F.aggregate(items, _state(done, _no_texts(), F.lit(0).cast("bigint")), step, finish)
 
 
+def _longest_fit(held: str, parts: list[str], begin: int, separator: str, fits: Callable[[str], bool]) -> int:
+    """How many parts from ``begin`` on a segment can take in, by a monotone counter.
+
+    Steps are doubled until a count is too large, then halved; only the texts that are
+    counted are joined.
+    """
+
+    def taken(n: int) -> bool:
+        return fits(separator.join((held, *parts[begin : begin + n])))
+
+    low, step = 0, 1
+    most = len(parts) - begin
+    while low < most and taken(min(most, low + step)):
+        low = min(most, low + step)
+        step *= 2
+    high = min(most, low + step) if low < most else most + 1  # the first that is known not to fit
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if taken(middle) else (low, middle)
+    return low
+
+
 def _python_segments(counter: PythonCounter, max_tokens: int) -> Callable[[Column], Column]:
-    """The fold for a counter that only Python can run: one call a part."""
+    """The fold for a counter that only Python can run: one call a part, or a few calls a
+    segment if the counter is monotone."""
+
+    def fits(part: str) -> bool:
+        return counter.of_text(part) <= max_tokens
 
     def pack(whole: str) -> list[str]:
         done: list[str] = []
@@ -134,9 +162,21 @@ def _python_segments(counter: PythonCounter, max_tokens: int) -> Callable[[Colum
 
         def fold(parts: list[str], separator: str, oversized: Callable[[str], None]) -> None:
             nonlocal held
-            for part in parts:
+            at = 0
+            while at < len(parts):
+                if held and counter.monotone:
+                    more = _longest_fit(held, parts, at, separator, fits)
+                    held = separator.join((held, *parts[at : at + more]))
+                    at += more
+                    if at < len(parts):
+                        done.append(held.strip())
+                        held = parts[at]
+                        at += 1
+                    continue
+                part = parts[at]
+                at += 1
                 longer = separator.join((held, part)) if held else part
-                if counter.of_text(longer) <= max_tokens:
+                if fits(longer):
                     held = longer
                     continue
                 if not held:
@@ -229,11 +269,11 @@ CONVERTED = T.StructType(
 )
 
 
-def converter(convert: Callable[[str], str]) -> Converter:
+def converter(convert: Callable[[str], str], retry: calls.Retry = calls.Retry()) -> Converter:
     """Wrap a function of one text as a segment converter.
 
-    A segment whose conversion raises becomes a sentence with the start of its
-    text, and ``ok`` is false.
+    A segment whose conversion raises, as often as ``retry`` says, becomes a sentence with
+    the start of its text, and ``ok`` is false.
     """
 
     @F.pandas_udf(CONVERTED)
@@ -241,7 +281,7 @@ def converter(convert: Callable[[str], str]) -> Converter:
         rows = []
         for segment in texts:
             try:
-                rows.append((convert(segment), True))
+                rows.append((retry(partial(convert, segment)), True))
             except Exception:
                 rows.append((f"{CONVERSION_ERROR}{segment[:CONVERSION_ERROR_PREVIEW]}...", False))
         return pd.DataFrame(rows, columns=["md", "ok"])
@@ -259,6 +299,29 @@ def transform_segments(segments: DataFrame, convert: Converter | None = None) ->
     return converted.select("source_file", "seg_idx", "result.md", "result.ok")
 
 
+def transform_remembered(
+    segments: DataFrame,
+    convert: Callable[[str], str],
+    memory: calls.Memory,
+    retry: calls.Retry = calls.Retry(),
+) -> DataFrame:
+    """``transform_segments`` with a function of one text that is called once for each
+    different segment, and not again for one that ``memory`` holds."""
+
+    def call(texts: list[str]) -> list[str]:
+        return [convert(text) for text in texts]
+
+    found = calls.remembered(
+        segments.select("source_file", "seg_idx", "text"), "text", call, T.StringType(), memory, retry=retry
+    )
+    failed = F.concat(
+        F.lit(CONVERSION_ERROR), F.substring("text", 1, CONVERSION_ERROR_PREVIEW), F.lit("...")
+    )
+    return found.select(
+        "source_file", "seg_idx", F.coalesce("result", failed).alias("md"), F.col("result").isNotNull().alias("ok")
+    )
+
+
 def assemble_markdown(converted: DataFrame, docs: DataFrame) -> DataFrame:
     """Segments back into one markdown text per document; none for it yields ""."""
     joined = F.expr(f"listagg(md, '{SEGMENT_SEPARATOR}') within group (order by seg_idx)")

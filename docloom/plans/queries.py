@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.functions import boilerplate, splitting, text
-from docloom.operators import chunking, collection, documents, outline, search
+from docloom.functions.tokens import PythonCounter
+from docloom.operators import calls, chunking, collection, documents, outline, search
 from docloom.plans import stages, views
-from docloom.shared import write_stage
+from docloom.shared import shared_dir, write_stage
 from docloom.sources import files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +185,25 @@ def token_segments_sentences(spark, sf):
     return documents.pack_segments(views.doc_texts(spark, sf), SEGMENT_TOKENS)
 
 
+def token_segments_quarter(spark, sf):
+    """Packed by a counter in Python whose counts don't add up: four characters a token."""
+    counter = PythonCounter(lambda text: len(text) // 4, monotone=True)
+    return documents.pack_segments(views.doc_paragraphs(spark, sf), SEGMENT_TOKENS, counter)
+
+
+def convert_remembered(spark, sf):
+    """Labelled documents are converted first, then all with the results of that."""
+    memory = calls.Memory(f"{shared_dir(spark)}/memory-{uuid.uuid4().hex}", "quote")
+    docs = views.doc_paragraphs(spark, sf)
+    names = views.table(spark, sf, "labels").select(F.concat(F.lit("doc_"), "doc_id", F.lit(".txt")).alias("source_file"))
+
+    def convert(text):
+        return f"> {text}"
+
+    stages.texts_to_markdown(docs.join(names, "source_file", "left_semi"), SEGMENT_TOKENS, convert, memory=memory)
+    return stages.texts_to_markdown(docs, SEGMENT_TOKENS, convert, memory=memory)
+
+
 def md_reassemble(spark, sf):
     return stages.texts_to_markdown(views.doc_paragraphs(spark, sf), SEGMENT_TOKENS)
 
@@ -364,7 +384,9 @@ def queries() -> dict[str, Query]:
         "page_concat": page_concat,
         "token_segments": token_segments,
         "token_segments_sentences": token_segments_sentences,
+        "token_segments_quarter": token_segments_quarter,
         "md_reassemble": md_reassemble,
+        "convert_remembered": convert_remembered,
         "success_rate": success_rate,
         "headings": _headings,
         "heading_normalize": heading_normalize,

@@ -3,25 +3,37 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from docloom.functions.splitting import BOUNDARIES
 from docloom.functions.tokens import Counter
-from docloom.operators import chunking, documents, outline
+from docloom.operators import calls, chunking, documents, outline
 from docloom.shared import write_buckets, write_stage
 
 
 def texts_to_markdown(
     docs: DataFrame,
     max_tokens: int = documents.MAX_TOKENS,
-    convert: documents.Converter | None = None,
+    convert: documents.Converter | Callable[[str], str] | None = None,
     counter: Counter | None = None,
+    memory: calls.Memory | None = None,
+    retry: calls.Retry = calls.Retry(),
 ) -> DataFrame:
-    """(source_file, text) -> (source_file, md). A costly converter runs once: its result is staged."""
-    converted = documents.transform_segments(documents.pack_segments(docs, max_tokens, counter), convert)
+    """(source_file, text) -> (source_file, md). A costly converter runs once: its result is staged.
+
+    With a ``memory``, ``convert`` is a function of one text, and a segment that was converted
+    before, in a run that failed for instance, is not converted again.
+    """
+    segments = documents.pack_segments(docs, max_tokens, counter)
+    if memory is not None:
+        segments = write_stage(segments, "segments")
+        converted = documents.transform_remembered(segments, convert, memory, retry)
+    else:
+        converted = documents.transform_segments(segments, convert)
     if convert is not None:
-        converted = write_stage(converted, "segments")
+        converted = write_stage(converted, "converted")
     return documents.assemble_markdown(converted, docs)
 
 

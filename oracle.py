@@ -244,9 +244,15 @@ DOC_PARAGRAPHS = f"""docs as (
     from documents)"""
 
 
-def segments(docs: str) -> str:
+def quarter(c: str) -> str:
+    return f"len({c}) // 4"
+
+
+def segments(docs: str, count=tokens, longer: str = "used + unit + count") -> str:
     """Greedy packing, one part (a paragraph, or a sentence of one) per round.
 
+    ``count`` counts a text, ``longer`` is the count of the open segment with the part.
+
     ``unit`` says whether the part at the front is a paragraph (0) or a sentence (1).
     An oversized first paragraph is put back as sentences.
     """
@@ -267,12 +273,12 @@ def segments(docs: str) -> str:
       case when unit = 0 and cur = '' and count > {SEGMENT_TOKENS} then ''
            when unit = 1 and cur = '' and count > {SEGMENT_TOKENS} then ''
            when cur = '' then part
-           when used + unit + count <= {SEGMENT_TOKENS} then cur || sep || part
+           when longer <= {SEGMENT_TOKENS} then cur || sep || part
            else part end,
       case when unit = 0 and cur = '' and count > {SEGMENT_TOKENS} then 0
            when unit = 1 and cur = '' and count > {SEGMENT_TOKENS} then 0
            when cur = '' then count
-           when used + unit + count <= {SEGMENT_TOKENS} then used + unit + count
+           when longer <= {SEGMENT_TOKENS} then longer
            else count end,
       case when unit = 0 and cur = '' and count > {SEGMENT_TOKENS} then 1
            when unit = 1 and len(queue) = 1 then 0
@@ -280,12 +286,12 @@ def segments(docs: str) -> str:
       case when unit = 0 and cur = '' and count > {SEGMENT_TOKENS} then null
            when unit = 1 and cur = '' and count > {SEGMENT_TOKENS} then trim(part, {WS})
            when cur = '' then null
-           when used + unit + count <= {SEGMENT_TOKENS} then null
+           when longer <= {SEGMENT_TOKENS} then null
            else trim(cur, {WS}) end,
       step + 1
     from (
-      select *, {part} as part, {tokens(part)} as count,
-        case unit when 0 then {NL} || {NL} else '. ' end as sep
+      select *, {part} as part, {count(part)} as count,
+        case unit when 0 then {NL} || {NL} else '. ' end as sep, {longer} as longer
       from packing where len(queue) > 0)),
   segments as (
     select source_file, (row_number() over (partition by source_file order by step, closing) - 1)::int as seg_idx, text
@@ -350,6 +356,14 @@ select source_file, text, len(text)::int as n_chars from (
   from p group by source_file)""",
         "token_segments": f"with recursive {segments(DOC_PARAGRAPHS)} select source_file, seg_idx, text from segments",
         "token_segments_sentences": f"with recursive {segments(DOC_TEXTS)} select source_file, seg_idx, text from segments",
+        "token_segments_quarter": f"""
+with recursive {segments(DOC_PARAGRAPHS, quarter, "len(cur || sep || part) // 4")}
+select source_file, seg_idx, text from segments""",
+        "convert_remembered": f"""
+with recursive {segments(DOC_PARAGRAPHS)}
+select regexp_replace(source_file, '\\.txt$', '.md') as source_file,
+  coalesce(string_agg('> ' || s.text, {NL} || {NL} || '---' || {NL} || {NL} order by seg_idx), '') as md
+from docs left join segments s using (source_file) group by source_file""",
         "md_reassemble": f"""
 with recursive {segments(DOC_PARAGRAPHS)}
 select regexp_replace(source_file, '\\.txt$', '.md') as source_file,

@@ -144,6 +144,34 @@ def test_counts_that_do_not_add_up(spark, limit):
             assert got.get(i, []) == plain_segments(text, limit, lambda t: len(t) // 4), repr(text)
 
 
+@pytest.mark.parametrize("limit", [0, 1, 2, 6, 40])
+def test_monotone_counter_packs_alike(spark, limit):
+    rnd = random.Random(limit)
+    texts = ["a b\n\n" * 20, "\n\nx\n\n\n\ny", *[random_text(rnd) for _ in range(200)]]
+    docs = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], DOC)
+    got = {}
+    counter = PythonCounter(lambda t: len(t) // 4, monotone=True)
+    for r in documents.pack_segments(docs, limit, counter).orderBy("seg_idx").collect():
+        got.setdefault(int(r.source_file), []).append(r.text)
+    for i, text in enumerate(texts):
+        assert got.get(i, []) == plain_segments(text, limit, lambda t: len(t) // 4), repr(text)
+
+
+def test_monotone_counter_is_called_a_few_times_a_segment(spark):
+    for size, parts in ((40, 20_000), (1000, 3000), (3, 500)):
+        calls = spark.sparkContext.accumulator(0)
+
+        def words(text):
+            calls.add(1)
+            return len(text.split())
+
+        docs = spark.createDataFrame([("a", "\n\n".join(["w"] * parts))], DOC)
+        rows = documents.pack_segments(docs, size, PythonCounter(words, monotone=True)).collect()
+        assert [len(r.text.split()) for r in rows] == [size] * (parts // size) + [parts % size] * (parts % size > 0)
+        # counted twice if the plan runs twice; each count joins at most twice the segment
+        assert calls.value <= len(rows) * (2 * size.bit_length() + 3)
+
+
 def test_failing_counter_counts_nothing(spark):
     def fail(text):
         raise RuntimeError("no service")
