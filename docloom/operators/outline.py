@@ -8,16 +8,25 @@ no exchange at all. A window group is one document, which was one row already.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docloom.functions import boilerplate, text
+from docloom.functions import boilerplate, fuzzy, text
+from docloom.shared import write_stage
 
 # Fixed values.
 LEVELS = range(1, 7)
 MIN_CONTENT = 20  # a section body must be longer than this
 PATH_SEPARATOR = " > "
 
+# Keywords up to this size are one index, which takes some hundred times that room.
+KEYWORD_BYTES = 1 << 20
+
 # A heading: one to six hashes, blanks or line breaks, then the rest of a line.
 HEADING = rf"(?mdU)^#{{1,6}}{text.SPACE}+.+$"
 
@@ -53,14 +62,59 @@ def parse_headings(md_docs: DataFrame) -> DataFrame:
     return titled.select("source_file", "pos", "level", "title", text.strip(body).alias("body"))
 
 
-def flag_boilerplate(headings: DataFrame) -> DataFrame:
-    """Add ``is_toc``. Row-local: no join on titles, so a frequent title costs no skew."""
+def flag_boilerplate(
+    headings: DataFrame, keywords: DataFrame | None = None, table_bytes: int = KEYWORD_BYTES
+) -> DataFrame:
+    """Add ``is_toc``. Row-local: no join on titles, so a frequent title costs no skew.
+
+    ``keywords`` has a column ``keyword`` of texts written as normalized headings are; by
+    default they are the built-in ones. They travel to the tasks as one index while they are
+    no larger than ``table_bytes``. A larger table goes in blocks of that size over the
+    distinct titles, each block over those that no block before has flagged.
+    """
     normalized = text.normalize_heading("title")
-    return headings.withColumn("normalized", normalized).select(
-        *headings.columns, boilerplate.is_boilerplate(F.col("normalized")).alias("is_toc")
+    titled = headings.withColumn("normalized", normalized)
+    if keywords is None:
+        verdict = boilerplate.is_boilerplate(F.col("normalized"))
+        return titled.select(*headings.columns, verdict.alias("is_toc"))
+    given = write_stage(keywords.select("keyword").where("keyword <> ''").distinct(), "keywords")
+    size = given.agg(F.sum(F.octet_length("keyword"))).first()[0] or 0
+    if size <= table_bytes:
+        verdict = _fuzzy(given)(F.col("normalized"), boilerplate.is_technical(F.col("normalized")))
+        return titled.select(*headings.columns, F.coalesce(verdict, F.lit(False)).alias("is_toc"))
+    blocks = 2 * -(-size // table_bytes)
+    block = F.pmod(F.xxhash64("keyword"), F.lit(blocks))
+    open_ = write_stage(titled.select("normalized").where("normalized is not null").distinct(), "titles")
+    flagged = []
+    for b in range(blocks):
+        verdict = _fuzzy(given.where(block == b))
+        passed = verdict(F.col("normalized"), boilerplate.is_technical(F.col("normalized")))
+        seen = write_stage(open_.withColumn("is_toc", passed), "titles")
+        flagged.append(seen.where("is_toc"))
+        open_ = seen.where("not is_toc").drop("is_toc")
+    hits = reduce(DataFrame.union, flagged)
+    return titled.join(hits, "normalized", "left").select(
+        *headings.columns, F.coalesce("is_toc", F.lit(False)).alias("is_toc")
     )
 
 
+def _fuzzy(keywords: DataFrame) -> Callable[[Column, Column], Column]:
+    """Whether a title passes with any of these keywords, which the driver reads."""
+    shared = keywords.sparkSession.sparkContext.broadcast([r.keyword for r in keywords.collect()])
+
+    @F.pandas_udf(T.BooleanType())
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        index = fuzzy.KeywordIndex(shared.value)
+        for titles, technical in batches:
+            known = titles.notna()
+            found = fuzzy.verdicts(index, zip(titles[known], technical[known]))
+            out = pd.Series([None] * len(titles), index=titles.index, dtype="object")
+            out[known] = found
+            yield out
+
+    return run
+
+
 def _in_document(until: str) -> str:
     return f"over (partition by source_file order by pos rows between unbounded preceding and {until})"
 

@@ -56,6 +56,16 @@ def toc_flag(spark, sf):
     )
 
 
+def fuzzy_keywords(spark, sf):
+    """Keywords from a table: the first two words of every item of the benchmark."""
+    first = F.regexp_extract("text", "[^ \n]+[ \n][^ \n]+", 0)
+    items = views.table(spark, sf, "benchmark").select(first.alias("start"))
+    keywords = items.select(text.normalize_heading("start").alias("keyword"))
+    return outline.flag_boilerplate(_headings(spark, sf), keywords).select(
+        "source_file", "pos", "title", "is_toc"
+    )
+
+
 def skip_subtree(spark, sf):
     flagged = outline.flag_boilerplate(_headings(spark, sf))
     return outline.flag_skipped(flagged).select("source_file", "pos", "level", "skipped")
@@ -392,6 +402,7 @@ def queries() -> dict[str, Query]:
         "heading_normalize": heading_normalize,
         "heading_technical": heading_technical,
         "toc_flag": toc_flag,
+        "fuzzy_keywords": fuzzy_keywords,
         "skip_subtree": skip_subtree,
         "sections": _sections,
         "hierarchy": hierarchy,

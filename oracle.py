@@ -54,10 +54,15 @@ HEADINGS = f"""{MD_DOCS},
       trim(coalesce(string_agg(line, {NL} order by line_no) filter (not is_head), ''), {WS}) as body
     from headed_lines where pos >= 0 group by source_file, pos)"""
 
+
+def normalized(c: str) -> str:
+    return rf"""trim(regexp_replace(regexp_replace(lower({c}),
+      '[^\p{{L}}\p{{N}}_{WS_CLASS}]', ' ', 'g'), '[{WS_CLASS}]+', ' ', 'g'))"""
+
+
 NORMALIZED = rf"""{HEADINGS},
   normalized as (
-    select *, trim(regexp_replace(regexp_replace(lower(title),
-      '[^\p{{L}}\p{{N}}_{WS_CLASS}]', ' ', 'g'), '[{WS_CLASS}]+', ' ', 'g')) as heading
+    select *, {normalized("title")} as heading
     from headings),
   technical as (
     select *, {" or ".join(f"contains(heading, '{k}')" for k in TECHNICAL_KEYWORDS)} as is_technical
@@ -66,8 +71,9 @@ NORMALIZED = rf"""{HEADINGS},
 # Windows of the longer text as long as the shorter one, also hanging off its ends;
 # equally long texts take both parts. The longest common subsequence is a fold of
 # bit sets over the window's characters.
+BUILT_IN = f"select unnest([{', '.join(f"'{k}'" for k in FILTER_KEYWORDS if k)}]) as keyword"
 FLAGGED = f"""{NORMALIZED},
-  keywords as (select unnest([{", ".join(f"'{k}'" for k in FILTER_KEYWORDS if k)}]) as keyword),
+  keywords as ({BUILT_IN}),
   pairs as (
     select distinct heading, is_technical, keyword from technical, keywords where heading <> ''),
   sides as (
@@ -380,6 +386,12 @@ select (select count(*) from docs) as successful,
         "heading_normalize": f"with {NORMALIZED} select source_file, pos, heading as normalized from normalized",
         "heading_technical": f"with {NORMALIZED} select source_file, pos, is_technical from technical",
         "toc_flag": f"with {FLAGGED} select source_file, pos, title, is_toc from flagged",
+        "fuzzy_keywords": "with "
+        + FLAGGED.replace(
+            BUILT_IN,
+            f"select distinct {normalized("regexp_extract(text, '[^ \\n]+[ \\n][^ \\n]+')")} as keyword from benchmark",
+        )
+        + " select source_file, pos, title, is_toc from flagged",
         "skip_subtree": f"with {SKIPPED} select source_file, pos, level, skipped from skipped",
         "sections": f"with {SECTIONS} select source_file, pos, level, title, content from sections",
         "hierarchy": f"""
