@@ -160,8 +160,9 @@ def split_pieces(budgeted: DataFrame, overlap: int = OVERLAP) -> DataFrame:
     )
 
 
-def number_entries(with_pieces: DataFrame) -> DataFrame:
-    """Add ``first_number``: how many chunks all earlier entries have, over all files.
+def number_entries(with_pieces: DataFrame, earlier: int = 0) -> DataFrame:
+    """Add ``first_number``: how many chunks all earlier entries have, over all files, and
+    ``earlier`` ones of runs before.
 
     The order is (source_file, entry_pos). ``with_pieces`` is read twice; hand in a
     table in buckets of ``source_file``. Then only one row per file moves: its count,
@@ -177,7 +178,7 @@ def number_entries(with_pieces: DataFrame) -> DataFrame:
     )
     in_file = with_pieces.withColumn("in_file", F.coalesce(n_pieces.over(before), F.lit(0)))
     return in_file.join(starts, "source_file").select(
-        *with_pieces.columns, F.expr("file_start + in_file").alias("first_number")
+        *with_pieces.columns, F.expr(f"file_start + in_file + {earlier}L").alias("first_number")
     )
 
 

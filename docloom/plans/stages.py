@@ -78,14 +78,14 @@ def markdown_to_pieces(
     return chunking.split_pieces(chunking.with_budget(entries, chunk_size), overlap)
 
 
-def number_chunks(pieces: DataFrame) -> DataFrame:
-    """Entries with pieces -> chunks with ids.
+def number_chunks(pieces: DataFrame, earlier: int = 0) -> DataFrame:
+    """Entries with pieces -> chunks with ids, numbered after ``earlier`` chunks.
 
     What chunks are made of is staged by file, since the numbering first reads the counts.
     """
     needed = pieces.select("source_file", "entry_pos", "metadata", "background", "pieces")
     staged = write_buckets(needed, "pieces", "source_file", "entry_pos")
-    return chunking.build_chunks(chunking.number_entries(staged))
+    return chunking.build_chunks(chunking.number_entries(staged, earlier))
 
 
 def entries_to_chunks(
@@ -102,5 +102,6 @@ def markdown_to_chunks(
     chunk_size: int = chunking.CHUNK_SIZE,
     overlap: int = chunking.OVERLAP,
     max_background: int | None = None,
+    earlier: int = 0,
 ) -> DataFrame:
-    return number_chunks(markdown_to_pieces(md_docs, chunk_size, overlap, max_background))
+    return number_chunks(markdown_to_pieces(md_docs, chunk_size, overlap, max_background), earlier)
