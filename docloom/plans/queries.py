@@ -337,6 +337,24 @@ def _rounded(hits):
     return hits.withColumn("distance", F.round("distance", 6))
 
 
+def named_files(spark, sf):
+    """Markdown documents and their entries as files of their own, read back by the scans."""
+    path = f"{shared_dir(spark)}/named-{uuid.uuid4().hex}"
+    docs = write_stage(views.md_docs(spark, sf), "md")
+    entries = outline.markdown_to_entries(docs)
+    files.write_named(files.markdown_files(docs), path)
+    files.write_named(files.entry_files(entries), path)
+    read, _ = files.read_markdown(spark, path)
+    parsed, _ = files.read_entries(spark, path)
+    counts = parsed.groupBy("source_file").agg(F.count(F.lit(1)).alias("entries"), F.sum(F.length("content")).alias("chars"))
+    stem = F.regexp_replace("source_file", r"\.\w+$", "")
+    return (
+        read.select(stem.alias("name"), "md")
+        .join(counts.select(stem.alias("name"), "entries", "chars"), "name", "left")
+        .select("name", "md", "entries", "chars")
+    )
+
+
 def knn_single(spark, sf):
     vector = views.centroids(spark, sf, None).first().embedding
     return _rounded(search.nearest_single(vector, views.vectors(spark, sf)))
@@ -430,6 +448,7 @@ def queries() -> dict[str, Query]:
         "text_roundtrip": text_roundtrip,
         "entry_roundtrip": entry_roundtrip,
         "chunk_roundtrip": chunk_roundtrip,
+        "named_files": named_files,
         "knn_single": knn_single,
         "knn_join": knn_join,
         "knn_join_many": knn_join_many,

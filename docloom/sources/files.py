@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from docloom.functions import text
 from docloom.schemas import CHUNK_JSON, ENTRY_JSON
+from docloom.sources.named import NamedFiles
 
 # Python's parser takes neither single quotes nor comments nor leading zeros.
 STRICT_JSON = {"allowSingleQuotes": "false", "mode": "PERMISSIVE"}
@@ -234,6 +235,18 @@ def chunk_files(chunks: DataFrame, sources: DataFrame) -> DataFrame:
     return to_json_arrays(chunks, name, ["entry_pos", "chunk_index"], files)
 
 
+def write_named(files: DataFrame, path: str, mode: str = "append") -> None:
+    """(output_name, text) -> one file per row, ``{path}/{output_name}``; all of them or none.
+
+    ``"append"`` refuses names that are taken, ``"overwrite"`` replaces those files and no
+    others. The scans read them back, those with subfolders if names have them. Stores that
+    Arrow doesn't reach take ``write_files``.
+    """
+    files.sparkSession.dataSource.register(NamedFiles)
+    named = files.select(F.col("output_name").cast("string"), F.col("text").cast("string"))
+    named.write.format(NamedFiles.name()).mode(mode).save(path)
+
+
 def write_files(files: DataFrame, path: str) -> None:
     """(output_name, text) -> one folder per name, holding the text in one part file.
 

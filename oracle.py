@@ -499,6 +499,11 @@ select 'chunks_' || source_file as input_file,
   full_text as content, {chunk_id} as chunk_id, source_file, full_path, len(full_text)::int as chunk_size,
   background_size, len(piece)::int as content_size
 from chunks""",
+        "named_files": f"""
+with {ENTRIES},
+counts as (select source_file, count(*) as entries, sum(len(content))::bigint as chars from entries group by 1)
+select regexp_replace(source_file, '\\.json$', '') as name, md, entries, chars
+from md_docs left join counts using (source_file)""",
         "knn_single": f"""
 with {centroids("0")} select chunk_id, round(distance, 6) as distance from hits where rank <= 5""",
         "knn_join": f"""

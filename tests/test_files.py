@@ -3,6 +3,9 @@
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from docloom.operators import chunking, outline
 from docloom.plans import stages
 from docloom.sources import files
@@ -164,3 +167,66 @@ def test_markdown_to_files_and_back(spark, folder):
     stats = chunking.chunk_stats(pieces, 100, 10).first()
     sizes = [len(r.content) for r in loaded.collect()]
     assert (stats.total_chunks, stats.chunked_total_chars) == (len(sizes), sum(sizes))
+
+
+def everything(folder):
+    return sorted(os.path.relpath(os.path.join(d, f), folder) for d, _, names in os.walk(folder) for f in names if not f.endswith(".crc"))
+
+
+def named(spark, *rows):
+    return spark.createDataFrame(list(rows), "output_name string, text string").repartition(3)
+
+
+def test_named_files(spark, folder):
+    texts = {f"d{i % 3}/é {i}.txt": t for i, t in enumerate(["one\x00two", "\n", "a\n", "", "x" * 300_000, "é", " x "])}
+    path = f"{folder}/out"
+    files.write_named(named(spark, *texts.items(), ("top.txt", None)), path)
+    assert everything(path) == sorted([*texts, "top.txt"])
+    docs, rejects = files.read_texts(spark, f"file://{path}", recursive=True)
+    assert {r.source_file: r.text for r in docs.collect()} == texts | {"top.txt": ""}
+    assert rejects.count() == 0
+    # another write adds to them, and one that takes a name is refused whole
+    files.write_named(named(spark, ("more.txt", "m")), f"file:{path}")
+    with pytest.raises(Exception, match="taken.*top.txt"):
+        files.write_named(named(spark, ("new.txt", "n"), ("top.txt", "t")), path)
+    assert everything(path) == sorted([*texts, "top.txt", "more.txt"])
+    files.write_named(named(spark, ("new.txt", "n"), ("top.txt", "t")), path, "overwrite")
+    with open(f"{path}/top.txt") as top:
+        assert top.read() == "t"
+    assert everything(path) == sorted([*texts, "top.txt", "more.txt", "new.txt"])
+
+
+def test_a_failing_write_leaves_no_file(spark, folder):
+    good = [(f"f{i}.txt", "text") for i in range(50)]
+    wrong = named(spark, *good).withColumn(
+        "text", F.when(F.col("output_name") == "f33.txt", F.raise_error(F.lit("broken row"))).otherwise(F.col("text"))
+    )
+    for rows, reason in (
+        (wrong, "broken row"),
+        (named(spark, *good, ("f7.txt", "again")), "more than once"),
+        (named(spark, *good, ("../up.txt", "t")), "not a file name"),
+        (named(spark, *good, (None, "t")), "not a file name"),
+        (named(spark, *good, ("/etc/x", "t")), "not a file name"),
+        (named(spark, *good, ("a/_hidden", "t")), "not a file name"),
+    ):
+        with pytest.raises(Exception, match=reason):
+            files.write_named(rows, f"{folder}/out")
+        assert everything(folder) == []
+    files.write_named(named(spark, *good).limit(0), f"{folder}/out")
+    assert everything(folder) == [] and files.read_texts(spark, f"{folder}/out")[0].count() == 0
+
+
+def test_chunk_files_have_the_names_of_their_sources(spark, folder):
+    put(folder, "md/x.md", "# Kilo\nA body that is long enough.\n## Lima\nAnother body that is long enough.")
+    put(folder, "md/empty.md", "nothing here")
+    docs, _ = files.read_markdown(spark, f"{folder}/md")
+    entries = outline.markdown_to_entries(docs)
+    files.write_named(files.entry_files(entries), f"{folder}/entries")
+    assert everything(f"{folder}/entries") == ["x.json"]
+    read, rejects = files.read_entries(spark, f"{folder}/entries")
+    assert rejects.count() == 0 and read.count() == 2
+    chunks = stages.number_chunks(stages.entries_to_pieces(read, 600, 10))
+    files.write_named(files.chunk_files(chunks, docs.select("source_file")), f"{folder}/chunks")
+    assert everything(f"{folder}/chunks") == ["chunks_empty.json", "chunks_x.json"]
+    loaded, _ = files.load_chunks(spark, f"{folder}/chunks")
+    assert [r.content for r in loaded.orderBy("item_pos").collect()] == [r.content for r in chunks.orderBy("chunk_number").collect()]
