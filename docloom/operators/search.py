@@ -108,48 +108,55 @@ def _keep(found: pd.DataFrame, k: int) -> pd.DataFrame:
     return ordered.groupby("query", sort=False).head(k)
 
 
-_PACK = "width int, ids array<{}>, data binary"
+_PACK = "width int, cell int, ids array<{}>, data binary"
 
 
 def _pack(
     batches: Iterator[pa.RecordBatch], dtype: str, size: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
-    """Lay the vectors of one width end to end, about ``size`` bytes of them in a row."""
-    held: dict[int, tuple[list, list]] = {}
+    """Lay the vectors of one width and cell end to end, about ``size`` bytes of them in a row."""
+    held: dict[tuple[int, int], tuple[list, list]] = {}
     for batch in batches:
-        widths = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
-        for width in np.unique(widths):
-            mine = batch.filter(pa.array(widths == width))
-            values = mine.column(1).flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False)
-            ids, data = held.setdefault(int(width), ([], []))
-            most = max(1, size // (int(width) * values.itemsize))
+        widths = pc.list_value_length(batch.column("embedding")).to_numpy(zero_copy_only=False)
+        cells = batch.column("cell").to_numpy(zero_copy_only=False)
+        for width, cell in np.unique(np.stack([widths, cells], 1), axis=0).tolist():
+            mine = batch.filter(pa.array((widths == width) & (cells == cell)))
+            values = mine.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(dtype, copy=False)
+            ids, data = held.setdefault((width, cell), ([], []))
+            most = max(1, size // (width * values.itemsize))
             for begin in range(0, mine.num_rows, most):
                 ids.append(mine.column(0).slice(begin, most))
                 data.append(values[begin * width : (begin + most) * width])
                 if sum(map(len, ids)) >= most:
-                    yield _one_pack(int(width), ids, data, schema)
+                    yield _one_pack(width, cell, ids, data, schema)
                     ids.clear()
                     data.clear()
-    for width, (ids, data) in held.items():
+    for (width, cell), (ids, data) in held.items():
         if ids:
-            yield _one_pack(width, ids, data, schema)
+            yield _one_pack(width, cell, ids, data, schema)
 
 
-def _one_pack(width: int, ids: list, data: list, schema: pa.Schema) -> pa.RecordBatch:
+def _one_pack(width: int, cell: int, ids: list, data: list, schema: pa.Schema) -> pa.RecordBatch:
     joined = pa.concat_arrays(ids)
     offsets = pa.array([0, len(joined)], pa.int32())
-    columns = [pa.array([width], pa.int32()), pa.ListArray.from_arrays(offsets, joined)]
-    packed = pa.array([np.concatenate(data).tobytes()], pa.binary())
-    return pa.RecordBatch.from_arrays([*columns, packed], names=schema.names)
+    columns = [
+        pa.array([width], pa.int32()),
+        pa.array([cell], pa.int32()),
+        pa.ListArray.from_arrays(offsets, joined),
+        pa.array([np.concatenate(data).tobytes()], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
 
-def _packs(rows: DataFrame, id_type: T.DataType, names: tuple[str, str], dtype: str) -> DataFrame:
-    """(width, ids, data): the vectors of ``rows``, packed where they lie."""
+def _packs(rows: DataFrame, names: tuple[str, str], dtype: str) -> DataFrame:
+    """The vectors of ``rows`` (id, embedding, cell), packed where they lie."""
+    id_type = rows.schema.fields[0].dataType
     schema = T.StructType.fromDDL(_PACK.format(id_type.simpleString()))
     run = partial(_pack, dtype=dtype, size=PACK_BYTES, schema=to_arrow_schema(schema))
     packed = rows.mapInArrow(run, schema)
     return packed.select(
         "width",
+        "cell",
         F.col("ids").alias(names[0]),
         F.col("data").alias(names[1]),
         F.monotonically_increasing_id().alias(f"{names[1]}_number"),
@@ -205,16 +212,18 @@ def _hit_schema(id_type: T.DataType) -> T.StructType:
 def _met(asked: DataFrame, rows: DataFrame, k: int, groups: int) -> DataFrame:
     """The best k of each share of the collection, for every query.
 
-    Both sides are packed where they lie. One group of queries is broadcast by the join, and
-    the rows stay; more of them meet the rows in a grid of cells, so that a cell holds one
-    group while the rows of its share stream past.
+    Both sides are packed where they lie; queries meet the rows of their cell, where they
+    have cells. One group of queries is broadcast by the join, and the rows stay; more of them
+    meet the rows in a grid, so that a part of it holds one group while the rows of its share
+    stream past.
     """
+    asked, rows = (x if "cell" in x.columns else x.withColumn("cell", F.lit(0)) for x in (asked, rows))
     id_type = asked.schema["query_id"].dataType
     dtype = "f4" if rows.schema["embedding"].dataType.elementType == T.FloatType() else "f8"
-    slabs = _packs(rows, T.StringType(), ("chunk_ids", "rows"), dtype)
-    blocks = _packs(asked.select("query_id", "embedding"), id_type, ("query_ids", "queries"), "f8")
+    slabs = _packs(rows.select("chunk_id", "embedding", "cell"), ("chunk_ids", "rows"), dtype)
+    blocks = _packs(asked.select("query_id", "embedding", "cell"), ("query_ids", "queries"), "f8")
     if groups == 1:
-        pairs = slabs.join(F.broadcast(blocks), "width")
+        pairs = slabs.join(F.broadcast(blocks), ["width", "cell"])
     else:
         partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         shares = -(-partitions // groups)
@@ -227,7 +236,7 @@ def _met(asked: DataFrame, rows: DataFrame, k: int, groups: int) -> DataFrame:
 
         slabs = slabs.withColumn("share", dealt("rows_number", shares)).withColumn("group", every(groups))
         blocks = blocks.withColumn("group", dealt("queries_number", groups)).withColumn("share", every(shares))
-        pairs = slabs.join(blocks, ["width", "share", "group"])
+        pairs = slabs.join(blocks, ["width", "cell", "share", "group"])
     schema = _hit_schema(id_type)
     run = partial(_scan, k=k, dtype=dtype, most=HELD_HITS, schema=to_arrow_schema(schema))
     return pairs.mapInArrow(run, schema)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import boilerplate, splitting, text
 from docloom.functions.tokens import PythonCounter
-from docloom.operators import calls, chunking, collection, documents, outline, search
+from docloom.operators import calls, cells, chunking, collection, documents, outline, search
 from docloom.plans import stages, views
 from docloom.shared import shared_dir, write_stage
 from docloom.sources import files
@@ -22,6 +22,7 @@ CHUNKING = {"chunk_size": 600, "overlap": 50}
 TIGHT_CHUNK_SIZE, TIGHT_BACKGROUND = 210, 180
 SEGMENT_TOKENS = 200
 DIM = 64
+CELLS = 16
 
 
 def _headings(spark, sf):
@@ -372,6 +373,13 @@ def knn_join_many(spark, sf):
     return _rounded(search.nearest(asked, views.vectors(spark, sf), search.SAMPLE_K))
 
 
+def knn_cells(spark, sf):
+    """The queries of ``knn_join`` over an index of cells, and vectors of all widths."""
+    stored = views.vectors_with_gaps(spark, sf)
+    index = cells.build(stored, f"cells_{uuid.uuid4().hex}", CELLS)
+    return _rounded(cells.nearest(views.centroids(spark, sf), index, search.SAMPLE_K))
+
+
 def knn_join_gaps(spark, sf):
     """Vectors of which some are null, cut short, or have a NaN."""
     stored = views.vectors_with_gaps(spark, sf)
@@ -452,6 +460,7 @@ def queries() -> dict[str, Query]:
         "knn_single": knn_single,
         "knn_join": knn_join,
         "knn_join_many": knn_join_many,
+        "knn_cells": knn_cells,
         "knn_join_gaps": knn_join_gaps,
         "search_text": search_text,
         "search_hydrated": search_hydrated,

@@ -515,6 +515,9 @@ with pairs as (
       lambda i: pow(q.embedding[i]::double - r.embedding[i]::double, 2))) as distance
   from embeddings q, embeddings r),
 hits as (select *, row_number() over (partition by query_id order by distance, chunk_id)::int as rank from pairs)
+select query_id, rank, chunk_id, round(distance, 6) as distance from hits where rank <= 3""",
+        "knn_cells": f"""
+with {centroids("label", "vec_id % 7 not in (1, 2, 3)")}
 select query_id, rank, chunk_id, round(distance, 6) as distance from hits where rank <= 3""",
         "knn_join_gaps": f"""
 with {centroids("label", "vec_id % 7 not in (1, 2, 3)")}

@@ -76,14 +76,19 @@ def test_queries_and_rows_meet_in_one_join(spark, data, monkeypatch, block_bytes
 def test_packs_hold_every_vector_once():
     vectors = [[float(i)] * (3 if i % 4 else 2) for i in range(60)]
     batches = [
-        pa.record_batch({"id": pa.array(range(b, b + 20)), "v": pa.array(vectors[b : b + 20], pa.list_(pa.float32()))})
+        pa.record_batch({
+            "id": pa.array(range(b, b + 20)),
+            "embedding": pa.array(vectors[b : b + 20], pa.list_(pa.float32())),
+            "cell": pa.array([i % 2 for i in range(b, b + 20)], pa.int32()),
+        })
         for b in range(0, 60, 20)
     ]
-    schema = pa.schema([("width", pa.int32()), ("ids", pa.list_(pa.int64())), ("data", pa.binary())])
+    schema = pa.schema([("width", pa.int32()), ("cell", pa.int32()), ("ids", pa.list_(pa.int64())), ("data", pa.binary())])
     seen = {}
     for pack in search._pack(iter(batches), "f4", 5 * 3 * 4, schema):
         (row,) = pack.to_pylist()
         matrix = np.frombuffer(row["data"], "f4").reshape(-1, row["width"])
+        assert {i % 2 for i in row["ids"]} == {row["cell"]}
         assert len(matrix) == len(row["ids"]) and len(row["data"]) <= 5 * 3 * 4 + 3 * 4 * 20
         seen |= {i: v.tolist() for i, v in zip(row["ids"], matrix)}
     assert seen == dict(enumerate(vectors))
