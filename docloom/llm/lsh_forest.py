@@ -36,7 +36,8 @@ Other columns play no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +65,8 @@ HUBS = 4
 SKETCH_MATCHES = 99
 #: Counters of shingles, by which they are ordered: any order is right, rare first is quick.
 COUNTERS = 1 << 18
+#: Ids of candidates that are broadcast at most, to pick their texts without moving any.
+BROADCAST_IDS = 1 << 21
 #: Documents of a shingle that one task joins with all of its documents.
 SHARE = 1024
 
@@ -251,10 +254,16 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield found
 
 
-def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _data(batch: pa.RecordBatch) -> pa.Array:
+    return batch.column("data")
+
+
+def _shingle_sets(
+    batches: Iterator[pa.RecordBatch], data: Callable[[pa.RecordBatch], pa.Array]
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         doc = batch.column("doc").to_numpy()
-        for row, hashes, size in _sets(unpacked(batch)):
+        for row, hashes, size in _sets(data(batch)):
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc[row]), pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64)))],
@@ -380,12 +389,16 @@ def _links(keyed: DataFrame, classes: DataFrame) -> DataFrame:
     )
     pairs = found.where("region is null").select("a", "b")
     divided = found.where("region is not null").select(F.col("a").alias("doc"), "region", "distance")
-    members = found.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+    members = stage(
+        found.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct(), "forest_members"
+    )
+    if members.count() <= BROADCAST_IDS:
+        # the texts stay where they are
+        texts, data = keyed.join(F.broadcast(members), "doc", "left_semi"), _data
+    else:
+        texts, data = packed(keyed).join(members, "doc", "left_semi"), unpacked
     sets = stage(
-        packed(keyed)
-        .join(members, "doc", "left_semi")
-        .mapInArrow(_shingle_sets, "doc long, shingles array<long>"),
-        "forest_sets",
+        texts.mapInArrow(partial(_shingle_sets, data=data), "doc long, shingles array<long>"), "forest_sets"
     )
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = stage(_confirmed(first, sets), "forest_links")

@@ -11,8 +11,9 @@ def result(df):
     return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
 
 
-@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
-def test_table(spark, sf):
+@pytest.mark.parametrize("sf, ids", [("sf0.001", 0), ("sf0.001", 1 << 21), ("sf0.01", 1 << 21)])
+def test_table(spark, monkeypatch, sf, ids):
+    monkeypatch.setattr(lsh_forest, "BROADCAST_IDS", ids)
     df = spark.read.parquet(SMALL.replace("sf0.001", sf) + "/documents.parquet")
     docs = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
     assert result(lsh_forest.near_duplicates(df)) == brute.near_duplicates(docs)
