@@ -7,9 +7,60 @@ by recursion.
 
 from __future__ import annotations
 
-from docloom.functions.boilerplate import FILTER_KEYWORDS, TECHNICAL_KEYWORDS
-from docloom.functions.text import WHITESPACE
-from docloom.plans.queries import CHUNKING, SEGMENT_TOKENS, TIGHT_BACKGROUND, TIGHT_CHUNK_SIZE
+# Fixed values, written out so that a wrong one in the library shows.
+FILTER_KEYWORDS = [
+    "content",
+    "contents",
+    "table of contents",
+    "index",
+    "summary",
+    "preface",
+    "foreword",
+    "acknowledgement",
+    "acknowledgment",
+    "acknowledgements",
+    "acknowledgments",
+    "references",
+    "reference",
+    "bibliography",
+    "",
+    "about",
+    "about this",
+    "revision history",
+    "change log",
+    "version history",
+    "glossary",
+    "abbreviations",
+    "disclaimer",
+    "nomenclature",
+    "notation",
+    "list of figures",
+    "list of tables",
+    "list of symbols",
+    "figure",
+]
+TECHNICAL_KEYWORDS = [
+    "analysis",
+    "calculation",
+    "model",
+    "method",
+    "theory",
+    "equation",
+    "performance",
+    "flow",
+    "physics",
+    "aerodynamic",
+    "dynamics",
+    "component",
+    "system",
+    "design",
+    "optimization",
+    "simulation",
+]
+WHITESPACE = '\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000'
+CHUNKING = {"chunk_size": 600, "overlap": 50}
+TIGHT_CHUNK_SIZE, TIGHT_BACKGROUND = 210, 180
+SEGMENT_TOKENS = 200
 
 WS = "(" + "||".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
 WS_CLASS = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
