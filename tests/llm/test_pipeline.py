@@ -11,7 +11,7 @@ from docloom.llm.common import stage
 
 def test_statements(spark):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     for name, sql in queries.oracle_sql().items():
         found = con.execute(sql)
