@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from conftest import SMALL
@@ -79,3 +80,68 @@ def test_copies_quotations_and_rare_headings_stay(spark):
     assert all(got[i] == article for i in range(4))
     assert all(got[i] == f"Introduction\nown{i} says {quote} " + " ".join(f"w{i}_{k}" for k in range(30)) for i in (10, 11))
     assert all(got[i] == f"page {i}" for i in range(20, 26))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<div class="layout has-sidebar"><article><p>text</p></article><div class="sidebar">s</div></div>', "text"),
+        ('<form id="aspnetForm"><nav>m</nav><article><p>text</p></article><input><button>go</button></form>', "text"),
+        ('<div class="search-results"><main><p>text</p></main></div>', "text"),
+        ('<div class="page-with-sidebar"><p>text</p></div>', "text"),
+        ('<div class="sidebar"><article><p>text</p></article></div>', "text"),
+        ('<div class="right-sidebar"><p>all of the text</p><div class="ad">buy</div></div>', "all of the text"),
+        ('<article><section class="related-work"><p>a</p></section><h2 id="search">b</h2><p id="comments-on-method">c</p></article>', "a\nb\nc"),
+        ('<article><p>a</p><pre>x <span class="comment"># y</span></pre></article><div id="comments"><article>first, and much longer than the text</article></div>', "a\nx # y"),
+        ('<main><p>text</p><div class="related"><article>t</article></div></main>', "text"),
+        ('<article><p>long enough text</p><div class="ad">buy<p>now</article><p>after</p>', "long enough text\nafter"),
+        ('<div class="main-nav"><div>m</div></div><p>text of the page</p><div class="post-comments">me<div>too</div></div><p>end</p>', "text of the page\nend"),
+        ('<div class="cookie-notice">c</div><form>ask<p>me</p></form><p>text of the page</p>', "text of the page"),
+    ],
+)
+def test_names_are_evidence_only(page, text):
+    assert "\n".join(b.text for b in html_text.blocks(page) if not b.noise) == text
+
+
+def test_headings_that_many_pages_share_stay(spark):
+    menu = "<div>home</div><div>recipes</div><div>contact us</div>"
+    foot = "<div>imprint</div>"
+    rows = [
+        (i, f"http://h.example/{i}", f"{menu}<h1>Dish {i}</h1><h2>Ingredients</h2><p>salt{i} oil{i}</p><h2>Method</h2><p>stir it {i} times</p>{foot}")
+        for i in range(6)
+    ]
+    # a menu in the middle of the page is a long run across blocks
+    links = "".join(f"<li>link {k} to page</li>" for k in range(8))
+    rows += [(i, f"http://m.example/{i}", f"<p>first {i}</p><ul>{links}</ul><h2>Notes</h2><p>second {i}</p>") for i in range(6)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted(r.text for r in html_text.main_text(df).collect())
+    expected = [f"Dish {i}\nIngredients\nsalt{i} oil{i}\nMethod\nstir it {i} times" for i in range(6)]
+    assert got == sorted(expected + [f"first {i}\nNotes\nsecond {i}" for i in range(6)])
+
+
+def test_pages_without_marks_give_the_text_of_marked_ones(spark):
+    """Tags and names taken away, the host's runs alone find nearly the same text."""
+    menu = "".join(f"<li>section {k}</li>" for k in range(8))
+    foot = " ".join(f"legal{k}" for k in range(30))
+    marked, bare = [], []
+    for i in range(30):
+        body = "".join(f"<p>{' '.join(f'w{i * 7 + k * 3 + j}' for j in range(25))}</p>" for k in range(4))
+        url = f"http://h.example/{i}"
+        marked.append((i, url, f'<nav><ul>{menu}</ul></nav><article><h1>Title {i}</h1>{body}</article><footer><p>{foot}</p></footer>'))
+        bare.append((i, url, f"<ul>{menu}</ul><h1>Title {i}</h1>{body}<p>{foot}</p>"))
+    schema = "page_id long, url string, html string"
+    one, other = ({r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, schema)).collect()} for rows in (marked, bare))
+    right = sum(one[i] == other[i] for i in one)
+    assert right == len(one)
+
+
+def test_long_pages_and_extra_columns(spark):
+    page = "<nav>a<article>b" * 20_000
+    start = time.process_time()
+    html_text.blocks(page)
+    html_text.blocks("<div class='ad'>x" * 20_000 + "</div>" * 20_000)
+    assert time.process_time() - start < 10
+    long = "<article>" + "<p>word &amp; more</p>" * 30_000 + "</article>"
+    df = spark.createDataFrame([(1, "http://a/", long, "x", "y")], "page_id long, url string, html string, host string, blocks string")
+    (row,) = html_text.main_text(df).collect()
+    assert row.text == "\n".join(["word & more"] * 30_000) and row.n_chars == len(row.text)
