@@ -4,7 +4,7 @@ The words of each source, in the order of its documents, are packed into blocks
 ``BLOCK`` words. A target of words per source becomes a number of slots. Output shards
 of ``SHARD`` slots draw how many of their slots each source fills, by multinomial draws
 from a hash; draws beyond a source's slots are given up, and a last shard takes what is
-still missing, so that the targets are met. Slot ``j`` of a source stands for the block
+still missing, so that the targets are met. ``assembled`` lists what each shard holds. Slot ``j`` of a source stands for the block
 that a pseudorandom permutation (a swap-or-not shuffle, which is a bijection on any
 number of blocks) gives it, a new permutation for every pass over the source. Joining
 slots and blocks by that index gives what the mix takes of every document.
@@ -18,7 +18,8 @@ Null is a source of its own, the last one. Targets are ``SHARE`` times all words
 shared by the weights 5, 2, 1, repeating, over the sources by code point; no target is
 above ``EPOCHS`` times its source's words, and what is above is shared by the others.
 The mix is a function of the rows alone: reruns agree. Repeated rows are separate
-documents, which may be taken to a different extent. Other columns play no part.
+documents, which may be taken to a different extent; which of several equal rows is taken
+is open. Other columns play no part, whatever their names, and ``mixed`` hands them on.
 """
 
 from __future__ import annotations
@@ -52,6 +53,11 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.length(F.translate(letters, " \t\n\x0b\f\r", "")), F.lit(0)).cast("long")
 
 
+def _everything():
+    """All rows of the table of sources."""
+    return Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def targets(sources: DataFrame) -> DataFrame:
     """Add ``target`` to (source, source_size).
 
@@ -66,9 +72,7 @@ def targets(sources: DataFrame) -> DataFrame:
     order = Window.orderBy(most / F.col("weight"), "place")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     rest = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = Window.orderBy(F.lit(0)).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
+    everything = _everything()
     full = F.coalesce(F.sum(most).over(before), F.lit(0.0))
     levels = weighed.withColumn("all_words", F.sum("source_size").over(everything)).withColumn(
         "level", (F.lit(SHARE) * F.col("all_words") - full) / F.sum("weight").over(rest)
@@ -95,7 +99,7 @@ def permuted(index: Column, size: Column, *key: Column) -> Column:
 
 
 def _slots(sources: DataFrame) -> DataFrame:
-    """(place, pass, block, words): each slot's block and how many of its words count."""
+    """(place, shard, pass, block, words): each slot's block and how many of its words count."""
     size, blocks = F.col("source_size"), F.ceil(F.col("source_size") / BLOCK)
     words = F.round("target").cast("long")
     passes = F.floor(words / size)
@@ -126,47 +130,60 @@ def _slots(sources: DataFrame) -> DataFrame:
         .groupBy("shard", "place")
         .agg(F.count(F.lit(1)).alias("drawn"))
     )
-    earlier = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("start", F.coalesce(F.sum("drawn").over(earlier), F.lit(0)))
     plan = planned.select("place", "source_size", "target", "blocks", "slots")
-    drawn_slots = placed.join(plan, "place").select(
-        *plan.columns, "start", F.least(F.col("start") + F.col("drawn"), F.col("slots")).alias("stop")
+    # the slots that earlier shards have drawn of a source, summed over ranges of shards
+    summed = running_start(counts, ["place", "shard"], "drawn")
+    totals = summed.groupBy("place").agg(
+        F.min("running_start").alias("base"), F.sum("drawn").alias("all_drawn")
+    )
+    planned_draws = plan.join(totals, "place", "left")
+    start = F.col("running_start") - F.col("base")
+    drawn_slots = summed.join(planned_draws, "place").select(
+        *plan.columns,
+        "shard",
+        start.alias("start"),
+        F.least(start + F.col("drawn"), F.col("slots")).alias("stop"),
     )
-    # the last shard takes the slots that no draw has filled
-    totals = counts.groupBy("place").agg(F.sum("drawn").alias("start"))
-    missing = plan.join(totals, "place", "left").select(
-        *plan.columns, F.coalesce("start", F.lit(0)).alias("start"), F.col("slots").alias("stop")
+    # a last shard takes the slots that no draw has filled
+    shards_of_draws = F.ceil(F.sum("slots").over(_everything()) / SHARD)
+    missing = planned_draws.withColumn("shard", shards_of_draws).select(
+        *plan.columns, "shard", F.coalesce("all_drawn", F.lit(0)).alias("start"), F.col("slots").alias("stop")
     )
     filled = drawn_slots.union(missing).where("start < stop")
     slots = filled.repartition(tasks, "place", "start").select(
-        *plan.columns, F.explode(F.sequence("start", F.col("stop") - 1)).alias("slot")
+        *plan.columns, "shard", F.explode(F.sequence("start", F.col("stop") - 1)).alias("slot")
     )
     pass_, within = F.floor(F.col("slot") / F.col("blocks")), F.col("slot") % F.col("blocks")
     taken_before = pass_ * F.col("source_size") + within * BLOCK
     return slots.select(
         "place",
+        "shard",
         pass_.alias("pass"),
         permuted(within, F.col("blocks"), F.col("place"), pass_).alias("block"),
         F.least(F.lit(BLOCK), words - taken_before).cast("long").alias("words"),
     )
 
 
-#: What tells the documents of the mix apart, next to their place.
-_DOCUMENT = ["doc_id", "doc", "mark", "size", "source", "source_size", "target"]
+#: What is known of a document, next to its place. ``number`` tells equal rows apart.
+_DOCUMENT = ["number", "doc_id", "size", "source", "source_size", "target"]
 
 
 def _pieces(docs: DataFrame, text: str) -> DataFrame:
-    """(running_start, pass, first, stop) and what is known of the document: the words of
-    every document that each slot takes. What no slot takes has null, or no words."""
+    """(shard, pass, first, stop) and what is known of the document: the words of every
+    document that each slot takes. What no slot takes has null, or no words.
+
+    ``number`` of ``docs`` is a different one for every row.
+    """
     sized = docs.select(
+        "number",
         F.col("doc_id").cast("long"),
         F.col("source").cast("string"),
         *doc_key(text),
         word_count(text).alias("size"),
     )
-    numbered = stage(
-        running_start(sized, ["source", "doc", "mark", "size"], "size"), "mix_documents"
-    )
+    # the number comes last, so that equal rows are spread over tasks
+    order = ["source", "doc", "mark", "size", "number"]
+    numbered = stage(running_start(sized, order, "size").drop("doc", "mark"), "mix_documents")
     sources = stage(
         targets(
             numbered.groupBy("source").agg(
@@ -189,8 +206,8 @@ def _pieces(docs: DataFrame, text: str) -> DataFrame:
     begin = F.col("block") * BLOCK - F.col("begin")
     # the slots grow with the input, which their estimated size doesn't show
     return pieces.join(_slots(sources).hint("merge"), ["place", "block"], "left").select(
-        "running_start",
         *_DOCUMENT,
+        "shard",
         "pass",
         F.greatest(begin, F.lit(0)).alias("first"),
         F.least(begin + F.col("words"), F.col("size")).alias("stop"),
@@ -202,17 +219,29 @@ def _some(pieces: DataFrame) -> Column:
     return pieces["pass"].isNotNull() & (F.col("size") > 0) & (F.col("stop") > F.col("first"))
 
 
+def _with_numbers(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select("doc_id", "source", text, F.monotonically_increasing_id().alias("number"))
+
+
 def mix(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, doc, mark, size, source, source_size, target, taken) of every document."""
-    pieces = _pieces(docs, text)
+    """(doc_id, size, source, source_size, target, taken) of every document."""
+    # the numbers are read from where the running sum has written them
+    pieces = _pieces(_with_numbers(docs, text), text)
     words = F.when(_some(pieces), F.col("stop") - F.col("first")).otherwise(0)
     return (
-        pieces.groupBy("running_start", *_DOCUMENT)
+        pieces.groupBy(*_DOCUMENT)
         .agg(F.sum(words).cast("long").alias("taken"))
-        .select(*_DOCUMENT, "taken")
+        .select(*_DOCUMENT[1:], "taken")
     )
 
 
+def assembled(docs: DataFrame, text: str = "text") -> DataFrame:
+    """What each output shard holds: (shard, source, doc_id, pass, first, stop), the words
+    ``first`` up to ``stop`` of a document, in one pass over its source."""
+    pieces = _pieces(_with_numbers(docs, text), text)
+    return pieces.where(_some(pieces)).select("shard", "source", "doc_id", "pass", "first", "stop")
+
+
 def shares(docs: DataFrame) -> DataFrame:
     """What the mix takes, per document."""
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
@@ -226,36 +255,26 @@ def mixed(docs: DataFrame) -> DataFrame:
     with the white space behind it. What a pass doesn't take is left out. ``n_chars`` is
     counted anew.
     """
-    pieces = _pieces(docs, "text")
-    drawn = F.collect_list(F.when(_some(pieces), F.struct("pass", "first", "stop")))
-    # repeated rows of one document are told apart by their order alone, as one text is
-    # theirs: each of them gets what one of its places takes
-    key = ["doc", "mark"]
+    # each row is one value with a number, which is written, so that both reads agree and
+    # no column of the documents meets one of the mix
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = stage(docs.select(row, F.monotonically_increasing_id().alias("number")), "mix_rows")
+    pieces = _pieces(rows.select("number", *[F.col(f"row.{c}") for c in ("doc_id", "source", "text")]), "text")
     taken = (
-        pieces.groupBy("running_start", *key, "size", "source")
-        .agg(F.sort_array(drawn).alias("drawn"))
-        .groupBy(*key)
-        .agg(F.sort_array(F.collect_list(F.struct("source", "running_start", "size", "drawn"))).alias("_places"))
-        .where(F.exists("_places", lambda p: F.size(p["drawn"]) > 0))
-    )
-    doc, mark = doc_key("text")
-    rows = docs.select("*", doc.alias("_doc"), mark.alias("_mark")).join(
-        taken, (F.col("_doc") == taken["doc"]) & (F.col("_mark") == taken["mark"])
-    )
-    others = [docs[c] for c in docs.columns if c != "text"]
-    order = Window.partitionBy("_doc", "_mark").orderBy(
-        F.asc_nulls_first(docs["source"].cast("string")), F.xxhash64(*others)
+        pieces.where(_some(pieces))
+        .groupBy("number", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("pass", "first", "stop"))).alias("drawn"))
     )
-    rows = rows.withColumn("_place", F.get("_places", F.row_number().over(order) - 1)).drop("_places")
     copies = F.transform(
-        F.array_distinct(F.col("_place.drawn.pass")),
-        lambda p: F.filter(F.col("_place.drawn"), lambda d: d["pass"] == p),
+        F.array_distinct(F.col("drawn.pass")),
+        lambda p: F.filter("drawn", lambda d: d["pass"] == p),
     )
-    rows = rows.select(*docs.columns, F.col("_place.size").alias("_size"), F.explode(copies).alias("_copy"))
+    rows = rows.join(taken, "number").select("row", "size", F.explode(copies).alias("copy"))
+    text = F.col("row.text")
     n_taken = F.aggregate(
-        "_copy", F.lit(0).cast("long"), lambda n, d: n + d["stop"] - d["first"]
+        "copy", F.lit(0).cast("long"), lambda n, d: n + d["stop"] - d["first"]
     )
-    words = F.regexp_extract_all(F.col("text"), F.lit(f"({WORD}{_SPACE}*)"), F.lit(1))
+    words = F.regexp_extract_all(text, F.lit(f"({WORD}{_SPACE}*)"), F.lit(1))
 
     def piece(words: Column, d: Column) -> Column:
         n = (d["stop"] - d["first"]).cast("int")
@@ -263,9 +282,9 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     # the words are cut out once for all pieces
     cut = F.transform(
-        F.array(words), lambda w: F.array_join(F.transform("_copy", lambda d: piece(w, d)), "")
+        F.array(words), lambda w: F.array_join(F.transform("copy", lambda d: piece(w, d)), "")
     )[0]
     cut = F.regexp_replace(cut, rf"{_SPACE}+\z", "")
-    rows = rows.withColumn("_text", F.when(n_taken >= F.col("_size"), F.col("text")).otherwise(cut))
-    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
-    return rows.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+    rows = rows.select("row", F.when(n_taken >= F.col("size"), text).otherwise(cut).alias("cut"))
+    new = {"text": F.col("cut"), "n_chars": F.length("cut").cast("long")}
+    return rows.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])

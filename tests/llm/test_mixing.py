@@ -1,7 +1,9 @@
 import re
+import struct
 
 import brute
 import pytest
+import xxhash
 from conftest import SMALL
 from pyspark.sql import functions as F
 
@@ -104,3 +106,89 @@ def test_documents_taken_in_part_give_the_words_of_the_drawn_blocks(spark):
     assert all(between[p] == spaces[p % 5] for p in places[:-1])
     whole = [r.text for r in out if r.doc_id == 2]
     assert sum(len(t.split()) for t in whole) == taken[2] and all("\n" in t for t in whole)
+
+
+def replayed(docs):
+    """(doc_id, taken) and words per shard and source, slot by slot, in plain Python."""
+
+    def h(*parts):
+        seed = 42
+        for part in parts:
+            data = part.encode() if isinstance(part, str) else struct.pack("<q" if isinstance(part, Long) else "<i", part)
+            seed = xxhash.xxh64_intdigest(data, seed)
+        return seed - (1 << 64) if seed >> 63 else seed
+
+    def permuted(index, size, place, turn):
+        for r in range(1, mixing.ROUNDS + 1):
+            other = (h("turn", mixing.SEED, r, place, Long(turn)) - index) % size
+            if h("swap", mixing.SEED, r, place, Long(turn), Long(max(index, other))) & 1:
+                index = other
+        return index
+
+    sizes, words = {}, {}
+    for i, text, source in sorted(docs, key=lambda d: (d[2] or "", d[0])):
+        n = len(brute.WORD.findall(text or ""))
+        words.setdefault(source, []).extend([i] * n)
+        sizes[source] = sizes.get(source, 0) + n
+    names = sorted(sizes)
+    targets = level_targets(sizes)
+    slots = []
+    for s in names:
+        wanted, blocks = round(targets[s]), -(-sizes[s] // mixing.BLOCK)
+        slots.append(wanted // sizes[s] * blocks + -(-(wanted % sizes[s]) // mixing.BLOCK))
+    ends = [sum(slots[: k + 1]) for k in range(len(slots))]
+    shards = -(-ends[-1] // mixing.SHARD)
+    filled, order = [0] * len(names), []
+    for slot in range(ends[-1]):
+        drawn = h("draw", mixing.SEED, Long(slot)) % ends[-1]
+        place = next(k for k, e in enumerate(ends) if drawn < e)
+        if filled[place] < slots[place]:
+            order.append((slot // mixing.SHARD, place, filled[place]))
+            filled[place] += 1
+    order += [(shards, k, j) for k in range(len(names)) for j in range(filled[k], slots[k])]
+    taken, held = {i: 0 for i, _, _ in docs}, {}
+    for shard, place, j in order:
+        s = names[place]
+        blocks = -(-sizes[s] // mixing.BLOCK)
+        turn, within = divmod(j, blocks)
+        n = min(mixing.BLOCK, round(targets[s]) - turn * sizes[s] - within * mixing.BLOCK)
+        at = permuted(within, blocks, place, turn) * mixing.BLOCK
+        got = words[s][at : at + n]
+        held[shard, s] = held.get((shard, s), 0) + len(got)
+        for i in got:
+            taken[i] += 1
+    return taken, held
+
+
+class Long(int):
+    """A 64-bit number."""
+
+
+def test_sequential_replay(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD", 16)
+    docs = [(i, " ".join(["w"] * (i * 37 % 700 + (40_000 if i == 5 else 0))), "abc"[i % 3]) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    taken, held = replayed(docs)
+    assert {r.doc_id: r.taken for r in mixing.shares(df).collect()} == taken
+    found = mixing.assembled(df).groupBy("shard", "source").agg(F.sum(F.col("stop") - F.col("first")).alias("n"))
+    assert {(r.shard, r["source"]): r.n for r in found.collect()} == {k: n for k, n in held.items() if n}
+    assert len({shard for shard, _ in held}) > 10
+
+
+def test_many_equal_rows_and_clashing_columns(spark):
+    names = ["doc", "mark", "_doc", "_places", "_copy", "_place", "place", "number", "row", "pass", "copy", "cut", "drawn", "size", "shard", "a.b"]
+    text = "one two\nthree " * 100
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 2000, 7).cast("long").alias("doc_id"),
+        F.lit(text).alias("text"),
+        F.lit("a").alias("source"),
+        *[F.concat(F.lit(n), F.col("id") % 2).alias(n) for n in names],
+    )
+    none = df.limit(3).withColumn("text", F.lit(None).cast("string"))
+    got = mixing.shares(df.union(none)).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("taken").alias("t")).collect()
+    assert sum(r.n for r in got) == 4003 and sum(r.t for r in got) == 4000 * 300 * 1.5
+    out = mixing.mixed(df)
+    assert out.columns == df.columns
+    for n in names:
+        assert {r[0] for r in out.select(f"`{n}`").distinct().collect()} == {f"{n}0", f"{n}1"}
+    assert out.agg(F.sum(F.size(F.split(F.trim("text"), r"\s+")))).first()[0] == 4000 * 300 * 1.5
