@@ -311,7 +311,7 @@ def repeated_spans(keyed: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
         .withColumn("hot", F.coalesce("many", F.lit(False)))
         .groupBy("doc", mark.alias("mark"))
         .agg(
-            F.collect_list(F.struct("trigger", "hot", spot.alias("place"), "reach")).alias("wanted")
+            F.collect_set(F.struct("trigger", "hot", spot.alias("place"), "reach")).alias("wanted")
         )
     )
     words = stage(
@@ -387,7 +387,7 @@ def remove_repeats(
     spans = (
         repeated_spans(keyed, hot_words)
         .groupBy("doc", "mark")
-        .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("data")
@@ -414,8 +414,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A null text stays null.
     """
-    is_null = F.col("text").isNull().alias("_null")
-    cut = remove_repeats(docs.select("*", is_null), whole_characters=True)
-    text = F.when(~F.col("_null"), F.col("kept").cast("string"))
-    new = {"text": text, "n_chars": F.when(~F.col("_null"), F.length(text)).cast("long")}
-    return cut.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    # the columns travel as one value, so that none meets one of the operator
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("others")
+    is_null = F.col("text").isNull().alias("is_null")
+    cut = remove_repeats(docs.select("doc_id", "text", is_null, others), whole_characters=True)
+    text = F.when(~F.col("is_null"), F.col("kept").cast("string"))
+    new = {"text": text, "n_chars": F.when(~F.col("is_null"), F.length(text)).cast("long")}
+    return cut.select(
+        *[new[c].alias(c) if c in new else F.col("others").getField(c).alias(c) for c in docs.columns]
+    )

@@ -81,3 +81,20 @@ def test_documents_keep_their_columns(spark):
     assert suffix_dedup.without_repeats(df).columns == df.columns
     assert out[2].text.startswith("x") and len(out[2].text) == out[2].n_chars < 10
     assert out[3].text is None and out[3].lang == "en"
+
+
+def test_many_equal_rows_and_clashing_columns(spark):
+    names = ["kept", "n_removed", "n_spans", "_null", "is_null", "others", "doc", "mark", "data", "row", "spans", "a.b"]
+    text = "".join(f"{i} passage of the text, " for i in range(60))
+    df = spark.range(3000).select(
+        (F.col("id") % 2).alias("doc_id"),
+        F.when(F.col("id") % 100 < 98, F.lit(text)).alias("text"),
+        *[F.concat(F.lit(n), F.col("id") % 3).alias(n) for n in names],
+    )
+    out = suffix_dedup.without_repeats(df)
+    assert out.columns == df.columns
+    # the later document loses all of the text, in every row
+    found = {(r.doc_id, r.text): r.n for r in out.groupBy("doc_id", "text").agg(F.count("*").alias("n")).collect()}
+    assert found == {(0, text): 1470, (1, ""): 1470, (0, None): 30, (1, None): 30}
+    for n in names:
+        assert {r[0] for r in out.select(f"`{n}`").distinct().collect()} == {f"{n}{k}" for k in range(3)}
