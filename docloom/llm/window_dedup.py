@@ -20,7 +20,8 @@ share is aggregated map-side and joined in splittable pieces.
 
 Definitions. Words are runs of anything but space and \\x09 to \\x0D. Null text has no
 words, documents under 35 words lose nothing. Rows with equal id and equal text are the
-same document: they don't repeat each other. Rows with equal id and other text are
+same document: they don't repeat each other, and each range of theirs is collected once,
+so that n of them take n times the room of one. Rows with equal id and other text are
 different documents. Other columns play no part.
 """
 
@@ -178,7 +179,7 @@ def repeated_starts(keyed: DataFrame) -> DataFrame:
     listed = (
         _starts(known.where("leads"))
         .groupBy("doc", "mark")
-        .agg(F.collect_list(F.struct("first", "last")).alias("starts"))
+        .agg(F.collect_set(F.struct("first", "last")).alias("starts"))
     )
     windows = stage(
         packed(keyed).join(listed, ["doc", "mark"]).mapInArrow(_open_windows, _WINDOW_ROW), "window_open"
@@ -245,7 +246,7 @@ def remove_windows(docs: DataFrame, text: str = "text") -> DataFrame:
     starts = (
         repeated_starts(_keyed(docs, text))
         .groupBy("doc", "mark")
-        .agg(F.collect_list(F.struct("first", "last")).alias("starts"))
+        .agg(F.collect_set(F.struct("first", "last")).alias("starts"))
     )
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
     data = F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("data")

@@ -69,3 +69,18 @@ def test_nulls_repeated_rows_and_other_columns(spark):
 
 def test_empty_table(spark):
     assert window_dedup.digests(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_many_repeated_rows(spark):
+    """Each range is collected once, however often its row comes."""
+    rng = random.Random(8)
+    shared = " ".join(f"s{rng.randint(0, 999)}" for _ in range(60))
+    text = " ".join(f"w{rng.randint(0, 9999)}" for _ in range(200)) + " " + shared
+    docs = [(1, text)] * 2000 + [(2, shared + " end"), (3, "a " + shared)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {}
+    for r in window_dedup.digests(df).collect():
+        got.setdefault(r.doc_id, []).append((r.n_words, r.n_removed, r.kept_sha256))
+    assert {i: len(v) for i, v in got.items()} == {1: 2000, 2: 1, 3: 1}
+    assert all(len(set(v)) == 1 for v in got.values())
+    assert {i: v[0] for i, v in got.items()} == brute.window_dedup([(1, text), *docs[2000:]])
