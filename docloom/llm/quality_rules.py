@@ -12,7 +12,9 @@ A document is rejected if its squared Mahalanobis distance is beyond ``CUTOFF``
 what that of the central documents leads to expect.
 
 Every step is one aggregation, pre-aggregated map-side, so a source with a third of all
-documents is no hot key; medians and quantiles are mergeable sketches.
+documents is no hot key; medians and quantiles are mergeable sketches. What is known of the
+groups goes back to their documents by broadcast while it is small, and else by a salted join,
+since the group of all documents is one key.
 
 Definitions. Words are runs of anything but space and \\x09 to \\x0D; null text has none.
 Null languages and sources are groups like others. Each row is judged on its own text;
@@ -40,6 +42,10 @@ LOCATION_HALF, SCATTER_HALF = 5, 50
 #: with five degrees of freedom. Text statistics have heavier tails than the normal.
 CUTOFF = 100.0
 
+#: What is known of the groups is broadcast up to this size, and dealt by shares beyond it.
+BROADCAST_BYTES = 8 << 20
+SHARES = 64
+
 #: Median of a chi-square with five degrees of freedom.
 _MEDIAN = 4.351460191
 _SPACES = " \t\n\x0b\f\r"
@@ -133,10 +139,29 @@ def _grouped(rows: DataFrame) -> DataFrame:
     return rows.withColumn("g", F.explode(F.array(own, of_lang, every))).select("*", "g.g_lang", "g.g_source").drop("g")
 
 
+def _with_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows beside what the staged table ``groups`` says of their group.
+
+    Its size is counted first. Beyond ``BROADCAST_BYTES`` the documents of a group are dealt
+    into shares by their id and vector, so that none is one task's.
+    """
+    names = F.octet_length("g_lang") + F.octet_length("g_source")
+    row = F.coalesce(F.sum(names + 16 * len(groups.columns)), F.lit(0))
+    if groups.agg(row.alias("bytes")).first()["bytes"] <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(groups), _GROUP)
+    share = F.pmod(F.xxhash64("doc_id", *_FEATURES), F.lit(SHARES)).cast("int")
+    shares = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
+    dealt = rows.withColumn("g_share", share)
+    return dealt.join(groups.withColumn("g_share", shares), [*_GROUP, "g_share"]).drop("g_share")
+
+
 def _start(rows: DataFrame) -> DataFrame:
     """Medians of each group, and a diagonal scatter from the median deviations."""
-    middle = rows.groupBy(*_GROUP).agg(*[F.percentile_approx(x, 0.5).alias(f"m_{x}") for x in _FEATURES])
-    spread = rows.join(middle, _GROUP).groupBy(*_GROUP).agg(
+    middle = stage(
+        rows.groupBy(*_GROUP).agg(*[F.percentile_approx(x, 0.5).alias(f"m_{x}") for x in _FEATURES]),
+        "rules_middle",
+    )
+    spread = _with_group(rows, middle).groupBy(*_GROUP).agg(
         *[F.first(f"m_{x}").alias(f"m_{x}") for x in _FEATURES],
         *[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{x}")), 0.5).alias(f"d_{x}") for x in _FEATURES],
         F.count(F.lit(1)).alias("members"),
@@ -150,7 +175,7 @@ def _start(rows: DataFrame) -> DataFrame:
 
 def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """Squared distances by forward substitution with the scatter's Cholesky factor."""
-    out = rows.join(estimates.drop("members"), _GROUP)
+    out = _with_group(rows, estimates.drop("members"))
     for i, x in enumerate(_FEATURES):
         rest = F.col(x) - F.col(f"m_{x}")
         for j in range(i):
@@ -227,13 +252,16 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     ``distance`` (null where the base rules fail)."""
     counted = stage(statistics(docs, text), "rules_statistics")
     rows = _vectors(counted.where("not base_failed"))
-    grouped = _grouped(rows.select("lang", "source", *_FEATURES)).select(*_GROUP, *_FEATURES)
+    grouped = _grouped(rows.select("doc_id", "lang", "source", *_FEATURES)).select("doc_id", *_GROUP, *_FEATURES)
     estimates = stage(_start(grouped), "rules_start")
     members = estimates.select(*_GROUP, "members")
     for _ in range(STEPS):
         distances = _with_distance(grouped, estimates)
-        limits = distances.groupBy(*_GROUP).agg(F.percentile_approx("distance", CORE).alias("limit"))
-        nearest = distances.join(limits, _GROUP).where("distance <= limit")
+        limits = stage(
+            distances.groupBy(*_GROUP).agg(F.percentile_approx("distance", CORE).alias("limit")),
+            "rules_limits",
+        )
+        nearest = _with_group(distances, limits).where("distance <= limit")
         estimates = stage(_estimate(nearest).join(members, _GROUP), "rules_estimate")
     # the scatter of the nearest is too small; the median distance puts it right
     medians = (

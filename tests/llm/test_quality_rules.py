@@ -70,3 +70,15 @@ def test_a_small_language_is_judged_against_its_own(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     got = {r.doc_id: r.kept for r in quality_rules.verdicts(df).collect()}
     assert not got.pop(2000) and all(got.values())
+
+
+def test_a_salted_join_of_the_groups_gives_the_same(spark, monkeypatch):
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    expected = {r.doc_id: r for r in quality_rules.verdicts(df).collect()}
+    monkeypatch.setattr(quality_rules, "BROADCAST_BYTES", -1)
+    got = {r.doc_id: r for r in quality_rules.verdicts(df).collect()}
+    assert got.keys() == expected.keys()
+    for i, r in got.items():
+        assert (r.kept, r.base_failed) == (expected[i].kept, expected[i].base_failed)
+        if not r.base_failed:
+            assert r.distance == pytest.approx(expected[i].distance, rel=1e-6)
