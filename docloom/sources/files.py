@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from docloom.functions import text
 from docloom.schemas import CHUNK_JSON, ENTRY_JSON
+from docloom.sources import listing
 from docloom.sources.named import NamedFiles
 
 # Python's parser takes neither single quotes nor comments nor leading zeros.
@@ -38,7 +39,8 @@ def _file_name(path: str, recursive: bool = False) -> Column:
     """A file's own name; with subfolders its path below the folder, or else the whole
     path, so that files of the same name stay apart."""
     if not recursive:
-        return F.col("_metadata.file_name").alias("source_file")
+        # not that of the file's metadata, in which spaces and brackets are escaped
+        return F.substring_index("path", "/", -1).alias("source_file")
     root, whole = _root(path), F.regexp_replace("path", _SCHEME, "")
     at = F.instr(whole, root)
     below = F.substr(whole, at + F.lit(len(root)))
@@ -72,20 +74,30 @@ def read_texts(
 ) -> tuple[DataFrame, DataFrame]:
     """Whole files as (source_file, text), and those that are not valid UTF-8.
 
-    Spark's scans leave out files of length 0. ``include_empty`` finds them by the
-    names in the scan's file index, which is on the driver; a folder of many
-    millions of files is better read without.
+    Spark's scans leave out files of length 0. ``include_empty`` lists the folder by tasks
+    to find them; for a path that is a pattern, or in a store that Arrow doesn't reach, it
+    takes the names from the scan's index, on the driver.
     """
     files = _binary(spark, path, glob, recursive).select(_file_name(path, recursive), "content")
     good, rejects = texts_of(files)
     if include_empty:
-        names = [(_listed_name(f, path, recursive),) for f in files.inputFiles()]
-        listed = spark.createDataFrame(names, "source_file string")
-        empty = listed.join(files.select("source_file"), "source_file", "left_anti")
+        empty = _empty_files(spark, files, path, glob, recursive)
         good = good.unionByName(empty.withColumn("text", F.lit("")))
     return good, rejects
 
 
+def _empty_files(
+    spark: SparkSession, files: DataFrame, path: str, glob: str, recursive: bool
+) -> DataFrame:
+    """(source_file) of the files of length 0; ``files`` is the scan of the others."""
+    if listing.reaches(spark, path):
+        found = listing.list_files(spark, path, glob, recursive).where("length = 0")
+        return found.select(F.col("below").alias("source_file"))
+    names = [(_listed_name(f, path, recursive),) for f in files.inputFiles()]
+    listed = spark.createDataFrame(names, "source_file string")
+    return listed.join(files.select("source_file"), "source_file", "left_anti")
+
+
 def texts_of(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(source_file, content as bytes) -> texts with plain line ends, and invalid files."""
     decoded = F.col("content").cast("string")

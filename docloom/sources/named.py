@@ -43,7 +43,7 @@ class Written(WriterCommitMessage):
     names: list[str]
 
 
-def _opened(path: str) -> tuple[fs.FileSystem, str]:
+def opened(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path; a scheme with a single slash, as Spark writes it, is one too."""
     path = re.sub(r"^(\w[\w+.-]*):/(?!/)", r"\1:///", path)
     if "://" not in path:
@@ -79,11 +79,11 @@ class NamedFilesWriter(DataSourceArrowWriter):
     def __init__(self, path: str, overwrite: bool) -> None:
         self.path, self.overwrite = path, overwrite
         self.job = f"_writing-{uuid.uuid4().hex}"
-        system, top = _opened(path)
+        system, top = opened(path)
         system.create_dir(f"{top}/{self.job}", recursive=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        system, top = _opened(self.path)
+        system, top = opened(self.path)
         folder = f"{self.job}/{uuid.uuid4().hex}"
         made, names = {f"{top}/{self.job}"}, []
 
@@ -106,7 +106,7 @@ class NamedFilesWriter(DataSourceArrowWriter):
         return Written(folder, names)
 
     def commit(self, messages: list[Written | None]) -> None:
-        system, top = _opened(self.path)
+        system, top = opened(self.path)
         moves = [(m.folder, name) for m in messages if m for name in m.names]
         try:
             self._check(system, top, [name for _, name in moves])
@@ -132,7 +132,7 @@ class NamedFilesWriter(DataSourceArrowWriter):
                 raise ValueError(f"names that are taken: {sorted(taken)[:5]}")
 
     def abort(self, messages: list[Written | None]) -> None:
-        self._clear(*_opened(self.path))
+        self._clear(*opened(self.path))
 
     def _clear(self, system: fs.FileSystem, top: str) -> None:
         at = f"{top}/{self.job}"
