@@ -35,7 +35,7 @@ def _arriving(spark: SparkSession, path: str, glob: str, files_per_batch: int |
     )
     if files_per_batch:
         stream = stream.option("maxFilesPerTrigger", files_per_batch)
-    return stream.load(path).select(F.col("_metadata.file_name").alias("source_file"), "content")
+    return stream.load(path).select(F.substring_index("path", "/", -1).alias("source_file"), "content")
 
 
 def _run(arrived: DataFrame, insert: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
