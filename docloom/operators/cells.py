@@ -192,12 +192,11 @@ def _pairs(asked: DataFrame, index: Index, k: int, first: bool) -> DataFrame:
 
 def _searched_cells(pairs: DataFrame, index: Index, k: int, block_bytes: int) -> DataFrame:
     needed = [r.cell for r in pairs.select("cell").distinct().collect()]  # at most all cells
-    size = pairs.agg(F.sum(8 * F.size("embedding"))).first()[0] or 0
     rows = index.rows.where(F.col("cell").isin(needed))
     partitions = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # queries of one cell come together; a cell that all of them search is several tasks' work
     dealt = pairs.repartition(partitions, "cell", F.pmod("query_id", F.lit(8)))
-    return search._met(dealt, rows, k, max(1, -(-size // block_bytes)))
+    return search._met(dealt, rows, k, search._groups(pairs, k, block_bytes))
 
 
 def nearest(

@@ -30,8 +30,10 @@ MATRIX_CELLS = 1 << 21
 PACK_BYTES = 2 << 20
 # Queries up to this size meet the collection where it lies; more go in groups of this size.
 BLOCK_BYTES = 32 << 20
-# A task lets go of its best hits beyond this number.
+# A task lets go of its best hits beyond this number; a group of queries has no more of them.
 HELD_HITS = 1 << 19
+# More parts of the grid for each core than this would only move the queries more often.
+PARTS_PER_CORE = 4
 
 
 def nearest_single(
@@ -164,7 +166,7 @@ def _packs(rows: DataFrame, names: tuple[str, str], dtype: str) -> DataFrame:
 
 
 def _scan(
-    batches: Iterator[pa.RecordBatch], k: int, dtype: str, most: int, schema: pa.Schema
+    batches: Iterator[pa.RecordBatch], k: int, dtype: str, asked_dtype: str, most: int, schema: pa.Schema
 ) -> Iterator[pa.RecordBatch]:
     """The best k of the rows that a task sees, for each block of queries that it sees."""
     held: dict[int, tuple[pa.Array, pd.DataFrame]] = {}
@@ -178,7 +180,8 @@ def _scan(
                 rows = np.frombuffer(data, dtype).reshape(-1, width).astype(np.float64)
                 chunk_ids = np.asarray(columns["chunk_ids"][i].values.to_pylist(), dtype=object)
             block = columns["queries_number"][i].as_py()
-            queries = np.frombuffer(columns["queries"][i].as_buffer(), np.float64).reshape(-1, width)
+            queries = np.frombuffer(columns["queries"][i].as_buffer(), asked_dtype).reshape(-1, width)
+            queries = queries.astype(np.float64, copy=False)
             found = _best(queries, rows, chunk_ids, k)
             if block in held:
                 found = _keep(pd.concat([held[block][1], found]), k)
@@ -209,24 +212,38 @@ def _hit_schema(id_type: T.DataType) -> T.StructType:
     )
 
 
+def _dtype(rows: DataFrame) -> str:
+    """How the vectors of a table are packed: floats as they are, anything else as doubles."""
+    return "f4" if rows.schema["embedding"].dataType.elementType == T.FloatType() else "f8"
+
+
+def _groups(asked: DataFrame, k: int, block_bytes: int) -> int:
+    """Into how many groups queries go, each of about ``block_bytes`` and ``HELD_HITS`` hits."""
+    width = np.dtype(_dtype(asked)).itemsize
+    size, count = asked.agg(F.sum(width * F.size("embedding")), F.count(F.lit(1))).first()
+    return max(1, -(-(size or 0) // block_bytes), -(-count * k // HELD_HITS))
+
+
 def _met(asked: DataFrame, rows: DataFrame, k: int, groups: int) -> DataFrame:
     """The best k of each share of the collection, for every query.
 
     Both sides are packed where they lie; queries meet the rows of their cell, where they
     have cells. One group of queries is broadcast by the join, and the rows stay; more of them
     meet the rows in a grid, so that a part of it holds one group while the rows of its share
-    stream past.
+    stream past. The grid has parts for all cores and no more: each query moves to every share,
+    each row to every group.
     """
     asked, rows = (x if "cell" in x.columns else x.withColumn("cell", F.lit(0)) for x in (asked, rows))
     id_type = asked.schema["query_id"].dataType
-    dtype = "f4" if rows.schema["embedding"].dataType.elementType == T.FloatType() else "f8"
+    dtype, asked_dtype = _dtype(rows), _dtype(asked)
     slabs = _packs(rows.select("chunk_id", "embedding", "cell"), ("chunk_ids", "rows"), dtype)
-    blocks = _packs(asked.select("query_id", "embedding", "cell"), ("query_ids", "queries"), "f8")
+    blocks = _packs(asked.select("query_id", "embedding", "cell"), ("query_ids", "queries"), asked_dtype)
     if groups == 1:
         pairs = slabs.join(F.broadcast(blocks), ["width", "cell"])
     else:
-        partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        shares = -(-partitions // groups)
+        spark = rows.sparkSession
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        shares = -(-min(partitions, PARTS_PER_CORE * spark.sparkContext.defaultParallelism) // groups)
 
         def dealt(number: str, count: int) -> Column:
             return F.pmod(F.xxhash64(number), F.lit(count)).cast("int")
@@ -238,7 +255,9 @@ def _met(asked: DataFrame, rows: DataFrame, k: int, groups: int) -> DataFrame:
         blocks = blocks.withColumn("group", dealt("queries_number", groups)).withColumn("share", every(shares))
         pairs = slabs.join(blocks, ["width", "cell", "share", "group"])
     schema = _hit_schema(id_type)
-    run = partial(_scan, k=k, dtype=dtype, most=HELD_HITS, schema=to_arrow_schema(schema))
+    run = partial(
+        _scan, k=k, dtype=dtype, asked_dtype=asked_dtype, most=HELD_HITS, schema=to_arrow_schema(schema)
+    )
     return pairs.mapInArrow(run, schema)
 
 
@@ -251,15 +270,15 @@ def nearest(
 ) -> DataFrame:
     """(query_id, embedding) x collection -> (query_id, rank, chunk_id, distance).
 
-    One join whatever the number of queries. Up to ``block_bytes`` of them are broadcast and
-    the collection doesn't move; more are dealt out into groups of about that size. Each task
+    One join whatever the number of queries. Up to ``block_bytes`` of them, with ``HELD_HITS``
+    hits, are broadcast and the collection doesn't move; more are dealt out into groups of about that
+    size. Each task
     keeps the best k of its rows per query, and a second step those of all tasks. A query
     whose vector is null, or has a component that is null or not finite, has no hits;
     neither has one of another width than all stored vectors.
     """
     asked = write_stage(_measurable(queries).select("query_id", "embedding"), "queries")
-    size = asked.agg(F.sum(8 * F.size("embedding"))).first()[0] or 0
-    groups = max(1, -(-size // block_bytes))
+    groups = _groups(asked, k, block_bytes)
     return _ranked(_met(asked, _searched(collection, exclude_missing), k, groups), k)
 
 

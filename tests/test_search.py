@@ -107,6 +107,24 @@ def test_every_row_as_a_query(spark, data, monkeypatch):
     assert got == {None: [("a", 1.0), ("b", 72.25)], 1: [("b", 0.25), ("a", 1.0)]}
 
 
+def test_a_query_moves_to_no_more_shares_than_cores_need(spark, data, monkeypatch):
+    """A hit for each share and place: the more shares, the more moves."""
+    rows, queries = data
+    monkeypatch.setattr(search, "PACK_BYTES", 1)  # every row a pack of its own
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        asked = query_table(spark, queries)
+        shares = -(-search.PARTS_PER_CORE * spark.sparkContext.defaultParallelism // 2)
+        hits = search._met(asked, vector_table(spark, rows), 4, 2)
+        assert hits.count() <= len(queries) * 4 * shares
+        assert search._groups(asked, 4, 1 << 20) == 1
+        assert search._groups(asked, 4, 10 * 12 * 4 // 2) == 2  # floats travel as floats
+        monkeypatch.setattr(search, "HELD_HITS", 12)
+        assert search._groups(asked, 4, 1 << 20) == 4
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_rows_that_cannot_be_at_a_distance(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(f"c{i}", [float(i), 0.0]) for i in range(20)]
