@@ -55,7 +55,7 @@ class Memory:
 
     folder: str
     version: str = ""
-    #: Texts that a task calls before its results are in place.
+    #: About how many texts a task calls before its results are in place.
     task_texts: int = 1024
 
     def key(self, text: str) -> Column:
@@ -104,9 +104,22 @@ def _called(
 
 
 def _held(memory: Memory, keys: DataFrame, few: bool, result: T.DataType) -> DataFrame:
-    """Stored results of these keys; of few keys, the stored ones don't move."""
+    """Stored results, of few keys only theirs, which then don't move."""
     stored = memory.stored(keys.sparkSession, result)
-    return stored.join(F.broadcast(keys) if few else keys, "key", "left_semi")
+    return stored.join(F.broadcast(keys), "key", "left_semi") if few else stored
+
+
+def _todo(known: DataFrame, text: str, missing: DataFrame, count: int, tasks: int) -> DataFrame:
+    """(key, text) of the missing keys, each once, dealt out into so many tasks.
+
+    The texts of few keys are picked where they lie; of many, all texts move, and only once.
+    """
+    texts = known.select(F.col("call_key").alias("key"), F.col(text).alias("text"))
+    if count <= BROADCAST_KEYS:
+        picked = texts.join(F.broadcast(missing), "key", "left_semi").dropDuplicates(["key"])
+        return picked.repartition(tasks)
+    dealt = texts.repartition(tasks, "key").join(missing.repartition(tasks, "key"), "key", "left_semi")
+    return dealt.dropDuplicates(["key"])
 
 
 def remembered(
@@ -121,23 +134,23 @@ def remembered(
     """Add a column ``result``: what ``call`` returns for the text, from memory if it can be.
 
     A null text, and one for which every try failed, has null; the latter isn't remembered.
-    ``rows`` are read several times and should be a table that is written down.
+    ``rows`` are read several times and should be a table that is written down. The results
+    are read from the memory's folder whenever the returned table is; later ones don't show.
     """
     keyed = rows.withColumn("call_key", memory.key(text))
     known = keyed.where(F.col("call_key").isNotNull())
     keys = write_stage(known.select(F.col("call_key").alias("key")).distinct(), "call-keys")
     few = keys.count() <= BROADCAST_KEYS
     missing = keys.join(_held(memory, keys, few, result).select("key"), "key", "left_anti")
-    texts = known.select(F.col("call_key").alias("key"), F.col(text).alias("text"))
-    todo = write_stage(texts.join(missing, "key", "left_semi").dropDuplicates(["key"]), "calls")
-    count = todo.count()
+    missing = write_stage(missing, "calls")
+    count = missing.count()
     if count:
         schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("result", result)])
         run = partial(
             _called, call=call, call_size=call_size, retry=retry, schema=to_arrow_schema(schema)
         )
         (
-            todo.repartition(-(-count // memory.task_texts))
+            _todo(known, text, missing, count, -(-count // memory.task_texts))
             .mapInArrow(run, schema)
             .write.mode("append")
             # tasks move their files to the folder when they commit

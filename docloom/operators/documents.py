@@ -311,12 +311,11 @@ def transform_remembered(
     def call(texts: list[str]) -> list[str]:
         return [convert(text) for text in texts]
 
-    found = calls.remembered(
-        segments.select("source_file", "seg_idx", "text"), "text", call, T.StringType(), memory, retry=retry
-    )
-    failed = F.concat(
-        F.lit(CONVERSION_ERROR), F.substring("text", 1, CONVERSION_ERROR_PREVIEW), F.lit("...")
-    )
+    # what a failed conversion shows is taken first, so that whole texts don't move to the results
+    preview = F.substring("text", 1, CONVERSION_ERROR_PREVIEW).alias("preview")
+    rows = segments.select("source_file", "seg_idx", "text", preview)
+    found = calls.remembered(rows, "text", call, T.StringType(), memory, retry=retry)
+    failed = F.concat(F.lit(CONVERSION_ERROR), "preview", F.lit("..."))
     return found.select(
         "source_file", "seg_idx", F.coalesce("result", failed).alias("md"), F.col("result").isNotNull().alias("ok")
     )

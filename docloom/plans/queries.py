@@ -205,13 +205,12 @@ def token_segments_quarter(spark, sf):
 def convert_remembered(spark, sf):
     """Labelled documents are converted first, then all with the results of that."""
     memory = calls.Memory(f"{shared_dir(spark)}/memory-{uuid.uuid4().hex}", "quote")
-    docs = views.doc_paragraphs(spark, sf)
-    names = views.table(spark, sf, "labels").select(F.concat(F.lit("doc_"), "doc_id", F.lit(".txt")).alias("source_file"))
+    docs, labelled = views.doc_paragraphs(spark, sf), views.doc_paragraphs(spark, sf, labelled=True)
 
     def convert(text):
         return f"> {text}"
 
-    stages.texts_to_markdown(docs.join(names, "source_file", "left_semi"), SEGMENT_TOKENS, convert, memory=memory)
+    stages.texts_to_markdown(labelled, SEGMENT_TOKENS, convert, memory=memory)
     return stages.texts_to_markdown(docs, SEGMENT_TOKENS, convert, memory=memory)
 
 

@@ -24,7 +24,8 @@ def texts_to_markdown(
     """(source_file, text) -> (source_file, md). A costly converter runs once: its result is staged.
 
     With a ``memory``, ``convert`` is a function of one text, and a segment that was converted
-    before, in a run that failed for instance, is not converted again.
+    before, in a run that failed for instance, is not converted again. Results are then read
+    from there and not staged as well.
     """
     segments = documents.pack_segments(docs, max_tokens, counter)
     if memory is not None:
@@ -32,8 +33,8 @@ def texts_to_markdown(
         converted = documents.transform_remembered(segments, convert, memory, retry)
     else:
         converted = documents.transform_segments(segments, convert)
-    if convert is not None:
-        converted = write_stage(converted, "converted")
+        if convert is not None:
+            converted = write_stage(converted, "converted")
     return documents.assemble_markdown(converted, docs)
 
 

@@ -54,17 +54,17 @@ def doc_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def doc_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per document, as it is: a single paragraph."""
-    texts = table(spark, sf_dir, "documents").selectExpr(
-        "concat('doc_', doc_id, '.txt') as source_file", "text"
-    )
-    return spread(texts)
+def doc_texts(spark: SparkSession, sf_dir: str, labelled: bool = False) -> DataFrame:
+    """One file per document, or labelled document, as it is: a single paragraph."""
+    docs = table(spark, sf_dir, "documents")
+    if labelled:
+        docs = docs.join(table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+    return spread(docs.selectExpr("concat('doc_', doc_id, '.txt') as source_file", "text"))
 
 
-def doc_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def doc_paragraphs(spark: SparkSession, sf_dir: str, labelled: bool = False) -> DataFrame:
     """The same files with every line a paragraph."""
-    return doc_texts(spark, sf_dir).select(
+    return doc_texts(spark, sf_dir, labelled).select(
         "source_file", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text")
     )
 

@@ -58,8 +58,10 @@ def write_buckets(df: DataFrame, name: str, key: str, *order: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a test table over all cores: a file of one row group is one task."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    """Spread a test table over all cores: a file of one row group is one task. With files for
+    all cores nothing moves."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,27 @@ def test_many_keys_give_the_same(spark, folder, monkeypatch):
     assert called(folder) == ["a", "b", "c"]
 
 
+def test_texts_are_staged_once_and_stay_away_from_results(spark, folder, monkeypatch):
+    """Beside the segments only keys are written down, and no whole text moves to the results."""
+    staged = []
+
+    def write(df, name, put=calls.write_stage):
+        staged.append((name, df.columns))
+        return put(df, name)
+
+    for module in (calls, stages):
+        monkeypatch.setattr(module, "write_stage", write)
+    docs = spark.createDataFrame([("a.txt", "aa\n\nbb"), ("b.txt", "bb\n\ncc")], DOC)
+    memory = calls.Memory(os.path.join(folder, "memory"))
+    md = stages.texts_to_markdown(docs, 1, str.upper, memory=memory)
+    assert {r.source_file: r.md for r in md.collect()} == {"a.md": "AA\n\n---\n\nBB", "b.md": "BB\n\n---\n\nCC"}
+    assert [c for n, c in staged if n != "segments"] == [["key"], ["key"]]
+    segments = documents.pack_segments(docs, 1)
+    found = documents.transform_remembered(stages.write_stage(segments, "segments"), str.upper, memory)
+    joined = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[1].splitlines()[1]
+    assert "Project" in joined and not re.search(r"[\[ ]text#\d+[,\]]", joined)
+
+
 def test_a_killed_run_keeps_what_its_tasks_paid_for(spark, folder):
     memory = calls.Memory(os.path.join(folder, "memory"), task_texts=4)
     rows = texts(spark, *[f"t{i:02d}" for i in range(40)])
