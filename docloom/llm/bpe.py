@@ -26,6 +26,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import shares, sizes
+
 #: Characters of a text that are matched at once.
 PART = 1 << 16
 #: Runs of white space from this length on are matched outside the pattern.
@@ -70,16 +72,20 @@ def encode_text(encoding: tiktoken.Encoding, text: str) -> list[int]:
     return ids
 
 
+def _encoded(batches: Iterator[pa.Array], encoding: tiktoken.Encoding) -> Iterator[pa.Array]:
+    for batch in batches:
+        for first, last in shares(sizes(batch)):
+            texts = ((x.as_py() or b"").decode("utf-8", "replace") for x in batch.slice(first, last - first))
+            coded = [np.array(encode_text(encoding, t), "<u4").tobytes() for t in texts]
+            yield pa.array(coded, pa.binary())
+
+
 def ids_of(text: Column, ranks: str, pattern: str) -> Column:
     """Token ids as little-endian unsigned 32-bit integers. Only texts go to Python."""
 
     @F.arrow_udf("binary")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoding = load(ranks, pattern)
-        for batch in batches:
-            texts = ((x.as_py() or b"").decode("utf-8", "replace") for x in batch)
-            coded = [np.array(encode_text(encoding, t), "<u4").tobytes() for t in texts]
-            yield pa.array(coded, pa.binary())
+        yield from _encoded(batches, load(ranks, pattern))
 
     return of(text.cast("binary"))
 

@@ -76,14 +76,12 @@ _RNG = np.random.default_rng(20240923)
 _FACTORS = _RNG.integers(1, 1 << 63, _HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OFFSETS = _RNG.integers(1, 1 << 63, _HASHES, dtype=np.uint64)
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
 
 def _lowered(column: pa.Array) -> pa.Array:
     data, bounds = rolling.buffers(column)
     base = int(bounds[0])
-    text = _LOWER[data[base : int(bounds[-1])]]
+    text = data[base : int(bounds[-1])]
+    text = text | ((text - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5)
     offsets = (bounds - base).astype(np.int64)
     return pa.Array.from_buffers(
         pa.large_binary(), len(column), [None, pa.py_buffer(offsets), pa.py_buffer(text)]

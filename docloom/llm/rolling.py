@@ -13,8 +13,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-#: Bytes that one round of vector operations takes in; longer texts go in slices.
-ROUND_BYTES = 1 << 20
+#: Bytes that one round of vector operations takes in; longer texts go in slices. A round
+#: holds some fifteen numbers for each byte, and a worker keeps the room that it once took.
+ROUND_BYTES = 1 << 18
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _SEEDS = (20240611, 771)

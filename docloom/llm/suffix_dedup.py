@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import rolling
-from docloom.llm.common import doc_key, packed, stage, unpacked
+from docloom.llm.common import doc_key, packed, packed_shares, shares, stage, unpacked
 
 #: Length in bytes of the passages that are compared.
 PASSAGE = 100
@@ -47,6 +47,8 @@ TRIGGER = 24
 #: Words of a trigger beyond which they are compared over all tasks. Up to there one task
 #: sorts their suffixes, at most 77 of each, in some tens of megabytes.
 HOT_WORDS = 5000
+#: Rows of the dictionary, and bytes of its words, that a task takes in at a time.
+WORDS, WORD_BYTES = 1000, 1 << 20
 
 _SHIFT = 128  # above the distance of a trigger from any start of its phrase
 
@@ -131,33 +133,35 @@ _WORD_ROW = "trigger long, hot boolean, doc long, mark int, place int, reach int
 
 def _fetch_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the phrases listed with each document."""
-    for batch in batches:
+    for batch in packed_shares(batches):
         data, bounds = rolling.buffers(unpacked(batch))
         wanted = batch.column("wanted")
-        sizes = np.diff(wanted.offsets.to_numpy())
-        row = np.repeat(np.arange(len(batch)), sizes)
+        row = np.repeat(np.arange(len(batch)), np.diff(wanted.offsets.to_numpy()))
         items = wanted.flatten()
         place = items.field("place").to_numpy().astype(np.int64)
         reach = items.field("reach").to_numpy().astype(np.int64)
         lo = bounds[row] + place - reach // _SHIFT
-        hi = bounds[row] + place - reach % _SHIFT + PASSAGE
-        picked = data[rolling.ranges(lo, hi - lo)]
-        offsets = np.concatenate([[0], np.cumsum(hi - lo)]).astype(np.int32)
-        packed = pa.Array.from_buffers(
-            pa.binary(), len(lo), [None, pa.py_buffer(offsets), pa.py_buffer(picked.tobytes())]
-        )
-        yield pa.RecordBatch.from_arrays(
-            [
-                items.field("trigger"),
-                items.field("hot"),
-                pa.array(batch.column("doc").to_numpy()[row]),
-                pa.array(batch.column("mark").to_numpy()[row]),
-                items.field("place"),
-                items.field("reach"),
-                packed,
-            ],
-            names=["trigger", "hot", "doc", "mark", "place", "reach", "bytes"],
-        )
+        size = bounds[row] + place - reach % _SHIFT + PASSAGE - lo
+        doc, mark = batch.column("doc").to_numpy()[row], batch.column("mark").to_numpy()[row]
+        for first, last in shares(size, WORD_BYTES):
+            picked = data[rolling.ranges(lo[first:last], size[first:last])]
+            offsets = np.concatenate([[0], np.cumsum(size[first:last])]).astype(np.int32)
+            packed = pa.Array.from_buffers(
+                pa.binary(), last - first, [None, pa.py_buffer(offsets), pa.py_buffer(picked.tobytes())]
+            )
+            some = items.slice(first, last - first)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    some.field("trigger"),
+                    some.field("hot"),
+                    pa.array(doc[first:last]),
+                    pa.array(mark[first:last]),
+                    some.field("place"),
+                    some.field("reach"),
+                    packed,
+                ],
+                names=["trigger", "hot", "doc", "mark", "place", "reach", "bytes"],
+            )
 
 
 def _suffixes(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
@@ -226,7 +230,7 @@ def _sort_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     rest: pa.Table | None = None
     for batch in batches:
-        for part in (batch.slice(i, 5000) for i in range(0, len(batch), 5000)):
+        for part in (batch.slice(i, WORDS) for i in range(0, len(batch), WORDS)):
             table = pa.Table.from_batches([part])
             table = pa.concat_tables([rest, table]) if rest is not None else table
             table = table.combine_chunks()
@@ -244,7 +248,7 @@ _SUFFIX = "trigger long, before int, passage long, doc long, at long"
 
 def _spread_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in (batch.slice(i, 5000) for i in range(0, len(batch), 5000)):
+        for part in (batch.slice(i, WORDS) for i in range(0, len(batch), WORDS)):
             row, before, hashes = _suffixes(part)
             place = part.column("place").to_numpy().astype(np.int64)[row] - before
             mark = part.column("mark").to_numpy().astype(np.int64)[row]
@@ -345,7 +349,7 @@ _CUT = "n_removed long, n_spans long, kept binary"
 
 def _cutter(whole_characters: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in packed_shares(batches):
             data, bounds = rolling.buffers(unpacked(batch))
             spans = batch.column("spans")
             removed, pieces, kept = [], [], []

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docloom.llm import rolling
-from docloom.llm.common import doc_key, packed, stage, unpacked
+from docloom.llm.common import doc_key, packed, packed_shares, stage, unpacked
 
 #: Words in a window.
 WINDOW = 35
@@ -112,7 +112,7 @@ _WINDOW_ROW = "low long, high long, doc long, at long"
 
 def _open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the windows of the listed ranges."""
-    for batch in batches:
+    for batch in packed_shares(batches):
         doc = batch.column("doc").to_numpy()
         mark = batch.column("mark").to_numpy().astype(np.int64)
         starts = batch.column("starts")
@@ -195,7 +195,7 @@ _CUT = "n_words long, n_removed long, kept binary"
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in packed_shares(batches):
         texts = unpacked(batch)
         data, _ = rolling.buffers(texts)
         starts = batch.column("starts")
